@@ -4,19 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import bpe, simhash
 from .runtime import table
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.encode("text", *vocabulary).alias("ids"))
+    return docs.withColumn("bytes", bpe.decode("ids", *vocabulary)).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(bpe.ids_text("ids"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", simhash.as_hex("fingerprint"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
 }
 
