@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash
-from .runtime import table
+from . import bpe, packing, secrets, simhash
+from .runtime import settle, table
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,8 +28,24 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash.as_hex("fingerprint"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = settle(secrets.scanned(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    base = F.concat("assign", "access", "hex")
+    more = secrets.random_spans(F.col("tests"), base, secrets.thresholds(found))
+    counts = [F.size(kind).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    base_sha256 = F.sha2(secrets.as_text(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base_sha256, secrets.as_text(F.concat(base, more)).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_packing": op4_packing,
+    "op6_secret_scan": op6_secret_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
 }
 
