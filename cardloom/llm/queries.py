@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, secrets, simhash
+from . import bpe, cws, packing, secrets, simhash
 from .runtime import settle, table
 
 
@@ -42,10 +42,15 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base_sha256, secrets.as_text(F.concat(base, more)).alias("spans"))
 
 
+def op7_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.revisions(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_packing": op4_packing,
     "op6_secret_scan": op6_secret_scan,
+    "op7_weighted_sampling": op7_weighted_sampling,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
 }
 
