@@ -18,6 +18,7 @@ size, each ending in a cut that the dynamic program chose.
 
 from __future__ import annotations
 
+import contextlib
 import re
 from collections import deque
 from collections.abc import Iterator
@@ -33,9 +34,9 @@ LENGTH, END = 4096, 2
 #: What a cut costs, in tokens of padding: after a sentence, after a word, inside a word.
 SENTENCE, WORD, INSIDE = 4.0, 32.0, 64.0
 #: Without a better candidate, a word's end becomes one after so many tokens, any token after twice as many.
-GAP = 64
+GAP = 128
 #: Sequences that one run of the dynamic program looks at, and tokens kept of words by a Python worker.
-STRETCH, REMEMBERED = 64, 600_000
+STRETCH, REMEMBERED = 64, 1_400_000
 #: What ends a sentence when it is a token of its own at the end of a word.
 SENTENCE_ENDS = (".", "!", "?", "...", '."', '!"', '?"', ".'", ".)", "!!", "…", "。", "！", "？")
 #: Windows of these many tokens are tried besides full ones: powers of two from here on.
@@ -55,29 +56,48 @@ class Words(dict):
         for mark in SENTENCE_ENDS:
             if len(ids := self.tokenizer.encode(mark, add_special_tokens=False).ids) == 1:
                 self.stops[ids] = True
+        self.finals = np.zeros(len(self.stops), bool)
+        self.finals[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def _ids(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        """Letters split from what follows them and case is lost, so a word may be made of known parts."""
+        """Letters split from what follows them, so a word may be made of known parts."""
         stem = word.rstrip(_TRAILING)
         if stem != word and stem.isalpha() and stem.lower().isalpha():  # lower case may add a mark
             packed = self[stem] + self[word[len(stem) :]]
-        elif word.isascii() and word.isalpha() and not word.islower():
-            packed = self[word.lower()]
         else:
             packed = self._ids(word)
+        self._keep(word, packed)
+        return packed
+
+    def _keep(self, word: str, packed: bytes) -> None:
         if len(word) <= 40:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[word] = packed
-        return packed
+
+    def _learn(self, found: list[str]) -> None:
+        """Encode all new words of letters in one call: each is one run of tokens up to a word's end."""
+        stems = {w.rstrip(_TRAILING) for w in set(found) if w not in self}
+        stems = [w for w in stems if w.isalpha() and w.isascii() and w not in self]
+        if len(stems) < 2:
+            return
+        ids = np.array(self.tokenizer.encode(" ".join(stems), add_special_tokens=False).ids, "<u4")
+        ends = np.nonzero(self.finals[ids])[0] + 1
+        if len(ends) == len(stems):
+            for word, part in zip(stems, np.split(ids, ends[:-1])):
+                self._keep(word, part.tobytes())
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of a text, and the positions where words and where sentences end."""
         text = text or ""
+        with contextlib.suppress(UnicodeEncodeError):  # case is lost anyway; here folding it is safe
+            text.encode("latin-1")
+            text = text.lower()
         words = [w for w in _SPACE.split(text) if w] if _ODD_SPACE.search(text) else text.split()
+        self._learn(words)
         packed = list(map(self.__getitem__, words))
         ends = np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed)) >> 2)
         ids = np.frombuffer(b"".join(packed), "<u4")
@@ -95,29 +115,28 @@ def words(path: str) -> Words:
 
 def candidates(n: int, word_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions (1 to n, n included) where a document of n tokens may be cut, and the penalties."""
-    at, price = [sentence_ends], [np.full(len(sentence_ends), SENTENCE)]
-    for ends, gap, cost in ((word_ends, GAP, WORD), (None, 2 * GAP, INSIDE)):
-        known = np.unique(np.concatenate([[0], *at, [n]]))
-        wide = np.nonzero(np.diff(known) > gap)[0]
-        if not len(wide):
-            continue
-        if ends is None:
-            more = np.concatenate([np.arange(known[i] + gap, known[i + 1], gap) for i in wide])
-        else:  # the first word's end in each cell of gap tokens
-            more = ends[np.unique(ends // gap, return_index=True)[1]] if len(ends) else ends
-            inside = np.searchsorted(known, more) - 1
-            more = more[np.isin(inside, wide)]
-        at.append(more)
-        price.append(np.full(len(more), cost))
-    at, price = np.concatenate([*at, [n]]), np.concatenate([*price, [0.0]])
-    best = np.lexsort((price, at))
-    at, price = at[best], price[best]
-    new = np.ones(len(at), bool)
-    new[1:] = at[1:] != at[:-1]
-    keep = new & (at > 0) & (at <= n)
-    at, price = at[keep], price[keep]
+    at = np.append(sentence_ends, n)
+    price = np.full(len(at), SENTENCE)
     price[-1] = 0.0
-    return at, price
+    if len(at) > 1 and at[-2] == n:
+        at, price = np.delete(at, -2), np.delete(price, -2)
+    at, price = _filled(at, price, GAP, WORD, word_ends)
+    return _filled(at, price, 2 * GAP, INSIDE, None)
+
+
+def _filled(at: np.ndarray, price: np.ndarray, gap: int, cost: float, ends: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The candidates and, wherever they leave more than gap tokens, more of them: each gap tokens the next of ends."""
+    spaces = np.diff(at, prepend=0)
+    wide = np.nonzero(spaces > gap)[0]
+    if not len(wide):
+        return at, price
+    more = np.concatenate([np.arange(at[i] - spaces[i] + gap, at[i], gap) for i in wide])
+    if ends is not None:
+        place = np.searchsorted(ends, more)
+        more = ends[place[place < len(ends)]]
+    more = np.setdiff1d(more, at)
+    place = np.searchsorted(at, more)
+    return np.insert(at, place, more), np.insert(price, place, cost)
 
 
 def cuts(positions: list[int], prices: list[float], length: int) -> list[int]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, cws, packing, secrets, simhash
+from . import bpe, cws, packing, pu, quality, secrets, simhash, toxicity
 from .runtime import settle, table
 
 
@@ -46,11 +46,29 @@ def op7_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.revisions(table(spark, sf_dir, "documents"))
 
 
+def _scored(spark: SparkSession, sf_dir: str, kind) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = kind.learn(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(pu.fold(F.col("doc_id"), kind.PARTS) == kind.HELD_OUT, F.lit(False))
+    scored = docs.select("doc_id", held_out.alias("held_out"), kind.score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= kind.LEAST_SCORE).cast("int"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, toxicity)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, quality)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_packing": op4_packing,
     "op6_secret_scan": op6_secret_scan,
     "op7_weighted_sampling": op7_weighted_sampling,
+    "op8_toxicity": op8_toxicity,
+    "op10_quality": op10_quality,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
 }
 
