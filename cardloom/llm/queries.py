@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, cws, packing, pu, quality, secrets, simhash, toxicity
+from . import ann, bpe, chat, cws, packing, pages, pu, quality, secrets, simhash, toxicity
 from .runtime import settle, table
 
 
@@ -23,6 +23,32 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row is the event that brought its whole message."""
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").unionByName(more)
+    return chat.digests(chat.formatted(rows.withColumns({"seq": F.col("turn"), "kind": F.lit("message")})))
+
+
+#: Every turn in order, read as the operator's output must read.
+_OP2 = r"""
+WITH rows AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length('<|im_start|><|im_sep|><|im_end|>') + length(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'))
+        + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", simhash.as_hex("fingerprint"))
@@ -33,6 +59,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = settle(secrets.scanned(table(spark, sf_dir, "documents").select("doc_id", "text")))
     base = F.concat("assign", "access", "hex")
@@ -58,18 +89,26 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, toxicity)
 
 
+def op9_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, quality)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_chat_formatting": op2_chat_formatting,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_packing": op4_packing,
+    "op5_html_extraction": op5_html_extraction,
     "op6_secret_scan": op6_secret_scan,
     "op7_weighted_sampling": op7_weighted_sampling,
     "op8_toxicity": op8_toxicity,
+    "op9_hash_prefix_forest": op9_hash_prefix_forest,
     "op10_quality": op10_quality,
-    "op3_simhash_near_dedup": op3_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_chat_formatting": _OP2}
