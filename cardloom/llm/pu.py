@@ -29,7 +29,7 @@ from pyspark.sql.functions import arrow_udf
 from .runtime import settle
 
 POSITIVES, UNLABELLED, FEATURES = 4_000, 12_000, 4_096
-#: Documents of the sample that a feature must occur in, and standard errors its log odds must be from zero.
+#: Documents of the sample that a feature must occur in, and how clear (root of the likelihood ratio statistic) its difference between the sets must be.
 LEAST, CLEAR = 3, 3.5
 #: Training rounds, step and weight decay.
 ROUNDS, STEP, DECAY = 400, 0.05, 1e-4
@@ -88,11 +88,9 @@ def fit(rows: DataFrame, prior: float, features: Callable[[str | None], set[str]
     sizes = {r["positive"]: r["n"] for r in rows.groupBy("positive").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(True) or not sizes.get(False) or not 0 < prior < 1:
         return Model(float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))))
-    hits = [F.sum((F.col("positive") == side).cast("double")) + 0.5 for side in (True, False)]
-    odds = F.log(hits[0] / (sizes[True] + 1.0)) - F.log(hits[1] / (sizes[False] + 1.0))
-    counts = rows.select("positive", F.explode("names").alias("name")).groupBy("name").agg(
-        F.count("*").alias("n"), F.abs(odds / F.sqrt(1 / hits[0] + 1 / hits[1])).alias("z")
-    )
+    hits = [F.sum((F.col("positive") == side).cast("double")) for side in (True, False)]
+    counts = rows.select("positive", F.explode("names").alias("name")).groupBy("name").agg(F.count("*").alias("n"), *[h.alias(k) for h, k in zip(hits, ("a", "b"))])
+    counts = counts.withColumn("z", _clearness(F.col("a"), F.col("b"), sizes[True], sizes[False]))
     kept = counts.where((F.col("n") >= LEAST) & (F.col("z") >= CLEAR)).orderBy(F.desc("z"), "name").limit(FEATURES).collect()
     if not kept:
         return Model(float(np.log(prior / (1 - prior))))
@@ -112,6 +110,17 @@ def fit(rows: DataFrame, prior: float, features: Callable[[str | None], set[str]
     return Model(bias, {k: float(weights[i]) for k, i in names.items()}, scaled)
 
 
+def _clearness(a: Column, b: Column, n_a: int, n_b: int) -> Column:
+    """Root of the likelihood ratio statistic for a of n_a against b of n_b; unlike a ratio of odds it is at ease with zero."""
+
+    def part(seen: Column, of: int) -> Column:
+        share = (a + b) / float(n_a + n_b)
+        hit = F.when(seen > 0, seen * F.ln(seen / (of * share))).otherwise(0.0)
+        return hit + F.when(seen < of, (of - seen) * F.ln((of - seen) / (of * (1 - share)))).otherwise(0.0)
+
+    return F.sqrt(F.greatest(2 * (part(a, n_a) + part(b, n_b)), F.lit(0.0)))
+
+
 def _descend(row: np.ndarray, column: np.ndarray, value: np.ndarray, positive: np.ndarray, prior: float, width: int) -> tuple[float, np.ndarray]:
     """Minimise the non-negative risk by Adam over the whole sample."""
     n_pos, n_other = positive.sum(), (~positive).sum()

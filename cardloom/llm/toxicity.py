@@ -1,4 +1,4 @@
-"""Toxicity scores by non-negative positive-unlabelled learning over words."""
+"""Toxicity scores by non-negative positive-unlabelled learning over words and stems."""
 
 from __future__ import annotations
 
@@ -8,14 +8,16 @@ from . import pu
 
 #: Folds by crc32(doc_id); the one that is never learned from; the score from which a text counts as toxic.
 PARTS, HELD_OUT, LEAST_SCORE = 3, 1, 0.7
+#: Letters of a stem.
+STEM = 4
 _EDGES = ".,;:!?\"'()[]{}<>*#$%&|/\\-_=+~`«»„“”‚‘’…¡¿"
 
 
 def words(text: str | None) -> set[str]:
-    """Distinct lower-case words without punctuation at their ends."""
+    """Distinct lower-case words without punctuation at their ends, and the stems of the longer ones."""
     found = {w.strip(_EDGES) for w in set((text or "").lower().split())}
     found.discard("")
-    return found
+    return found | {f"{w[:STEM]}-" for w in found if len(w) > STEM}
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text") -> pu.Model:
