@@ -46,10 +46,12 @@ def centers(values: Column, target: Column | int) -> Column:
             ),
         )
 
-    ordered = F.array_sort(values)
-    # sequence(1, 0) counts down, so its length is cut by slice
-    steps = F.slice(F.sequence(F.lit(1), F.greatest(F.size(ordered), F.lit(1))), 1, F.greatest(F.size(ordered) - target, F.lit(0)))
-    return F.transform(F.aggregate(steps, F.transform(ordered, lambda x: F.array(x)), merge), _median)
+    def reduced(ordered: Column) -> Column:
+        # sequence(1, 0) counts down, so its length is cut by slice
+        steps = F.slice(F.sequence(F.lit(1), F.greatest(F.size(ordered), F.lit(1))), 1, F.greatest(F.size(ordered) - target, F.lit(0)))
+        return F.transform(F.aggregate(steps, F.transform(ordered, lambda x: F.array(x)), merge), _median)
+
+    return _let(F.array_sort(values), reduced)
 
 
 def nearest(value: Column, among: Column) -> Column:
@@ -78,17 +80,25 @@ def cards(pages: DataFrame, texts: str = "line_texts", rects: str = "line_rects"
             (x + number(box, "width") / 2).alias("cx"), (y + number(box, "height") / 2).alias("cy"),
         )
 
-    page = pages.withColumn("_items", F.transform(boxes, item)).withColumn("_rows", F.least(F.lit(rows), F.size(lines)))
-    page = page.withColumn("_cy", centers(F.transform("_items", lambda i: i["cy"]), F.col("_rows")))
-    page = page.withColumn("_cx", centers(F.transform("_items", lambda i: i["cx"]), columns))
-    placed = F.transform(
-        "_items",
-        lambda i: F.struct(
-            i["y"].alias("y"), i["x"].alias("x"), i["pos"].alias("pos"), i["text"].alias("text"),
-            (nearest(i["cy"], F.col("_cy")) * columns + nearest(i["cx"], F.col("_cx")) + 1).alias("card_no"),
-        ),
-    )
-    page = page.withColumn("_items", F.array_sort(placed)).withColumn("card_no", F.explode(F.sequence(F.lit(1), F.lit(rows * columns))))
+    def placed(items: Column) -> Column:
+        axes = F.struct(
+            centers(F.transform(items, lambda i: i["cy"]), F.least(F.lit(rows), F.size(lines))).alias("cy"),
+            centers(F.transform(items, lambda i: i["cx"]), columns).alias("cx"),
+        )
+        return _let(
+            axes,
+            lambda at: F.transform(
+                items,
+                lambda i: F.struct(
+                    i["y"].alias("y"), i["x"].alias("x"), i["pos"].alias("pos"), i["text"].alias("text"),
+                    (nearest(i["cy"], at["cy"]) * columns + nearest(i["cx"], at["cx"]) + 1).alias("card_no"),
+                ),
+            ),
+        )
+
+    # items and centres are bound by lambdas: as columns they would be computed again for each line
+    page = pages.withColumn("_items", F.array_sort(_let(F.transform(boxes, item), placed)))
+    page = page.withColumn("card_no", F.explode(F.sequence(F.lit(1), F.lit(rows * columns))))
     own = F.transform(F.filter("_items", lambda i: i["card_no"] == F.col("card_no")), lambda i: i["text"])
     row, column = F.floor((F.col("card_no") - 1) / columns) + 1, (F.col("card_no") - 1) % columns + 1
     kept = [c for c in pages.columns if c not in (texts, rects, "card_no", "grid_pos", "has_text", "line_texts", "extracted")]
