@@ -11,6 +11,7 @@ of n bytes takes about n log n steps however long it is.
 from __future__ import annotations
 
 import base64
+import re
 from heapq import heappop, heappush
 
 import numpy as np
@@ -86,11 +87,34 @@ def merged(piece: bytes, ranks: dict[bytes, int], bits: list[int], groups: list[
     return ids
 
 
+def _latin(pattern: str):
+    """A search that finds the same in texts up to U+00FF, with the classes of letters, numbers and white space written out.
+
+    Null where the pattern uses more than these; then every text takes the general one.
+    """
+    chars = [chr(c) for c in range(256)]
+    spelled = {
+        name: "".join(map(re.escape, filter(regex.compile(name).match, chars))) for name in (r"\p{L}", r"\p{N}", r"\s")
+    }
+
+    def part(m: re.Match) -> str:
+        text = m[0]
+        if text[0] == "[":  # a class
+            return re.sub(r"\\p\{[LN]\}|\\s", lambda x: spelled[x[0]], text)
+        return f"[{spelled[text]}]" if text in spelled else f"[^{spelled[chr(92) + 's']}]" if text == r"\S" else text
+
+    plain = re.sub(r"\[(?:\\.|[^\]])*\]|\\p\{\w+\}|\\.|.", part, pattern, flags=re.S)
+    if re.search(r"\\[pPXRGKmMhHdDwWbB]|\(\?[^:=!]|\[\[|&&|--|\|\|", plain):
+        return None
+    return re.compile(plain).findall
+
+
 class Codec(dict):
     """Packed ids by pre-token; a missing one is computed and, if short, remembered."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pieces = ranks, regex.compile(pattern).findall
+        self.latin = _latin(pattern) or self.pieces
         words = (max(ranks.values(), default=0) >> 6) + 1
         self.bits, self.groups = [0] * words, [0] * ((words >> 6) + 1)
         self.token = {rank: token for token, rank in ranks.items()}
@@ -104,7 +128,14 @@ class Codec(dict):
         return packed
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, self.pieces(text or "")))
+        text = text or ""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            pieces = self.pieces(text)
+        else:
+            pieces = self.latin(text)
+        return b"".join(map(self.__getitem__, pieces))
 
     def decode(self, ids: list[int] | None) -> bytes:
         return b"".join(map(self.token.__getitem__, ids or ()))
