@@ -37,7 +37,7 @@ def _row(key: str, answer: dict, tokens: int) -> dict:
     """An answer's fields as text; mobiles as a list, whatever came."""
     mobiles = answer.get("mobiles") or []
     mobiles = [str(x) for x in (mobiles if isinstance(mobiles, list) else [mobiles])]
-    return {c: _text(answer.get(c)) for c in _TEXTS} | {"card_key": key, "mobiles": mobiles, "is_key_person": _text(answer.get("is_key_person")), "tokens": tokens, "error": None, "fatal": False}
+    return {c: _text(answer.get(c)) for c in _TEXTS} | {"card_key": key, "mobiles": mobiles, "is_key_person": "true" if answer.get("is_key_person") else "false", "tokens": tokens, "error": None, "fatal": False}
 
 
 def _is_fatal(error: Exception) -> bool:

@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 
 def keep_last(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The last row of each key by ``order``, by partial maxima; rows with a null key are dropped."""
+    """The last row of each key by ``order``, null coming first, by partial maxima; rows with a null key are dropped."""
     whole = rows.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    last = whole.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), F.col(order)).alias("_last"))
+    last = whole.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), F.struct(order)).alias("_last"))
     return last.select("_last.*")
 
 
 def upserted(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """old with rows of new in place of those with the same key; of several the last by ``order`` wins."""
-    return keep_last(old.unionByName(new, allowMissingColumns=True), keys, order)
+    """old and new as one table with the last row of each key by ``order``; among equals a row of new wins."""
+    both = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    ranked = both.withColumn("_ord", F.struct(order, "_new"))
+    return keep_last(ranked, keys, "_ord").drop("_new", "_ord")
 
 
 def pending(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

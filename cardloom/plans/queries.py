@@ -333,8 +333,8 @@ def keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(
-    "SELECT user_id, arg_max(event_type, e) AS event_type, max(e) AS event_id FROM (SELECT user_id, event_type, event_id AS e FROM events WHERE event_id % 2 = 0 "
-    "UNION ALL SELECT user_id, 'again', event_id FROM events WHERE event_id % 5 = 1) GROUP BY user_id"
+    "SELECT user_id, arg_max(event_type, 2 * e + n) AS event_type, max(e) AS event_id FROM (SELECT user_id, event_type, event_id AS e, 0 AS n FROM events WHERE event_id % 2 = 0 "
+    "UNION ALL SELECT user_id, 'again', event_id, 1 FROM events WHERE event_id % 5 = 1) GROUP BY user_id"
 )
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
