@@ -114,17 +114,23 @@ def _block(ids: np.ndarray, blocks: int) -> np.ndarray:
 class Forest:
     """Largest norm and the cuts of each tree, which are all that tasks need to know of the whole table."""
 
-    def __init__(self, norm: float, rows: int, sample: list[tuple[int, list[float]]], blocks: int):
+    def __init__(self, norm: float, rows: int, blocks: int):
         self.norm, self.blocks = norm, blocks
-        n = min(SEGMENTS, max(1, -(-rows // SEGMENT)))
-        by_size: dict[int, list] = {}
-        for vec_id, vector in sample:
-            by_size.setdefault(len(vector), []).append((vec_id, vector))
-        keys = [strings(np.array([v for _, v in own], float), np.array([i for i, _ in own], np.int64), norm) for own in by_size.values()]
-        found = np.sort(np.concatenate(keys), axis=0) if keys else np.zeros((0, TREES), np.int64)
-        places = np.linspace(0, len(found), n + 1)[1:-1].astype(int)
+        self.width = min(SEGMENTS, max(1, -(-rows // SEGMENT)))  # segments of a tree
+        self.cuts = [np.zeros(0, np.int64)] * TREES
+
+    def cut(self, keys: np.ndarray) -> None:
+        """Cut each tree so that the sample's strings, (rows, TREES), fall evenly into its segments."""
+        found = np.sort(keys, axis=0)
+        places = np.linspace(0, len(found), self.width + 1)[1:-1].astype(int)
         self.cuts = [found[places, t] if len(found) else found[:0, t] for t in range(TREES)]
-        self.width = n  # segments of a tree
+
+    def sampled(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The strings of vectors, all that the driver sees of the sample."""
+        for batch in batches:
+            for rows, vectors in _by_size(batch.column(1)):
+                key = strings(vectors.astype(float), batch.column(0).to_numpy(zero_copy_only=False)[rows], self.norm)
+                yield pa.record_batch([pa.array(list(key), pa.list_(pa.int64()))], ["key"])
 
     def items(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each vector in its segment of each tree, once for each block of queries."""
@@ -290,8 +296,9 @@ def nearest(
 
     rows, asked = settle(prepared(vectors)), settle(prepared(queries))
     norm2, n = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)), F.count("*")).first()
-    sample = [(r[0], r[1]) for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()]
-    forest = Forest(max(float(norm2 or 0.0) ** 0.5, 1e-300), n, sample, max(1, -(-asked.count() // BLOCK)))
+    forest = Forest(max(float(norm2 or 0.0) ** 0.5, 1e-300), n, max(1, -(-asked.count() // BLOCK)))
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).mapInArrow(forest.sampled, "key array<long>")
+    forest.cut(np.array([r["key"] for r in sample.collect()], np.int64).reshape(-1, TREES))
 
     items = rows.mapInArrow(forest.items, ROUTED_DDL)
     first = _searched(asked.mapInArrow(forest.descents, ROUTED_DDL).unionByName(items), k, AROUND)
