@@ -35,8 +35,8 @@ LENGTH, END = 4096, 2
 SENTENCE, WORD, INSIDE = 4.0, 32.0, 64.0
 #: Without a better candidate, a word's end becomes one after so many tokens, any token after twice as many.
 GAP = 128
-#: Sequences that one run of the dynamic program looks at, and tokens kept of words by a Python worker.
-STRETCH, REMEMBERED = 64, 1_400_000
+#: Sequences that one run of the dynamic program looks at; words that a Python worker remembers, and the longest of them.
+STRETCH, REMEMBERED, REMEMBERED_CHARS = 64, 1_400_000, 40
 #: What ends a sentence when it is a token of its own at the end of a word.
 SENTENCE_ENDS = (".", "!", "?", "...", '."', '!"', '?"', ".'", ".)", "!!", "…", "。", "！", "？")
 #: Windows of these many tokens are tried besides full ones: powers of two from here on.
@@ -46,7 +46,7 @@ _SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f
 _TRAILING = "!#$%&*+,-./:;=?@|~"
 
 
-class Words(dict):
+class Words:
     """Packed ids by word; the tokenizer never looks across white space, so words stand alone."""
 
     def __init__(self, path: str):
@@ -58,47 +58,52 @@ class Words(dict):
                 self.stops[ids] = True
         self.finals = np.zeros(len(self.stops), bool)
         self.finals[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-
-    def _ids(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        """Letters split from what follows them, so a word may be made of known parts."""
-        stem = word.rstrip(_TRAILING)
-        if stem != word and stem.isalpha() and stem.lower().isalpha():  # lower case may add a mark
-            packed = self[stem] + self[word[len(stem) :]]
-        else:
-            packed = self._ids(word)
-        self._keep(word, packed)
-        return packed
-
-    def _keep(self, word: str, packed: bytes) -> None:
-        if len(word) <= 40:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = packed
-
-    def _learn(self, found: list[str]) -> None:
-        """Encode all new words of letters in one call: each is one run of tokens up to a word's end."""
-        stems = {w.rstrip(_TRAILING) for w in set(found) if w not in self}
-        stems = [w for w in stems if w.isalpha() and w.isascii() and w not in self]
-        if len(stems) < 2:
-            return
-        ids = np.array(self.tokenizer.encode(" ".join(stems), add_special_tokens=False).ids, "<u4")
-        ends = np.nonzero(self.finals[ids])[0] + 1
-        if len(ends) == len(stems):
-            for word, part in zip(stems, np.split(ids, ends[:-1])):
-                self._keep(word, part.tobytes())
+        self.known: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, new: set[str], latin: bool) -> None:
+        """Encode words not yet known.
+
+        All that are letters go to the tokenizer in one call, where each is one run of
+        tokens up to a word's end.  Letters split from the marks that follow them, so a
+        word may be made of known parts.
+        """
+        known = self.known
+        stems = {w: w.rstrip(_TRAILING) for w in new}
+        letters = [x for x in set(stems.values()).difference(known) if x.isalpha() and (latin or x.isascii())]
+        if len(letters) > 1:
+            ids = self._ids(" ".join(letters))
+            ends = (4 * np.nonzero(self.finals[ids])[0] + 4).tolist()
+            if len(ends) == len(letters):
+                packed = ids.tobytes()
+                known.update(zip(letters, [packed[i:j] for i, j in zip([0, *ends], ends)]))
+        for word, stem in stems.items():
+            if word not in known:
+                if word != stem and stem in known and stem.isalpha() and stem.lower().isalpha():  # lower case may add a mark
+                    marks = word[len(stem) :]
+                    if marks not in known:
+                        known[marks] = self._ids(marks).tobytes()
+                    known[word] = known[stem] + known[marks]
+                else:
+                    known[word] = self._ids(word).tobytes()
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of a text, and the positions where words and where sentences end."""
-        text = text or ""
+        text, latin = text or "", False
         with contextlib.suppress(UnicodeEncodeError):  # case is lost anyway; here folding it is safe
             text.encode("latin-1")
-            text = text.lower()
+            text, latin = text.lower(), True
         words = [w for w in _SPACE.split(text) if w] if _ODD_SPACE.search(text) else text.split()
-        self._learn(words)
-        packed = list(map(self.__getitem__, words))
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        if new := set(words).difference(self.known):
+            self._learn(new, latin)
+        packed = list(map(self.known.__getitem__, words))
+        for word in new:
+            if len(word) > REMEMBERED_CHARS:  # long words hardly come again
+                del self.known[word]
         ends = np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed)) >> 2)
         ids = np.frombuffer(b"".join(packed), "<u4")
         return ids, ends, ends[self.stops[ids[ends - 1]]]

@@ -17,10 +17,17 @@ bucket is searched breadth first for a spanning forest, so a dense group of n
 fingerprints costs and emits about n links, not all its pairs.  Buckets above
 ``BLOCK`` members are cut into blocks that are compared pair by pair of blocks
 in tasks of their own, which is exact too.
+
+Four bits stand for copies of about 0.95 similarity and more.  For looser ones a
+fingerprint has several words of 64 bits from the same shingles.  The keys of the
+first ``KEYED`` words bring documents together (two words at a distance of 7 share a
+key with a chance of 0.7, at 10 of 0.37), and the distance over all words, which
+follows the angle of the two bags of shingles, decides.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,6 +43,8 @@ from .runtime import settle
 
 SEED = 42
 MAX_BITS = 4
+#: Words of a fingerprint for looser copies, and how many of them give keys.
+WORDS, KEYED = 3, 2
 BLOCK = 4096
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 generates the (23, 12, 7) code.
@@ -43,25 +52,34 @@ GENERATOR = 0b101011100011
 _CHUNK = 1 << 16
 
 
-def fingerprint_of(text: str | None, shingle: int) -> int:
-    """Unsigned fingerprint of one text; zero where it has no words."""
-    words = (text or "").encode().lower().split()  # bytes: A-Z only, and exactly the ASCII white space
-    if not words:
-        return 0
-    if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
-    joined = b" ".join(words)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
+def fingerprint_of(text: str | None, shingle: int, words: int = 1) -> list[int]:
+    """Unsigned 64-bit words of the fingerprint of one text; zero where it has no words."""
+    found = (text or "").encode().lower().split()  # bytes: A-Z only, and exactly the ASCII white space
+    if not found:
+        return [0] * words
+    joined = b" ".join(found)
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
     ends = np.cumsum(lengths + 1) - 1
-    starts = (ends - lengths)[: len(words) - shingle + 1].tolist()
-    ends = ends[shingle - 1 :].tolist()
+    n = max(1, len(found) - shingle + 1)
+    starts = (ends - lengths)[:n].tolist()
+    ends = ends[min(shingle, len(found)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(starts), _CHUNK):
-        some = [digest(joined[i:j], SEED) for i, j in zip(starts[at : at + _CHUNK], ends[at : at + _CHUNK])]
-        ones += _ones(np.array(some, np.uint64))
-    majority = (2 * ones > len(starts)).astype(np.uint8)
-    return int(np.packbits(majority, bitorder="little").view("<u8")[0])
+    ones = np.zeros((words, 64), np.int64)
+    for at in range(0, n, _CHUNK):
+        some = np.array([digest(joined[i:j], SEED) for i, j in zip(starts[at : at + _CHUNK], ends[at : at + _CHUNK])], np.uint64)
+        for w in range(words):
+            ones[w] += _ones(_mixed(some, w))
+    majority = (2 * ones > n).astype(np.uint8)
+    return np.packbits(majority, axis=1, bitorder="little").view("<u8")[:, 0].tolist()
+
+
+def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
+    """The hashes themselves, or for further words other ones made of them."""
+    if word:
+        hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15 + 2 * word)
+        hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        hashes = hashes ^ (hashes >> np.uint64(32))
+    return hashes
 
 
 def _ones(hashes: np.ndarray) -> np.ndarray:
@@ -71,17 +89,17 @@ def _ones(hashes: np.ndarray) -> np.ndarray:
     return sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
 
 
-def fingerprint(text: Column | str, shingle: int = 4) -> Column:
-    """64-bit SimHash of a text column, as a signed long.
+def fingerprint(text: Column | str, shingle: int = 4, words: int = 1) -> Column:
+    """SimHash of a text column, an array of 64-bit words as signed longs.
 
-    Words are runs of non-white-space after lower-casing A-Z; shingles count as
-    often as they occur.  Null and wordless texts give 0.
+    Words of a text are runs of non-white-space after lower-casing A-Z; shingles count
+    as often as they occur.  Null and wordless texts give 0.
     """
 
-    @arrow_udf("long")
+    @arrow_udf("array<long>")
     def hashed(texts: pa.Array) -> pa.Array:
-        found = np.fromiter((fingerprint_of(x.as_py(), shingle) for x in texts), np.uint64, len(texts))
-        return pa.array(found.view(np.int64))
+        found = np.array([fingerprint_of(x.as_py(), shingle, words) for x in texts], np.uint64).reshape(-1, words)
+        return pa.array(list(found.view(np.int64)), pa.list_(pa.int64()))
 
     return hashed(text)
 
@@ -152,16 +170,21 @@ def keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(rows)
 
 
+def _near(x: np.ndarray, y: np.ndarray, max_bits: int) -> np.ndarray:
+    """Whether rows of words are within max_bits in all."""
+    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64) <= max_bits
+
+
 def forest(prints: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Links that span the groups of distinct fingerprints, found breadth first."""
+    """Links (by first word) that span the groups of fingerprints with distinct first words, found breadth first."""
     links, rest = [], prints
     while len(rest) > 1:
         root, rest, queue = rest[0], rest[1:], [rest[0]]
         while queue and len(rest):
-            close = np.bitwise_count(rest ^ queue.pop()) <= max_bits
+            close = _near(rest, queue.pop(), max_bits)
             if close.any():
                 queue.extend(rest[close])
-                links.extend((root, x) for x in rest[close])
+                links.extend((root[0], x[0]) for x in rest[close])
                 rest = rest[~close]
     return links
 
@@ -175,51 +198,57 @@ def _links(a: np.ndarray, b: np.ndarray, key: np.ndarray | None = None) -> pa.Re
     return pa.record_batch([pa.array(a.view(np.int64)), b, pa.array(key, pa.int64()) if key is not None else pa.nulls(len(a), pa.int64())], LINKS)
 
 
-def _buckets(columns: list[str], max_bits: int, most: int | None):
-    """Reads (key..., print) rows sorted by key and gives links, and the members of buckets above most."""
+def _buckets(n_keys: int, max_bits: int, most: int | None):
+    """Reads (key..., word...) rows sorted by key and gives links, and the members of buckets above most."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         cut: tuple | None = None  # the key whose members are passed on
+
+        def linked(i: int, j: int) -> Iterator[pa.RecordBatch]:
+            _, first = np.unique(words[i:j, 0], return_index=True)
+            if found := forest(words[i:j][first], max_bits):
+                yield _links(*np.array(found, np.uint64).T.copy())
+
         for batch in batches:
-            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns) + 1)]
+            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
             now = now if held is None else [np.concatenate(x) for x in zip(held, now)]
-            *keys, prints = now
-            change = np.zeros(len(prints), bool)
+            keys, words = now[:n_keys], np.column_stack(now[n_keys:]).view(np.uint64)
+            change = np.zeros(len(words), bool)
             for k in keys:
                 change[1:] |= k[1:] != k[:-1]
             starts = np.concatenate([[0], np.nonzero(change)[0]])
             last = int(starts[-1])
-            yield from _runs(keys, prints, starts, last, max_bits)
+            yield from _runs(words, starts, last, max_bits)
             for i, j in zip(starts[:-1], starts[1:]):
                 if j - i > 8:
                     first = tuple(int(k[i]) for k in keys)
                     if first == cut or most is not None and j - i > most:
-                        yield _links(prints[i:j].view(np.uint64), None, keys[0][i:j])
-                    elif found := forest(np.unique(prints[i:j]).view(np.uint64), max_bits):
-                        yield _links(*np.array(found, np.uint64).T.copy())
+                        yield _links(words[i:j, 0], None, keys[0][i:j])
+                    else:
+                        yield from linked(i, j)
                 elif cut is not None and tuple(int(k[i]) for k in keys) == cut:
-                    yield _links(prints[i:j].view(np.uint64), None, keys[0][i:j])
+                    yield _links(words[i:j, 0], None, keys[0][i:j])
             held = [x[last:] for x in now]
             if most is not None and (len(held[0]) > most or cut == tuple(int(k[last]) for k in keys)):
                 cut = tuple(int(k[last]) for k in keys)
-                yield _links(held[-1].view(np.uint64), None, held[0])
+                yield _links(words[last:, 0], None, held[0])
                 held = [x[:0] for x in held]
         if held is not None and len(held[0]) > 1:
-            if cut is not None and tuple(int(k[0]) for k in held[:-1]) == cut:
-                yield _links(held[-1].view(np.uint64), None, held[0])
-            elif found := forest(np.unique(held[-1]).view(np.uint64), max_bits):
-                yield _links(*np.array(found, np.uint64).T.copy())
+            words = np.column_stack(held[n_keys:]).view(np.uint64)
+            if cut is not None and tuple(int(k[0]) for k in held[:n_keys]) == cut:
+                yield _links(words[:, 0], None, held[0])
+            else:
+                yield from linked(0, len(words))
 
     return search
 
 
-def _runs(keys, prints, starts, last, max_bits) -> Iterator[pa.RecordBatch]:
+def _runs(words: np.ndarray, starts: np.ndarray, last: int, max_bits: int) -> Iterator[pa.RecordBatch]:
     """Links within the buckets of at most eight members that end before row last."""
     sizes = np.diff(starts)
     small = np.repeat(sizes <= 8, sizes)
     own = np.repeat(np.arange(len(sizes)), sizes)
-    values = prints[:last].view(np.uint64)
     for step in range(1, 8):
         if last <= step:
             break
@@ -227,62 +256,70 @@ def _runs(keys, prints, starts, last, max_bits) -> Iterator[pa.RecordBatch]:
         at = np.nonzero(same)[0]
         if not len(at):
             break
-        x, y = values[at], values[at + step]
-        near = (np.bitwise_count(x ^ y) <= max_bits) & (x != y)
+        x, y = words[at], words[at + step]
+        near = _near(x, y, max_bits) & (x[:, 0] != y[:, 0])
         if near.any():
-            yield _links(x[near], y[near])
+            yield _links(x[near, 0], y[near, 0])
 
 
-def links(prints: DataFrame, column: str, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
-    """(a, b) links that join all fingerprints within max_bits (at most four) into their groups.
+def links(prints: DataFrame, columns: list[str], max_bits: int = MAX_BITS, keyed: int = 1, block: int = BLOCK) -> DataFrame:
+    """(a, b) links between first words that join fingerprints within max_bits into groups.
 
-    ``prints`` holds distinct, non-null fingerprints.  Not every near pair is
-    returned, but every near pair is connected by returned links.
+    ``prints`` holds the words of fingerprints in non-null columns, the first word being
+    distinct; the first ``keyed`` give keys.  Not every near pair is returned, but every
+    pair found near is connected by returned links.  With one word and up to four
+    bits all near pairs are found.
     """
-    if not 0 <= max_bits <= 4:
-        raise ValueError("the keys are complete up to four differing bits")
+    words = [f"_w{i}" for i in range(len(columns))]
+    prints = prints.select(*[F.col(c).cast("long").alias(w) for c, w in zip(columns, words)])
 
     def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(0).to_numpy(zero_copy_only=False)
+            values = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(words))])
             for at in range(0, len(values), 4096):
                 some = values[at : at + 4096]
-                key, row = keys_of(some.view(np.uint64))
-                yield pa.record_batch([pa.array(key), pa.array(some[row])], ["key", "print"])
-
-    keyed = prints.select(F.col(column).cast("long")).mapInArrow(widen, "key long, print long")
-    found = settle(
-        keyed.repartition("key").sortWithinPartitions("key", "print").mapInArrow(_buckets(["key"], max_bits, block), "a long, b long, key long")
-    )
-    large = found.where("key is not null").select("key", F.col("a").alias("print")).distinct()
+                for w in range(keyed):
+                    key, row = keys_of(np.ascontiguousarray(some[:, w]).view(np.uint64))
+                    yield pa.record_batch([pa.array(w << 50 | key), *(pa.array(some[row, i]) for i in range(len(words)))], ["key", *words])
+
+    ddl = ", ".join(["key long", *(f"{w} long" for w in words)])
+    dealt = prints.mapInArrow(widen, ddl).repartition("key").sortWithinPartitions("key", words[0])
+    found = settle(dealt.mapInArrow(_buckets(1, max_bits, block), "a long, b long, key long"))
+    large = found.where("key is not null").select("key", F.col("a").alias(words[0])).distinct()
     parts = large.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    own = F.pmod(F.xxhash64("print"), F.col("parts")).cast("int")
+    own = F.pmod(F.xxhash64(words[0]), F.col("parts")).cast("int")
     blocks = (
-        large.join(parts, "key")
+        large.join(prints, words[0])
+        .join(parts, "key")
         .withColumn("own", own)
-        .select("key", "print", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "print")
+        .select("key", *words, "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *words)
     )
     rest = (
         blocks.repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j", "print")
-        .mapInArrow(_buckets(["key", "i", "j"], max_bits, None), "a long, b long, key long")
+        .sortWithinPartitions("key", "i", "j", words[0])
+        .mapInArrow(_buckets(3, max_bits, None), "a long, b long, key long")
     )
     return found.where("key is null").select("a", "b").unionByName(rest.select("a", "b"))
 
 
-def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
+def groups(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = MAX_BITS, words: int = 1, keyed: int = 1
+) -> DataFrame:
     """(doc_id, fingerprint, component_id): one row per row of docs.
 
-    fingerprint is a signed long; component_id the least doc_id that links reach,
-    the document itself included.  Null and wordless texts have fingerprint 0,
-    which links like any other.  Repeated rows stay and share a component; a null
-    doc_id keeps its row and is no component_id unless nothing else is there.  An
-    empty table gives an empty result; other columns are not read.
+    fingerprint is the first word as a signed long; component_id the least doc_id that
+    links reach, the document itself included.  Null and wordless texts have fingerprint 0,
+    which links like any other.  Documents with the same first word are together.
+    Repeated rows stay and share a component; a null doc_id keeps its row and is no
+    component_id unless nothing else is there.  An empty table gives an empty result;
+    other columns are not read.
     """
-    prints = settle(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fingerprint")))
-    distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"))
-    linked = components(links(distinct, "fingerprint", max_bits))
+    columns = ["fingerprint", *(f"word{i}" for i in range(1, words))]
+    marked = docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle, words).alias("words"))
+    prints = settle(marked.select("doc_id", *[F.get("words", F.lit(i)).alias(c) for i, c in enumerate(columns)]))
+    distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"), *[F.min(c).alias(c) for c in columns[1:]])
+    linked = components(links(distinct, columns, max_bits, keyed))
     rooted = distinct.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
         "root", F.coalesce("root", "fingerprint")
     )
@@ -291,15 +328,19 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def near_copies_dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, max_bits: int = MAX_BITS) -> DataFrame:
+def bits_of(similarity: float, words: int = WORDS) -> int:
+    """Distance that bags of shingles of a Jaccard similarity have in the mean, and half a standard deviation."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(64 * words * share + math.sqrt(64 * words * share * (1 - share)) / 2)
+
+
+def near_copies_dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """Rows of docs without near copies: of each group the row with the least doc_id stays.
 
-    Rows equal in doc_id and text count as one.  Null ids come last.  Columns are
-    those of docs.
+    Rows of one doc_id count as one.  Null ids come last.  Columns are those of docs.
     """
-    own = groups(docs, doc_id, text, shingle, max_bits)
-    first = own.groupBy("component_id").agg(F.min_by("fingerprint", F.col("doc_id")).alias("f")).select("component_id")
-    kept = first.select(F.col("component_id").alias("_kept_id"))
+    own = groups(docs, doc_id, text, shingle, bits_of(similarity), WORDS, KEYED)
+    kept = own.select(F.col("component_id").alias("_kept_id")).distinct()
     return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept_id")), "left_semi").dropDuplicates([doc_id])
 
 

@@ -64,9 +64,9 @@ def test_keys_meet_within_four_bits():
 
 
 def test_large_buckets_are_cut_exactly(spark):
-    prints = [(x,) for x in range(1 << 10)] + [((1 << 62) + 3,)]
+    prints = [(x,) for x in range(1 << 10)] + [((1 << 62) + (1 << 50) + 3,)]
     frame = spark.createDataFrame(prints, "p long")
-    links = simhash.links(frame, "p", 1, block=50).collect()
+    links = simhash.links(frame, ["p"], 1, block=50).collect()
     root = {p: p for p, in prints}
 
     def find(x):
@@ -80,6 +80,25 @@ def test_large_buckets_are_cut_exactly(spark):
     assert len({find(p) for p, in prints}) == 2
 
 
+def test_copies_of_four_fifths(spark):
+    """Of pairs with a similarity around 0.85 most are found, of those around 0.5 none."""
+    rng = random.Random(9)
+    texts, pairs = [], []
+    for near in [True] * 40 + [False] * 40:
+        own = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        edited = list(own)
+        for i in range(5, 200, 70 if near else 15):  # an edit changes five shingles
+            edited[i] = "edited"
+        a, b = ({tuple(x[i : i + 5]) for i in range(196)} for x in (own, edited))
+        pairs.append((near, len(a & b) / len(a | b)))
+        texts += [" ".join(own), " ".join(edited)]
+    assert all(0.83 < j < 0.9 if near else j < 0.55 for near, j in pairs)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.near_copies_dropped(docs).collect()}
+    assert all(2 * i in kept for i in range(80)) and all(2 * i + 1 in kept for i in range(40, 80))
+    assert sum(2 * i + 1 not in kept for i in range(40)) >= 30
+
+
 def test_one_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(300))
     docs = spark.createDataFrame([(3, text, "x"), (1, text, "y"), (1, text, "y"), (2, "other words here now and then", "z"), (9, None, "n")], "doc_id long, text string, source string")
