@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -82,10 +83,20 @@ def _any_of(words: tuple[str, ...]) -> str:
     return "|".join(re.escape(w) for w in words)
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once, inside a lambda too."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _has_word(text: Column, words: tuple[str, ...], profile: Profile) -> Column:
-    if profile.ignore_case:
-        return F.lower(text).rlike(_any_of(tuple(w.lower() for w in words)))
-    return text.rlike(_any_of(words))
+    """Substring searches one after the other; on long lines they beat one alternation by far."""
+
+    def found(x: Column) -> Column:
+        # a word that holds another one adds nothing
+        own = list(dict.fromkeys(w.lower() if profile.ignore_case else w for w in words))
+        return reduce(lambda a, b: a | b, (F.contains(x, F.lit(w)) for w in own if not any(o != w and o in w for o in own)))
+
+    return let(F.lower(text), found) if profile.ignore_case else found(text)
 
 
 def first_line_with(lines: Column | str, words: tuple[str, ...], profile: Profile = CARD) -> Column:

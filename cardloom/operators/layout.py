@@ -10,16 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import CARD, Profile, extracted
+from ..functions.text import CARD, Profile, extracted, let
 
 ROWS, COLUMNS = 3, 2
 
 
-def _let(value: Column, body) -> Column:
-    """body(value) with value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _median(values: Column) -> Column:
     """Median of a sorted array."""
     n = F.size(values)
@@ -34,10 +29,10 @@ def centers(values: Column, target: Column | int) -> Column:
     def merge(clusters: Column, _: Column) -> Column:
         def at_least(medians: Column) -> Column:
             gaps = F.zip_with(F.slice(medians, 2, F.size(medians) - 1), F.slice(medians, 1, F.size(medians) - 1), lambda b, a: F.abs(b - a))
-            return _let(gaps, lambda g: F.array_position(g, F.array_min(g)).cast("int"))
+            return let(gaps, lambda g: F.array_position(g, F.array_min(g)).cast("int"))
 
-        best = _let(F.transform(clusters, _median), at_least)
-        return _let(
+        best = let(F.transform(clusters, _median), at_least)
+        return let(
             best,
             lambda i: F.concat(
                 F.slice(clusters, 1, i - 1),
@@ -51,12 +46,12 @@ def centers(values: Column, target: Column | int) -> Column:
         steps = F.slice(F.sequence(F.lit(1), F.greatest(F.size(ordered), F.lit(1))), 1, F.greatest(F.size(ordered) - target, F.lit(0)))
         return F.transform(F.aggregate(steps, F.transform(ordered, lambda x: F.array(x)), merge), _median)
 
-    return _let(F.array_sort(values), reduced)
+    return let(F.array_sort(values), reduced)
 
 
 def nearest(value: Column, among: Column) -> Column:
     """Index of the nearest centre from 0, the lowest among equals."""
-    return _let(F.transform(among, lambda c: F.abs(value - c)), lambda d: F.array_position(d, F.array_min(d)).cast("int") - 1)
+    return let(F.transform(among, lambda c: F.abs(value - c)), lambda d: F.array_position(d, F.array_min(d)).cast("int") - 1)
 
 
 def cards(pages: DataFrame, texts: str = "line_texts", rects: str = "line_rects", rows: int = ROWS, columns: int = COLUMNS, profile: Profile = CARD) -> DataFrame:
@@ -85,7 +80,7 @@ def cards(pages: DataFrame, texts: str = "line_texts", rects: str = "line_rects"
             centers(F.transform(items, lambda i: i["cy"]), F.least(F.lit(rows), F.size(lines))).alias("cy"),
             centers(F.transform(items, lambda i: i["cx"]), columns).alias("cx"),
         )
-        return _let(
+        return let(
             axes,
             lambda at: F.transform(
                 items,
@@ -97,7 +92,7 @@ def cards(pages: DataFrame, texts: str = "line_texts", rects: str = "line_rects"
         )
 
     # items and centres are bound by lambdas: as columns they would be computed again for each line
-    page = pages.withColumn("_items", F.array_sort(_let(F.transform(boxes, item), placed)))
+    page = pages.withColumn("_items", F.array_sort(let(F.transform(boxes, item), placed)))
     page = page.withColumn("card_no", F.explode(F.sequence(F.lit(1), F.lit(rows * columns))))
     own = F.transform(F.filter("_items", lambda i: i["card_no"] == F.col("card_no")), lambda i: i["text"])
     row, column = F.floor((F.col("card_no") - 1) / columns) + 1, (F.col("card_no") - 1) % columns + 1
