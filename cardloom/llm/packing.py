@@ -8,9 +8,9 @@ tokens and penalty the price of truncating there,
     cost(j) = min over i, p[j] - p[i] <= length, of
               cost(i) + pad(p[j] - p[i]) + penalty(j).
 
-pad(n) is length - n, so the minimum of cost(i) - pad's share p[i] over the
-sliding window comes from a monotone queue in constant time; windows of a power
-of two tokens need no padding and are tried besides.  Candidates are the ends of
+pad(n) is length - n, so the minimum of cost(i) + p[i] over the sliding window
+comes from a monotone queue in constant time; large powers of two need no padding
+and are tried besides.  Candidates are the ends of
 documents (free), of sentences, of words where no sentence ends for a while, and
 single tokens where no word does.  The stream is cut in stretches of bounded
 size, each ending in a cut that the dynamic program chose.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import contextlib
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -39,11 +40,16 @@ GAP = 128
 STRETCH, REMEMBERED, REMEMBERED_CHARS = 64, 1_400_000, 40
 #: What ends a sentence when it is a token of its own at the end of a word.
 SENTENCE_ENDS = (".", "!", "?", "...", '."', '!"', '?"', ".'", ".)", "!!", "…", "。", "！", "？")
-#: Windows of these many tokens are tried besides full ones: powers of two from here on.
-LEAST_POWER = 256
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: Windows of these many tokens are tried besides full ones: powers of two from here on.
+LEAST_POWER = 1024
 _TRAILING = "!#$%&*+,-./:;=?@|~"
+#: Characters that stand for bytes in byte-level vocabularies; printable ones for themselves, the others from U+0100 on.
+_PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTES = {b: chr(b if b in _PLAIN else 0x100 + sum(c not in _PLAIN for c in range(b))) for b in range(0x100)}
+#: Words on which the short way is compared with the tokenizer before it is used.
+_PROBES = ["the", "internationalisation", "straße", "naïvetés", "ñandú", "zzxqj", *filter(str.islower, map(chr, range(0x61, 0x100)))]
 
 
 class Words:
@@ -56,9 +62,15 @@ class Words:
         for mark in SENTENCE_ENDS:
             if len(ids := self.tokenizer.encode(mark, add_special_tokens=False).ids) == 1:
                 self.stops[ids] = True
-        self.finals = np.zeros(len(self.stops), bool)
-        self.finals[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.direct = all(self._letters(w) == self._ids(w).tobytes() for w in _PROBES)
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of a lower-case word of letters, straight from the model: nothing before it would change or split the word."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTES)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -66,19 +78,15 @@ class Words:
     def _learn(self, new: set[str], latin: bool) -> None:
         """Encode words not yet known.
 
-        All that are letters go to the tokenizer in one call, where each is one run of
-        tokens up to a word's end.  Letters split from the marks that follow them, so a
-        word may be made of known parts.
+        Letters split from the marks that follow them, so a word may be made of known
+        parts, and words of nothing but letters skip what comes before the model.
         """
         known = self.known
         stems = {w: w.rstrip(_TRAILING) for w in new}
-        letters = [x for x in set(stems.values()).difference(known) if x.isalpha() and (latin or x.isascii())]
-        if len(letters) > 1:
-            ids = self._ids(" ".join(letters))
-            ends = (4 * np.nonzero(self.finals[ids])[0] + 4).tolist()
-            if len(ends) == len(letters):
-                packed = ids.tobytes()
-                known.update(zip(letters, [packed[i:j] for i, j in zip([0, *ends], ends)]))
+        if self.direct:
+            for x in set(stems.values()).difference(known):
+                if x.isalpha() and (latin or x.isascii()):
+                    known[x] = self._letters(x if latin else x.lower())
         for word, stem in stems.items():
             if word not in known:
                 if word != stem and stem in known and stem.isalpha() and stem.lower().isalpha():  # lower case may add a mark
@@ -131,7 +139,8 @@ def candidates(n: int, word_ends: np.ndarray, sentence_ends: np.ndarray) -> tupl
 
 def _filled(at: np.ndarray, price: np.ndarray, gap: int, cost: float, ends: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """The candidates and, wherever they leave more than gap tokens, more of them: each gap tokens the next of ends."""
-    spaces = np.diff(at, prepend=0)
+    spaces = at.copy()
+    spaces[1:] -= at[:-1]
     wide = np.nonzero(spaces > gap)[0]
     if not len(wide):
         return at, price
@@ -149,27 +158,23 @@ def cuts(positions: list[int], prices: list[float], length: int) -> list[int]:
 
     No two neighbouring positions are more than length apart.
     """
-    index = {0: 0}
-    cost, came = [0.0], [0]
     at = [0, *positions]
-    queue = deque([(0.0, 0)])  # (cost less position, index), both rising
+    came, cost = [0], {0: 0.0}  # the cost of a cut plus its position, by position
+    index = {0: 0}
+    queue = deque([(0.0, 0)])  # (cost plus position, index), both rising
     powers = [1 << k for k in range(length.bit_length()) if LEAST_POWER <= 1 << k < length]
-    look = index.get
+    look = cost.get
     for j, (p, price) in enumerate(zip(positions, prices), 1):
         while p - at[queue[0][1]] > length:
             queue.popleft()
         key, i = queue[0]
-        best = key + length
-        for power in powers:
-            k = look(p - power)
-            if k is not None and cost[k] + p < best:
-                best, i = cost[k] + p, k
-        # best is cost(i) + padding + p for either kind of window
-        best += price - p
-        cost.append(best)
+        key += length
+        for power in powers:  # the whole cost of a window without padding grows by its length only
+            if (other := look(p - power)) is not None and other + power < key:
+                key, i = other + power, index[p - power]
         came.append(i)
-        index[p] = j
-        key = best + p
+        key += price
+        cost[p], index[p] = key, j
         while queue and queue[-1][0] >= key:
             queue.pop()
         queue.append((key, j))
