@@ -18,16 +18,12 @@ fingerprints costs and emits about n links, not all its pairs.  Buckets above
 ``BLOCK`` members are cut into blocks that are compared pair by pair of blocks
 in tasks of their own, which is exact too.
 
-Four bits stand for copies of about 0.95 similarity and more.  For looser ones a
-fingerprint has several words of 64 bits from the same shingles.  The keys of the
-first ``KEYED`` words bring documents together (two words at a distance of 7 share a
-key with a chance of 0.7, at 10 of 0.37), and the distance over all words, which
-follows the angle of the two bags of shingles, decides.
+Four bits stand for copies of about 0.95 similarity and more; ``near_copies_dropped``
+finds looser ones by their shingles themselves (``jaccard``).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,13 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from . import jaccard
 from .graph import components
 from .runtime import settle
 
 SEED = 42
 MAX_BITS = 4
-#: Words of a fingerprint for looser copies, and how many of them give keys.
-WORDS, KEYED = 3, 2
 BLOCK = 4096
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 generates the (23, 12, 7) code.
@@ -328,18 +323,14 @@ def groups(
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def bits_of(similarity: float, words: int = WORDS) -> int:
-    """Distance that bags of shingles of a Jaccard similarity have in the mean, and half a standard deviation."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(64 * words * share + math.sqrt(64 * words * share * (1 - share)) / 2)
-
-
 def near_copies_dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """Rows of docs without near copies: of each group the row with the least doc_id stays.
 
-    Rows of one doc_id count as one.  Null ids come last.  Columns are those of docs.
+    Copies have a Jaccard similarity of their sets of shingles of at least the given one;
+    all such pairs are linked, and no others.  Rows of one doc_id count as one.  Null ids
+    come last.  Columns are those of docs.
     """
-    own = groups(docs, doc_id, text, shingle, bits_of(similarity), WORDS, KEYED)
+    own = jaccard.groups(docs, doc_id, text, shingle, similarity)
     kept = own.select(F.col("component_id").alias("_kept_id")).distinct()
     return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept_id")), "left_semi").dropDuplicates([doc_id])
 
