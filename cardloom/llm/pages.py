@@ -10,8 +10,11 @@ link characters)^2.  The content root is the deepest single element that holds m
 of the page's weight (characters plus punctuation).  Under it the fused ratios are
 smoothed along the page by a Gaussian window, each path takes the mean over its
 blocks, and paths that reach a share of the best one are content.  Menus, page
-headers, footers, asides, forms, scripts and elements whose class, id or role says
-notice, advert, sidebar or reader comments have weight zero with all they hold.
+headers, footers, asides, forms, scripts and elements whose role says so have weight
+zero with all they hold.  So have elements whose class or id says notice, advert,
+sidebar or reader comments, unless elements of that name together hold most of the
+page's text outside links: then the name is one of layout.  What readers wrote stays
+out however long it is where an article or main element holds text beside it.
 """
 
 from __future__ import annotations
@@ -50,6 +53,11 @@ _BOILERPLATE = re.compile(
     r"subscribe|signup|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|masthead|site-?header|page-?header|topbar|footer|comments?|commentlist|replies|reply|disqus|respond|"
     r"share|sharing|social|related|recommended|widget|toolbar|pagination|pager|skip)(?=$|[\s_-])"
 )
+#: Classes that say what a page has or lacks, not what an element is.
+_LAYOUT = re.compile(r"(?:with|without|has|no)[_-]")
+_READERS = re.compile(r"(?:^|[_-])(?:comments?|commentlist|replies|disqus|respond)(?=$|[_-])")
+#: Shares of the text outside links that make a name one of layout: where it says nothing but boilerplate or speaks of readers, and others.
+PLAIN_NAME, PART_NAME = 0.8, 0.5
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 _TAG = re.compile(r"""<(?:(/?)([a-zA-Z][^\s/><]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)(>?)|(!--)|([!?/]))""")
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -57,9 +65,10 @@ _MARKS = re.compile(r"""[.,;:!?…¿¡。，；：！？、«»"“”]""")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "number", "path", "out", "link", "parts", "chars")
+    __slots__ = ("tag", "parent", "number", "path", "out", "link", "names", "parts", "chars")
 
-    def __init__(self, tag, parent, number, path, out, link):
+    def __init__(self, tag, parent, number, path, out, link, names=()):
+        self.names = names
         self.tag, self.parent, self.number, self.path, self.out, self.link = tag, parent, number, path, out, link
         self.parts: list[str] = []
         self.chars = 0
@@ -72,6 +81,9 @@ class _Page:
         self.paths: dict[tuple[int, str], int] = {}
         self.blocks: list[tuple[int, int, str, int]] = []
         self.parents: list[int] = [-1]
+        self.named: dict[str, list[int]] = {}  # names that may be boilerplate, their elements but those within others
+        self.naming: Counter = Counter()
+        self.tags: list[str] = [""]
         root = _Element("", None, 0, 0, False, False)
         self.open, self.count = [root], Counter()
         self.link = False
@@ -100,6 +112,8 @@ class _Page:
         e = self.open.pop()
         self._flush(e)
         self.count[e.tag] -= 1
+        for name in e.names:
+            self.naming[name] -= 1
         self.link = e.link
 
     def _until(self, tags: tuple[str, ...]) -> None:
@@ -137,7 +151,7 @@ class _Page:
 
     def _push(self, tag: str, attributes: str) -> None:
         above = self.open[-1]
-        out, label = above.out or tag in _NEVER, tag
+        out, label, names = above.out or tag in _NEVER, tag, set()
         if tag == "header" and not (self.count["article"] > 0 or self.count["main"] > 0):
             out = True
         if attributes and not out:
@@ -145,14 +159,21 @@ class _Page:
                 name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
                 if name == "class":
                     label = f"{tag}.{' '.join(value.split())}"
-                out = out or (
-                    value in _ROLES if name == "role" else name == "hidden" or value == "true" if name.endswith("hidden") else bool(_BOILERPLATE.search(value)) and tag not in ("body", "html", "article", "main")
-                )
+                if name in ("class", "id"):
+                    if _BOILERPLATE.search(value) and tag not in ("body", "html", "article", "main"):
+                        names.update(x for x in value.split() if _BOILERPLATE.search(x) and not _LAYOUT.match(x))
+                else:
+                    out = out or (value in _ROLES if name == "role" else name == "hidden" or value == "true")
         key = (above.path, label)
         path = self.paths.setdefault(key, len(self.paths) + 1)
         self.parents.append(above.number)
-        self.open.append(_Element(tag, above, len(self.parents) - 1, path, out, self.link))
+        self.tags.append(tag)
+        self.open.append(_Element(tag, above, len(self.parents) - 1, path, out, self.link, names))
         self.count[tag] += 1
+        for name in names:
+            if not self.naming[name]:
+                self.named.setdefault(name, []).append(len(self.parents) - 1)
+            self.naming[name] += 1
 
     def _end(self, tag: str) -> None:
         if tag == "a":
@@ -195,6 +216,37 @@ class _Page:
                 at = size if close < 0 else close + (3 if m[5] else 1)
 
 
+def _without_boilerplate(page: _Page) -> list[tuple[int, int, str, int]]:
+    """Blocks outside elements whose class or id is boilerplate and no name of layout."""
+    blocks = page.blocks
+    if not page.named:
+        return blocks
+    readers = {e for n, found in page.named.items() if _READERS.search(n) for e in found}
+    article, inside = [False] * len(page.parents), [False] * len(page.parents)  # of an article, of what readers wrote
+    for e in range(1, len(article)):
+        article[e] = article[page.parents[e]] or page.tags[e] in ("article", "main")
+        inside[e] = inside[page.parents[e]] or e in readers
+    apart = any(article[e] and not inside[e] for _, e, _, _ in blocks)
+    plain = {n for n in page.named if not _BOILERPLATE.sub("", n).strip("_-") or _READERS.search(n)}
+    for names, share in ((plain, PLAIN_NAME), (page.named.keys() - plain, PART_NAME)):
+        if not names:
+            continue
+        held = [0] * len(page.parents)
+        for _, number, text, linked in blocks:
+            held[number] += len(text) - linked
+        for e in range(len(held) - 1, 0, -1):
+            held[page.parents[e]] += held[e]
+        gone = [False] * len(held)
+        for name in names:
+            if apart and _READERS.search(name) or not held[0] or sum(held[e] for e in page.named[name]) < share * held[0]:
+                for e in page.named[name]:
+                    gone[e] = True
+        for e in range(1, len(gone)):
+            gone[e] = gone[e] or gone[page.parents[e]]
+        blocks = [b for b in blocks if not gone[b[1]]]
+    return blocks
+
+
 def _lowered(html: str) -> str:
     """Lower case of A-Z only, so that positions stay."""
     return html.translate(_LOWER)
@@ -206,6 +258,7 @@ _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 def main_blocks(html: str | None) -> list[str]:
     """Content blocks of a page in page order."""
     page = _Page(html or "")
+    page.blocks = _without_boilerplate(page)
     if not page.blocks:
         return []
     # ratios of each path

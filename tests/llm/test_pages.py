@@ -43,3 +43,27 @@ def test_pages_of_the_table(spark):
         assert got[row["page_id"]] == "\n".join(b for b in blocks if b)
     empty = spark.createDataFrame([(1, None), (1, None)], "page_id long, html string")
     assert [r.text for r in pages.extract(empty).collect()] == ["", ""] and pages.extract(empty.limit(0)).count() == 0
+
+
+ARTICLE = "<h1>Title</h1>" + "".join(f"<p>Paragraph {i}, of the article itself, with some words in it.</p>" for i in range(8))
+TEXT = ["Title", *(f"Paragraph {i}, of the article itself, with some words in it." for i in range(8))]
+COMMENTS = '<div id="comments"><p>Great, thanks a lot! I agree, fully.</p><p>So do I, by the way, with all of it.</p></div>'
+
+
+def test_classes_of_layout_do_not_drop_the_article():
+    for name in ("with-sidebar", "no-sidebar", "content has-sidebar", "elementor-widget", "no-comments", "social-science", "left-sidebar", "overlay", "skip"):
+        for attribute in ("class", "id"):
+            page = f'<body><div {attribute}="{name}">{ARTICLE}{COMMENTS}</div><div class="sidebar"><p>More, of that, elsewhere.</p></div></body>'
+            assert pages.main_blocks(page) == TEXT, name
+    widgets = "".join(f'<div class="elementor-widget"><p>{t}</p></div>' for t in TEXT)
+    assert pages.main_blocks(f"<body>{widgets}{COMMENTS}</body>") == TEXT
+
+
+def test_boilerplate_within_or_beside_goes():
+    for name in ("sidebar", "site-footer", "post-comments", "cookie-notice", "share", "related-posts", "newsletter"):
+        other = f'<div class="{name}"><p>Something else, to be left out, for sure.</p></div>'
+        for page in (f'<div class="with-sidebar">{ARTICLE}{other}</div>', f'<div class="site-widget"><div>{ARTICLE}</div>{other}</div>'):
+            assert pages.main_blocks(page) == TEXT, name
+    long = f'<div class="comment-list">{"<p>I agree, fully, with all of it, as ever, and more so.</p>" * 12}</div>'
+    assert pages.main_blocks(f"<div>{ARTICLE}</div>{long}") == TEXT
+    assert pages.main_blocks(f"<article><p>A short note, no more.</p></article>{long}") == ["A short note, no more."]
