@@ -7,7 +7,8 @@ has the path of tags (with classes) from the root to it.  Per path,
 
 are aggregated and fused to sqrt(text ratio * (1 + punctuation ratio)) * (1 - share of
 link characters)^2.  The content root is the deepest single element that holds most
-of the page's weight (characters plus punctuation).  Under it the fused ratios are
+of the page's weight (characters plus punctuation), but no part of an article or main
+element, and not without the headings, paragraphs and elements of its kind beside it.  Under it the fused ratios are
 smoothed along the page by a Gaussian window, each path takes the mean over its
 blocks, and paths that reach a share of the best one are content.  Menus, page
 headers, footers, asides, forms, scripts and elements whose role says so have weight
@@ -47,6 +48,8 @@ _CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup"),
     "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th"), "tbody": ("td", "th", "tr", "tbody", "thead"), "tfoot": ("td", "th", "tr", "tbody", "thead"),
 }
+#: Their text belongs to that of the elements beside them.
+_TOGETHER = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 _LISTS = frozenset("ul ol dl menu select table".split())
 _BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|sponsor(?:ed|s)?|promo(?:tion|s)?|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|"
@@ -84,6 +87,7 @@ class _Page:
         self.named: dict[str, list[int]] = {}  # names that may be boilerplate, their elements but those within others
         self.naming: Counter = Counter()
         self.tags: list[str] = [""]
+        self.paths_of: list[int] = [0]
         root = _Element("", None, 0, 0, False, False)
         self.open, self.count = [root], Counter()
         self.link = False
@@ -168,6 +172,7 @@ class _Page:
         path = self.paths.setdefault(key, len(self.paths) + 1)
         self.parents.append(above.number)
         self.tags.append(tag)
+        self.paths_of.append(path)
         self.open.append(_Element(tag, above, len(self.parents) - 1, path, out, self.link, names))
         self.count[tag] += 1
         for name in names:
@@ -284,8 +289,16 @@ def main_blocks(html: str | None) -> list[str]:
         if up not in heaviest or weight[e] > weight[heaviest[up]]:
             heaviest[up] = e
     root = 0
+    beside = {page.parents[number] for _, number, text, linked in page.blocks if linked < len(text) and page.tags[number] in _TOGETHER}
+    kinds = Counter((page.parents[e], page.paths_of[e]) for e in range(1, len(weight)) if weight[e] > 0)
+    whole = 0  # the innermost article or main element
     while (child := heaviest.get(root)) is not None and root not in holds and child not in holds and weight[child] >= ROOT_SHARE * weight[root]:
+        if page.tags[root] == "article" or root in beside or kinds[root, page.paths_of[child]] > 1:
+            break
         root = child
+        if page.tags[root] in ("article", "main"):
+            whole = root
+    root = whole or root
     inside = [False] * len(weight)
     inside[root] = True
     for e in range(root + 1, len(weight)):

@@ -67,3 +67,15 @@ def test_boilerplate_within_or_beside_goes():
     long = f'<div class="comment-list">{"<p>I agree, fully, with all of it, as ever, and more so.</p>" * 12}</div>'
     assert pages.main_blocks(f"<div>{ARTICLE}</div>{long}") == TEXT
     assert pages.main_blocks(f"<article><p>A short note, no more.</p></article>{long}") == ["A short note, no more."]
+
+
+def test_headline_lead_and_short_section_beside_a_long_part_stay():
+    body = "".join(f"<p>{t}</p>" for t in TEXT[1:])
+    other = '<nav><a href="/">Home</a></nav><footer>All rights reserved.</footer>'
+    for tag in ("article", "main", "div"):
+        page = f"<body>{other}<{tag}><h1>Title</h1><p>Lead, in short.</p><div class=body>{body * 9}</div></{tag}></body>"
+        assert pages.main_blocks(page) == ["Title", "Lead, in short.", *TEXT[1:] * 9], tag
+        page = f"<body>{other}<{tag}><section>{body * 9}</section><section><p>The end, at last.</p></section></{tag}></body>"
+        assert pages.main_blocks(page) == [*TEXT[1:] * 9, "The end, at last."], tag
+    page = f"<main><article><header><h1>Title</h1></header><div><div>{body * 9}</div><div class=end><span>Written, by hand.</span></div></div></article><div><span>More, elsewhere.</span></div></main>"
+    assert pages.main_blocks(page) == ["Title", *TEXT[1:] * 9, "Written, by hand."]
