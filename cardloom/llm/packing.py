@@ -43,7 +43,7 @@ SENTENCE_ENDS = (".", "!", "?", "...", '."', '!"', '?"', ".'", ".)", "!!", "…"
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 #: Windows of these many tokens are tried besides full ones: powers of two from here on.
-LEAST_POWER = 1024
+LEAST_POWER = 256
 _TRAILING = "!#$%&*+,-./:;=?@|~"
 #: Characters that stand for bytes in byte-level vocabularies; printable ones for themselves, the others from U+0100 on.
 _PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -153,28 +153,36 @@ def _filled(at: np.ndarray, price: np.ndarray, gap: int, cost: float, ends: np.n
     return np.insert(at, place, more), np.insert(price, place, cost)
 
 
+def _exact(at: list[int], length: int) -> list:
+    """Per position but the first: (power, index of the position so many tokens before it)."""
+    found: list = [()] * (len(at) - 1)
+    places = np.array(at)
+    for power in (1 << k for k in range(length.bit_length()) if LEAST_POWER <= 1 << k < length):
+        begin = np.searchsorted(places, places - power)
+        for j in np.nonzero(places[begin] == places - power)[0].tolist():
+            found[j - 1] = (*found[j - 1], (power, int(begin[j])))
+    return found
+
+
 def cuts(positions: list[int], prices: list[float], length: int) -> list[int]:
     """Cut positions of least cost between 0 and the last position, which is one of them.
 
     No two neighbouring positions are more than length apart.
     """
     at = [0, *positions]
-    came, cost = [0], {0: 0.0}  # the cost of a cut plus its position, by position
-    index = {0: 0}
+    came, cost = [0], [0.0]  # the cost of a cut plus its position
     queue = deque([(0.0, 0)])  # (cost plus position, index), both rising
-    powers = [1 << k for k in range(length.bit_length()) if LEAST_POWER <= 1 << k < length]
-    look = cost.get
-    for j, (p, price) in enumerate(zip(positions, prices), 1):
+    for j, (p, price, exact) in enumerate(zip(positions, prices, _exact(at, length)), 1):
         while p - at[queue[0][1]] > length:
             queue.popleft()
         key, i = queue[0]
         key += length
-        for power in powers:  # the whole cost of a window without padding grows by its length only
-            if (other := look(p - power)) is not None and other + power < key:
-                key, i = other + power, index[p - power]
+        for power, k in exact:  # the whole cost of a window without padding grows by its length only
+            if cost[k] + power < key:
+                key, i = cost[k] + power, k
         came.append(i)
         key += price
-        cost[p], index[p] = key, j
+        cost.append(key)
         while queue and queue[-1][0] >= key:
             queue.pop()
         queue.append((key, j))

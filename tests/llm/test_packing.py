@@ -56,3 +56,22 @@ def test_cuts_cost_least():
         price = dict(zip(at, prices))
         assert found[-1] == at[-1]
         assert sum(16 - d for d in np.diff([0, *found])) + sum(price[c] for c in found) == least[at[-1]]
+
+
+def test_cuts_cost_least_with_windows_without_padding():
+    """Windows of 256, 512 and so on cost nothing, as in all ways to cut."""
+    rng = random.Random(6)
+    length, powers = 4096, (256, 512, 1024, 2048)
+    used = set()
+    for _ in range(30):
+        at = np.cumsum([rng.choice([64, 128, 192, rng.randrange(20, 400)]) for _ in range(150)]).tolist()
+        prices = [float(rng.choice([0, 4, 32])) for _ in at]
+        least = {0: 0.0}
+        for p, price in zip(at, prices):
+            least[p] = min(c + (0 if p - q in powers else length - (p - q)) for q, c in least.items() if 0 < p - q <= length) + price
+        found = packing.cuts(at, prices, length)
+        price, windows = dict(zip(at, prices)), np.diff([0, *found]).tolist()
+        assert found[-1] == at[-1]
+        assert sum(0 if d in powers else length - d for d in windows) + sum(price[c] for c in found) == least[at[-1]]
+        used.update(windows)
+    assert {256, 512} & used
