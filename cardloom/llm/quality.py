@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 
@@ -11,18 +13,20 @@ from . import pu
 
 #: Folds by crc32(doc_id); the one that is never learned from; the score from which a text counts as good.
 PARTS, HELD_OUT, LEAST_SCORE = 4, 2, 0.7
+#: Characters of a word that are looked at as one piece, and marks of its shape that count as one; longer ones are several.
+PIECE, MARKS = 60, 6
 _REMEMBERED = 400_000
 _LETTERS, _DIGITS, _TWICE = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"(.)\1+")
 
 
 class _Shapes(dict):
-    """What a word is made of: a for letters, A for one capital, AA for several, 0 for digits, marks as they are."""
+    """What a piece of a word is made of: a for letters, A for one capital, AA for several, 0 for digits, marks as they are."""
 
-    def __missing__(self, word: str) -> str:
-        shape = word[:60]
-        core = "".join(c for c in shape if c.isalpha())
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        core = "".join(c for c in word if c.isalpha())
         kind = "AA" if len(core) > 1 and core.isupper() else "A" if core[:1].isupper() else "a"
-        shape = _TWICE.sub(r"\1", _DIGITS.sub("0", _LETTERS.sub("a", shape)))[:6].replace("a", kind, 1)
+        marks = _TWICE.sub(r"\1", _DIGITS.sub("0", _LETTERS.sub("a", word)))
+        shape = tuple(marks[i : i + MARKS].replace("a", kind, 1) for i in range(0, len(marks), MARKS))
         if len(self) >= _REMEMBERED:
             self.clear()
         self[word] = shape
@@ -32,6 +36,13 @@ class _Shapes(dict):
 _shapes = _Shapes()
 
 
+def _pieces(words: list[str]) -> Iterable[str]:
+    """The words, long ones in consecutive pieces."""
+    if max(map(len, words)) <= PIECE:
+        return words
+    return chain.from_iterable((w[i : i + PIECE] for i in range(0, len(w), PIECE)) for w in words)
+
+
 def traits(text: str | None) -> set[str]:
     """Names of the bins that the shares of word shapes, repetitions and lines fall into."""
     text = text or ""
@@ -39,7 +50,12 @@ def traits(text: str | None) -> set[str]:
     n = len(words)
     if not n:
         return {"empty"}
-    found = {pu.bins(shape, count / n) for shape, count in Counter(map(_shapes.__getitem__, words)).items() if count * 200 >= n}
+    shapes: Counter = Counter()
+    for parts, count in Counter(map(_shapes.__getitem__, _pieces(words))).items():
+        for part in parts:
+            shapes[part] += count
+    total = shapes.total()
+    found = {pu.bins(shape, count / total) for shape, count in shapes.items() if count * 200 >= total}
     distinct = len(set(words))
     found.add(pu.bins("again", sum(map(str.__eq__, words[1:], words[:-1])) / n))
     found.add(pu.bins("distinct", min(1.0, distinct / n ** 0.9)))

@@ -52,3 +52,10 @@ def test_nothing_to_learn_from(spark, tables):
 def test_fold_is_crc32_of_the_id(spark):
     rows = spark.range(50).select("id", pu.fold(F.col("id"), 3).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 3 for r in rows)
+
+
+def test_every_part_of_a_long_run_bears_on_quality():
+    clean, odd = "漢字仮名" * 15, "#a#9~b^" * 9
+    assert quality.traits(clean * 50 + odd * 40) != quality.traits(clean * 50 + clean * 40)
+    assert quality.traits("a1" * 3 + "#%" * 20) != quality.traits("a1" * 23)  # beyond the sixth mark
+    assert quality.traits("plain words, as ever. NASA 12:30 x") == quality.traits("other words, so long. ESSO 99:11 y")
