@@ -5,23 +5,31 @@ has the path of tags (with classes) from the root to it.  Per path,
 
     text ratio = characters outside links / blocks,   punctuation ratio = marks / blocks,
 
-are aggregated and fused to sqrt(text ratio * (1 + punctuation ratio)) * (1 - share of
-link characters)^2.  The content root is the deepest single element that holds most
-of the page's weight (characters plus punctuation), but no part of an article or main
-element, and not without the headings, paragraphs and elements of its kind beside it.  Under it the fused ratios are
-smoothed along the page by a Gaussian window, each path takes the mean over its
-blocks, and paths that reach a share of the best one are content.  Menus, page
-headers, footers, asides, forms, scripts and elements whose role says so have weight
-zero with all they hold.  So have elements whose class or id says notice, advert,
-sidebar or reader comments, unless elements of that name together hold most of the
-page's text outside links: then the name is one of layout.  What readers wrote stays
-out however long it is where an article or main element holds text beside it.
+are aggregated and fused to f = sqrt(text ratio * (1 + punctuation ratio)) * (1 - share of
+link characters)^2, and f / (f + ``HALF``) is the path's score, so that short pieces of an article
+are not far below its long ones.  Three things follow from it.
+
+* The content root is the deepest single element that holds most of the page's weight
+  (characters and punctuation, by score), but no part of an article or main element, and
+  not without the headings, paragraphs and elements of its kind beside it.
+* Under it the scores are smoothed along the page by a Gaussian window, and each path takes the
+  mean over its blocks, times its share of text outside links.
+* Paths that reach the share ``LEAST_SHARE`` of the best one are content.
+
+What markup says of an element is a prior: it multiplies weights and scores, but no
+element is left out for it as long as nothing on the page scores better.  Menus, page headers, footers,
+asides, forms and such roles have a low one, so have elements whose class or id names a notice, advert, sidebar
+or reader comments.  A name is read by its last word that says something ("cookie-bar" is about
+cookies, "share-price" about a price), and names that hold most of the page's text are names of layout
+and say nothing.  What readers wrote keeps its prior however long it is
+where an article or main element holds text beside it.  Text that no browser shows has no blocks.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import lru_cache
 from html import unescape
 from math import exp, sqrt
 
@@ -30,8 +38,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-#: Share of the weight that an element must hold to be entered, share of the best smoothed ratio that makes content, reach of the window in blocks.
-ROOT_SHARE, LEAST_SHARE, REACH = 0.8, 0.02, 3
+#: Share of the weight that an element must hold to be entered, share of the best score that makes content, reach of the window in blocks.
+ROOT_SHARE, LEAST_SHARE, REACH = 0.8, 0.15, 3
+#: The fused ratio of a score of one half; a page without a path of at least FLOOR has no content.
+HALF, FLOOR = 4.0, 0.05
 _WINDOW = [exp(-((i / 1.5) ** 2) / 2) for i in range(-REACH, REACH + 1)]
 
 _BLOCKS = frozenset(
@@ -42,7 +52,11 @@ _BLOCKS = frozenset(
 #: Their text is never read as markup.
 _RAW = frozenset("script style title textarea iframe noembed noframes".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_NEVER = frozenset("aside button datalist dialog fieldset footer form head menu nav noscript object optgroup option search select svg template".split())
+_UNSEEN = frozenset("datalist head noscript object optgroup option select svg template".split())
+#: Priors of elements by tag (a header's only outside articles), by role, by name.
+_BY_TAG = dict.fromkeys("aside button dialog footer header menu nav search".split(), 0.02) | {"form": 0.07, "fieldset": 0.07}
+_BY_ROLE = dict.fromkeys("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split(), 0.02) | {"form": 0.07}
+BY_NAME, BY_READERS = 0.1, 0.03
 #: A start tag of the first closes an open one of the second.
 _CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup"),
@@ -51,22 +65,37 @@ _CLOSES = {
 #: Their text belongs to that of the elements beside them.
 _TOGETHER = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 _LISTS = frozenset("ul ol dl menu select table".split())
-_BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|sponsor(?:ed|s)?|promo(?:tion|s)?|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|"
-    r"subscribe|signup|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|masthead|site-?header|page-?header|topbar|footer|comments?|commentlist|replies|reply|disqus|respond|"
-    r"share|sharing|social|related|recommended|widget|toolbar|pagination|pager|skip)(?=$|[\s_-])"
+_BOILERPLATE = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion banner cookie cookies consent gdpr notice notices alert popup modal "
+    "overlay newsletter subscribe signup sidebar menu nav navbar navigation breadcrumb breadcrumbs masthead topbar footer share sharing social related recommended widget widgets "
+    "toolbar pagination pager skip siteheader pageheader".split()
 )
-#: Classes that say what a page has or lacks, not what an element is.
-_LAYOUT = re.compile(r"(?:with|without|has|no)[_-]")
-_READERS = re.compile(r"(?:^|[_-])(?:comments?|commentlist|replies|disqus|respond)(?=$|[_-])")
-#: Shares of the text outside links that make a name one of layout: where it says nothing but boilerplate or speaks of readers, and others.
+_READERS = frozenset("comment comments commentlist replies reply disqus respond".split())
+#: Last words of names that leave their meaning to the word before.
+_GENERIC = frozenset("list items item posts post box wrap wrapper container area section block bar inner content text form links link button buttons icons panel top bottom left right main".split())
+#: First words of names that say what a page has or lacks, not what an element is.
+_LAYOUT = frozenset("with without has no".split())
+_WORD, _SIZE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])"), re.compile(r"\d+x\d+")
+#: Shares of the text outside links that make a name one of layout: where it is a single word or speaks of readers, and others.
 PLAIN_NAME, PART_NAME = 0.8, 0.5
-_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 _TAG = re.compile(r"""<(?:(/?)([a-zA-Z][^\s/><]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)(>?)|(!--)|([!?/]))""")
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _MARKS = re.compile(r"""[.,;:!?…¿¡。，；：！？、«»"“”]""")
 
 
+@lru_cache(maxsize=1 << 16)
+def meaning(name: str) -> str:
+    """The word that says what a class or id is about, in lower case; none for names of layout."""
+    words = [w.lower() for w in _WORD.findall(_SIZE.sub(" ", name))]
+    if not words or words[0] in _LAYOUT:
+        return ""
+    if len(words) > 1 and words[-2] + words[-1] in _BOILERPLATE:  # side-bar, site-header
+        return words[-2] + words[-1]
+    while len(words) > 1 and words[-1] in _GENERIC:
+        words.pop()
+    return words[-1]
+
+
 class _Element:
     __slots__ = ("tag", "parent", "number", "path", "out", "link", "names", "parts", "chars")
 
@@ -84,6 +113,7 @@ class _Page:
         self.paths: dict[tuple[int, str], int] = {}
         self.blocks: list[tuple[int, int, str, int]] = []
         self.parents: list[int] = [-1]
+        self.priors: list[float] = [1.0]
         self.named: dict[str, list[int]] = {}  # names that may be boilerplate, their elements but those within others
         self.naming: Counter = Counter()
         self.tags: list[str] = [""]
@@ -155,22 +185,24 @@ class _Page:
 
     def _push(self, tag: str, attributes: str) -> None:
         above = self.open[-1]
-        out, label, names = above.out or tag in _NEVER, tag, set()
-        if tag == "header" and not (self.count["article"] > 0 or self.count["main"] > 0):
-            out = True
+        out, label, names, prior = above.out or tag in _UNSEEN, tag, set(), self.priors[above.number]
+        if tag != "header" or not (self.count["article"] > 0 or self.count["main"] > 0):
+            prior *= _BY_TAG.get(tag, 1.0)
         if attributes and not out:
+            given: dict[str, str] = {}
             for m in _ATTRIBUTE.finditer(attributes):
-                name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-                if name == "class":
-                    label = f"{tag}.{' '.join(value.split())}"
-                if name in ("class", "id"):
-                    if _BOILERPLATE.search(value) and tag not in ("body", "html", "article", "main"):
-                        names.update(x for x in value.split() if _BOILERPLATE.search(x) and not _LAYOUT.match(x))
-                else:
-                    out = out or (value in _ROLES if name == "role" else name == "hidden" or value == "true")
+                given.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+            out = "hidden" in given or given.get("aria-hidden", "").lower() == "true"
+            prior *= _BY_ROLE.get(given.get("role", "").lower(), 1.0)
+            own = given.get("class", "").split()
+            if own:
+                label = f"{tag}.{' '.join(own)}"
+            if tag not in ("body", "html", "article", "main"):
+                names.update(x for x in own + given.get("id", "").split() if meaning(x) in _BOILERPLATE or meaning(x) in _READERS)
         key = (above.path, label)
         path = self.paths.setdefault(key, len(self.paths) + 1)
         self.parents.append(above.number)
+        self.priors.append(prior)
         self.tags.append(tag)
         self.paths_of.append(path)
         self.open.append(_Element(tag, above, len(self.parents) - 1, path, out, self.link, names))
@@ -221,35 +253,37 @@ class _Page:
                 at = size if close < 0 else close + (3 if m[5] else 1)
 
 
-def _without_boilerplate(page: _Page) -> list[tuple[int, int, str, int]]:
-    """Blocks outside elements whose class or id is boilerplate and no name of layout."""
-    blocks = page.blocks
+def _name_priors(page: _Page) -> None:
+    """Lower the priors of elements whose class or id is boilerplate and no name of layout, with all they hold."""
     if not page.named:
-        return blocks
-    readers = {e for n, found in page.named.items() if _READERS.search(n) for e in found}
-    article, inside = [False] * len(page.parents), [False] * len(page.parents)  # of an article, of what readers wrote
+        return
+    parents, priors = page.parents, page.priors
+    readers = {n for n in page.named if meaning(n) in _READERS}
+    of_readers = {e for n in readers for e in page.named[n]}
+    article, inside = [False] * len(parents), [False] * len(parents)  # of an article, of what readers wrote
     for e in range(1, len(article)):
-        article[e] = article[page.parents[e]] or page.tags[e] in ("article", "main")
-        inside[e] = inside[page.parents[e]] or e in readers
-    apart = any(article[e] and not inside[e] for _, e, _, _ in blocks)
-    plain = {n for n in page.named if not _BOILERPLATE.sub("", n).strip("_-") or _READERS.search(n)}
-    for names, share in ((plain, PLAIN_NAME), (page.named.keys() - plain, PART_NAME)):
+        article[e] = article[parents[e]] or page.tags[e] in ("article", "main")
+        inside[e] = inside[parents[e]] or e in of_readers
+    apart = any(article[e] and not inside[e] and priors[e] == 1 for _, e, _, _ in page.blocks)
+    single = {n for n in page.named if n in readers or len(_WORD.findall(n)) == 1}
+    lowered = [1.0] * len(parents)
+    for names, share in ((single, PLAIN_NAME), (page.named.keys() - single, PART_NAME)):
         if not names:
             continue
-        held = [0] * len(page.parents)
-        for _, number, text, linked in blocks:
-            held[number] += len(text) - linked
+        held = [0.0] * len(parents)
+        for _, number, text, linked in page.blocks:
+            held[number] += (len(text) - linked) * priors[number] * (lowered[number] == 1)
         for e in range(len(held) - 1, 0, -1):
-            held[page.parents[e]] += held[e]
-        gone = [False] * len(held)
+            held[parents[e]] += held[e]
+        own = [1.0] * len(parents)
         for name in names:
-            if apart and _READERS.search(name) or not held[0] or sum(held[e] for e in page.named[name]) < share * held[0]:
+            if name in readers and apart or sum(held[e] for e in page.named[name]) < share * held[0]:
                 for e in page.named[name]:
-                    gone[e] = True
-        for e in range(1, len(gone)):
-            gone[e] = gone[e] or gone[page.parents[e]]
-        blocks = [b for b in blocks if not gone[b[1]]]
-    return blocks
+                    own[e] *= BY_READERS if name in readers else BY_NAME
+        for e in range(1, len(own)):
+            own[e] *= own[parents[e]]
+            lowered[e] *= own[e]
+    page.priors = [a * b for a, b in zip(priors, lowered)]
 
 
 def _lowered(html: str) -> str:
@@ -263,7 +297,7 @@ _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 def main_blocks(html: str | None) -> list[str]:
     """Content blocks of a page in page order."""
     page = _Page(html or "")
-    page.blocks = _without_boilerplate(page)
+    _name_priors(page)
     if not page.blocks:
         return []
     # ratios of each path
@@ -276,11 +310,15 @@ def main_blocks(html: str | None) -> list[str]:
         t[2] += n
         t[3] += linked
     fused = {p: sqrt(max(chars - linked, 0) / n * (1 + k / n)) * (1 - linked / chars) ** 2 for p, (n, chars, k, linked) in totals.items()}
+    ratio = {p: f / (f + HALF) for p, f in fused.items()}
+    prior = page.priors
     # the content root: enter the one child that holds most of the weight, while it is not itself a block
     weight = [0.0] * len(page.parents)
     for (path, number, text, linked), n in zip(page.blocks, marks):
-        weight[number] += (len(text) - linked + 10 * n) * min(1.0, fused[path])
-    holds = {number for _, number, _, _ in page.blocks}
+        weight[number] += (len(text) - linked + 10 * n) * ratio[path] * prior[number]
+    best = max(prior[number] for number in {b[1] for b in page.blocks})
+    plain = [b for b in page.blocks if prior[b[1]] == best]  # blocks that no prior speaks against
+    holds = {number for _, number, _, _ in plain}
     for e in range(len(weight) - 1, 0, -1):
         weight[page.parents[e]] += weight[e]
     heaviest: dict[int, int] = {}
@@ -289,8 +327,8 @@ def main_blocks(html: str | None) -> list[str]:
         if up not in heaviest or weight[e] > weight[heaviest[up]]:
             heaviest[up] = e
     root = 0
-    beside = {page.parents[number] for _, number, text, linked in page.blocks if linked < len(text) and page.tags[number] in _TOGETHER}
-    kinds = Counter((page.parents[e], page.paths_of[e]) for e in range(1, len(weight)) if weight[e] > 0)
+    beside = {page.parents[number] for _, number, text, linked in plain if linked < len(text) and page.tags[number] in _TOGETHER}
+    kinds = Counter((page.parents[e], page.paths_of[e]) for e in range(1, len(weight)) if weight[e] > 0 and prior[e] >= best)
     whole = 0  # the innermost article or main element
     while (child := heaviest.get(root)) is not None and root not in holds and child not in holds and weight[child] >= ROOT_SHARE * weight[root]:
         if page.tags[root] == "article" or root in beside or kinds[root, page.paths_of[child]] > 1:
@@ -310,14 +348,14 @@ def main_blocks(html: str | None) -> list[str]:
         total = norm = 0.0
         for j in range(max(0, i - REACH), min(len(own), i + REACH + 1)):
             w = _WINDOW[j - i + REACH]
-            total += w * fused[own[j][0]]
+            total += w * ratio[own[j][0]]
             norm += w
         smooth = sums.setdefault(block[0], [0.0, 0])
         smooth[0] += total / norm
         smooth[1] += 1
     score = {p: total / n * (1 - totals[p][3] / totals[p][1]) ** 2 for p, (total, n) in sums.items()}
-    least = LEAST_SHARE * max(score.values(), default=0.0)
-    return [text for path, _, text, _ in own if score[path] > 0 and score[path] >= least]
+    top = max((score[path] * prior[number] for path, number, _, _ in own), default=0.0)
+    return [text for path, number, text, _ in own if top >= FLOOR and score[path] * prior[number] >= LEAST_SHARE * top]
 
 
 def main_text(html: Column | str) -> Column:

@@ -79,3 +79,103 @@ def test_headline_lead_and_short_section_beside_a_long_part_stay():
         assert pages.main_blocks(page) == [*TEXT[1:] * 9, "The end, at last."], tag
     page = f"<main><article><header><h1>Title</h1></header><div><div>{body * 9}</div><div class=end><span>Written, by hand.</span></div></div></article><div><span>More, elsewhere.</span></div></main>"
     assert pages.main_blocks(page) == ["Title", *TEXT[1:] * 9, "Written, by hand."]
+
+
+def test_attributes_and_names_that_only_look_like_boilerplate_stay():
+    more = (
+        '<div style="overflow:hidden"><p>Shown, though it overflows.</p></div><p title="hidden gem">A gem, as it is.</p><div data-role="form"><p>No form, this one.</p></div>'
+        '<div class="share-price"><p>Four, or five, a share.</p></div><div id="noticePeriod"><p>A month, or two.</p></div><div class="banner-story"><p>What the banners say, and why.</p></div>'
+    )
+    expected = ["Shown, though it overflows.", "A gem, as it is.", "No form, this one.", "Four, or five, a share.", "A month, or two.", "What the banners say, and why."]
+    for tag in ("article", "main", "div"):
+        assert pages.main_blocks(f"<body><nav><a href=/>Home</a></nav><{tag}>{ARTICLE}{more}</{tag}></body>") == TEXT + expected, tag
+    assert pages.main_blocks(f"<article>{ARTICLE}<div hidden><p>Never shown, to anyone.</p></div></article>") == TEXT
+
+
+def test_boilerplate_with_neutral_names_goes():
+    links = "".join(f'<li><a href="/{i}">Place number {i}, and more</a></li>' for i in range(9))
+    for tag in ("article", "main", "div"):
+        page = (
+            f'<body><div class="x1"><ul>{links}</ul></div><div class="x2">Buy now, today.</div><{tag} class="x3">{ARTICLE}<div class="x4"><ul>{links}</ul></div></{tag}>'
+            f'<div class="x5"><ul>{links}</ul></div><div class="x6">All rights reserved.</div></body>'
+        )
+        assert pages.main_blocks(page) == TEXT, tag
+
+
+def test_priors_alone_leave_nothing_out():
+    assert pages.main_blocks(f'<body><form id="whole">{ARTICLE}</form></body>') == TEXT
+    assert pages.main_blocks(f'<body><div class="sidebar">{ARTICLE}</div></body>') == TEXT
+    assert pages.main_blocks("<nav>Home, sweet home.</nav><footer>All rights reserved, of course.</footer>") == []
+
+
+def test_meaning_of_names():
+    cases = {
+        "share-price": "price", "comment-list": "comment", "site-footer": "footer", "cookieNotice": "notice", "with-sidebar": "", "side-bar": "sidebar", "related_posts": "related",
+        "ad": "ad", "ad-300x250": "ad", "social-science": "science", "42": "", "SiteHeader": "siteheader",
+    }
+    assert {x: pages.meaning(x) for x in cases} == cases
+
+
+def plain_blocks(page: pages._Page) -> list[str]:
+    """Path ratios read off the docstring: sums over all blocks for each block, ancestors walked one by one."""
+    pages._name_priors(page)
+    blocks, parent, prior = page.blocks, page.parents, page.priors
+    n_marks = [len(pages._MARKS.findall(b[2])) for b in blocks]
+
+    def chain(e):
+        return [e, *chain(parent[e])] if e else [0]
+
+    def ratio(path):
+        own = [(len(b[2]), b[3], k) for b, k in zip(blocks, n_marks) if b[0] == path]
+        chars, linked, marks = (sum(x) for x in zip(*own))
+        f = ((chars - linked) / len(own) * (1 + marks / len(own))) ** 0.5 * (1 - linked / chars) ** 2
+        return f / (f + pages.HALF), 1 - linked / chars
+
+    if not blocks:
+        return []
+    ratios = {b[0]: ratio(b[0]) for b in blocks}
+    weigh = lambda e: sum((len(b[2]) - b[3] + 10 * k) * ratios[b[0]][0] * prior[b[1]] for b, k in zip(blocks, n_marks) if e in chain(b[1]))
+    weights = [weigh(e) for e in range(len(parent))]
+    best = max(prior[b[1]] for b in blocks)
+    plain = [b for b in blocks if prior[b[1]] == best]
+    root = whole = 0
+    while True:
+        children = [e for e in range(1, len(parent)) if parent[e] == root]
+        if not children:
+            break
+        child = max(children, key=lambda e: (weights[e], -e))
+        alike = [e for e in children if weights[e] > 0 and prior[e] >= best and page.paths_of[e] == page.paths_of[child]]
+        direct = any(b[1] in (root, child) for b in plain) or page.tags[root] == "article"
+        beside = any(parent[b[1]] == root and page.tags[b[1]] in pages._TOGETHER and b[3] < len(b[2]) for b in plain)
+        if direct or beside or len(alike) > 1 or weights[child] < pages.ROOT_SHARE * weights[root]:
+            break
+        root = child
+        whole = root if page.tags[root] in ("article", "main") else whole
+    own = [b for b in blocks if (whole or root) in chain(b[1])]
+    smooth = []
+    for i in range(len(own)):
+        near = [(2.718281828459045 ** -(((i - j) / 1.5) ** 2 / 2), ratios[b[0]][0]) for j, b in enumerate(own) if abs(i - j) <= pages.REACH]
+        smooth.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
+    score = {}
+    for path in {b[0] for b in own}:
+        values = [s for s, b in zip(smooth, own) if b[0] == path]
+        score[path] = sum(values) / len(values) * ratios[path][1] ** 2
+    top = max((score[b[0]] * prior[b[1]] for b in own), default=0)
+    return [b[2] for b in own if top >= pages.FLOOR and score[b[0]] * prior[b[1]] >= pages.LEAST_SHARE * top]
+
+
+def test_equals_plain_path_ratios():
+    table = [r["html"] for r in pq.read_table("/root/testdata/sf0.001/pages.parquet").to_pylist()]
+    made = [SITE, f"<body><div class=x>{ARTICLE}</div>{COMMENTS}</body>", f"<form>{ARTICLE}{COMMENTS}</form>", '<p>a<p>b<div class="ad">c, d.</div>', "<nav>x</nav>", ""]
+    for page in table + made:
+        assert pages.main_blocks(page) == plain_blocks(pages._Page(page))
+
+
+def test_ratios_alone_find_the_article():
+    """Without any prior most pages of the table come out the same: links, notices and adverts go by their ratios."""
+    rows = pq.read_table("/root/testdata/sf0.001/pages.parquet").to_pylist()
+    same = 0
+    for row in rows:
+        bare = re.sub("<(/?)(?:nav|header|footer|aside|form)", r"<\1div", re.sub(' (?:class|id|role)="[^"]*"', "", row["html"]))
+        same += pages.main_blocks(bare) == pages.main_blocks(row["html"])
+    assert same >= 0.8 * len(rows)
