@@ -57,7 +57,8 @@ class Words:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Strings of the vocabulary that are one id wherever a text holds them, in this very case.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.stops = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for mark in SENTENCE_ENDS:
             if len(ids := self.tokenizer.encode(mark, add_special_tokens=False).ids) == 1:
@@ -102,7 +103,9 @@ class Words:
         text, latin = text or "", False
         with contextlib.suppress(UnicodeEncodeError):  # case is lost anyway; here folding it is safe
             text.encode("latin-1")
-            text, latin = text.lower(), True
+            lower = text.lower()
+            if not any(x in lower for x in self.special):
+                text, latin = lower, True
         words = [w for w in _SPACE.split(text) if w] if _ODD_SPACE.search(text) else text.split()
         if len(self.known) > REMEMBERED:
             self.known.clear()
@@ -255,7 +258,8 @@ def pack(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str
     """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
     ``ids`` are little-endian unsigned 32-bit token ids.  A document is its text's
-    ids by the tokenizer file (null and empty texts: none) and then ``end``; each id
+    ids by the tokenizer file (null and empty texts: none; special strings in a text are ids
+    of their own, as the library has it) and then ``end``; each id
     is in one piece, and the pieces of a sequence have gapless offsets from 0.  The
     rows of an input partition are packed in their order without a shuffle, repeated
     rows as documents of their own and null ids as such; sequence_id numbers the

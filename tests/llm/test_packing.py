@@ -13,12 +13,11 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def test_every_id_in_one_piece(spark):
     rng = random.Random(4)
-    words = ["the", "Ärger,", "naïve", "x1", "e-mail", "don't", "end.", "漢字", "<|endoftext|>", "\x1c", "ﬁ", "A" * 50]
-    texts = [None, "", "one", "one"] + [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 900))) for _ in range(60)] + ["ab" * 9000, "word. " * 9000]
+    words = ["the", "Ärger,", "naïve", "x1", "e-mail", "don't", "end.", "漢字", "<|endoftext|>", "x<|startoftext|>y.", "<|ENDOFTEXT|>", "\x1c", "ﬁ", "A" * 50]
+    texts = [None, "", "one", "one", "The <|endoftext|> END", "The <|EndOfText|> END", "漢 <|ENDOFTEXT|>"] + [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 900))) for _ in range(60)] + ["ab" * 9000, "word. " * 9000]
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, offset int").repartition(3)
     rows = packing.pack(docs, PATH).collect()
     own = Tokenizer.from_file(PATH)
-    own.encode_special_tokens = True
     pieces, sequences = {}, {}
     for r in rows:
         pieces.setdefault(r.doc_id, []).append(r)
