@@ -67,7 +67,7 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = settle(secrets.scanned(table(spark, sf_dir, "documents").select("doc_id", "text")))
     base = F.concat("assign", "access", "hex")
-    more = secrets.random_spans(F.col("tests"), base, secrets.thresholds(found))
+    more = secrets.random_spans(F.col("tests"), secrets.thresholds(found))
     counts = [F.size(kind).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
     base_sha256 = F.sha2(secrets.as_text(base), 256).alias("base_sha256")
     return found.select("doc_id", *counts, base_sha256, secrets.as_text(F.concat(base, more)).alias("spans"))

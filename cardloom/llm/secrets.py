@@ -1,7 +1,7 @@
 """Secret scan with DataFrame functions: fixed rules plus a randomness test battery.
 
 The rules find assignments, access keys and long hex runs.  The battery looks at
-every other long run of key characters.  It infers the run's encoding from its
+every long run of key characters that touches none of these.  It infers the run's encoding from its
 characters, maps them to numbers and asks three questions, each answered by a
 p-value under "uniform and independent symbols": are the symbols equally frequent
 (chi-squared), do they cross the middle as often as they should (runs), is each
@@ -9,13 +9,14 @@ independent of the one before it (serial correlation)?  Fisher's sum combines
 them.  A run that passes may still be an ordinary word, and the shorter it is the
 likelier; ``p_text`` is the chance that text of the same length and encoding looks
 as uniform.  Within each encoding and length class the Benjamini-Hochberg rule
-over all runs of the table sets how small it has to be, so that at most the share
+over all such runs of the table sets how small it has to be, so that at most the share
 ``FALSE_SHARE`` of the reported ones is expected to be text.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ ACCESS, HEX = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"
 RUN = "[A-Za-z0-9+/_-]{20,}={0,2}"
 MIN_VALUE = 6
 FALSE_SHARE, LEAST_RANDOM = 0.01, 1e-4
+#: Matches that are looked at together.
+CHUNK = 256
 #: Bins of p_text a decade, and how many there are.
 BINS, LAST_BIN = 4, 80
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
@@ -44,27 +47,55 @@ SPAN = "array<struct<start:int,end:int,kind:string>>"
 _FOUND = "array<struct<start:int,end:int,value:string>>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, inside a lambda too."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _chunks(items: Column) -> Column:
+    """The array cut into arrays of CHUNK items, at least one; so that work that grows with the square of an array stays small."""
+    last = F.greatest(F.ceil(F.size(items) / CHUNK).cast("int"), F.lit(1)) - 1
+    return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(items, c * CHUNK + 1, CHUNK))
+
+
+def _scanned(items: Column, before: Callable[[Column], Column], each: Callable[[Column, Column], Column]) -> Column:
+    """Concatenates each(chunk, what ``before`` makes of the chunks before it); ``before`` takes and gives an array of a value per chunk."""
+
+    def body(chunks: Column) -> Column:
+        return let(before(chunks), lambda known: F.flatten(F.transform(chunks, lambda c, i: each(c, F.get(known, i)))))
+
+    return let(items, lambda own: let(_chunks(own), body))
+
+
 def located(text: Column, pattern: str, group: int = 0) -> Column:
     """Start, end (code points, exclusive) and a group of each leftmost non-overlapping match.
 
     What lies between the matches comes from splitting at them, so positions are
-    running sums of lengths.
+    running sums of lengths, first of chunks and then within each.
     """
     # arrays_zip evaluates each of its arguments once; the gap after the last match meets a null
     parts = [F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match")]
     if group:
         parts.append(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"))
-    zipped = F.arrays_zip(*parts)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.char_length(x["gap"])
-        end = start + F.char_length(x["match"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["value" if group else "match"].alias("value"))
-        return F.when(x["match"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.array_append(acc["found"], one).alias("found")))
+    def width(x: Column) -> Column:
+        return F.char_length(x["gap"]) + F.coalesce(F.char_length(x["match"]), F.lit(0))
+
+    def begins(chunks: Column) -> Column:
+        sizes = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda acc, x: acc + width(x)))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(sizes, start, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")), lambda acc: acc["out"])
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_FOUND).alias("found"))
-    found = F.aggregate(zipped, start, step, lambda acc: acc["found"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_FOUND))
+    def within(chunk: Column, begin: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            start = acc["at"] + F.char_length(x["gap"])
+            end = start + F.char_length(x["match"])
+            one = F.struct(start.alias("start"), end.alias("end"), x["value" if group else "match"].alias("value"))
+            return F.when(x["match"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.array_append(acc["found"], one).alias("found")))
+
+        return F.aggregate(chunk, F.struct(begin.alias("at"), F.array().cast(_FOUND).alias("found")), step, lambda acc: acc["found"])
+
+    return F.when(text.rlike(pattern), _scanned(F.arrays_zip(*parts), begins, within)).otherwise(F.array().cast(_FOUND))
 
 
 def _as_kind(found: Column, kind: str) -> Column:
@@ -164,9 +195,36 @@ def tested(runs: Column) -> Column:
     return F.transform(F.transform(F.transform(F.transform(runs, named), numbered), summed), judged)
 
 
-def candidates(text: Column) -> Column:
-    """Long runs of key characters with the results of the battery; text must not be null."""
-    return tested(located(text, RUN))
+def _apart(runs: Column, base: Column) -> Column:
+    """The runs that touch no base span; both are brought in order and met chunk by chunk."""
+
+    def event(x: Column, own: bool) -> Column:
+        return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(own).alias("base"), (x["value"] if not own else F.lit(None).cast("string")).alias("value"))
+
+    def ends(chunks: Column) -> Column:
+        """Greatest end of the base spans of each chunk and least start, then of those before and after it."""
+        own = F.transform(chunks, lambda c: F.filter(c, lambda x: x["base"]))
+        last, first = F.transform(own, lambda c: F.array_max(F.transform(c, lambda x: x["end"]))), F.transform(own, lambda c: F.array_min(F.transform(c, lambda x: x["start"])))
+        both = F.arrays_zip(last.alias("last"), first.alias("first"))
+        return let(both, lambda z: F.transform(z, lambda _, i: F.struct(F.array_max(F.slice(z["last"], 1, i)).alias("before"), F.array_min(F.slice(z["first"], i + 2, F.size(z))).alias("after"))))
+
+    def within(chunk: Column, known: Column) -> Column:
+        return F.filter(
+            chunk,
+            lambda x: ~x["base"]
+            & F.coalesce(x["start"] >= known["before"], F.lit(True))
+            & F.coalesce(x["end"] <= known["after"], F.lit(True))
+            & ~F.exists(chunk, lambda b: b["base"] & (b["start"] < x["end"]) & (x["start"] < b["end"])),
+        )
+
+    events = F.array_sort(F.concat(F.transform(base, lambda x: event(x, True)), F.transform(runs, lambda x: event(x, False))))
+    kept = F.transform(_scanned(events, ends, within), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value")))
+    return F.when(F.size(runs) == 0, F.array().cast(_FOUND)).when(F.size(base) == 0, runs).otherwise(kept)
+
+
+def candidates(text: Column, base: Column) -> Column:
+    """Long runs of key characters that touch no base span, with the results of the battery; text must not be null."""
+    return tested(let(F.struct(located(text, RUN).alias("runs"), base.alias("base")), lambda x: _apart(x["runs"], x["base"])))
 
 
 def thresholds(tests: DataFrame, column: str = "tests", false_share: float = FALSE_SHARE) -> dict[str, int]:
@@ -186,15 +244,10 @@ def thresholds(tests: DataFrame, column: str = "tests", false_share: float = FAL
     return {r["cell"]: r["least"] for r in found.collect()}
 
 
-def random_spans(tests: Column, base: Column, least: dict[str, int]) -> Column:
-    """Spans of the runs that look random, are accepted for their cell and touch no base span."""
+def random_spans(tests: Column, least: dict[str, int]) -> Column:
+    """Spans of the runs that look random and are accepted for their cell."""
     cells = F.create_map(*[F.lit(v) for pair in sorted(least.items()) for v in pair]) if least else F.create_map().cast("map<string,int>")
-    kept = F.filter(
-        tests,
-        lambda t: (t["p_random"] >= LEAST_RANDOM)
-        & F.coalesce(t["bin"] >= F.try_element_at(cells, t["cell"]), F.lit(False))
-        & ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
-    )
+    kept = F.filter(tests, lambda t: (t["p_random"] >= LEAST_RANDOM) & F.coalesce(t["bin"] >= F.try_element_at(cells, t["cell"]), F.lit(False)))
     return _as_kind(kept, "random")
 
 
@@ -213,11 +266,49 @@ def as_text(spans: Column) -> Column:
 def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs without the text column, with array columns assign, access, hex and tests.
 
-    A null text counts as empty.  Columns of these names are replaced.
+    A null text counts as empty.  Columns of these names are replaced; repeated rows and
+    all other columns stay.
     """
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     names = ("assign", "access", "hex")
-    return docs.withColumns(dict(zip((*names, "tests"), (*base_spans(whole), candidates(whole))))).drop(text)
+    found = F.struct(*[c.alias(n) for n, c in zip(names, base_spans(whole))])
+    every = let(found, lambda f: F.struct(*[f[n].alias(n) for n in names], candidates(whole, F.concat(*[f[n] for n in names])).alias("tests")))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (*names, "tests", text)]
+    rest = [c for c in docs.columns if c not in (*names, "tests", text)]
+    free = next(n for n in ("found", *(f"found_{i}" for i in range(len(rest) + 1))) if n not in rest)
+    one = docs.select(*kept, every.alias(free))
+    return one.select(*kept, *[F.col(f"`{free}`.{n}").alias(n) for n in (*names, "tests")])
+
+
+def _cut(text: Column, spans: Column, mark: str) -> Column:
+    """The text with a mark in place of each span or chain of overlapping spans; spans are in order.
+
+    Each chunk of spans reads its own stretch of the text only.
+    """
+
+    def reach(chunks: Column) -> Column:
+        """End of what the chunks before cover, and the end of the stretch that each chunk reads."""
+        ends = F.transform(chunks, lambda c: F.array_max(F.transform(c, lambda x: x["end"])))
+        return let(ends, lambda e: F.transform(e, lambda _, i: F.struct(F.coalesce(F.array_max(F.slice(e, 1, i)), F.lit(0)).alias("from"), F.array_max(F.slice(e, 1, i + 1)).alias("to"))))
+
+    def within(chunk: Column, known: Column) -> Column:
+        stretch = F.substring(text, known["from"] + 1, known["to"] - known["from"])
+
+        def pieces(own: Column) -> Column:
+            def step(acc: Column, x: Column) -> Column:
+                gap = F.substring(own, acc["at"] - known["from"] + 1, x["start"] - acc["at"])
+                return F.struct(
+                    F.greatest(acc["at"], x["end"]).alias("at"),
+                    F.when(x["start"] < acc["at"], acc["out"]).otherwise(F.array_append(acc["out"], F.concat(gap, F.lit(mark)))).alias("out"),
+                )
+
+            start = F.struct(known["from"].alias("at"), F.array().cast("array<string>").alias("out"))
+            return F.aggregate(chunk, start, step, lambda acc: acc["out"])
+
+        return let(stretch, pieces)
+
+    last = F.array_max(F.transform(spans, lambda x: x["end"]))
+    return F.concat(F.array_join(_scanned(spans, reach, within), ""), F.substring(text, last + 1, F.char_length(text)))
 
 
 def redacted(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
@@ -230,18 +321,5 @@ def redacted(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> Dat
     """
     least = thresholds(scanned(docs.select(text), text).select("tests"))
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    base = F.concat(*base_spans(whole))
-    marked = docs.withColumn("_base", base).withColumn("_tests", candidates(whole))
-    marked = marked.withColumn("_spans", ordered(F.concat("_base", random_spans(F.col("_tests"), F.col("_base"), least))))
-
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substring(acc["text"], acc["at"] + 1, x["start"] - acc["at"])
-        return F.struct(
-            acc["text"].alias("text"),
-            F.greatest(acc["at"], x["end"]).alias("at"),
-            F.when(x["start"] < acc["at"], acc["out"]).otherwise(F.array_append(acc["out"], F.concat(gap, F.lit(mark)))).alias("out"),
-        )
-
-    start = F.struct(whole.alias("text"), F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    joined = F.aggregate("_spans", start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(acc["text"], acc["at"] + 1, F.char_length(acc["text"]))))
-    return marked.withColumn(text, F.when(F.size("_spans") > 0, joined).otherwise(F.col(text))).drop("_base", "_tests", "_spans")
+    spans = let(F.concat(*base_spans(whole)), lambda base: ordered(F.concat(base, random_spans(candidates(whole, base), least))))
+    return docs.withColumn(text, let(spans, lambda own: F.when(F.size(own) > 0, _cut(whole, own, mark)).otherwise(F.col(text))))

@@ -2,8 +2,12 @@
 
 import base64
 import hashlib
+import math
+import operator
 import random
 import re
+import time
+from collections import Counter
 
 from cardloom.llm import secrets
 from pyspark.sql import functions as F
@@ -49,7 +53,7 @@ def test_battery_keeps_random_runs_and_drops_words(spark):
     docs = frame(spark, keys + words).drop("assign")
     found = secrets.scanned(docs)
     least = secrets.thresholds(found)
-    spans = found.select("doc_id", secrets.as_text(secrets.random_spans(F.col("tests"), F.array().cast(secrets.SPAN), least)).alias("s")).collect()
+    spans = found.select("doc_id", secrets.as_text(secrets.random_spans(F.col("tests"), least)).alias("s")).collect()
     hit = {r.doc_id for r in spans if r.s}
     assert len(hit & set(range(60))) >= 57
     assert len(hit - set(range(60))) <= 1
@@ -69,3 +73,98 @@ def test_empty_table(spark):
     assert secrets.redacted(docs).count() == 0
     assert secrets.thresholds(secrets.scanned(docs)) == {}
     assert hashlib.sha256(b"").hexdigest()
+
+
+def normal_tail(z):
+    return math.erfc(z / math.sqrt(2)) / 2
+
+
+def battery(core):
+    """(cell, p_random, p_text) of a run, from the definitions."""
+    for name, pattern, alphabet, same in secrets.ENCODINGS:
+        if not pattern or re.search(pattern, core):
+            break
+    values = [alphabet.index(c) + 1 for c in (core.lower() if name == "hex" else core)]
+    n, k = len(values), len(alphabet)
+    chi = k * sum(x * x for x in Counter(values).values()) / n - n
+    p_chi = normal_tail(((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1))))
+    above = [v > (k + 1) / 2 for v in values]
+    split = 2 * sum(above) * (n - sum(above))
+    spread = split * (split - n) / (n * n * (n - 1))
+    runs = 1 + sum(map(operator.ne, above[1:], above[:-1]))
+    p_runs = min(1.0, 2 * normal_tail(abs(runs - split / n - 1) / math.sqrt(spread))) if spread > 0 else 1e-300
+    scatter = n * sum(v * v for v in values) - sum(values) ** 2
+    circular = sum(map(operator.mul, values, values[1:] + values[:1]))
+    serial = (n * circular - sum(values) ** 2) / scatter if scatter > 0 else 1.0
+    p_serial = min(1.0, 2 * normal_tail(abs(serial + 1 / (n - 1)) * math.sqrt(n)))
+    half = -sum(math.log(max(p, 1e-300)) for p in (p_chi, p_runs, p_serial))
+    excess = k * same - 1
+    p_text = normal_tail((k - 1 + n * excess - chi) / math.sqrt(2 * (k - 1) + 4 * n * excess))
+    return f"{name}:{n.bit_length() - 1}", math.exp(-half) * (1 + half + half * half / 2), max(p_text, 1e-300)
+
+
+def every_span(texts):
+    """All spans of each text by plain loops: rules, battery, false discovery control by cell."""
+    bases = [base(t or "") for t in texts]
+    runs = []
+    for i, t in enumerate(texts):
+        for m in re.finditer(secrets.RUN, t or ""):
+            if not any(a < m.end() and m.start() < b for _, a, b in bases[i]):
+                cell, p_random, p_text = battery(m[0].rstrip("="))
+                runs.append((i, m.start(), m.end(), cell, p_random, min(math.floor(-math.log10(p_text) * secrets.BINS), secrets.LAST_BIN)))
+    for i, start, end, cell, p_random, own in runs:
+        bins = [r[5] for r in runs if r[3] == cell]
+        passing = [b for b in range(secrets.LAST_BIN + 1) if len(bins) * 10 ** (-b / secrets.BINS) <= secrets.FALSE_SHARE * sum(x >= b for x in bins)]
+        if passing and own >= passing[0] and p_random >= secrets.LEAST_RANDOM:
+            bases[i].append(("random", start, end))
+    return [",".join(f"{k}:{a}:{b}" for k, a, b in sorted(found, key=lambda x: (x[1], secrets.KINDS.index(x[0])))) for found in bases]
+
+
+def mixed_texts(seed=9):
+    rng = random.Random(seed)
+    parts = [
+        lambda: base64.b64encode(rng.randbytes(rng.randrange(15, 60))).decode(), lambda: rng.randbytes(rng.randrange(8, 20)).hex().upper(), lambda: "".join(rng.choices("etaoinshr", k=30)),
+        lambda: f"token={rng.randbytes(9).hex()}{'x' * rng.randrange(20)}", lambda: "word " * rng.randrange(9), lambda: "a" * rng.randrange(20, 60), lambda: "AKIA" + "Q7" * 9 + "/abcdefabcdef",
+        lambda: base64.urlsafe_b64encode(rng.randbytes(33)).decode(), lambda: "password: " + base64.b64encode(rng.randbytes(24)).decode() + "/" + rng.randbytes(20).hex(),
+    ]
+    return TEXTS + [" ".join(rng.choice(parts)() for _ in range(rng.randrange(1, 30))) for _ in range(80)] + [" ".join(parts[i % 9]() for i in range(1500))]
+
+
+def test_all_spans_equal_plain_loops(spark):
+    texts = mixed_texts()
+    found = secrets.scanned(frame(spark, texts))
+    spans = F.concat("assign", "access", "hex", secrets.random_spans(F.col("tests"), secrets.thresholds(found)))
+    got = {r.doc_id: r.s for r in found.select("doc_id", secrets.as_text(spans).alias("s")).collect()}
+    expected = every_span(texts)
+    assert [got[i] for i in range(len(texts))] == expected
+    assert sum("random" in s for s in expected) > 40
+    out = {r.doc_id: r.text for r in secrets.redacted(frame(spark, texts)).collect()}
+    for i, (text, spans) in enumerate(zip(texts, expected)):
+        covered = [False] * len(text or "")
+        for span in filter(None, spans.split(",")):
+            _, a, b = span.split(":")
+            covered[int(a) : int(b)] = [True] * (int(b) - int(a))
+        starts = {int(x.split(":")[1]) for x in filter(None, spans.split(","))}
+        plain = "".join(("[SECRET]" if i in starts and (not i or not covered[i - 1] or i not in inner(spans)) else "") if c else x for i, (x, c) in enumerate(zip(text or "", covered)))
+        assert (out[i] or "") == plain
+
+
+def inner(spans):
+    """Positions inside a span that starts before them."""
+    return {p for x in filter(None, spans.split(",")) for p in range(int(x.split(":")[1]) + 1, int(x.split(":")[2]))}
+
+
+def test_text_of_many_matches_takes_linear_time(spark):
+    text = "token=abcdef1 " * 20000
+    docs = frame(spark, [text])
+    began = time.monotonic()
+    row = secrets.scanned(docs).select(F.size("assign").alias("n")).first()
+    assert row.n == 20000 and time.monotonic() - began < 10
+    began = time.monotonic()
+    assert secrets.redacted(docs).first().text == "[SECRET] " * 20000 and time.monotonic() - began < 20
+
+
+def test_columns_of_the_user_stay(spark):
+    docs = spark.createDataFrame([(1, "secret=abcdef", 5, 6, 7)], "doc_id long, text string, _base int, _spans int, found int")
+    assert secrets.redacted(docs).first().asDict() == {"doc_id": 1, "text": "[SECRET]", "_base": 5, "_spans": 6, "found": 7}
+    assert secrets.scanned(docs).columns == ["doc_id", "_base", "_spans", "found", "assign", "access", "hex", "tests"]
