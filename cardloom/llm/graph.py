@@ -1,24 +1,38 @@
-"""Connected components of an undirected graph given as an edge table."""
+"""Connected components of an undirected graph given as an edge table, and joins with hot keys."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import settle
 
+#: Keys with at least a row in so many are broadcast, so these are so many at most.
+HOT = 1_000
+
+
+def join_by_key(rows: DataFrame, found: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """Inner join of rows with found, which holds each key once and in ``n`` how many of the rows have it.
+
+    Rows of keys that hold a ``HOT``-th of the ``total`` rows or more meet them by broadcast, where they
+    are: there are ``HOT`` such keys at most.  All others are shuffled, and none of them fills a task.
+    """
+    most = max(1, total // HOT)
+    hot, rest = F.broadcast(found.where(F.col(n) > most).drop(n)), found.where(F.col(n) <= most).drop(n)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(rest, key))
+
+
+def least_by_key(rows: DataFrame, key: str, value: Column | str, name: str, total: int) -> DataFrame:
+    """rows with a column of the least value among the rows of their key; null keys go."""
+    least = rows.groupBy(key).agg(F.min(value).alias(name), F.count("*").alias("_n"))
+    return join_by_key(rows, least, key, "_n", total)
+
 
 def _state(edges: DataFrame) -> tuple:
     """Count and order-free checksum of an edge set."""
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
 
 
-def _with_least(pairs: DataFrame) -> DataFrame:
-    """(node, other) rows with the least other of each node; partial minima keep hubs cheap."""
-    least = pairs.groupBy("node").agg(F.min("other").alias("least"))
-    return pairs.join(least, "node")
-
-
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for each node that has an edge; root is the least node of its component.
 
@@ -37,13 +51,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             edges.select(F.col("lo").alias("node"), F.col("hi").alias("other"))
         )
         large = (
-            _with_least(both)
+            least_by_key(both, "node", "other", "least", 2 * before[0])
             .where("other > node")
             .select(F.col("other").alias("node"), F.least("least", "node").alias("other"))
             .distinct()
         )
         large = settle(large)
-        small = _with_least(large).select(F.explode(F.array("node", "other")).alias("hi"), F.col("least").alias("lo"))
+        small = least_by_key(large, "node", "other", "least", before[0]).select(F.explode(F.array("node", "other")).alias("hi"), F.col("least").alias("lo"))
         edges = settle(small.where("hi > lo").distinct())
         now = _state(edges)
         if now == before:

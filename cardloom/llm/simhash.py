@@ -10,7 +10,11 @@ common.  That gives keys which survive errors:
 * some segment has no error, so of the two others one has at most two: the key is
   the exact segment plus a codeword of the other one;
 * no segment is without error, so with at most four errors two segments have
-  exactly one each: the key is a codeword of both, widened on one side only.
+  exactly one each, and the third at most two: the key is a codeword of each of the first two, widened
+  on one side only, and a codeword of the third.
+
+So a key holds 33 bits at least.  A fingerprint has some 190 keys and meets, in all its buckets together, about
+one of 1.2 million unrelated ones.
 
 Equal keys bring fingerprints together; their distance is then verified.  A
 bucket is searched breadth first for a spanning forest, so a dense group of n
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from . import jaccard
-from .graph import components
+from .graph import components, join_by_key, least_by_key
 from .runtime import settle
 
 SEED = 42
@@ -154,13 +158,18 @@ def keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 keys.append(kind << 40 | exact[a][row] << 12 | code)
                 rows.append(row)
                 kind += 1
-    for a, b in ((0, 1), (0, 2), (1, 2)):
-        row, code = near[b]
-        keys.append(kind << 40 | plain[a][row] << 12 | code)
-        rows.append(row)
-        row, code = near[a]
-        keys.append(kind << 40 | code << 12 | plain[b][row])
-        rows.append(row)
+    for a, b, c in ((0, 1, 2), (0, 2, 1), (1, 2, 0)):
+        (row_b, code_b), (row_a, code_a) = near[b], near[a]
+        new = code_a != plain[a][row_a]
+        row = np.concatenate([row_b, row_a[new]])
+        pair = np.concatenate([plain[a][row_b] << 12 | code_b, code_a[new] << 12 | plain[b][row_a[new]]])
+        row_c, code_c = near[c]
+        counts = np.bincount(row_c, minlength=len(prints))
+        starts, many = np.cumsum(counts) - counts, counts[row]
+        each = np.repeat(np.arange(len(row)), many)
+        step = np.arange(len(each)) - np.repeat(np.cumsum(many) - many, many)
+        keys.append(kind << 40 | pair[each] << 12 | code_c[starts[row[each]] + step])
+        rows.append(row[each])
         kind += 1
     return np.concatenate(keys), np.concatenate(rows)
 
@@ -313,14 +322,13 @@ def groups(
     columns = ["fingerprint", *(f"word{i}" for i in range(1, words))]
     marked = docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle, words).alias("words"))
     prints = settle(marked.select("doc_id", *[F.get("words", F.lit(i)).alias(c) for i, c in enumerate(columns)]))
-    distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"), *[F.min(c).alias(c) for c in columns[1:]])
-    linked = components(links(distinct, columns, max_bits, keyed))
-    rooted = distinct.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
-        "root", F.coalesce("root", "fingerprint")
-    )
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    own = [F.min("doc_id").alias("least_id"), F.count("*").alias("_n"), *[F.min(c).alias(c) for c in columns[1:]]]
+    distinct = settle(prints.groupBy("fingerprint").agg(*own))
+    linked = components(links(distinct, columns, max_bits, keyed)).withColumnRenamed("node", "fingerprint")
+    rooted = settle(distinct.join(linked, "fingerprint", "left").select("fingerprint", "least_id", "_n", F.coalesce("root", "fingerprint").alias("root")))
+    n_distinct, n = rooted.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    named = least_by_key(rooted, "root", "least_id", "component_id", n_distinct).select("fingerprint", "component_id", "_n")
+    return join_by_key(prints, named, "fingerprint", "_n", n).select("doc_id", "fingerprint", "component_id")
 
 
 def near_copies_dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:

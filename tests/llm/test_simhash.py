@@ -104,3 +104,51 @@ def test_one_of_each_group_stays(spark):
     docs = spark.createDataFrame([(3, text, "x"), (1, text, "y"), (1, text, "y"), (2, "other words here now and then", "z"), (9, None, "n")], "doc_id long, text string, source string")
     kept = simhash.near_copies_dropped(docs)
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 9] and kept.columns == docs.columns
+
+
+def test_keys_meet_for_every_split_of_errors():
+    """Four errors in every way over the segments, (2, 1, 1) and its kin the hardest."""
+    rng = np.random.default_rng(2)
+    base, other = [], []
+    for split in [(a, b, c) for a in range(5) for b in range(5) for c in range(5) if a + b + c <= 4]:
+        for _ in range(40):
+            x = y = int(rng.integers(0, 1 << 63))
+            for (at, width), errors in zip(simhash.SEGMENTS, split):
+                for bit in rng.choice(width, errors, replace=False):
+                    y ^= 1 << at + int(bit)
+            base.append(x), other.append(y)
+    found = [{}, {}]
+    for side, prints in enumerate((base, other)):
+        for key, row in zip(*simhash.keys_of(np.array(prints, np.uint64))):
+            found[side].setdefault(int(row), []).append(int(key))
+    assert all(set(found[0][i]) & set(found[1][i]) for i in range(len(base)))
+    assert all(len(keys) == len(set(keys)) for keys in found[0].values()) and max(map(len, found[0].values())) < 320
+
+
+def test_unrelated_fingerprints_rarely_share_a_key():
+    prints = np.random.default_rng(3).integers(0, 1 << 63, 20_000, dtype=np.uint64)
+    keys, rows = simhash.keys_of(prints)
+    assert 180 < len(keys) / len(prints) < 260
+    _, sizes = np.unique(keys, return_counts=True)
+    assert (sizes * (sizes - 1)).sum() / len(keys) < 2e-4  # others met in a bucket, which grows with the rows
+
+
+def test_null_and_repeated_ids(spark):
+    rows = [(None, "a b c d e"), (5, "a b c d e"), (5, "quite other words, these are"), (5, "a b c d e"), (None, "alone here among all the others")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.groups(docs).collect()}
+    assert simhash.groups(docs).count() == 5 and len(found) == 4
+    by_text = [plain_fingerprint(t, 4) for _, t in rows]
+    signed = [p - (1 << 64) if p >> 63 else p for p in by_text]
+    assert found[None, signed[0]] == found[5, signed[0]] == found[5, signed[2]] == 5 and found[None, signed[4]] is None
+
+
+def test_hot_keys_are_joined_where_they_are(spark):
+    from cardloom.llm import graph
+
+    rows = spark.createDataFrame([(i if i % 3 else 0, i) for i in range(9000)] + [(None, 1)], "k long, v long")
+    got = graph.least_by_key(rows, "k", "v", "least", 9001)
+    assert got.count() == 9000 and got.where("least <> if(k = 0, 0, k)").count() == 0
+    star = spark.createDataFrame([(0, i) for i in range(1, 4000)] + [(5000, 5001), (5001, 5002), (7, 7), (None, 3)], "a long, b long")
+    roots = {r.node: r.root for r in graph.components(star).collect()}
+    assert len(roots) == 4003 and {roots[i] for i in range(4000)} == {0} and {roots[i] for i in (5000, 5001, 5002)} == {5000}
