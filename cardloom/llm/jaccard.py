@@ -7,10 +7,10 @@ frequent shingles last keeps buckets small.  Which ones are frequent is taken fr
 
 Two sets whose first key in common is at the places i and j have at most the lesser of n - i
 and m - j shingles in common, which rules out most of those that share only frequent ones.
-The others are compared whole, by their texts.  Equal sets are one set throughout.  Where buckets
-are so large that all their pairs would be too many, one set of each bucket is compared with
-all others first, which joins most of a group of copies; then all pairs of a bucket are compared
-that are not yet in one group.
+The others are compared whole, by their texts.  Equal texts are one throughout.  Candidates that
+another method has found (``near``) are compared first, which joins most copies.  Where buckets
+are so large that all their pairs would still be too many, one set of each bucket is compared with
+all others next; then all pairs of a bucket are compared that are not yet in one group.
 """
 
 from __future__ import annotations
@@ -20,14 +20,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
-from .graph import components
+from .graph import components, join_by_key, least_by_key
 from .runtime import settle
+from .shingles import hashes_of, majority
 
-SEED = 42
 #: Documents that tell which shingles are frequent, and how many of these are known by name. Results do not depend on them.
 SAMPLE, FREQUENT = 4_096, 65_536
 #: Stars are drawn while buckets hold more open pairs than so many for each of their rows, and this often at most.
@@ -39,14 +39,7 @@ _SLACK = 1e-9
 
 def shingles_of(text: str | None, shingle: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of shingle words; of all words where there are fewer, none without words."""
-    found = (text or "").encode().lower().split()  # bytes: A-Z only, and exactly the ASCII white space
-    if not found:
-        return np.zeros(0, np.uint64)
-    joined = b" ".join(found)
-    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
-    starts = [0, *(ends[: max(0, len(found) - shingle)] + 1).tolist()]
-    ends = ends[min(shingle, len(found)) - 1 :].tolist()
-    return np.unique(np.array([xxhash.xxh64_intdigest(joined[i:j], SEED) for i, j in zip(starts, ends)], np.uint64))
+    return np.unique(hashes_of(text, shingle))
 
 
 def keys_of(hashes: np.ndarray, similarity: float, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -66,8 +59,9 @@ def _alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
     return common >= similarity * (len(x) + len(y) - common) - _SLACK
 
 
-def _identity(hashes: np.ndarray) -> int:
-    return int(np.array(xxhash.xxh64_intdigest(hashes.tobytes(), SEED), np.uint64).view(np.int64))
+def identity(text: Column) -> Column:
+    """A text's number: equal texts have equal ones, and so have all wordless ones, null among them."""
+    return F.xxhash64(F.when(text.rlike(r"[^\x20\x09-\x0D]"), text).otherwise(""))
 
 
 def _frequent(docs: DataFrame, doc_id: str, text: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,64 +117,122 @@ def _pairs(a: str, b: str, similarity: float):
     return (F.col(f"{a}.root") != F.col(f"{b}.root")) & fits
 
 
-def groups(docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float) -> DataFrame:
-    """(doc_id, component_id): one row per row of docs; component_id is the least doc_id that copies of copies reach.
+def _fetched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, text) of the documents that pairs ask for, and of few others.
 
-    Null and wordless texts are copies of each other.  A null doc_id is no component_id
-    unless nothing else is there.
+    Which ones is a map of bits, so that the other texts are left out where they are read.
+    """
+    slots = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    slot = F.col("id").bitwiseAND(F.lit(MAP - 1))
+    maps = slots.groupBy(F.shiftright(slot, 15).alias("part")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+    asked = np.zeros((MAP >> 15, 1 << 12), np.uint8)
+    for part, bits in maps.collect():
+        asked[part] = np.frombuffer(bits, np.uint8)
+    asked = asked.reshape(-1)
+
+    @arrow_udf("boolean")
+    def wanted(ids: pa.Array) -> pa.Array:
+        at = ids.to_numpy(zero_copy_only=False) & (MAP - 1)
+        return pa.array((asked[at >> 3] >> (at & 7) & 1).astype(bool))
+
+    return docs.where(wanted("id")).groupBy("id").agg(F.min("text").alias("text"))
+
+
+def rooted(
+    docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float, near: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, id) of every row, and (node, root) of every id that has a copy.
+
+    ``near`` takes (id, fingerprint), the fingerprint being the majority of the bits of all shingles, and
+    gives (a, b) pairs of ids to be compared first.
     """
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), identity(F.col(text).cast("string")).alias("id"))
     frequent, rank = _frequent(docs, doc_id, text, shingle)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles_of(x.as_py(), shingle) for x in batch.column(1)]
-            keys = [keys_of(s, similarity, frequent, rank).view(np.int64) for s in sets]
+            every = [hashes_of(x.as_py(), shingle) for x in batch.column(1)]
+            sets = list(map(np.unique, every))
+            keys = [keys_of(x, similarity, frequent, rank).view(np.int64) for x in sets]
+            prints = np.array(list(map(majority, every)), np.uint64).view(np.int64)
             yield pa.record_batch(
-                [batch.column(0), pa.array(map(_identity, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "id", "size", "keys"],
+                [batch.column(0), batch.column(2), pa.array(prints), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "id", "fingerprint", "size", "keys"],
             )
 
-    def texts(pairs: DataFrame) -> DataFrame:
-        slots = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        slot = F.col("id").bitwiseAND(F.lit(MAP - 1))
-        maps = slots.groupBy(F.shiftright(slot, 15).alias("part")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
-        asked = np.zeros((MAP >> 15, 1 << 12), np.uint8)
-        for part, bits in maps.collect():
-            asked[part] = np.frombuffer(bits, np.uint8)
-        asked = asked.reshape(-1)
-
-        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                own = np.array([_identity(shingles_of(x.as_py(), shingle)) for x in batch.column(0)], np.int64)
-                at = own & (MAP - 1)
-                keep = pa.array((asked[at >> 3] >> (at & 7) & 1).astype(bool))
-                yield pa.record_batch([pa.array(own), batch.column(0)], ["id", "text"]).filter(keep)
-
-        return docs.select(F.col(text).cast("string")).mapInArrow(whole, "id long, text string").groupBy("id").agg(F.min("text").alias("text"))
-
     kind = docs.schema[doc_id].dataType.simpleString()
-    marked = settle(docs.select(F.col(doc_id).alias("doc_id"), F.col(text)).mapInArrow(keyed, f"doc_id {kind}, id long, size long, keys array<long>"))
+    marked = settle(own.mapInArrow(keyed, f"doc_id {kind}, id long, fingerprint long, size long, keys array<long>"))
     rows = marked.dropDuplicates(["id"]).select(F.posexplode("keys").alias("at", "key"), "id", "size")
     shared = rows.withColumn("_members", F.count("*").over(Window.partitionBy("key"))).where("_members > 1")
     buckets = settle(shared.select("key", "id", "size", "at", F.col("id").alias("root")))
-    links = _links(buckets, lambda pairs: _verified(pairs, texts, shingle, similarity), similarity)
-    rooted = marked.select("doc_id", "id").join(components(links).withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    return rooted.join(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("doc_id", "component_id")
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, lambda asked: _fetched(own, asked), shingle, similarity)
 
-def _links(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], similarity: float, allowed: int = PAIRS) -> DataFrame:
-    """(a, b) links that join all sets of a bucket that are alike, directly or through others."""
-    links = None
+    first = None
+    if near is not None:
+        first = verified(_ordered(near(marked.groupBy("id").agg(F.min("fingerprint").alias("fingerprint"))).where("a <> b")))
+    links = _links(buckets, verified, similarity, first=first)
+    return marked.select("doc_id", "id"), settle(components(links))
+
+
+def groups(docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(doc_id, component_id): one row per row of docs; component_id is the least doc_id that copies of copies reach.
+
+    Null and wordless texts are copies of each other.  A null doc_id is no component_id
+    unless nothing else is there.
+    """
+    rows, roots = rooted(docs, doc_id, text, shingle, similarity, near)
+    own = rows.groupBy("id").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("_n"))
+    named = settle(own.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")))
+    n_texts, n = named.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    found = least_by_key(named, "root", "least_id", "component_id", n_texts).select("id", "component_id", "_n")
+    return join_by_key(rows, found, "id", "_n", n).select("doc_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The row of least doc_id of each group of copies, null ids last; of different texts with this id in one group the one of least number.
+
+    Ids and numbers are chosen first; then the texts are dealt once, to meet what was chosen.
+    """
+    rows, roots = rooted(docs, doc_id, text, shingle, similarity, near)
+    order = (F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("id"), F.col("_n"))
+    counted = rows.groupBy("id", "doc_id").agg(F.count("*").alias("_n"))
+    least = counted.groupBy("id").agg(F.min(F.struct(*order)).alias("least"))
+    kept = least.join(roots.withColumnRenamed("node", "id"), "id", "left").groupBy(F.coalesce("root", "id")).agg(F.min("least").alias("least"))
+    keys = [_free(docs, "kept_id"), _free(docs, "kept_doc"), _free(docs, "kept_n")]
+    kept = kept.select(F.col("least.id").alias(keys[0]), _number(F.col("least.doc_id")).alias(keys[1]), F.col("least._n").alias(keys[2]))
+    marked = docs.withColumns({keys[0]: identity(F.col(text).cast("string")), keys[1]: _number(F.col(doc_id))}).join(settle(kept), keys[:2])
+    once, more = marked.where(F.col(keys[2]) == 1), marked.where(F.col(keys[2]) > 1).dropDuplicates(keys[:2])
+    return once.unionByName(more).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _number(doc_id: Column) -> Column:
+    return F.xxhash64(doc_id.isNull(), doc_id)
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs doesn't have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def _links(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], similarity: float, allowed: int = PAIRS, first: DataFrame | None = None) -> DataFrame:
+    """(a, b) links that join all sets of a bucket that are alike, directly or through others; first are links already known."""
+    links = first
+    if first is not None:
+        buckets = _open(buckets, first)
     for star in range(STARS):
         if not _many(buckets, allowed):
             break
-        first = F.min(F.struct(F.xxhash64("id", F.lit(star)).alias("_order"), "id", "size", "at", "root")).over(Window.partitionBy("key"))
-        drawn = buckets.select(F.struct("id", "size", "at", "root").alias("own"), first.alias("hub")).where(_pairs("own", "hub", similarity))
-        found = verified(_ordered(drawn, "own", "hub"))
+        hub = F.min(F.struct(F.xxhash64("id", F.lit(star)).alias("_order"), "id", "size", "at", "root")).over(Window.partitionBy("key"))
+        drawn = buckets.select(F.struct("id", "size", "at", "root").alias("own"), hub.alias("hub")).where(_pairs("own", "hub", similarity))
+        found = verified(_ordered(drawn, "own.id", "hub.id"))
         links = found if links is None else links.unionByName(found)
         buckets = _open(buckets, links)
     both = buckets.alias("x").join(buckets.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & _pairs("x", "y", similarity))
-    found = verified(_ordered(both, "x", "y"))
+    found = verified(_ordered(both, "x.id", "y.id"))
     return found if links is None else links.unionByName(found)
 
 
@@ -191,5 +243,5 @@ def _many(buckets: DataFrame, allowed: int) -> bool:
     return n is not None and pairs > allowed * n
 
 
-def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    return pairs.select(F.least(f"{a}.id", f"{b}.id").alias("a"), F.greatest(f"{a}.id", f"{b}.id").alias("b")).distinct()
+def _ordered(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()

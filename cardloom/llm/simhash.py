@@ -33,7 +33,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -41,64 +40,25 @@ from pyspark.sql.functions import arrow_udf
 from . import jaccard
 from .graph import components, join_by_key, least_by_key
 from .runtime import settle
+from .shingles import hashes_of, majority
 
-SEED = 42
 MAX_BITS = 4
 BLOCK = 4096
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 generates the (23, 12, 7) code.
 GENERATOR = 0b101011100011
-_CHUNK = 1 << 16
-
-
-def fingerprint_of(text: str | None, shingle: int, words: int = 1) -> list[int]:
-    """Unsigned 64-bit words of the fingerprint of one text; zero where it has no words."""
-    found = (text or "").encode().lower().split()  # bytes: A-Z only, and exactly the ASCII white space
-    if not found:
-        return [0] * words
-    joined = b" ".join(found)
-    lengths = np.fromiter(map(len, found), np.int64, len(found))
-    ends = np.cumsum(lengths + 1) - 1
-    n = max(1, len(found) - shingle + 1)
-    starts = (ends - lengths)[:n].tolist()
-    ends = ends[min(shingle, len(found)) - 1 :].tolist()
-    digest = xxhash.xxh64_intdigest
-    ones = np.zeros((words, 64), np.int64)
-    for at in range(0, n, _CHUNK):
-        some = np.array([digest(joined[i:j], SEED) for i, j in zip(starts[at : at + _CHUNK], ends[at : at + _CHUNK])], np.uint64)
-        for w in range(words):
-            ones[w] += _ones(_mixed(some, w))
-    majority = (2 * ones > n).astype(np.uint8)
-    return np.packbits(majority, axis=1, bitorder="little").view("<u8")[:, 0].tolist()
-
-
-def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
-    """The hashes themselves, or for further words other ones made of them."""
-    if word:
-        hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15 + 2 * word)
-        hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        hashes = hashes ^ (hashes >> np.uint64(32))
-    return hashes
-
-
-def _ones(hashes: np.ndarray) -> np.ndarray:
-    """How many hashes have each bit; bytes of eight counters are added at once, 255 rows at most."""
-    lanes = np.unpackbits(hashes.astype("<u8").view(np.uint8), bitorder="little").view(np.uint64).reshape(-1, 8)
-    sums = np.add.reduceat(lanes, np.arange(0, len(lanes), 255), axis=0)
-    return sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
-
-
-def fingerprint(text: Column | str, shingle: int = 4, words: int = 1) -> Column:
-    """SimHash of a text column, an array of 64-bit words as signed longs.
+
+
+def fingerprint(text: Column | str, shingle: int = 4) -> Column:
+    """SimHash of a text column as a signed long.
 
     Words of a text are runs of non-white-space after lower-casing A-Z; shingles count
     as often as they occur.  Null and wordless texts give 0.
     """
 
-    @arrow_udf("array<long>")
+    @arrow_udf("long")
     def hashed(texts: pa.Array) -> pa.Array:
-        found = np.array([fingerprint_of(x.as_py(), shingle, words) for x in texts], np.uint64).reshape(-1, words)
-        return pa.array(list(found.view(np.int64)), pa.list_(pa.int64()))
+        return pa.array(np.array([majority(hashes_of(x.as_py(), shingle)) for x in texts], np.uint64).view(np.int64))
 
     return hashed(text)
 
@@ -266,81 +226,78 @@ def _runs(words: np.ndarray, starts: np.ndarray, last: int, max_bits: int) -> It
             yield _links(x[near, 0], y[near, 0])
 
 
-def links(prints: DataFrame, columns: list[str], max_bits: int = MAX_BITS, keyed: int = 1, block: int = BLOCK) -> DataFrame:
-    """(a, b) links between first words that join fingerprints within max_bits into groups.
+def links(prints: DataFrame, column: str = "fingerprint", max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+    """(a, b) links that join distinct fingerprints within max_bits, four at most, into groups.
 
-    ``prints`` holds the words of fingerprints in non-null columns, the first word being
-    distinct; the first ``keyed`` give keys.  Not every near pair is returned, but every
-    pair found near is connected by returned links.  With one word and up to four
-    bits all near pairs are found.
+    Not every near pair is returned, but every near pair is connected by returned links.
     """
-    words = [f"_w{i}" for i in range(len(columns))]
-    prints = prints.select(*[F.col(c).cast("long").alias(w) for c, w in zip(columns, words)])
+    prints = prints.select(F.col(column).cast("long").alias("word"))
 
     def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(words))])
+            values = batch.column(0).to_numpy(zero_copy_only=False)
             for at in range(0, len(values), 4096):
                 some = values[at : at + 4096]
-                for w in range(keyed):
-                    key, row = keys_of(np.ascontiguousarray(some[:, w]).view(np.uint64))
-                    yield pa.record_batch([pa.array(w << 50 | key), *(pa.array(some[row, i]) for i in range(len(words)))], ["key", *words])
+                key, row = keys_of(some.view(np.uint64))
+                yield pa.record_batch([pa.array(key), pa.array(some[row])], ["key", "word"])
 
-    ddl = ", ".join(["key long", *(f"{w} long" for w in words)])
-    dealt = prints.mapInArrow(widen, ddl).repartition("key").sortWithinPartitions("key", words[0])
+    dealt = prints.mapInArrow(widen, "key long, word long").repartition("key").sortWithinPartitions("key", "word")
     found = settle(dealt.mapInArrow(_buckets(1, max_bits, block), "a long, b long, key long"))
-    large = found.where("key is not null").select("key", F.col("a").alias(words[0])).distinct()
+    large = found.where("key is not null").select("key", F.col("a").alias("word")).distinct()
     parts = large.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    own = F.pmod(F.xxhash64(words[0]), F.col("parts")).cast("int")
+    own = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
     blocks = (
-        large.join(prints, words[0])
-        .join(parts, "key")
+        large.join(parts, "key")
         .withColumn("own", own)
-        .select("key", *words, "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *words)
+        .select("key", "word", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "word")
     )
     rest = (
         blocks.repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j", words[0])
+        .sortWithinPartitions("key", "i", "j", "word")
         .mapInArrow(_buckets(3, max_bits, None), "a long, b long, key long")
     )
     return found.where("key is null").select("a", "b").unionByName(rest.select("a", "b"))
 
 
-def groups(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = MAX_BITS, words: int = 1, keyed: int = 1
-) -> DataFrame:
+def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id): one row per row of docs.
 
-    fingerprint is the first word as a signed long; component_id the least doc_id that
+    fingerprint is a signed long; component_id the least doc_id that
     links reach, the document itself included.  Null and wordless texts have fingerprint 0,
-    which links like any other.  Documents with the same first word are together.
-    Repeated rows stay and share a component; a null doc_id keeps its row and is no
+    which links like any other.  Repeated rows stay and share a component; a null doc_id keeps its row and is no
     component_id unless nothing else is there.  An empty table gives an empty result;
     other columns are not read.
     """
-    columns = ["fingerprint", *(f"word{i}" for i in range(1, words))]
-    marked = docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle, words).alias("words"))
-    prints = settle(marked.select("doc_id", *[F.get("words", F.lit(i)).alias(c) for i, c in enumerate(columns)]))
-    own = [F.min("doc_id").alias("least_id"), F.count("*").alias("_n"), *[F.min(c).alias(c) for c in columns[1:]]]
-    distinct = settle(prints.groupBy("fingerprint").agg(*own))
-    linked = components(links(distinct, columns, max_bits, keyed)).withColumnRenamed("node", "fingerprint")
+    prints = settle(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fingerprint")))
+    distinct = settle(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("_n")))
+    linked = components(links(distinct, "fingerprint", max_bits)).withColumnRenamed("node", "fingerprint")
     rooted = settle(distinct.join(linked, "fingerprint", "left").select("fingerprint", "least_id", "_n", F.coalesce("root", "fingerprint").alias("root")))
     n_distinct, n = rooted.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
     named = least_by_key(rooted, "root", "least_id", "component_id", n_distinct).select("fingerprint", "component_id", "_n")
     return join_by_key(prints, named, "fingerprint", "_n", n).select("doc_id", "fingerprint", "component_id")
 
 
+def near_pairs(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(a, b) pairs of ids that join all rows of (id, fingerprint) whose fingerprints are near; ids are distinct."""
+    prints = settle(prints)
+    own = settle(least_by_key(prints, "fingerprint", "id", "least", prints.count()))
+    first = own.where("id = least").select("fingerprint", "id")
+    linked = settle(links(first, "fingerprint", max_bits))
+    for side in ("a", "b"):
+        linked = linked.join(first.withColumnsRenamed({"fingerprint": side, "id": f"id_{side}"}), side)
+    return own.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).unionByName(linked.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
+
+
 def near_copies_dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Rows of docs without near copies: of each group the row with the least doc_id stays.
+    """docs without near copies: of each group the row of least doc_id stays, null ids last.
 
     Copies have a Jaccard similarity of their sets of shingles of at least the given one;
-    all such pairs are linked, and no others.  Rows of one doc_id count as one.  Null ids
-    come last.  Columns are those of docs.
+    all such pairs are linked, and no others.  Fingerprints that are near find most of them, the shared
+    shingles of ``jaccard`` the rest; all are compared whole.  Different texts of one doc_id that are no copies
+    both stay, equal rows count as one.  Null and wordless texts are copies.  Columns are those of docs.
     """
-    own = jaccard.groups(docs, doc_id, text, shingle, similarity)
-    kept = own.select(F.col("component_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept_id")), "left_semi").dropDuplicates([doc_id])
+    return jaccard.one_of_each(docs, doc_id, text, shingle, similarity, near_pairs)
 
 
 def as_hex(column: Column | str) -> Column:

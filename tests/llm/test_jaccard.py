@@ -68,11 +68,10 @@ def test_all_pairs_of_the_similarity_and_no_others(spark):
     assert [2 * i + 1 not in kept for i in range(300)] == near and all(2 * i in kept for i in range(300))
 
 
-@pytest.mark.parametrize("allowed", [jaccard.PAIRS, 0])
-def test_groups_equal_all_pairs(spark, monkeypatch, allowed):
-    """Chains, a passage that many hold, exact copies, with stars and without them."""
-    monkeypatch.setattr(jaccard, "PAIRS", allowed)
-    monkeypatch.setattr(jaccard._links, "__defaults__", (allowed,))
+@pytest.mark.parametrize(("allowed", "near"), [(jaccard.PAIRS, None), (0, None), (0, simhash.near_pairs)])
+def test_groups_equal_all_pairs(spark, monkeypatch, allowed, near):
+    """Chains, a passage that many hold, exact copies, with stars and without them, with fingerprints first."""
+    monkeypatch.setattr(jaccard._links, "__defaults__", (allowed, None))
     rng = random.Random(5)
     passage = " ".join(f"common{i}" for i in range(30))
     texts = [None, "", " \n", "A b", "a B", "one two three four five"]
@@ -84,7 +83,7 @@ def test_groups_equal_all_pairs(spark, monkeypatch, allowed):
     texts += [passage + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.choice([3, 6, 60]))) for _ in range(80)]
     texts += texts[10:20]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    found = {r.doc_id: r.component_id for r in jaccard.groups(docs, "doc_id", "text", 5, 0.8).collect()}
+    found = {r.doc_id: r.component_id for r in jaccard.groups(docs, "doc_id", "text", 5, 0.8, near).collect()}
     assert [found[i] for i in range(len(texts))] == least_ids(texts)
 
 

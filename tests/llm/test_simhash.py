@@ -66,7 +66,7 @@ def test_keys_meet_within_four_bits():
 def test_large_buckets_are_cut_exactly(spark):
     prints = [(x,) for x in range(1 << 10)] + [((1 << 62) + (1 << 50) + 3,)]
     frame = spark.createDataFrame(prints, "p long")
-    links = simhash.links(frame, ["p"], 1, block=50).collect()
+    links = simhash.links(frame, "p", 1, block=50).collect()
     root = {p: p for p, in prints}
 
     def find(x):
@@ -99,6 +99,16 @@ def test_copies_of_four_fifths(spark):
     assert sum(2 * i + 1 not in kept for i in range(40)) >= 30
 
 
+def test_texts_of_one_id_stay_unless_they_are_copies(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(80)) for k in "abc"}
+    rows = [(1, texts["a"], 7), (1, texts["b"], 7), (1, texts["b"], 8), (2, texts["a"] + " more", 7), (None, texts["c"], 7), (None, texts["c"], 7), (None, texts["b"], 7), (4, " \n", 7), (3, None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_id int")
+    kept = simhash.near_copies_dropped(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(1, texts["a"]), (1, texts["b"]), (0, texts["c"]), (3, "")])
+    assert simhash.near_copies_dropped(docs.limit(0)).count() == 0
+
+
 def test_one_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(300))
     docs = spark.createDataFrame([(3, text, "x"), (1, text, "y"), (1, text, "y"), (2, "other words here now and then", "z"), (9, None, "n")], "doc_id long, text string, source string")
