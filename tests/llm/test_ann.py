@@ -50,3 +50,16 @@ def test_ties_and_rows_that_take_no_part(spark):
 def test_depth_follows_likeness():
     assert ann.depths(0.99) > ann.depths(0.7) > ann.depths(0.3)
     assert ann.depths(-1.0)[0] == 0
+
+
+def test_a_segment_that_many_queries_come_to_is_read_by_several_tasks(spark, monkeypatch):
+    """Parts of a segment give what the whole gives; so do columns of doubles."""
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(600, 8)).astype(np.float32)
+    frame = spark.createDataFrame([(i, x.tolist(), "") for i, x in enumerate(v)], SCHEMA)
+    monkeypatch.setattr(ann, "SEGMENT", 100)
+    whole = found(frame, frame)
+    monkeypatch.setattr(ann, "BLOCK", 40)
+    assert found(frame, frame) == whole
+    double = frame.withColumn("embedding", frame.embedding.cast("array<double>"))
+    assert {q: [(r, i) for r, i, _ in x] for q, x in found(double, double).items()} == {q: [(r, i) for r, i, _ in x] for q, x in whole.items()}
