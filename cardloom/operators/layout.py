@@ -1,52 +1,61 @@
-"""From the lines of a page to its grid of cards, within each row: no shuffle, no Python.
+"""From the lines of a page to its grid of cards, within each row and without a shuffle.
 
 Line centres are merged along each axis by joining the neighbouring clusters with
 the least distance of medians until there are as many as rows or columns; each line
-goes to the nearest row and column.
+goes to the nearest row and column.  Merging is a sequence of choices, each of which depends on
+the ones before, so it is an Arrow function over the pages of a batch; all else is built-in expressions.
 """
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heappush
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from ..functions.text import CARD, Profile, extracted, let
 
 ROWS, COLUMNS = 3, 2
 
 
-def _median(values: Column) -> Column:
-    """Median of a sorted array."""
-    n = F.size(values)
-    upper = F.get(values, F.floor(n / 2).cast("int"))
-    return F.when(n % 2 == 1, upper).otherwise((F.get(values, F.floor(n / 2).cast("int") - 1) + upper) / 2)
-
-
 def centers(values: Column, target: Column | int) -> Column:
-    """Medians of at most target clusters of an array<double>, in rising order."""
-    target = F.lit(target) if isinstance(target, int) else target
-
-    def merge(clusters: Column, _: Column) -> Column:
-        def at_least(medians: Column) -> Column:
-            gaps = F.zip_with(F.slice(medians, 2, F.size(medians) - 1), F.slice(medians, 1, F.size(medians) - 1), lambda b, a: F.abs(b - a))
-            return let(gaps, lambda g: F.array_position(g, F.array_min(g)).cast("int"))
-
-        best = let(F.transform(clusters, _median), at_least)
-        return let(
-            best,
-            lambda i: F.concat(
-                F.slice(clusters, 1, i - 1),
-                F.array(F.concat(F.get(clusters, i - 1), F.get(clusters, i))),
-                F.slice(clusters, i + 2, F.size(clusters)),
-            ),
-        )
+    """Medians of at most target clusters of an array<double>, in rising order; of equal gaps the leftmost closes first.
 
-    def reduced(ordered: Column) -> Column:
-        # sequence(1, 0) counts down, so its length is cut by slice
-        steps = F.slice(F.sequence(F.lit(1), F.greatest(F.size(ordered), F.lit(1))), 1, F.greatest(F.size(ordered) - target, F.lit(0)))
-        return F.transform(F.aggregate(steps, F.transform(ordered, lambda x: F.array(x)), merge), _median)
+    A cluster is a stretch of the sorted values, so its median is read off their middle, and a merge
+    changes two gaps only: n log n steps for n values.
+    """
 
-    return let(F.array_sort(values), reduced)
+    def merged(values: list[float], target: int) -> list[float]:
+        own = sorted(values)
+        n = len(own)
+
+        def median(i: int, j: int) -> float:
+            return (own[(i + j - 1) // 2] + own[(i + j) // 2]) / 2
+
+        ends, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the cluster that starts at a place
+        alive = [True] * n
+        gaps = [(own[i + 1] - own[i], i, i + 1, i + 2) for i in range(n - 1)]  # distance, starts of both, end of the second
+        heapify(gaps)
+        for _ in range(n - max(target, 1)):
+            while True:
+                _, i, j, end = heappop(gaps)
+                if alive[i] and alive[j] and ends[i] == j and ends[j] == end:
+                    break  # otherwise one of them has grown since
+            ends[i], alive[j] = end, False
+            if end < n:
+                before[end] = i
+                heappush(gaps, (median(end, ends[end]) - median(i, end), i, end, ends[end]))
+            if i > 0:
+                heappush(gaps, (median(i, end) - median(before[i], i), before[i], i, end))
+        return [median(i, ends[i]) for i in range(n) if alive[i]]
+
+    @arrow_udf("array<double>")
+    def every(lists: pa.Array, targets: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else merged(v, n) for v, n in zip(lists.to_pylist(), targets.to_pylist())], pa.list_(pa.float64()))
+
+    return every(values, F.lit(target).cast("int") if isinstance(target, int) else target)
 
 
 def nearest(value: Column, among: Column) -> Column:
@@ -75,30 +84,35 @@ def cards(pages: DataFrame, texts: str = "line_texts", rects: str = "line_rects"
             (x + number(box, "width") / 2).alias("cx"), (y + number(box, "height") / 2).alias("cy"),
         )
 
-    def placed(items: Column) -> Column:
-        axes = F.struct(
-            centers(F.transform(items, lambda i: i["cy"]), F.least(F.lit(rows), F.size(lines))).alias("cy"),
-            centers(F.transform(items, lambda i: i["cx"]), columns).alias("cx"),
-        )
-        return let(
-            axes,
-            lambda at: F.transform(
-                items,
-                lambda i: F.struct(
-                    i["y"].alias("y"), i["x"].alias("x"), i["pos"].alias("pos"), i["text"].alias("text"),
-                    (nearest(i["cy"], at["cy"]) * columns + nearest(i["cx"], at["cx"]) + 1).alias("card_no"),
-                ),
+    def placed(page: Column) -> Column:
+        return F.transform(
+            page["items"],
+            lambda i: F.struct(
+                i["y"].alias("y"), i["x"].alias("x"), i["pos"].alias("pos"), i["text"].alias("text"),
+                (nearest(i["cy"], page["cy"]) * columns + nearest(i["cx"], page["cx"]) + 1).alias("card_no"),
             ),
         )
 
-    # items and centres are bound by lambdas: as columns they would be computed again for each line
-    page = pages.withColumn("_items", F.array_sort(let(F.transform(boxes, item), placed)))
+    own = "items"
+    while own in pages.columns:
+        own += "_"
+    items = F.transform(boxes, item)
+    page = pages.withColumn(
+        own,
+        F.struct(
+            items.alias("items"),
+            centers(F.transform(items, lambda i: i["cy"]), F.least(F.lit(rows), F.size(lines))).alias("cy"),
+            centers(F.transform(items, lambda i: i["cx"]), columns).alias("cx"),
+        ),
+    )
+    # the struct is bound by a lambda: as columns its parts would be computed again for each line
+    page = page.withColumn(own, F.array_sort(let(F.col(own), placed)))
     page = page.withColumn("card_no", F.explode(F.sequence(F.lit(1), F.lit(rows * columns))))
-    own = F.transform(F.filter("_items", lambda i: i["card_no"] == F.col("card_no")), lambda i: i["text"])
+    inside = F.transform(F.filter(own, lambda i: i["card_no"] == F.col("card_no")), lambda i: i["text"])
     row, column = F.floor((F.col("card_no") - 1) / columns) + 1, (F.col("card_no") - 1) % columns + 1
     kept = [c for c in pages.columns if c not in (texts, rects, "card_no", "grid_pos", "has_text", "line_texts", "extracted")]
     return (
-        page.withColumn("line_texts", own)
+        page.withColumn("line_texts", inside)
         .withColumn("grid_pos", F.concat(F.lit("r"), row.cast("string"), F.lit("c"), column.cast("string")))
         .select(*kept, "card_no", "grid_pos", (F.size("line_texts") > 0).alias("has_text"), "line_texts", extracted("line_texts", profile).alias("extracted"))
     )
