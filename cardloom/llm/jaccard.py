@@ -2,15 +2,21 @@
 
 Two sets of a similarity of t or more have at least t * n shingles in common, n the size of
 either.  So with all shingles in one order, the first n - ceil(t * n) + 1 of the one set and of
-the other have one in common.  Those are the keys; any order is exact, and one with
-frequent shingles last keeps buckets small.  Which ones are frequent is taken from a sample.
+the other have one in common.  Those are the keys; any order is exact, and one from rare to
+frequent keeps buckets small.
+
+Here the order is: shingles by the number of texts that have them, then those that are frequent
+in a sample of the documents, so that no shingle of a large part of all texts is ever dealt to be counted.  A text
+with enough shingles of its own has no copy at all and gets no key, which is so for most.
 
 Two sets whose first key in common is at the places i and j have at most the lesser of n - i
 and m - j shingles in common, which rules out most of those that share only frequent ones.
-The others are compared whole, by their texts.  Equal texts are one throughout.  Candidates that
-another method has found (``near``) are compared first, which joins most copies.  Where buckets
+The others are compared whole, by their texts.  Equal texts are one throughout.  Of the texts with keys,
+candidates that another method finds (``near``) are compared first, which joins most copies.  Where buckets
 are so large that all their pairs would still be too many, one set of each bucket is compared with
 all others next; then all pairs of a bucket are compared that are not yet in one group.
+
+Keys, hubs and texts that a large part of the rows have are met where these rows are, or in many parts.
 """
 
 from __future__ import annotations
@@ -24,12 +30,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .graph import components, join_by_key, least_by_key
+from .graph import HOT, components, join_by_key, least_by_key
 from .runtime import settle
 from .shingles import hashes_of, majority
 
 #: Documents that tell which shingles are frequent, and how many of these are known by name. Results do not depend on them.
-SAMPLE, FREQUENT = 4_096, 65_536
+SAMPLE, FREQUENT, SEED = 4_096, 65_536, 42
 #: Stars are drawn while buckets hold more open pairs than so many for each of their rows, and this often at most.
 PAIRS, STARS = 4, 3
 #: Bits of the map by which texts that no pair asks for are left out before they are dealt; equal bits only cost time.
@@ -42,16 +48,20 @@ def shingles_of(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(hashes_of(text, shingle))
 
 
-def keys_of(hashes: np.ndarray, similarity: float, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The first hashes in the common order, as many as a set this similar cannot lack all of; frequent is sorted."""
-    most = len(hashes) - max(1, math.ceil(similarity * len(hashes) - _SLACK)) + 1 if len(hashes) else 0
+def n_keys(n: int, similarity: float) -> int:
+    """How many of its n shingles a set this similar to another cannot lack all of."""
+    return n - max(1, math.ceil(similarity * n - _SLACK)) + 1 if n else 0
+
+
+def split_keys(hashes: np.ndarray, similarity: float, frequent: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes that are not frequent, and the frequent ones that are needed where those are fewer than the keys; frequent is sorted."""
     if not len(frequent):
-        return hashes[:most]
+        return hashes, hashes[:0]
     place = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
     known = frequent[place] == hashes
-    rare = hashes[~known][:most]
+    rare = hashes[~known]
     late = hashes[known][np.argsort(rank[place[known]])]
-    return np.concatenate([rare, late[: most - len(rare)]])
+    return rare, late[: max(0, n_keys(len(hashes), similarity) - len(rare))]
 
 
 def _alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
@@ -64,50 +74,119 @@ def identity(text: Column) -> Column:
     return F.xxhash64(F.when(text.rlike(r"[^\x20\x09-\x0D]"), text).otherwise(""))
 
 
-def _frequent(docs: DataFrame, doc_id: str, text: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes that come more than once in a sample, sorted, and their ranks from rare to frequent."""
-    share = SAMPLE / max(1, docs.count())
+def _frequent(own: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes that more than one text of a sample has, sorted, and their ranks from rare to frequent."""
+    n = own.count()
+    some = own.sample(SAMPLE / n, SEED) if n > SAMPLE else own
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in batch.column(0):
                 yield pa.record_batch([pa.array(shingles_of(x.as_py(), shingle).view(np.int64))], ["hash"])
 
-    some = docs.where(F.pmod(F.xxhash64(F.col(doc_id)), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else docs
-    counts = some.select(F.col(text)).mapInArrow(hashed, "hash long").groupBy("hash").count().where("count > 1")
+    counts = some.dropDuplicates(["id"]).select("text").mapInArrow(hashed, "hash long").groupBy("hash").count().where("count > 1")
     rows = counts.orderBy(F.desc("count"), "hash").limit(FREQUENT).collect()
     hashes = np.array([r[0] for r in rows], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     return hashes[order], -np.arange(len(rows))[order]
 
 
-def _verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], shingle: int, similarity: float) -> DataFrame:
-    """Those of the (a, b) pairs whose whole sets are alike."""
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (key, id) rows sorted by both those whose key has several ids, once each, with the number of these."""
+    held = [np.zeros(0, np.int64)] * 2
+
+    def several(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        starts = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0] if len(keys) else np.zeros(0, np.int64)
+        sizes = np.diff(np.append(starts, len(keys)))
+        each = np.repeat(sizes, sizes)
+        keep = each > 1
+        return pa.record_batch([pa.array(keys[keep]), pa.array(ids[keep]), pa.array(each[keep].astype(np.int64))], ["key", "id", "df"])
+
+    for batch in batches:
+        keys, ids = (np.concatenate([h, batch.column(i).to_numpy(zero_copy_only=False)]) for i, h in enumerate(held))
+        new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])]) if len(keys) else np.zeros(0, bool)
+        keys, ids = keys[new], ids[new]
+        last = np.searchsorted(keys, keys[-1], "left") if len(keys) else 0  # its run may go on
+        yield several(keys[:last], ids[:last])
+        held = [keys[last:], ids[last:]]
+    yield several(*held)
+
+
+def _keys(marked: DataFrame, similarity: float) -> DataFrame:
+    """(key, id, size, at) of the texts that may have a copy; at is the key's place among the text's shingles."""
+    dealt = marked.select(F.explode("rare").alias("key"), "id").repartition("key").sortWithinPartitions("key", "id")
+    shared = settle(dealt.mapInArrow(_shared, "key long, id long, df long"))
+    sizes = marked.groupBy("id").agg(F.first("n").alias("n"), F.first("m").alias("m"))
+    n_own = F.col("m") - F.coalesce("n_shared", F.lit(0))  # shingles that no other text has come first
+    wanted = F.col("n") - F.greatest(F.lit(1), F.ceil(similarity * F.col("n") - _SLACK)) + 1 - n_own
+    alive = sizes.join(shared.groupBy("id").agg(F.count("*").alias("n_shared")), "id").select("id", "n", n_own.alias("own"), wanted.alias("wanted")).where("wanted > 0")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("df", "key"))
+    early = shared.join(alive, "id").withColumn("place", place).where("place <= wanted").select("key", "id", F.col("n").alias("size"), (F.col("own") + F.col("place") - 1).alias("at"))
+    late = marked.where(F.size("late") > 0).select("id", F.col("n").alias("size"), "m", F.posexplode("late").alias("i", "key"))
+    return early.unionByName(late.select("key", "id", "size", (F.col("m") + F.col("i")).alias("at")).distinct())
+
+
+def _verified(pairs: DataFrame, own: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Those of the (a, b) pairs whose whole sets are alike.
+
+    A text that many pairs ask for is compared in many tasks: each has it once and reads those it is compared with.
+    """
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: list[tuple] = [(None, None), (None, None)]
+        now, held = None, np.zeros(0, np.uint64)
         for batch in batches:
-            keep = []
-            for row in zip(*(batch.column(i) for i in (2, 3))):
-                for side, value in enumerate(row):
-                    if (text := value.as_py()) != last[side][0]:
-                        last[side] = text, shingles_of(text, shingle)
-                keep.append(_alike(last[0][1], last[1][1], similarity))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            hubs, others = [], []
+            for hub, part, other, text in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+                own = shingles_of(text.as_py(), shingle)
+                if other is None:
+                    now, held = (hub, part), own
+                elif now == (hub, part) and _alike(held, own, similarity):
+                    hubs.append(hub)
+                    others.append(other)
+            yield pa.record_batch([pa.array(hubs, pa.int64()), pa.array(others, pa.int64())], ["a", "b"])
 
     pairs = settle(pairs)
-    own = texts(pairs)
-    joined = pairs.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b")
-    return settle(joined.select("a", "b", "x", "y").mapInArrow(compared, "a long, b long"))
+    n = max(1, pairs.count())
+    asked = settle(pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n")))
+    hot = asked.where(F.col("n") > max(1, n // HOT)).select("id", F.ceil(F.col("n") * HOT / n).cast("int").alias("parts"))  # 2 * HOT ids at most
+    many = [F.broadcast(hot.withColumnsRenamed({"id": side, "parts": f"parts_{side}"})) for side in ("a", "b")]
+    both = pairs.join(many[0], "a", "left").join(many[1], "b", "left").na.fill(1, ["parts_a", "parts_b"])
+    first = F.col("parts_a") >= F.col("parts_b")
+    turned = both.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("other"), F.greatest("parts_a", "parts_b").alias("parts"))
+    placed = turned.select("hub", F.pmod(F.xxhash64("other"), F.col("parts")).cast("int").alias("part"), "other")
+    texts = _fetched(own, asked)
+    members = placed.join(texts.withColumnRenamed("id", "other"), "other").select("hub", "part", "other", "text")
+    hubs = placed.select("hub", "part").distinct().join(texts.withColumnRenamed("id", "hub"), "hub").select("hub", "part", F.lit(None).cast("long").alias("other"), "text")
+    dealt = hubs.unionByName(members).repartition("hub", "part").sortWithinPartitions("hub", "part", F.asc_nulls_first("other"))
+    return settle(dealt.mapInArrow(compared, "a long, b long"))
+
+
+def _fetched(own: DataFrame, asked: DataFrame) -> DataFrame:
+    """(id, text) of the texts that are asked for.
+
+    A map of bits leaves out most others where they are read.
+    """
+    slot = F.col("id").bitwiseAND(F.lit(MAP - 1))
+    maps = asked.groupBy(F.shiftright(slot, 15).alias("part")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+    marks = np.zeros((MAP >> 15, 1 << 12), np.uint8)
+    for part, bits in maps.collect():
+        marks[part] = np.frombuffer(bits, np.uint8)
+    marks = marks.reshape(-1)
+
+    @arrow_udf("boolean")
+    def wanted(ids: pa.Array) -> pa.Array:
+        at = ids.to_numpy(zero_copy_only=False) & (MAP - 1)
+        return pa.array((marks[at >> 3] >> (at & 7) & 1).astype(bool))
+
+    return settle(own.where(wanted("id")).groupBy("id").agg(F.min("text").alias("text")))
 
 
 def _open(buckets: DataFrame, links: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one group, with their groups by the links."""
     own = components(links).withColumnRenamed("node", "id")
-    named = buckets.drop("root").join(own, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    bucket = Window.partitionBy("key")
-    ends = named.withColumns({"_least": F.min("root").over(bucket), "_most": F.max("root").over(bucket)})
-    return settle(ends.where("_least < _most").select("key", "id", "size", "at", "root"))
+    named = settle(buckets.drop("root").join(own, "id", "left").withColumn("root", F.coalesce("root", "id")))
+    ends = named.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("_n"))
+    return settle(join_by_key(named, ends.where("least < most").select("key", "_n"), "key", "_n", named.count()))
 
 
 def _pairs(a: str, b: str, similarity: float):
@@ -117,27 +196,6 @@ def _pairs(a: str, b: str, similarity: float):
     return (F.col(f"{a}.root") != F.col(f"{b}.root")) & fits
 
 
-def _fetched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, text) of the documents that pairs ask for, and of few others.
-
-    Which ones is a map of bits, so that the other texts are left out where they are read.
-    """
-    slots = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    slot = F.col("id").bitwiseAND(F.lit(MAP - 1))
-    maps = slots.groupBy(F.shiftright(slot, 15).alias("part")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
-    asked = np.zeros((MAP >> 15, 1 << 12), np.uint8)
-    for part, bits in maps.collect():
-        asked[part] = np.frombuffer(bits, np.uint8)
-    asked = asked.reshape(-1)
-
-    @arrow_udf("boolean")
-    def wanted(ids: pa.Array) -> pa.Array:
-        at = ids.to_numpy(zero_copy_only=False) & (MAP - 1)
-        return pa.array((asked[at >> 3] >> (at & 7) & 1).astype(bool))
-
-    return docs.where(wanted("id")).groupBy("id").agg(F.min("text").alias("text"))
-
-
 def rooted(
     docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float, near: Callable[[DataFrame], DataFrame] | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -147,33 +205,37 @@ def rooted(
     gives (a, b) pairs of ids to be compared first.
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), identity(F.col(text).cast("string")).alias("id"))
-    frequent, rank = _frequent(docs, doc_id, text, shingle)
+    frequent, rank = _frequent(own, shingle)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # of this task: copies are looked at once in each
         for batch in batches:
-            every = [hashes_of(x.as_py(), shingle) for x in batch.column(1)]
-            sets = list(map(np.unique, every))
-            keys = [keys_of(x, similarity, frequent, rank).view(np.int64) for x in sets]
-            prints = np.array(list(map(majority, every)), np.uint64).view(np.int64)
-            yield pa.record_batch(
-                [batch.column(0), batch.column(2), pa.array(prints), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "id", "fingerprint", "size", "keys"],
-            )
-
-    kind = docs.schema[doc_id].dataType.simpleString()
-    marked = settle(own.mapInArrow(keyed, f"doc_id {kind}, id long, fingerprint long, size long, keys array<long>"))
-    rows = marked.dropDuplicates(["id"]).select(F.posexplode("keys").alias("at", "key"), "id", "size")
-    shared = rows.withColumn("_members", F.count("*").over(Window.partitionBy("key"))).where("_members > 1")
-    buckets = settle(shared.select("key", "id", "size", "at", F.col("id").alias("root")))
+            rows = []
+            for own_id, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if own_id in seen:
+                    continue
+                seen.add(own_id)
+                every = hashes_of(x.as_py(), shingle)
+                hashes = np.unique(every)
+                rare, late = split_keys(hashes, similarity, frequent, rank)
+                rows.append((own_id, np.uint64(majority(every)).view(np.int64), len(hashes), len(rare), late.view(np.int64), rare.view(np.int64)))
+            columns = list(zip(*rows)) or [()] * 6
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in columns[4:]]
+            yield pa.record_batch([*(pa.array(x, pa.int64()) for x in columns[:4]), *lists], ["id", "fingerprint", "n", "m", "late", "rare"])
+
+    marked = settle(own.select("id", "text").mapInArrow(keyed, "id long, fingerprint long, n long, m long, late array<long>, rare array<long>"))
+    keys = settle(_keys(marked, similarity))
+    several = keys.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
+    buckets = settle(join_by_key(keys, several, "key", "_n", keys.count()).withColumn("root", F.col("id")))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return _verified(pairs, lambda asked: _fetched(own, asked), shingle, similarity)
+        return _verified(pairs, own, shingle, similarity)
 
     first = None
     if near is not None:
-        first = verified(_ordered(near(marked.groupBy("id").agg(F.min("fingerprint").alias("fingerprint"))).where("a <> b")))
-    links = _links(buckets, verified, similarity, first=first)
-    return marked.select("doc_id", "id"), settle(components(links))
+        prints = buckets.select("id").distinct().join(marked.select("id", "fingerprint").distinct(), "id")
+        first = verified(_ordered(near(prints).where("a <> b")))
+    return own.select("doc_id", "id"), settle(components(_links(buckets, verified, similarity, first=first)))
 
 
 def groups(docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -226,9 +288,9 @@ def _links(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], simil
     for star in range(STARS):
         if not _many(buckets, allowed):
             break
-        hub = F.min(F.struct(F.xxhash64("id", F.lit(star)).alias("_order"), "id", "size", "at", "root")).over(Window.partitionBy("key"))
-        drawn = buckets.select(F.struct("id", "size", "at", "root").alias("own"), hub.alias("hub")).where(_pairs("own", "hub", similarity))
-        found = verified(_ordered(drawn, "own.id", "hub.id"))
+        member = F.struct(F.xxhash64("id", F.lit(star)).alias("_order"), "id", "size", "at", "root")
+        drawn = least_by_key(buckets, "key", member, "hub", buckets.count()).select(F.struct("id", "size", "at", "root").alias("own"), "hub")
+        found = verified(_ordered(drawn.where(_pairs("own", "hub", similarity)), "own.id", "hub.id"))
         links = found if links is None else links.unionByName(found)
         buckets = _open(buckets, links)
     both = buckets.alias("x").join(buckets.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & _pairs("x", "y", similarity))

@@ -40,6 +40,7 @@ def test_shingles_are_runs_of_words():
 
 
 def test_keys_meet_at_the_border():
+    """Whatever is frequent: one order for both, and one key at least in common."""
     rng = np.random.default_rng(2)
     for n in range(5, 200):
         both = rng.integers(0, 1 << 63, n, dtype=np.uint64)
@@ -47,8 +48,25 @@ def test_keys_meet_at_the_border():
         x, y = np.sort(both), np.sort(rng.choice(both, least, replace=False))
         frequent = np.sort(rng.choice(both, n // 2, replace=False))
         for known in (frequent, frequent[:0]):
-            a, b = (set(jaccard.keys_of(s, 0.8, known, np.arange(len(known))).tolist()) for s in (x, y))
-            assert a & b and len(a) == n - least + 1
+            found = []
+            for own in (x, y):
+                rare, late = jaccard.split_keys(own, 0.8, known, np.arange(len(known)))
+                keys = [*rare.tolist()[: jaccard.n_keys(len(own), 0.8)], *late.tolist()]
+                assert len(keys) == jaccard.n_keys(len(own), 0.8)
+                found.append(set(keys))
+            assert found[0] & found[1] and len(found[0]) == n - least + 1
+
+
+def test_shared_keys_of_sorted_rows():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    rows = sorted((int(k), int(i)) for k, i in rng.integers(0, 40, (300, 2)))
+    expected = sorted({(k, i, len({j for o, j in rows if o == k})) for k, i in rows if len({j for o, j in rows if o == k}) > 1})
+    for step in (1, 7, 300):
+        parts = [pa.record_batch([pa.array(x) for x in zip(*rows[at : at + step])], ["key", "id"]) for at in range(0, 300, step)]
+        assert sorted(r for b in jaccard._shared(iter(parts)) for r in zip(*b.to_pydict().values())) == expected
+    assert sum(b.num_rows for b in jaccard._shared(iter([]))) == 0
 
 
 def test_all_pairs_of_the_similarity_and_no_others(spark):
@@ -87,6 +105,22 @@ def test_groups_equal_all_pairs(spark, monkeypatch, allowed, near):
     assert [found[i] for i in range(len(texts))] == least_ids(texts)
 
 
+def test_frequent_shingles_beyond_the_sample(spark, monkeypatch):
+    """Groups are the same however little the sample knows."""
+    rng = random.Random(8)
+    passage = [f"common{i}" for i in range(40)]
+    texts = []
+    for _ in range(120):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([2, 4, 30]))]
+        texts += [" ".join(passage + own), " ".join([*passage[: rng.randrange(30, 40)], *own])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for sample, frequent in ((4096, 65536), (20, 5), (1, 1)):
+        monkeypatch.setattr(jaccard, "SAMPLE", sample)
+        monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+        found = {r.doc_id: r.component_id for r in jaccard.groups(docs, "doc_id", "text", 5, 0.8).collect()}
+        assert [found[i] for i in range(len(texts))] == least_ids(texts), sample
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_copies_dropped(docs).count() == 0
