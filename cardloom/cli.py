@@ -1,4 +1,4 @@
-"""python -m cardloom.cli: cut pages into cards, expand phones, merge, compare, show status."""
+"""python -m cardloom.cli: extract pages, cut them into cards, expand phones, merge, enrich, export, compare, show status."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
-from .operators import compare, layout, merge, phones, state
+from .functions import text
+from .operators import compare, enrich, layout, merge, phones, state
 from .sources import files, sinks
 
 
@@ -17,6 +18,31 @@ def cut(spark: SparkSession, args: argparse.Namespace) -> None:
     sinks.write_cards(layout.cards(files.good_pages(spark, args.input)), args.output)
 
 
+def extract(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Result pages to contacts and failures of whole pages, as CSV; fields come from the lines."""
+    pages = files.pages(spark, args.input)
+    sinks.write_pages(pages.withColumn("extracted", text.extracted("line_texts", text.PAGE)), args.output)
+
+
+def enriched(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Cards (Parquet with card_key, line_texts, extracted) through --provider; answers are appended to the output, those there are not asked again."""
+    work = spark.read.parquet(*args.input)
+    done = files.parquet_if_there(spark, args.output, "card_key string, error string")
+    enrich.standardise(work, done, enrich.provider_at(args.provider), args.model).write.mode("append").parquet(args.output)
+
+
+def exported(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Chain A's phone rows and chain B's stored answers (Parquet) to chain B's phone rows and statistics."""
+    a, standard = (spark.read.parquet(p) for p in args.input)
+    if "error" in standard.columns:
+        standard = standard.where("error IS NULL")
+    sheets = compare.export_sheets(a, phones.phone_rows_outer(standard, args.model), standard)
+    for name, rows in sheets.items():
+        rows.write.mode("overwrite").parquet(f"{args.output}/{name}")
+    if args.workbook:
+        sinks.write_workbook({n: spark.read.parquet(f"{args.output}/{n}") for n in sheets}, args.workbook)
+
+
 def expand(spark: SparkSession, args: argparse.Namespace) -> None:
     """Contacts (CSV) to one row per mobile, as Parquet."""
     phones.phone_rows(files.csv_rows(spark, args.input, None)).write.mode("overwrite").parquet(args.output)
@@ -47,7 +73,7 @@ def status(spark: SparkSession, args: argparse.Namespace) -> None:
     state.status(inputs, log.select(*[F.col(c.split()[0]) for c in schemas.RUN_LOG.split(", ")])).orderBy("run").show(1000, False)
 
 
-COMMANDS = {"cut": cut, "expand": expand, "merge": merged, "compare": compared, "status": status}
+COMMANDS = {"cut": cut, "extract": extract, "enrich": enriched, "export": exported, "expand": expand, "merge": merged, "compare": compared, "status": status}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -56,6 +82,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("input", nargs="+")
     parser.add_argument("--output", default="out")
     parser.add_argument("--workbook", help="also write the report as one workbook")
+    parser.add_argument("--provider", help="import path of the callable that asks the service, as in package.module:function")
+    parser.add_argument("--model", default="", help="name of the model that rows are marked with")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"cardloom {args.command}").config("spark.sql.legacy.javaCharsets", "true").getOrCreate()
     COMMANDS[args.command](spark, args)

@@ -18,8 +18,8 @@ def by_card(rows: DataFrame, order: str = "ord", phone: str = "phone_normalized"
     """One row per card: sorted distinct phones, the first filled value of each field, whether any row is a key person.
 
     "First" is by ``order``, a column that numbers the rows.  Missing columns count as
-    null; null, empty and blank values as not filled.  Nothing but partial minima and
-    sets of a card's own phones is shuffled.
+    null; null, empty and blank values as not filled.  n_rows and n_key_rows count a card's rows and those
+    of key persons.  Nothing but partial minima and sets of a card's own phones is shuffled.
     """
     have = {c: strip(F.col(c).cast("string")) if c in rows.columns else F.lit(None).cast("string") for c in (phone, *FIELDS)}
     key_person = F.coalesce(F.col("is_key_person").cast("boolean"), F.lit(False)) if "is_key_person" in rows.columns else F.lit(False)
@@ -35,6 +35,8 @@ def by_card(rows: DataFrame, order: str = "ord", phone: str = "phone_normalized"
         F.array_sort(F.collect_set("_phone")).alias("phones"),
         *[F.coalesce(x, F.lit("")).alias(c) for x, c in zip(firsts, FIELDS)],
         F.bool_or("_key").alias("is_key_person"),
+        F.count("*").alias("n_rows"),
+        F.count_if("_key").alias("n_key_rows"),
     )
 
 
@@ -82,10 +84,8 @@ def _classified(sides: DataFrame) -> DataFrame:
 
 
 def overview(a: DataFrame, b: DataFrame, order: str = "ord") -> DataFrame:
-    """The 20 metrics as one row."""
-    key_person = F.coalesce(F.col("is_key_person").cast("boolean"), F.lit(False))
-    rows_a = a.agg(F.count("*").alias("rule_phone_rows"))
-    rows_b = b.agg(F.count("*").alias("llm_phone_rows"), F.count_if(key_person).alias("llm_kp_rows"), F.count_if(~key_person).alias("llm_non_kp_rows"))
+    """The 20 metrics as one row; each side is read twice, once by card and once by number."""
+    rows_a, rows_b, key_rows = (F.coalesce(F.sum(c), F.lit(0)) for c in ("a.n_rows", "b.n_rows", "b.n_key_rows"))
     phones = phone_sides(a, b).agg(
         F.count_if("in_a").alias("rule_unique_phones"),
         F.count_if("in_b").alias("llm_unique_phones"),
@@ -94,6 +94,10 @@ def overview(a: DataFrame, b: DataFrame, order: str = "ord") -> DataFrame:
         F.count_if(F.col("in_b") & ~F.col("in_a")).alias("phones_only_in_llm"),
     )
     cards = _classified(card_sides(a, b, order)).agg(
+        rows_a.alias("rule_phone_rows"),
+        rows_b.alias("llm_phone_rows"),
+        key_rows.alias("llm_kp_rows"),
+        (rows_b - key_rows).alias("llm_non_kp_rows"),
         F.count_if(F.size("phones_a") > 0).alias("rule_cards_with_phone"),
         F.count_if(F.col("b").isNotNull()).alias("llm_cards_in_export"),
         F.count_if(F.col("b.is_key_person")).alias("llm_kp_cards"),
@@ -106,8 +110,8 @@ def overview(a: DataFrame, b: DataFrame, order: str = "ord") -> DataFrame:
         F.count_if(F.col("a.company") != "").alias("cards_with_company_rule"),
         F.count_if(F.col("b.company_std") != "").alias("cards_with_company_std_llm"),
     )
-    # four rows of one line each
-    return rows_a.crossJoin(rows_b).crossJoin(phones).crossJoin(cards).select(*METRICS)
+    # two rows of one line each
+    return phones.crossJoin(cards).select(*METRICS)
 
 
 METRICS = [
@@ -176,6 +180,11 @@ def compared(a: DataFrame, b: DataFrame, order: str = "ord", calls: int | None =
     return Comparison(as_metrics(metrics), conclusion(metrics, calls, tokens), card_diffs(a, b, order), phone_diffs(a, b))
 
 
+def export_sheets(a: DataFrame, b: DataFrame, standard: DataFrame) -> dict[str, DataFrame]:
+    """The deliverable of chain B: its phone rows b and the 14 figures that compare it with chain A's rows a."""
+    return {fixed.PHONE_SHEET: b, fixed.STATS_SHEET: as_metrics(rule_and_llm(a, b, standard))}
+
+
 def rule_and_llm(a: DataFrame, b: DataFrame, standard: DataFrame) -> DataFrame:
     """The 14 figures of an export as one row; the share is rounded half to even, 0 without cards."""
     key_person = F.coalesce(F.col("is_key_person").cast("boolean"), F.lit(False))

@@ -1,14 +1,17 @@
 """Cards through an outside service, in batches, resumable.
 
 A provider is any picklable callable: it gets a list of {card_key, line_texts,
-rule_extracted_hint} dicts and returns (list of answer dicts, tokens used).  Python
+rule_extracted_hint} dicts and returns (answers, tokens used); answers are a list of dicts, or the service's own
+text: JSON, fenced or not, of such a list or of an object that holds it as ``cards``.  Python
 runs only here, as a stream of Arrow batches; calls run as many at a time as there
 are partitions.
 """
 
 from __future__ import annotations
 
+import importlib
 import json
+import re
 import time
 from collections.abc import Callable, Iterator
 
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from .phones import standardised
 
-Provider = Callable[[list[dict]], tuple[list[dict], int]]
+Provider = Callable[[list[dict]], tuple[list[dict] | str, int]]
 BATCH, RETRIES, WAIT = 6, 2, 2.0
 _ANSWER = "card_key string, name string, title string, company string, address string, mobiles array<string>, is_key_person string, kp_role string"
 _CALLED = pa.schema(
@@ -40,6 +43,22 @@ def _row(key: str, answer: dict, tokens: int) -> dict:
     return {c: _text(answer.get(c)) for c in _TEXTS} | {"card_key": key, "mobiles": mobiles, "is_key_person": "true" if answer.get("is_key_person") else "false", "tokens": tokens, "error": None, "fatal": False}
 
 
+def _parsed(answers: list[dict] | str) -> list[dict]:
+    """The list of answers in a service's text; other text is an error, which is tried again."""
+    if isinstance(answers, str):
+        answers = json.loads(re.sub(r"\A\s*```(?:json)?\s*|\s*```\s*\Z", "", answers))
+        answers = answers.get("cards", []) if isinstance(answers, dict) else answers
+    if not isinstance(answers, list):
+        raise ValueError("the answer holds no list of cards")
+    return answers
+
+
+def provider_at(place: str) -> Provider:
+    """The provider that an import path names, as in "package.module:function"."""
+    module, _, name = place.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 def _is_fatal(error: Exception) -> bool:
     said = str(error).lower()
     return getattr(error, "code", None) in fixed.FATAL_STATUS or any(w in said for w in fixed.FATAL_WORDS)
@@ -51,7 +70,7 @@ def _called(provider: Provider, batch: list[dict], retries: int, wait: float) ->
     for attempt in range(retries + 1):
         try:
             answers, tokens = provider(batch)
-            by_key = {a.get("card_key"): a for a in answers if isinstance(a, dict)}
+            by_key = {a.get("card_key"): a for a in _parsed(answers) if isinstance(a, dict)}
             return [_row(b["card_key"], by_key.get(b["card_key"], {}), tokens if i == 0 else 0) for i, b in enumerate(batch)]
         except Exception as e:  # noqa: BLE001  whatever a service does ends as a row, not as a lost run
             error = e
@@ -66,7 +85,8 @@ def call(cards: DataFrame, provider: Provider, batch: int = BATCH, retries: int
     """Answers for cards with card_key, line_texts and extracted: an answer struct, tokens, error, fatal.
 
     After a final error (access, quota) a task makes no more calls; its remaining
-    cards get that error.  Repeated cards are asked once each.  ``at_once`` bounds the
+    cards get that error.  Other tasks meet the error by themselves, as nothing is shared between them:
+    so a final error costs a call for each task that runs, and the run goes on to its end.  Repeated cards are asked once each.  ``at_once`` bounds the
     calls that run at a time.
     """
 

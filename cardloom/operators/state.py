@@ -6,18 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def free(rows: DataFrame, name: str) -> str:
+    """A column name that rows doesn't have."""
+    while name in rows.columns:
+        name += "_"
+    return name
+
+
 def keep_last(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The last row of each key by ``order``, null coming first, by partial maxima; rows with a null key are dropped."""
     whole = rows.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    last = whole.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), F.struct(order)).alias("_last"))
-    return last.select("_last.*")
+    own = free(rows, "last")
+    last = whole.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), F.struct(order)).alias(own))
+    return last.select(f"{own}.*")
 
 
 def upserted(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
     """old and new as one table with the last row of each key by ``order``; among equals a row of new wins."""
-    both = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)), allowMissingColumns=True)
-    ranked = both.withColumn("_ord", F.struct(order, "_new"))
-    return keep_last(ranked, keys, "_ord").drop("_new", "_ord")
+    mine = free(old.select(*old.columns, *[F.lit(0).alias(c) for c in new.columns if c not in old.columns]), "place")
+    sides = [rows.withColumn(mine, F.struct(F.col(order), F.lit(newer).alias("newer"))) for rows, newer in ((old, False), (new, True))]
+    return keep_last(sides[0].unionByName(sides[1], allowMissingColumns=True), keys, mine).drop(mine)
 
 
 def pending(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
@@ -45,8 +53,26 @@ def counters(rows: DataFrame, ok: str = "ok") -> DataFrame:
 
 
 def card_counters(cards: DataFrame) -> DataFrame:
-    """(pages, cards, empty_cards) of a table of cards."""
-    return cards.agg(F.count_if(F.col("card_no") == 1).alias("pages"), F.count("*").alias("cards"), F.count_if(~F.col("has_text")).alias("empty_cards"))
+    """(pages, cards, empty_cards, lines) of a table of cards, in one pass."""
+    return cards.agg(
+        F.count_if(F.col("card_no") == 1).alias("pages"), F.count("*").alias("cards"), F.count_if(~F.col("has_text")).alias("empty_cards"),
+        F.coalesce(F.sum(F.size("line_texts")), F.lit(0)).alias("lines"),
+    )
+
+
+def logged(results: DataFrame) -> DataFrame:
+    """Rows for the run log from results with run, input_fingerprint, unit and ok; what else a log holds is taken where results have it.
+
+    ``input_fingerprint`` is that of the input that was read (sources.files.inputs()).  Append the rows to the log.
+    """
+    have = {"fatal": F.lit(False), "error": F.lit(None).cast("string"), "tokens": F.lit(0).cast("bigint"), "at": F.current_timestamp()}
+    more = [F.coalesce(F.col(c), x).alias(c) if c in results.columns else x.alias(c) for c, x in have.items()]
+    return results.select("run", "input_fingerprint", F.col("unit").cast("string").alias("unit"), F.coalesce("ok", F.lit(False)).alias("ok"), *more)
+
+
+def pending_units(units: DataFrame, log: DataFrame) -> DataFrame:
+    """Units (run, input_fingerprint, unit) that the log has no good entry for; a changed input has another fingerprint and starts anew."""
+    return pending_pages(units.withColumn("unit", F.col("unit").cast("string")), log, ["run", "input_fingerprint", "unit"])
 
 
 def status(inputs: DataFrame, log: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, text
 from ..operators import compare, enrich, layout, merge, phones, state
 from ..sources import sinks
+from ..streaming import resume
 from . import corpus
 from .corpus import table
 
@@ -97,6 +98,10 @@ def _hit(words: list[str], line: str = "l") -> str:
     return "(" + " OR ".join(f"contains(lower({line}), '{w.lower()}')" for w in words) + ")"
 
 
+def _cased(words: tuple[str, ...], line: str = "l") -> str:
+    return "(" + " OR ".join(f"contains({line}, '{w}')" for w in words) + ")"
+
+
 @_query(
     f"SELECT doc_id, coalesce(list_filter({_LINES}, lambda l: {_hit(fixed.COMPANIES)})[1], '') AS company, coalesce(list_filter({_LINES}, lambda l: {_hit(fixed.TITLES)})[1], '') AS title, "
     f"coalesce(list_filter({_LINES}, lambda l: {_hit(fixed.ADDRESSES)})[1], '') AS address FROM documents"
@@ -223,13 +228,14 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     f"SELECT source_label, '{fixed.DATASET}' AS source_dataset, file, cast(page as varchar) AS page, cast(card_no as varchar) AS card_no, phone AS phone_normalized, "
-    f"CASE WHEN source_label = 'P0' THEN name ELSE '' END AS name FROM ({_A_ROWS}) WHERE source_label <> 'P4'"
+    f"CASE WHEN source_label = 'P0' THEN name ELSE '' END AS name FROM ({_A_ROWS})"
 )
 def merge_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partitions with unlike columns: the first has a name, the others lack it; one of them is empty."""
+    """All partitions, with unlike columns: the first has a name, the others lack it; P9 is empty, and P3 has blank rows, which go."""
     rows = phones.phone_rows(corpus.cards(spark, sf_dir))
-    parts = {f"P{i}": rows.where(F.col("source_label") == f"P{i}").select("file", "page", "card_no", "phone_normalized", *(["name"] if i == 0 else ["company"])) for i in range(4)}
-    return merge.merged(parts | {"P9": rows.where("false")})
+    parts = {f"P{i}": rows.where(F.col("source_label") == f"P{i}").select("file", "page", "card_no", "phone_normalized", *(["name"] if i == 0 else ["company"])) for i in range(5)}
+    blank = table(spark, sf_dir, "region").select(F.lit("").alias("file"), *[F.lit(None).cast("long").alias(c) for c in ("page", "card_no")], F.lit("").alias("phone_normalized"), F.lit("").alias("company"))
+    return merge.merged(parts | {"P3": parts["P3"].unionByName(blank), "P9": rows.where("false")})
 
 
 @_query(
@@ -310,6 +316,36 @@ def phone_diffs_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.phone_diffs(*_sides(spark, sf_dir))
 
 
+# Every order is a card of one number; a third of them have another number in chain B.
+_ORDER_CARDS = (
+    "SELECT concat('P', cast(o_orderkey % 5 as {t})) AS source_label, 'orders.pdf' AS file, cast(floor(o_orderkey / 6) as bigint) AS page, cast(o_orderkey % 6 + 1 as bigint) AS card_no, "
+    "cast(o_orderkey as bigint) AS ord, concat('13', lpad(cast(o_orderkey * 2 as {t}), 9, '0')) AS a, concat('13', lpad(cast(o_orderkey * 2 + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END as {t}), 9, '0')) AS b FROM orders"
+)
+
+
+def _order_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = spark.sql(_ORDER_CARDS.format(t="string").replace("FROM orders", "FROM {orders}"), orders=table(spark, sf_dir, "orders"))
+    return rows.withColumnRenamed("a", "phone_normalized").drop("b"), rows.withColumnRenamed("b", "phone_normalized").drop("a")
+
+
+@_query(
+    f"SELECT concat_ws('|', source_label, file, cast(page as varchar), cast(card_no as varchar)) AS card_key, source_label, a AS phones_a, b AS phones_b, '{fixed.NOTE_DIFFERENT}' AS note "
+    f"FROM ({_ORDER_CARDS.format(t='varchar')}) WHERE a <> b ORDER BY card_key LIMIT 500"
+)
+def card_diffs_beyond_the_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More differing cards than a report lists: the first 500 by key."""
+    return compare.card_diffs(*_order_sides(spark, sf_dir))
+
+
+@_query(
+    f"WITH o AS ({_ORDER_CARDS.format(t='varchar')}) (SELECT '{fixed.KIND_A}' AS kind, a AS phone FROM o WHERE a <> b ORDER BY a LIMIT 2000) "
+    f"UNION ALL (SELECT '{fixed.KIND_B}' AS kind, b AS phone FROM o WHERE a <> b ORDER BY b LIMIT 2000)"
+)
+def phone_diffs_beyond_the_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More numbers that one side lacks than a report lists: the first 2,000 of each."""
+    return compare.phone_diffs(*_order_sides(spark, sf_dir))
+
+
 @_query(
     f"WITH {_BOTH} c AS ({_B}) SELECT (SELECT count(*) FROM ra) AS rule_pipeline_rows, (SELECT count(*) FROM rb) AS llm_total_rows, {_PHONE_METRICS}, "
     "count(*) AS llm_cards_processed, count(*) FILTER (WHERE is_key_person) AS llm_kp_cards, count(*) FILTER (WHERE NOT is_key_person) AS llm_non_kp_cards, "
@@ -372,9 +408,42 @@ def _document_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.cards(pages.select("doc_id", "page", F.col("lines").alias("line_texts"), F.expr(_RECTS).alias("line_rects")))
 
 
-@_query()
+# Agglomeration step by step: a cluster is a stretch of the sorted centres, told by where it starts.
+_CLUSTERED = f"""
+WITH RECURSIVE pages AS (
+    SELECT doc_id, page, list_slice(every, page * 12 - 11, page * 12) AS lines FROM (
+        SELECT doc_id, every, unnest(range(1, cast(ceil(len(every) / 12) as bigint) + 1)) AS page FROM (SELECT doc_id, list_filter({_LINES}, lambda l: l <> '') AS every FROM documents))
+), items AS (
+    SELECT doc_id, page, i, lines[i + 1] AS l, cast(i % 2 * 300 + length(lines[i + 1]) % 7 as double) AS x, cast(i // 2 * 40 + length(lines[i + 1]) % 5 as double) AS y,
+        cast(length(lines[i + 1]) % 11 as double) AS w FROM (SELECT doc_id, page, lines, unnest(range(0, len(lines))) AS i FROM pages)
+), steps AS (
+    SELECT doc_id, page, axis, v, range(1, len(v) + 1) AS s, CASE WHEN axis = 'y' THEN least(3, len(v)) ELSE 2 END AS target FROM (
+        SELECT doc_id, page, 'y' AS axis, list(y + 5 ORDER BY y + 5) AS v FROM items GROUP BY ALL UNION ALL SELECT doc_id, page, 'x', list(x + w / 2 ORDER BY x + w / 2) FROM items GROUP BY ALL)
+    UNION ALL
+    SELECT doc_id, page, axis, v, list_concat(list_slice(s, 1, best), list_slice(s, best + 2, len(s))), target FROM (
+        SELECT *, list_position(gaps, list_min(gaps)) AS best FROM (
+            SELECT *, list_transform(range(1, len(m)), lambda k: m[k + 1] - m[k]) AS gaps FROM (
+                SELECT *, {{medians}} AS m FROM steps WHERE len(s) > target)))
+), centers AS (SELECT doc_id, page, axis, {{medians}} AS c FROM steps WHERE len(s) <= target),
+placed AS (
+    SELECT i.*, (list_position(list_transform(cy.c, lambda k: abs(i.y + 5 - k)), list_min(list_transform(cy.c, lambda k: abs(i.y + 5 - k)))) - 1) * 2
+        + list_position(list_transform(cx.c, lambda k: abs(i.x + i.w / 2 - k)), list_min(list_transform(cx.c, lambda k: abs(i.x + i.w / 2 - k)))) AS card_no
+    FROM items i JOIN centers cy ON (i.doc_id, i.page, 'y') = (cy.doc_id, cy.page, cy.axis) JOIN centers cx ON (i.doc_id, i.page, 'x') = (cx.doc_id, cx.page, cx.axis)
+), cards AS (
+    SELECT p.doc_id, p.page, n.card_no, coalesce(list(l ORDER BY y, x, i) FILTER (WHERE l IS NOT NULL), []) AS own
+    FROM pages p CROSS JOIN (SELECT unnest(range(1, 7)) AS card_no) n LEFT JOIN placed q ON (p.doc_id, p.page, n.card_no) = (q.doc_id, q.page, q.card_no) GROUP BY ALL
+)
+SELECT doc_id, cast(page as integer) AS page, cast(card_no as integer) AS card_no, concat('r', cast((card_no + 1) // 2 as varchar), 'c', cast((card_no - 1) % 2 + 1 as varchar)) AS grid_pos,
+    len(own) > 0 AS has_text, array_to_string(own, ';') AS lines,
+    list_filter(list_transform(own, lambda l: regexp_replace(l, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g')), lambda l: length(l) BETWEEN 2 AND 30 AND NOT {_hit(fixed.COMPANIES + fixed.TITLES + fixed.ADDRESSES)}
+        AND NOT regexp_matches(l, '{fixed.EMAIL}') AND NOT regexp_matches(l, '{_SITE}') AND NOT regexp_matches(l, '[0-9]'))[1] AS name,
+    list_filter(own, lambda l: {_hit(fixed.COMPANIES)})[1] AS company FROM cards
+""".replace("{medians}", "list_transform(range(1, len(s) + 1), lambda k: (v[(s[k] + coalesce(s[k + 1], len(v) + 1) - 1) // 2] + v[(s[k] + coalesce(s[k + 1], len(v) + 1)) // 2]) / 2)")
+
+
+@_query(_CLUSTERED)
 def cluster_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The layout has no SQL of a bearable size; tested against a plain version."""
+    """The central operator: lines to cards, with two of their fields."""
     return _document_cards(spark, sf_dir).select("doc_id", "page", "card_no", "grid_pos", "has_text", text.joined("line_texts").alias("lines"), "extracted.name", "extracted.company")
 
 
@@ -383,21 +452,66 @@ def cluster_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def card_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No card and no line is lost on the way."""
-    found = _document_cards(spark, sf_dir)
-    lines = found.agg(F.sum(F.size("line_texts")).alias("lines"))
-    return state.card_counters(found).drop("empty_cards").crossJoin(lines)
+    return state.card_counters(_document_cards(spark, sf_dir)).select("pages", "cards", "lines")
 
 
-@_query("SELECT event_type AS run, CASE WHEN n_ok >= 1900 THEN 'completed' WHEN n_bad > 0 THEN 'interrupted' ELSE 'running' END AS status FROM (SELECT event_type, count(*) FILTER (WHERE event_id % 97 <> 0 OR event_type <> 'view') AS n_ok, count(*) FILTER (WHERE event_id % 97 = 0 AND event_type = 'view') AS n_bad FROM events GROUP BY 1)")
+_GOOD = "(event_id % 97 <> 0 OR event_type <> 'view')"
+
+
+@_query(
+    "SELECT event_type AS run, CASE WHEN n_ok >= 1900 THEN 'completed' WHEN n_bad > 0 THEN 'interrupted' ELSE 'running' END AS status, n_ok, n_bad AS n_failed, tokens, last_error FROM ("
+    f"SELECT event_type, count(*) FILTER (WHERE {_GOOD}) AS n_ok, count(*) FILTER (WHERE NOT {_GOOD}) AS n_bad, cast(sum(event_id % 5) as bigint) AS tokens, "
+    f"arg_max(concat('error ', cast(event_id as varchar)), event_id) FILTER (WHERE NOT {_GOOD}) AS last_error FROM events GROUP BY 1)"
+)
 def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units of a run are events in the order of their ids; entries of an older fingerprint do not count."""
     events = table(spark, sf_dir, "events")
+    good = F.expr(_GOOD)
     log = events.select(
-        F.col("event_type").alias("run"), F.lit("f").alias("input_fingerprint"), F.col("event_id").cast("string").alias("unit"),
-        ((F.col("event_id") % 97 != 0) | (F.col("event_type") != "view")).alias("ok"), F.lit(False).alias("fatal"), F.lit(None).cast("string").alias("error"),
-        F.lit(1).cast("long").alias("tokens"), F.col("ts").alias("at"),
+        F.col("event_type").alias("run"), F.lit("f").alias("input_fingerprint"), F.col("event_id").cast("string").alias("unit"), good.alias("ok"), F.lit(False).alias("fatal"),
+        F.when(~good, F.concat(F.lit("error "), F.col("event_id").cast("string"))).alias("error"), (F.col("event_id") % 5).alias("tokens"), F.timestamp_seconds("event_id").alias("at"),
     )
+    older = log.withColumns({"input_fingerprint": F.lit("old"), "ok": F.lit(True), "error": F.lit("none of this")})
     inputs = events.select(F.col("event_type").alias("run")).distinct().withColumns({"input_fingerprint": F.lit("f"), "total_units": F.lit(1900)})
-    return state.status(inputs, log).select("run", "status")
+    return state.status(inputs, log.unionByName(older)).select("run", "status", "n_ok", "n_failed", "tokens", "last_error")
+
+
+@_query(f"SELECT event_id FROM events WHERE NOT {_GOOD} OR event_id % 10 = 3")
+def changed_inputs_start_anew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is a unit of an input of its own size and time; a tenth of the inputs have changed since they were logged."""
+    events = table(spark, sf_dir, "events")
+
+    def mark(size: Column) -> Column:
+        return text.fingerprint(F.concat(F.lit("/in/"), F.col("event_type"), F.lit("_"), F.col("event_id").cast("string"), F.lit(".pdf")), size, F.timestamp_seconds("event_id"))
+
+    units = events.select("event_id", F.col("event_type").alias("run"), mark(F.col("event_id")).alias("input_fingerprint"), F.col("event_id").cast("string").alias("unit"))
+    results = events.select(
+        F.col("event_type").alias("run"), mark(F.when(F.col("event_id") % 10 == 3, F.lit(0)).otherwise(F.col("event_id"))).alias("input_fingerprint"),
+        F.col("event_id").cast("string").alias("unit"), F.expr(_GOOD).alias("ok"),
+    )
+    return state.pending_units(units, state.logged(results)).select("event_id")
+
+
+@_query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each key once from a stream of all events, written by the stream and read back."""
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")  # a pattern, since the table may be a single file
+    rows = events.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("at"))
+    folder = resume.work_folder(spark)
+    resume.append(resume.first_seen(rows, ["user_id", "event_type"], "at", "10000 days"), f"{folder}/out", f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("user_id", "event_type")
+
+
+@_query(
+    f"SELECT doc_id, {', '.join(f'coalesce(list_filter({_LINES}, lambda l: {_cased(w)})[1], {chr(39) * 2}) AS {c}' for c, w in (('company', text.PAGE.companies), ('title', text.PAGE.titles), ('address', text.PAGE.addresses)))}, "
+    f"coalesce(list_filter({_STRIPPED}, lambda l: length(l) BETWEEN 2 AND 12 AND NOT {_cased(text.PAGE.companies + text.PAGE.titles + text.PAGE.addresses)} "
+    f"AND NOT regexp_matches(l, '{fixed.EMAIL}') AND NOT regexp_matches(l, '{_SITE}') AND NOT regexp_matches(l, '[0-9]'))[1], '') AS name FROM documents"
+)
+def page_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of whole pages: the shorter lists, in their case, and short names."""
+    own = table(spark, sf_dir, "documents").select("doc_id", text.extracted(_lines(), text.PAGE).alias("x"))
+    return own.select("doc_id", *[F.coalesce(f"x.{c}", F.lit("")).alias(c) for c in ("company", "title", "address", "name")])
 
 
 @_query("SELECT event_id, CASE WHEN value > 50 THEN 'True' ELSE 'False' END AS high, coalesce(event_type, '') AS event_type FROM events")

@@ -11,6 +11,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import fixed
-from ..functions.text import card_key
+from ..functions.text import card_key, fingerprint
 from ..operators.merge import partition_dim
 from ..operators.state import keep_last
 
@@ -33,11 +34,19 @@ def json_lines(spark: SparkSession, paths: str | list[str], schema: str = schema
     return rows.withColumn("ord", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
 
 
+def _is_there(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def parquet_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table, and no rows of the schema where the path does not exist."""
+    return spark.read.parquet(path) if _is_there(spark, path) else spark.createDataFrame([], schema)
+
+
 def json_lines_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """As json_lines, and no rows where the path does not exist; the path may be in any store that Spark reads."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+    if _is_there(spark, path):
         return json_lines(spark, path, schema)
     return spark.createDataFrame([], schema).withColumn("ord", F.lit(None).cast("struct<file_path:string,file_block_start:bigint,id:bigint>"))
 
@@ -77,23 +86,29 @@ def results(spark: SparkSession, path: str) -> DataFrame:
     return keep_last(json_lines_if_there(spark, path, schemas.STANDARD), ["card_key"], "ord").drop("ord")
 
 
-def csv_rows(spark: SparkSession, paths: str | list[str], schema: str | None = None) -> DataFrame:
-    """CSV with a header, all columns text; each file is read as UTF-8 if it is that, else as GB18030.
+def csv_rows(spark: SparkSession, paths: str | list[str], schema: str | None = None, encoding: str | None = None, lines: bool = True) -> DataFrame:
+    """CSV with a header, all columns text; each file is read as UTF-8 if all its lines are that, else as GB18030.
 
-    Which files are which is found by a pass over their bytes that sends back names
-    only.  Needs ``spark.sql.legacy.javaCharsets`` for GB18030.
+    Which files are which is found by a pass over their lines that sends back names; with an
+    encoding given there is no such pass.  ``lines`` says that fields may hold line ends, which makes each file
+    one task; without it large files are split.  Needs ``spark.sql.legacy.javaCharsets`` for GB18030.
     """
     listed = [paths] if isinstance(paths, str) else list(paths)
-    files = spark.read.format("binaryFile").load(listed).select("path", F.is_valid_utf8(F.col("content").cast("string")).alias("utf8"))
-    by_kind: dict[bool, list[str]] = {}
-    for r in files.collect():
-        by_kind.setdefault(bool(r["utf8"]), []).append(r["path"])
-    found = None
-    for utf8, own in by_kind.items():
-        reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True).option("encoding", "UTF-8" if utf8 else "GB18030")
-        rows = (reader.schema(schema) if schema else reader).csv(own)
-        found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
-    return found if found is not None else spark.createDataFrame([], schema or schemas.CONTACT)
+
+    def read(own: list[str], encoding: str) -> DataFrame:
+        reader = spark.read.option("header", True).option("escape", '"').option("multiLine", lines).option("encoding", encoding)
+        return (reader.schema(schema) if schema else reader).csv(own)
+
+    if encoding:
+        return read(listed, encoding)
+    every = [r[0] for r in spark.read.format("binaryFile").load(listed).select("path").collect()]  # names only, as Spark lists them itself
+    lines_of = spark.read.text(listed).select(F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("utf8"))
+    others = {r[0].split(":", 1)[-1].lstrip("/") for r in lines_of.where("NOT utf8").select("path").distinct().collect()}
+    kinds: dict[str, list[str]] = {}
+    for path in every:
+        kinds.setdefault("GB18030" if path.split(":", 1)[-1].lstrip("/") in others else "UTF-8", []).append(path)
+    found = [read(own, kind) for kind, own in sorted(kinds.items())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found) if found else spark.createDataFrame([], schema or schemas.CONTACT)
 
 
 def listed(spark: SparkSession, folder: str, suffixes: list[str] | None = None) -> DataFrame:
@@ -103,6 +118,12 @@ def listed(spark: SparkSession, folder: str, suffixes: list[str] | None = None)
     return files.where(F.lower("path").rlike(rf"\.({pattern})$")).select("path", "length", F.col("modificationTime").alias("modified"))
 
 
+def inputs(spark: SparkSession, folder: str, suffixes: list[str]) -> DataFrame:
+    """(path, run, input_fingerprint) of a folder's input files: run is the name, the fingerprint changes with size and time."""
+    files = listed(spark, folder, suffixes)
+    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("run"), fingerprint("path", "length", "modified").alias("input_fingerprint"))
+
+
 def pdf_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, page, content, error): one-page documents; a file that can't be read is one row with an error.  Needs pypdf on executors."""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,15 @@ from ..operators.layout import cards
 from ..operators.state import keep_last
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder that all executors see, below ``spark.checkpoint.dir``; a local session without that setting gets one of its own."""
+    sc = spark.sparkContext
+    shared = sc.getConf().get("spark.checkpoint.dir")
+    if shared is None and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{(shared or tempfile.mkdtemp()).rstrip('/')}/stream-{uuid.uuid4()}"
+
+
 def page_stream(spark: SparkSession, folder: str, schema: str = schemas.PAGE, files_at_once: int = 1000) -> DataFrame:
     """Results of pages as they arrive in a folder as JSON lines."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).json(folder)
@@ -53,6 +64,14 @@ def upsert_into(spark: SparkSession, path: str, keys: list[str], order: str) ->
 
 
 def latest(spark: SparkSession, path: str, keys: list[str], order: str) -> DataFrame:
-    """The table that upsert_into() keeps: the last row of each key over all batches."""
+    """The table that upsert_into() keeps: the last row of each key over all batches.
+
+    It reads every batch since the last compacted() table took their place.
+    """
     rows = spark.read.option("basePath", path).parquet(f"{path}/*")
     return keep_last(rows.withColumn("_ord", F.struct("_batch", order)), keys, "_ord").drop("_batch", "_ord", "_number")
+
+
+def compacted(spark: SparkSession, path: str, target: str, keys: list[str], order: str) -> None:
+    """Write what latest() reads as the first batch of a new table, to go on with there; batches of the stream have numbers from 0 on."""
+    latest(spark, path, keys, order).withColumn("_batch", F.lit(-1)).write.mode("overwrite").parquet(f"{target}/_number=-1")

@@ -7,6 +7,7 @@ import pytest
 
 from cardloom import schemas
 from cardloom.operators.layout import cards
+from cardloom.operators import state
 from cardloom.operators.merge import not_blank
 from cardloom.sources import files, sinks
 from cardloom.streaming import resume
@@ -60,6 +61,81 @@ def test_csv_in_two_encodings(spark, folder):
     assert sorted(map(tuple, rows.collect())) == [("张三", '1,"2'), ("李四", "3")]
 
 
+    given = files.csv_rows(spark, str(folder / "g.csv"), encoding="GB18030", lines=False)
+    assert given.first().name == "李四"
+    (folder / "empty.csv").write_bytes(b"")
+    assert files.csv_rows(spark, str(folder / "empty.csv"), "name string, phones string").count() == 0
+
+
+def test_changed_input_starts_anew(spark, folder):
+    import os
+
+    path = folder / "in" / "scan.pdf"
+    path.write_bytes(b"one")
+    os.utime(path, (1, 1))
+    first = files.inputs(spark, str(folder / "in"), ["pdf"])
+    units = first.selectExpr("run", "input_fingerprint", "explode(array(1, 2)) AS unit")
+    log = state.logged(units.selectExpr("*", "unit = 1 AS ok", "5L AS tokens"))
+    assert log.columns == [c.split()[0] for c in schemas.RUN_LOG.split(", ")]
+    log = spark.createDataFrame(log.collect(), log.schema)
+    assert [r.unit for r in state.pending_units(units, log).collect()] == ["2"]
+    total = first.selectExpr("run", "input_fingerprint", "2 AS total_units")
+    assert [(r.status, r.n_ok, r.tokens) for r in state.status(total, log).collect()] == [("interrupted", 1, 10)]
+    path.write_bytes(b"other")
+    again = files.inputs(spark, str(folder / "in"), ["pdf"]).selectExpr("run", "input_fingerprint", "explode(array(1, 2)) AS unit")
+    assert sorted(r.unit for r in state.pending_units(again, log).collect()) == ["1", "2"]
+
+
+def test_page_documents(spark, folder, monkeypatch):
+    """The splitting of documents and the change of images, with modules in their libraries' place."""
+    place = folder / "modules"
+    place.mkdir()
+    (place / "pypdf.py").write_text(
+        "class PdfReader:\n    def __init__(self, f):\n        data = f.read()\n        if data == b'bad':\n            raise ValueError('no pages')\n        self.pages = data.split(b'|')\n"
+        "class PdfWriter:\n    def add_page(self, page):\n        self.page = page\n    def write(self, out):\n        out.write(self.page)\n"
+    )
+    for name, content in (("a.pdf", b"one|two"), ("b.pdf", b"bad")):
+        (folder / name).write_bytes(content)
+    spark.sparkContext.addPyFile(str(place / "pypdf.py"))
+    rows = files.pdf_pages(spark, [str(folder / "a.pdf"), str(folder / "b.pdf")]).collect()
+    assert sorted((r.page or 0, r.content and bytes(r.content), r.error) for r in rows) == [(0, None, "ValueError: no pages"), (1, b"one", None), (2, b"two", None)]
+    images = spark.createDataFrame([("a.JPG", b"x"), ("b.heic", b"y")], "path string, content binary")
+    found = [r.c and bytes(r.c) for r in images.select(files.as_jpeg(images.path, images.content).alias("c")).collect()]
+    assert found == [b"x", None]  # null without the library
+
+
+def test_commands(spark, folder):
+    """Chain B from cards to its workbook, with answers as the service's own text; pages to contacts."""
+    import argparse
+
+    from cardloom import cli
+
+    def args(*given, **more):
+        return argparse.Namespace(**({"input": list(given), "output": "", "workbook": None, "provider": None, "model": "m-1"} | more))
+
+    (folder / "service.py").write_text(
+        "import json\ndef ask(batch):\n    cards = [{'card_key': c['card_key'], 'name': 'Li Lei', 'mobiles': ['13900000001']} for c in batch]\n"
+        "    return '```json\\n' + json.dumps({'cards': cards}) + '\\n```', 3\n"
+    )
+    spark.sparkContext.addPyFile(str(folder / "service.py"))
+    cards = spark.createDataFrame(
+        [("P|f|1|1", "P", "d", "f", 1, 1, "r1c1", ["x"], None), ("P|f|1|2", "P", "d", "f", 1, 2, "r1c2", ["y"], None)],
+        "card_key string, source_label string, source_dataset string, file string, page int, card_no int, grid_pos string, line_texts array<string>, extracted string",
+    )
+    cards.write.parquet(str(folder / "work"))
+    for _ in range(2):  # the second run has nothing left to ask
+        cli.enriched(spark, args(str(folder / "work"), output=str(folder / "answers"), provider="service:ask"))
+    answers = spark.read.parquet(str(folder / "answers"))
+    assert answers.count() == 2 and {r.name_std for r in answers.collect()} == {"Li Lei"} and answers.agg({"tokens": "sum"}).first()[0] == 3
+    spark.createDataFrame([("P", "f", 1, 1, "13900000001")], "source_label string, file string, page int, card_no int, phone_normalized string").write.parquet(str(folder / "a"))
+    cli.exported(spark, args(str(folder / "a"), str(folder / "answers"), output=str(folder / "out"), workbook=str(folder / "b.xlsx")))
+    assert spark.read.parquet(str(folder / "out" / "phone_processed")).count() == 2
+    figures = {r.metric: r.value for r in files.sheet_rows(spark, str(folder / "b.xlsx"), ["metric", "value"], "处理统计").collect()}
+    assert len(figures) == 14 and figures["llm_cards_processed"] == "2.0" and figures["phones_in_both"] == "1.0"
+    cli.extract(spark, args(str(folder / "in" / "ocr_results.jsonl"), output=str(folder / "pages")))
+    assert "Acme" in "".join(p.read_text(encoding="utf-8") for p in (folder / "pages" / "ocr_contacts.csv").glob("*.csv"))
+
+
 def test_workbook(spark, folder):
     rows = spark.createDataFrame([("a & <b>", True, None), ("", None, ["x", "y"])], "name string, ok boolean, phones array<string>")
     path = str(folder / "book.xlsx")
@@ -95,13 +171,16 @@ def test_batches_upsert(spark, folder):
     resume.each_batch(rows, work, str(folder / "check2")).awaitTermination()
     found = resume.latest(spark, str(folder / "table"), ["file", "page"], "o")
     assert sorted((r.page, r.o) for r in found.collect()) == [(1, 2), (2, None)] and found.columns == ["file", "page", "ok", "o"]
+    resume.compacted(spark, str(folder / "table"), str(folder / "small"), ["file", "page"], "o")
+    resume.upsert_into(spark, str(folder / "small"), ["file", "page"], "o")(spark.createDataFrame([("a.pdf", 2, True, 9)], "file string, page int, ok boolean, o int"), 0)
+    assert sorted((r.page, r.o) for r in resume.latest(spark, str(folder / "small"), ["file", "page"], "o").collect()) == [(1, 2), (2, 9)]
 
 
 def test_queries_equal_their_sql(spark):
     from cardloom.plans.queries import ORACLES, QUERIES
 
     folder, db = "/root/testdata/sf0.001", duckdb.connect()
-    for name in ("customer", "nation", "documents", "pages", "events", "conversations"):
+    for name in ("region", "customer", "nation", "orders", "documents", "pages", "events", "conversations"):
         db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')")
     for name, sql in ORACLES.items():
         got = QUERIES[name](spark, folder)

@@ -55,6 +55,8 @@ def test_state(spark):
     assert sorted((r.k, r.v) for r in state.keep_last(rows, ["k"], "o").collect()) == [(1, "b"), (2, "c")]
     new = spark.createDataFrame([(2, 5, "z"), (3, 1, "n")], "k int, o int, v string")
     assert sorted((r.k, r.v) for r in state.upserted(rows, new, ["k"], "o").collect()) == [(1, "b"), (2, "z"), (3, "n")]
+    clash = spark.createDataFrame([(1, 1, "a", "x")], "k int, o int, _new string, place string")
+    assert [tuple(r) for r in state.upserted(clash, clash.limit(0), ["k"], "o").collect()] == [(1, 1, "a", "x")]
     work = spark.createDataFrame([(1,), (2,), (3,), (4,)], "k int")
     results = spark.createDataFrame([(1, True), (2, False), (3, None)], "k int, ok boolean")
     assert sorted(r.k for r in state.pending_pages(work, results, ["k"]).collect()) == [2, 3, 4]
@@ -100,6 +102,16 @@ def test_final_error_ends_the_calls(spark):
     assert all(r.fatal for r in rows) and len(rows) == 3
 
 
+def test_answers_as_text():
+    rows = [{"card_key": "a"}]
+    for text in ('[{"card_key": "a"}]', '```json\n{"cards": [{"card_key": "a"}]}\n```', '```\n[{"card_key": "a"}]```', rows):
+        assert enrich._parsed(text) == rows
+    for text in ("no JSON", '"x"', "3"):
+        with pytest.raises(ValueError):
+            enrich._parsed(text)
+    assert enrich.provider_at("json:dumps")([]) == "[]"
+
+
 def test_phone_rows(spark):
     cards = spark.createDataFrame([("a", "13900000001;13900000001"), ("b", ""), ("c", None)], "k string, phones string")
     assert [(r.k, r.phone_normalized) for r in phones.phone_rows(cards).collect()] == [("a", "13900000001")]
