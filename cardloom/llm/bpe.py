@@ -6,6 +6,9 @@ a three-level bitmap with one bit per bucket finds the lowest rank in use by
 three find-first-set steps.  A merge only re-files its two neighbours; entries
 whose pair has meanwhile changed are stale and skipped when met.  So a pre-token
 of n bytes takes about n log n steps however long it is.
+
+Functions here are column expressions: each row is coded by itself, so repeated rows and other columns,
+whatever their names, stay as they are, and an empty table gives none.  Null and empty texts have no ids.
 """
 
 from __future__ import annotations

@@ -106,6 +106,7 @@ def folded(events: DataFrame) -> DataFrame:
     without a message starts one.  Unknown kinds are an error.  Other columns are not
     read; an empty log gives no rows.
     """
+    events = events.select("conv_id", "seq", "kind", "turn", "role", "text")
     kind = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for k, i in _KINDS.items()], F.raise_error(F.lit("unknown kind of event")).cast("int"))
     floors = _floors(events).select(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), "floor")
     own = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("turn").eqNullSafe(F.col("_turn"))

@@ -1,4 +1,9 @@
-"""Quality scores by non-negative positive-unlabelled learning over the make-up of a text."""
+"""Quality scores by non-negative positive-unlabelled learning over the make-up of a text.
+
+Scores are column expressions: each row is scored by its text alone, so repeated rows and other columns,
+whatever their names, stay as they are.  Null texts count as empty; where nothing can be learned all scores are the
+share of label 1.
+"""
 
 from __future__ import annotations
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, chat, cws, packing, pages, pu, quality, secrets, simhash, toxicity
@@ -23,14 +24,38 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conversation_log(rows: DataFrame) -> DataFrame:
+    """A log of events whose final messages are the rows (conv_id, turn, role, text), one in four each way.
+
+    A message comes whole; in two deltas; as a draft with a delta, then edited; or as a first try with a delta and an answer to it in
+    the next slot, all taken back by a regeneration.
+    """
+    text, role, none = F.coalesce("text", F.lit("")), F.col("role"), F.lit(None).cast("string")
+    half = F.floor(F.char_length(text) / 2).cast("int")
+
+    def event(step: int, kind: str, role: Column, text: Column, ahead: int = 0) -> Column:
+        return F.struct(F.lit(step).alias("step"), F.lit(kind).alias("kind"), F.lit(ahead).alias("ahead"), role.alias("role"), text.alias("text"))
+
+    ways = [
+        [event(0, "message", role, text)],
+        [event(0, "message", role, F.substring(text, F.lit(1), half)), event(1, "delta", none, F.substring(text, half + 1, F.char_length(text)))],
+        [event(0, "message", role, F.concat(F.lit("draft "), text)), event(1, "delta", none, F.lit(", more")), event(2, "edit", none, text)],
+        [event(0, "message", role, F.lit("first try")), event(1, "delta", none, F.lit(", more")), event(2, "message", F.lit("user"), F.lit("no"), 1), event(3, "regenerate", role, text)],
+    ]
+    way = F.pmod(F.coalesce("conv_id", F.lit(0)) + F.coalesce("turn", F.lit(0)), F.lit(len(ways)))
+    chosen = reduce(lambda other, i: F.when(way == i, F.array(*ways[i])).otherwise(other), range(1, len(ways)), F.array(*ways[0]))
+    events = rows.select("conv_id", "turn", F.explode(chosen).alias("e"))
+    return events.select("conv_id", (F.col("turn") * 8 + F.col("e.step")).alias("seq"), "e.kind", (F.col("turn") + F.col("e.ahead")).alias("turn"), "e.role", "e.text")
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each row is the event that brought its whole message."""
+    """The conversations as a log of deltas, edits and regenerations, folded, rendered and read back."""
     more = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").unionByName(more)
-    return chat.digests(chat.formatted(rows.withColumns({"seq": F.col("turn"), "kind": F.lit("message")})))
+    return chat.digests(chat.formatted(conversation_log(rows)))
 
 
 #: Every turn in order, read as the operator's output must read.

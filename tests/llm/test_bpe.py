@@ -30,6 +30,12 @@ def test_ids_and_round_trip(spark):
     assert docs.limit(0).select(bpe.encode("text", PATH, PATTERN)).count() == 0
 
 
+def test_repeated_rows_and_other_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "a b", 5), (1, "a b", 5), (2, None, 6)], "doc_id long, text string, bytes int")
+    rows = docs.withColumn("ids", bpe.encode("text", PATH, PATTERN)).collect()
+    assert sorted((r.doc_id, r.bytes, len(r.ids)) for r in rows) == [(1, 5, 2), (1, 5, 2), (2, 6, 0)]
+
+
 def test_both_splits_agree():
     own = bpe.codec(PATH, PATTERN)
     for text in (t for t in TEXTS if t and all(c <= "ÿ" for c in t)):

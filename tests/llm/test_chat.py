@@ -44,6 +44,20 @@ def test_control_strings_survive(spark):
     assert (row.n_turns, row.loss_chars, row.formatted_chars) == (len(nasty), len("".join(nasty[1::2])), len(whole))
 
 
+def test_log_of_the_query_has_every_kind_of_event(spark):
+    rows = spark.createDataFrame([(c, t, "assistant" if t % 2 else "user", None if c == 3 else f"text {c} {t}") for c in range(4) for t in range(5)], "conv_id long, turn long, role string, text string")
+    events = queries.conversation_log(rows)
+    kinds = {r.kind: r["count"] for r in events.groupBy("kind").count().collect()}
+    assert set(kinds) == {"message", "delta", "edit", "regenerate"} and kinds["regenerate"] == 5
+    assert texts(events) == [(r.conv_id, r.turn, r.role, r.text or "") for r in rows.orderBy("conv_id", "turn").collect()]
+
+
+def test_columns_beside_those_of_a_log_are_not_read(spark):
+    events = log(spark, [(1, 1, "message", 0, "user", "hi")]).selectExpr("*", "7 AS part", "'x' AS floor", "'y' AS formatted")
+    assert texts(events) == [(1, 0, "user", "hi")]
+    assert chat.digests(chat.formatted(events)).count() == 1
+
+
 def test_query_equals_its_sql(spark):
     folder = "/root/testdata/sf0.001"
     found = duckdb.connect()

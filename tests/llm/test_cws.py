@@ -42,3 +42,12 @@ def test_revisions(spark):
         assert rows[doc_id].near_next == cws.likeness(cws.signature(own), cws.signature(after))
     assert rows[4].near_next == 1.0
     assert cws.revisions(docs.limit(0)).count() == 0
+
+
+def test_repeated_and_null_ids(spark):
+    """Rows of one id follow each other by text, null ids come last."""
+    rows = [(2, "b b"), (2, "a a"), (None, "n n"), (2, "a a"), (7, "z z")]
+    got = cws.revisions(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    order = [(7, "z z"), (2, "a a"), (2, "a a"), (2, "b b"), (None, "n n")]
+    expected = [(i, cws.likeness(cws.signature(t), cws.signature(order[(k + 1) % 5][1]))) for k, (i, t) in enumerate(order)]
+    assert sorted(((r.doc_id or 0), r.near_next) for r in got) == sorted((i or 0, x) for i, x in expected)

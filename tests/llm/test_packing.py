@@ -74,3 +74,9 @@ def test_cuts_cost_least_with_windows_without_padding():
         assert sum(0 if d in powers else length - d for d in windows) + sum(price[c] for c in found) == least[at[-1]]
         used.update(windows)
     assert {256, 512} & used
+
+
+def test_null_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(None, "a b"), (4, "c"), (4, "c"), (4, None)], "doc_id long, text string").coalesce(1)
+    rows = packing.pack(docs, PATH).collect()
+    assert [(r.doc_id, r.start, r.length, r.doc_tokens) for r in rows] == [(None, 0, 3, 3), (4, 0, 2, 2), (4, 0, 2, 2), (4, 0, 1, 1)] and len({r.sequence_id for r in rows}) == 1
