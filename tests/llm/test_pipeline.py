@@ -1,10 +1,18 @@
-"""The pipeline's stages on small tables, and the registry."""
+"""The pipeline's stages on small tables and against a plain version, and the registry."""
 
+import base64
+import random
+
+import numpy as np
+import public_tokenizers
 import pytest
+import test_jaccard
+import test_secrets
+from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from cardloom.llm import queries
+from cardloom.llm import quality, queries, toxicity
 
 
 def test_registry():
@@ -43,7 +51,71 @@ def test_stages(stages):
     assert all(r["sum(length)"] == whole[r.doc_id] for r in tokens)
 
 
-def test_run_equals_its_stages(spark, stages):
-    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    own = {(r.doc_id, r.start, r.length) for r in rows.collect() if r.doc_id < 10**9}
-    assert {i for i, *_ in own} == {r.doc_id for r in stages[-1].select("doc_id").distinct().collect() if r.doc_id < 10**9}
+def plain_pipeline(docs, labels, models):
+    """{doc_id: texts that are packed}: stages one after the other by loops over rows."""
+    toxic, good = models
+    rows = [r for r in docs if toxic.score(toxicity.words(r[1])) < 0.7 and good.score(quality.traits(r[1])) >= 0.7]
+    root = test_jaccard.least_ids([t or "" for _, t in rows])
+    groups = {}
+    for (doc_id, text), group in zip(rows, root):
+        groups.setdefault(group, []).append((doc_id is None, doc_id or 0, text))
+    kept = [min(g, key=lambda x: x[:2]) for g in groups.values()]
+    texts = [t for *_, t in kept]
+    found = {}
+    for (none, doc_id, text), spans in zip(kept, test_secrets.every_span(texts)):
+        own, parts = text or "", []
+        at = 0
+        for start, end in sorted(tuple(map(int, x.split(":")[1:])) for x in filter(None, spans.split(","))):
+            if start >= at:
+                parts += [own[at:start], "[SECRET]"]
+            at = max(at, end)
+        found.setdefault(None if none else doc_id, []).append("".join([*parts, own[at:]]))
+    return found
+
+
+def made_documents():
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghijk") for _ in range(rng.randrange(2, 8))) for _ in range(900)]
+    docs, labels = [], []
+    for i in range(0, 1200, 2):
+        toxic, good = rng.random() < 0.2, rng.random() < 0.75
+        own = [rng.choice(words) for _ in range(rng.randrange(40, 120))]
+        if toxic:
+            own[3:6] = rng.choices(["vilest", "rotter", "cretin"], k=3)
+        if i % 7 == 0:
+            own[10:10] = ["password:", f"hunter{i}{i}", base64.b64encode(rng.randbytes(45)).decode()]
+        docs.append((i, " ".join(own if good else [w + "###" for w in own])))
+        labels.append((i, int(good), int(toxic)))
+        if i % 10 == 0:  # a copy, with an edit or none
+            at = rng.randrange(len(own))
+            own[at : at + rng.randrange(3)] = ["edited"]
+            docs.append((i + 1, " ".join(own if good else [w + "###" for w in own])))
+    return docs + [(5000, None), (5001, ""), (None, docs[0][1]), (None, " ".join(f"alone{i}" for i in range(60)))], labels
+
+
+def test_run_equals_a_plain_version(spark, tmp_path):
+    """Null texts and ids among the rows."""
+    docs, labels = made_documents()
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in docs], columns).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    tables = [spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "labels")]
+    expected = plain_pipeline(docs, labels, [kind.learn(*tables) for kind in (toxicity, quality)])
+    assert 250 < len(expected) < 500 and sum("[SECRET]" in t for x in expected.values() for t in x) > 30
+    own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tokens = {i: sorted([*own.encode(t, add_special_tokens=False).ids, 2] for t in x) for i, x in expected.items()}
+    found = {}
+    for r in sorted(corpus_pipeline.run(spark, str(tmp_path)).collect(), key=lambda r: (r.sequence_id, r.offset)):
+        ids = np.frombuffer(bytes(r.ids), "<u4").tolist()
+        if r.start == 0:
+            found.setdefault(r.doc_id, []).append(ids)
+        else:
+            found[r.doc_id][-1] += ids
+    assert {i: sorted(x) for i, x in found.items()} == tokens
+
+
+def test_empty_tables(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
