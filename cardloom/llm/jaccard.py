@@ -7,14 +7,15 @@ frequent keeps buckets small.
 
 Here the order is: shingles by the number of texts that have them, then those that are frequent
 in a sample of the documents, so that no shingle of a large part of all texts is ever dealt to be counted.  A text
-with enough shingles of its own has no copy at all and gets no key, which is so for most.
+with as many shingles of its own as it has keys has no copy at all and gets no key.  That is found for most texts from one
+in ``PART`` of their shingles, and only the others deal all of them.
 
 Two sets whose first key in common is at the places i and j have at most the lesser of n - i
 and m - j shingles in common, which rules out most of those that share only frequent ones.
 The others are compared whole, by their texts.  Equal texts are one throughout.  Of the texts with keys,
 candidates that another method finds (``near``) are compared first, which joins most copies.  Where buckets
-are so large that all their pairs would still be too many, one set of each bucket is compared with
-all others next; then all pairs of a bucket are compared that are not yet in one group.
+are so large that all their pairs would still be too many, each set is compared with the first of one of
+its buckets next; then all pairs of a bucket are compared that are not yet in one group.
 
 Keys, hubs and texts that a large part of the rows have are met where these rows are, or in many parts.
 """
@@ -28,7 +29,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
 
 from .graph import HOT, components, join_by_key, least_by_key
 from .runtime import settle
@@ -37,9 +37,9 @@ from .shingles import hashes_of, majority
 #: Documents that tell which shingles are frequent, and how many of these are known by name. Results do not depend on them.
 SAMPLE, FREQUENT, SEED = 4_096, 65_536, 42
 #: Stars are drawn while buckets hold more open pairs than so many for each of their rows, and this often at most.
-PAIRS, STARS = 4, 3
-#: Bits of the map by which texts that no pair asks for are left out before they are dealt; equal bits only cost time.
-MAP = 1 << 24
+PAIRS, STARS = 4, 6
+#: One in so many shingles tells which texts have enough of their own. Texts up to so many are found by a broadcast of their numbers, more by a shuffle.
+PART, BROADCAST = 3, 1 << 21
 _SLACK = 1e-9
 
 
@@ -91,8 +91,12 @@ def _frequent(own: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes[order], -np.arange(len(rows))[order]
 
 
+#: A shared key (key, id, df), or what is to be known of a text (id, fingerprint, n, dealt, late).
+_ROWS = "key long, id long, df long, fingerprint long, n long, dealt long, late array<long>"
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (key, id) rows sorted by both those whose key has several ids, once each, with the number of these."""
+    """Of (key, id) rows sorted by both those whose key has several ids, once each, with the number of these; rows about texts pass."""
     held = [np.zeros(0, np.int64)] * 2
 
     def several(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
@@ -100,9 +104,13 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.diff(np.append(starts, len(keys)))
         each = np.repeat(sizes, sizes)
         keep = each > 1
-        return pa.record_batch([pa.array(keys[keep]), pa.array(ids[keep]), pa.array(each[keep].astype(np.int64))], ["key", "id", "df"])
+        found = [pa.array(x, pa.int64()) for x in (keys[keep], ids[keep], each[keep])]
+        return _row_batch([*found, *(pa.nulls(len(found[0]), kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())))])
 
     for batch in batches:
+        about = batch.column(3).is_valid()
+        yield _row_batch([pa.nulls(len(x), x.type) if i == 0 else x for i, x in enumerate(batch.filter(about).columns)])
+        batch = batch.filter(batch.column(3).is_null())
         keys, ids = (np.concatenate([h, batch.column(i).to_numpy(zero_copy_only=False)]) for i, h in enumerate(held))
         new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])]) if len(keys) else np.zeros(0, bool)
         keys, ids = keys[new], ids[new]
@@ -112,18 +120,55 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield several(*held)
 
 
-def _keys(marked: DataFrame, similarity: float) -> DataFrame:
+def _row_batch(columns: list[pa.Array]) -> pa.RecordBatch:
+    return pa.record_batch(columns, ["key", "id", "df", "fingerprint", "n", "dealt", "late"])
+
+
+def _counted(own: DataFrame, shingle: int, similarity: float, frequent: np.ndarray, rank: np.ndarray, part: int) -> DataFrame:
+    """Rows of _ROWS: of the shingles that are not frequent, one in part, those that several texts have, and a row about each text."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # of this task: copies are looked at once in each
+        for batch in batches:
+            for own_id, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if own_id in seen:
+                    continue
+                seen.add(own_id)
+                every = hashes_of(x.as_py(), shingle)
+                hashes = np.unique(every)
+                rare, late = split_keys(hashes, similarity, frequent, rank)
+                rare = rare[rare % np.uint64(part) == 0] if part > 1 else rare
+                n = len(rare) + 1
+                about = (np.uint64(majority(every)).view(np.int64), len(hashes), len(rare), late.view(np.int64))
+                more = [pa.array([v] + [None] * len(rare), kind) for v, kind in zip(about, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())))]
+                keys = np.concatenate([np.array([own_id], np.int64), rare.view(np.int64)])
+                yield _row_batch([pa.array(keys), pa.array(np.full(n, own_id, np.int64)), pa.nulls(n, pa.int64()), *more])
+
+    dealt = own.select("id", "text").mapInArrow(keyed, _ROWS).repartition("key").sortWithinPartitions("key", "id")
+    return settle(dealt.mapInArrow(_shared, _ROWS))
+
+
+def _alive(found: DataFrame, similarity: float) -> DataFrame:
+    """(id, fingerprint, n, dealt, late, own, wanted) of the texts with fewer shingles of their own than keys, by what was dealt."""
+    about = found.where("fingerprint IS NOT NULL").groupBy("id").agg(*[F.first(c).alias(c) for c in ("fingerprint", "n", "dealt", "late")])
+    shared = found.where("df IS NOT NULL").groupBy("id").agg(F.count("*").alias("n_shared"))
+    keys = F.when(F.col("n") > 0, F.col("n") - F.greatest(F.lit(1), F.ceil(similarity * F.col("n") - _SLACK)) + 1).otherwise(0)
+    sized = about.join(shared, "id", "left").withColumn("own", F.col("dealt") - F.coalesce("n_shared", F.lit(0)))
+    return sized.drop("n_shared").withColumn("wanted", keys - F.col("own")).where("wanted > 0")
+
+
+def _keys(found: DataFrame, alive: DataFrame) -> DataFrame:
     """(key, id, size, at) of the texts that may have a copy; at is the key's place among the text's shingles."""
-    dealt = marked.select(F.explode("rare").alias("key"), "id").repartition("key").sortWithinPartitions("key", "id")
-    shared = settle(dealt.mapInArrow(_shared, "key long, id long, df long"))
-    sizes = marked.groupBy("id").agg(F.first("n").alias("n"), F.first("m").alias("m"))
-    n_own = F.col("m") - F.coalesce("n_shared", F.lit(0))  # shingles that no other text has come first
-    wanted = F.col("n") - F.greatest(F.lit(1), F.ceil(similarity * F.col("n") - _SLACK)) + 1 - n_own
-    alive = sizes.join(shared.groupBy("id").agg(F.count("*").alias("n_shared")), "id").select("id", "n", n_own.alias("own"), wanted.alias("wanted")).where("wanted > 0")
     place = F.row_number().over(Window.partitionBy("id").orderBy("df", "key"))
-    early = shared.join(alive, "id").withColumn("place", place).where("place <= wanted").select("key", "id", F.col("n").alias("size"), (F.col("own") + F.col("place") - 1).alias("at"))
-    late = marked.where(F.size("late") > 0).select("id", F.col("n").alias("size"), "m", F.posexplode("late").alias("i", "key"))
-    return early.unionByName(late.select("key", "id", "size", (F.col("m") + F.col("i")).alias("at")).distinct())
+    shared = found.where("df IS NOT NULL").select("key", "id", "df").join(alive.select("id", "n", "own", "wanted"), "id")
+    early = shared.withColumn("place", place).where("place <= wanted").select("key", "id", F.col("n").alias("size"), (F.col("own") + F.col("place") - 1).alias("at"))
+    late = alive.select("id", F.col("n").alias("size"), "dealt", F.posexplode("late").alias("i", "key"))
+    return early.unionByName(late.select("key", "id", "size", (F.col("dealt") + F.col("i")).alias("at")))
+
+
+def _of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows that have one of the distinct ids."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST else ids, "id", "left_semi")
 
 
 def _verified(pairs: DataFrame, own: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -154,33 +199,14 @@ def _verified(pairs: DataFrame, own: DataFrame, shingle: int, similarity: float)
     first = F.col("parts_a") >= F.col("parts_b")
     turned = both.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("other"), F.greatest("parts_a", "parts_b").alias("parts"))
     placed = turned.select("hub", F.pmod(F.xxhash64("other"), F.col("parts")).cast("int").alias("part"), "other")
-    texts = _fetched(own, asked)
+    # both joins read one shuffle of the texts that are asked for, each once
+    texts = _of(own, asked.select("id")).groupBy("id").agg(F.min("text").alias("text"))
     members = placed.join(texts.withColumnRenamed("id", "other"), "other").select("hub", "part", "other", "text")
     hubs = placed.select("hub", "part").distinct().join(texts.withColumnRenamed("id", "hub"), "hub").select("hub", "part", F.lit(None).cast("long").alias("other"), "text")
     dealt = hubs.unionByName(members).repartition("hub", "part").sortWithinPartitions("hub", "part", F.asc_nulls_first("other"))
     return settle(dealt.mapInArrow(compared, "a long, b long"))
 
 
-def _fetched(own: DataFrame, asked: DataFrame) -> DataFrame:
-    """(id, text) of the texts that are asked for.
-
-    A map of bits leaves out most others where they are read.
-    """
-    slot = F.col("id").bitwiseAND(F.lit(MAP - 1))
-    maps = asked.groupBy(F.shiftright(slot, 15).alias("part")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
-    marks = np.zeros((MAP >> 15, 1 << 12), np.uint8)
-    for part, bits in maps.collect():
-        marks[part] = np.frombuffer(bits, np.uint8)
-    marks = marks.reshape(-1)
-
-    @arrow_udf("boolean")
-    def wanted(ids: pa.Array) -> pa.Array:
-        at = ids.to_numpy(zero_copy_only=False) & (MAP - 1)
-        return pa.array((marks[at >> 3] >> (at & 7) & 1).astype(bool))
-
-    return settle(own.where(wanted("id")).groupBy("id").agg(F.min("text").alias("text")))
-
-
 def _open(buckets: DataFrame, links: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one group, with their groups by the links."""
     own = components(links).withColumnRenamed("node", "id")
@@ -207,24 +233,10 @@ def rooted(
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), identity(F.col(text).cast("string")).alias("id"))
     frequent, rank = _frequent(own, shingle)
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # of this task: copies are looked at once in each
-        for batch in batches:
-            rows = []
-            for own_id, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if own_id in seen:
-                    continue
-                seen.add(own_id)
-                every = hashes_of(x.as_py(), shingle)
-                hashes = np.unique(every)
-                rare, late = split_keys(hashes, similarity, frequent, rank)
-                rows.append((own_id, np.uint64(majority(every)).view(np.int64), len(hashes), len(rare), late.view(np.int64), rare.view(np.int64)))
-            columns = list(zip(*rows)) or [()] * 6
-            lists = [pa.array(x, pa.list_(pa.int64())) for x in columns[4:]]
-            yield pa.record_batch([*(pa.array(x, pa.int64()) for x in columns[:4]), *lists], ["id", "fingerprint", "n", "m", "late", "rare"])
-
-    marked = settle(own.select("id", "text").mapInArrow(keyed, "id long, fingerprint long, n long, m long, late array<long>, rare array<long>"))
-    keys = settle(_keys(marked, similarity))
+    some = settle(_alive(_counted(own, shingle, similarity, frequent, rank, PART), similarity).select("id"))
+    found = _counted(_of(own, some), shingle, similarity, frequent, rank, 1)
+    alive = settle(_alive(found, similarity))
+    keys = settle(_keys(found, alive))
     several = keys.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
     buckets = settle(join_by_key(keys, several, "key", "_n", keys.count()).withColumn("root", F.col("id")))
 
@@ -233,7 +245,7 @@ def rooted(
 
     first = None
     if near is not None:
-        prints = buckets.select("id").distinct().join(marked.select("id", "fingerprint").distinct(), "id")
+        prints = buckets.select("id").distinct().join(alive.select("id", "fingerprint"), "id")
         first = verified(_ordered(near(prints).where("a <> b")))
     return own.select("doc_id", "id"), settle(components(_links(buckets, verified, similarity, first=first)))
 
@@ -290,7 +302,8 @@ def _links(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], simil
             break
         member = F.struct(F.xxhash64("id", F.lit(star)).alias("_order"), "id", "size", "at", "root")
         drawn = least_by_key(buckets, "key", member, "hub", buckets.count()).select(F.struct("id", "size", "at", "root").alias("own"), "hub")
-        found = verified(_ordered(drawn.where(_pairs("own", "hub", similarity)), "own.id", "hub.id"))
+        one = drawn.where(_pairs("own", "hub", similarity)).groupBy("own.id").agg(F.min(F.struct("hub._order", "hub.id")).alias("hub"))
+        found = verified(_ordered(one, "id", "hub.id"))
         links = found if links is None else links.unionByName(found)
         buckets = _open(buckets, links)
     both = buckets.alias("x").join(buckets.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & _pairs("x", "y", similarity))

@@ -63,9 +63,14 @@ def test_shared_keys_of_sorted_rows():
     rng = np.random.default_rng(4)
     rows = sorted((int(k), int(i)) for k, i in rng.integers(0, 40, (300, 2)))
     expected = sorted({(k, i, len({j for o, j in rows if o == k})) for k, i in rows if len({j for o, j in rows if o == k}) > 1})
-    for step in (1, 7, 300):
-        parts = [pa.record_batch([pa.array(x) for x in zip(*rows[at : at + step])], ["key", "id"]) for at in range(0, 300, step)]
-        assert sorted(r for b in jaccard._shared(iter(parts)) for r in zip(*b.to_pydict().values())) == expected
+    whole = [(k, i, None, None, None, None, None) for k, i in rows]
+    whole[100:100] = [(rows[100][0], 7, None, 55, 9, 9, [1, 2])]  # about a text
+    kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())]
+    for step in (1, 7, 301):
+        parts = [jaccard._row_batch([pa.array(x, k) for x, k in zip(zip(*whole[at : at + step]), kinds)]) for at in range(0, 301, step)]
+        got = [r for b in jaccard._shared(iter(parts)) for r in b.to_pylist()]
+        assert sorted((r["key"], r["id"], r["df"]) for r in got if r["df"] is not None) == expected
+        assert [(r["key"], r["id"], r["fingerprint"], r["late"]) for r in got if r["df"] is None] == [(None, 7, 55, [1, 2])]
     assert sum(b.num_rows for b in jaccard._shared(iter([]))) == 0
 
 
@@ -114,8 +119,10 @@ def test_frequent_shingles_beyond_the_sample(spark, monkeypatch):
         own = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([2, 4, 30]))]
         texts += [" ".join(passage + own), " ".join([*passage[: rng.randrange(30, 40)], *own])]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    for sample, frequent in ((4096, 65536), (20, 5), (1, 1)):
+    for sample, frequent, part in ((4096, 65536, 3), (20, 5, 1), (1, 1, 2)):
         monkeypatch.setattr(jaccard, "SAMPLE", sample)
+        monkeypatch.setattr(jaccard, "PART", part)
+        monkeypatch.setattr(jaccard, "BROADCAST", 0 if part == 2 else 1 << 20)
         monkeypatch.setattr(jaccard, "FREQUENT", frequent)
         found = {r.doc_id: r.component_id for r in jaccard.groups(docs, "doc_id", "text", 5, 0.8).collect()}
         assert [found[i] for i in range(len(texts))] == least_ids(texts), sample
