@@ -98,6 +98,61 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base_sha256, secrets.as_text(F.concat(base, more)).alias("spans"))
 
 
+def _op6_sql() -> str:
+    """Rules, battery and thresholds from their definitions, run by run and symbol by symbol."""
+
+    def matches(kind: str, pattern: str, group: int) -> str:
+        quoted = pattern.replace("'", "''")
+        return (
+            f"{kind}_runs AS (SELECT doc_id, g, m, v, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, string_split_regex(t, '{quoted}') AS g, regexp_extract_all(t, '{quoted}') AS m, "
+            f"regexp_extract_all(t, '{quoted}', {group}) AS v FROM docs)), "
+            f"{kind}_found AS (SELECT doc_id, m[i] AS value, v[i] AS own, cast(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS bigint) AS s FROM {kind}_runs)"
+        )
+
+    def case(column: str, values: list) -> str:
+        return "CASE " + " ".join(f"WHEN {column} = '{n}' THEN {v}" for (n, *_), v in zip(secrets.ENCODINGS, values)) + " END"
+
+    encoding = "CASE " + " ".join(f"WHEN regexp_matches(core, '{x}') THEN '{n}'" for n, x, *_ in secrets.ENCODINGS[:-1]) + f" ELSE '{secrets.ENCODINGS[-1][0]}' END"
+    sizes, excess = [float(len(x)) for _, _, x, _ in secrets.ENCODINGS], [len(x) * same - 1 for _, _, x, same in secrets.ENCODINGS]
+    upper = (
+        "exp(-z * z / 2) / sqrt(2 * pi()) * (1 / (1 + 0.2316419 * abs(z))) * (0.319381530 + 1 / (1 + 0.2316419 * abs(z)) * (-0.356563782 + 1 / (1 + 0.2316419 * abs(z)) "
+        "* (1.781477937 + 1 / (1 + 0.2316419 * abs(z)) * (-1.821255978 + 1 / (1 + 0.2316419 * abs(z)) * 1.330274429))))"
+    )
+    ordered = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e)"
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{matches("assign", secrets.ASSIGN, 1)}, {matches("access", secrets.ACCESS, 0)}, {matches("hex", secrets.HEX, 0)}, {matches("long", secrets.RUN, 0)},
+base AS (
+    SELECT doc_id, 'assign' AS kind, 0 AS rank, s, s + length(value) AS e FROM assign_found WHERE length(own) >= {secrets.MIN_VALUE}
+    UNION ALL SELECT doc_id, 'access', 1, s, s + length(value) FROM access_found UNION ALL SELECT doc_id, 'hex', 2, s, s + length(value) FROM hex_found
+),
+runs AS (SELECT *, {encoding} AS encoding FROM (SELECT doc_id, s, s + length(value) AS e, rtrim(value, '=') AS core FROM long_found r
+    WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.s < r.s + length(r.value) AND r.s < b.e))),
+symbols AS (SELECT doc_id, s, e, encoding, length(core) AS n, {case("encoding", sizes)} AS k, i,
+    cast(instr({case("encoding", [f"'{x}'" for _, _, x, _ in secrets.ENCODINGS])}, substring(CASE WHEN encoding = 'hex' THEN lower(core) ELSE core END, i, 1)) AS double) AS v
+    FROM (SELECT *, unnest(range(1, length(core) + 1)) AS i FROM runs)),
+neighbours AS (SELECT *, lag(v) OVER (PARTITION BY doc_id, s ORDER BY i) AS before FROM symbols),
+sums AS (SELECT doc_id, s, e, encoding, n, k, sum(v) AS s1, sum(v * v) AS s2, sum(v * coalesce(before, 0)) + arg_min(v, i) * arg_max(v, i) AS circular,
+    sum(CASE WHEN v > (k + 1) / 2 THEN 1 ELSE 0 END) AS above, sum(CASE WHEN before IS NULL OR (v > (k + 1) / 2) <> (before > (k + 1) / 2) THEN 1 ELSE 0 END) AS runs FROM neighbours GROUP BY ALL),
+squares AS (SELECT doc_id, s, sum(c * c) AS squares FROM (SELECT doc_id, s, v, cast(count(*) AS double) AS c FROM symbols GROUP BY ALL) GROUP BY ALL),
+figures AS (SELECT *, k * squares / n - n AS chi, k - 1 AS df, {case("encoding", excess)} AS excess, 2.0 * above * (n - above) AS split, n * s2 - s1 * s1 AS scatter FROM sums JOIN squares USING (doc_id, s)),
+scores AS (SELECT *, split * (split - n) / (cast(n AS double) * n * (n - 1)) AS spread, CASE WHEN scatter > 0 THEN (n * circular - s1 * s1) / scatter ELSE 1.0 END AS serial FROM figures),
+tails AS (SELECT *, list_transform([
+        (pow(chi / df, 1.0 / 3) - (1 - 2 / (9 * df))) / sqrt(2 / (9 * df)), CASE WHEN spread > 0 THEN abs(runs - split / n - 1) / sqrt(spread) ELSE 0 END,
+        abs(serial + 1.0 / (n - 1)) * sqrt(n), (df + n * excess - chi) / sqrt(2 * df + 4 * n * excess)
+    ], lambda z: greatest(CASE WHEN z >= 0 THEN {upper} ELSE 1 - {upper} END, 1e-300)) AS p FROM scores),
+halves AS (SELECT *, -(ln(p[1]) + ln(CASE WHEN spread > 0 THEN least(2 * p[2], 1) ELSE 1e-300 END) + ln(least(2 * p[3], 1))) AS half FROM tails),
+judged AS (SELECT doc_id, s, e, exp(-half) * (1 + half + half * half / 2) AS p_random, least(floor(-log10(p[4]) * {secrets.BINS}), {secrets.LAST_BIN}) AS bin, encoding || ':' || cast(floor(log2(n)) AS bigint) AS cell FROM halves),
+passing AS (SELECT cell, min(b) AS least FROM (SELECT cell, b, count(*) AS every, count(*) FILTER (WHERE bin >= b) AS kept FROM judged CROSS JOIN (SELECT unnest(range(0, {secrets.LAST_BIN + 1})) AS b) GROUP BY ALL)
+    WHERE every * pow(10.0, -b / {float(secrets.BINS)}) <= {secrets.FALSE_SHARE} * kept GROUP BY cell),
+spans AS (SELECT * FROM base UNION ALL SELECT doc_id, 'random', 3, s, e FROM judged JOIN passing USING (cell) WHERE bin >= least AND p_random >= {secrets.LEAST_RANDOM}),
+found AS (SELECT doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access, count(*) FILTER (WHERE rank = 2) AS n_hex,
+    {ordered} FILTER (WHERE rank < 3) AS base, {ordered} AS spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN found f ON d.doc_id = f.doc_id
+"""
+
+
 def op7_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.revisions(table(spark, sf_dir, "documents"))
 
@@ -136,4 +191,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {"op2_chat_formatting": _OP2}
+ORACLES: dict[str, str] = {"op2_chat_formatting": _OP2, "op6_secret_scan": _op6_sql()}

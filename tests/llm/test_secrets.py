@@ -9,7 +9,9 @@ import re
 import time
 from collections import Counter
 
-from cardloom.llm import secrets
+import duckdb
+
+from cardloom.llm import queries, secrets
 from pyspark.sql import functions as F
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -168,3 +170,15 @@ def test_columns_of_the_user_stay(spark):
     docs = spark.createDataFrame([(1, "secret=abcdef", 5, 6, 7)], "doc_id long, text string, _base int, _spans int, found int")
     assert secrets.redacted(docs).first().asDict() == {"doc_id": 1, "text": "[SECRET]", "_base": 5, "_spans": 6, "found": 7}
     assert secrets.scanned(docs).columns == ["doc_id", "_base", "_spans", "found", "assign", "access", "hex", "tests"]
+
+
+def test_query_equals_its_sql(spark, tmp_path):
+    """On texts for which the battery adds spans."""
+    frame(spark, mixed_texts(21)).drop("assign").repartition(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op6_secret_scan(spark, str(tmp_path))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    result = db.execute(queries.ORACLES["op6_secret_scan"])
+    at = [[d[0] for d in result.description].index(c) for c in got.columns]
+    rows = sorted(map(tuple, got.collect()))
+    assert rows == sorted(tuple(r[i] for i in at) for r in result.fetchall()) and any("random" in r[-1] for r in rows)
