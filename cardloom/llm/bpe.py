@@ -2,8 +2,8 @@
 
 Each pre-token is merged on its own.  Its live parts form a linked list; every
 adjacent pair that is itself a token waits in the bucket of its merge rank, and
-a three-level bitmap with one bit per bucket finds the lowest rank in use by
-three find-first-set steps.  A merge only re-files its two neighbours; entries
+a two-level bitmap with one bit per bucket, in words of 256, finds the lowest rank in use by
+two find-first-set steps.  A merge only re-files its two neighbours; entries
 whose pair has meanwhile changed are stale and skipped when met.  So a pre-token
 of n bytes takes about n log n steps however long it is.
 
@@ -28,51 +28,46 @@ from pyspark.sql.functions import arrow_udf
 REMEMBERED, REMEMBERED_CHARS = 600_000, 40
 
 
-def merged(piece: bytes, ranks: dict[bytes, int], bits: list[int], groups: list[int]) -> list[int]:
+def merged(piece: bytes, ranks: dict[bytes, int], pairs: list[int | None], bits: list[int]) -> list[int]:
     """Token ids of one pre-token.
 
-    ``bits`` has a bit for each rank, ``groups`` one for each word of bits and a
-    local word one for each group; all are zero before and after.
+    ``pairs`` has the rank of each two bytes.  ``bits`` holds words of a bit for each rank, and a local word
+    a bit for each of them; all are zero before and after.
     """
     if (whole := ranks.get(piece)) is not None:
         return [whole]
     n, find, top = len(piece), ranks.get, 0
     after, before = list(range(1, n + 2)), list(range(-1, n))
-    waiting: list[int | None] = [None] * (n + 1)  # rank of the pair that starts at each position
+    # rank of the pair that starts at each position; the last one starts none
+    waiting: list[int | None] = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+    waiting += [None, None]
     buckets: dict[int, list[int]] = {}
     changed: tuple[int, ...] | range = range(n - 1)
     while True:
         for i in changed:  # file the pairs that have come up
-            end = after[after[i]] if after[i] < n else n + 1
-            rank = waiting[i] = find(piece[i:end]) if end <= n else None
+            rank = waiting[i]
             if rank is None:
                 continue
             if rank in buckets:
                 heappush(buckets[rank], i)
                 continue
             buckets[rank] = [i]
-            word = rank >> 6
+            word = rank >> 8
             if not bits[word]:
-                group = word >> 6
-                if not groups[group]:
-                    top |= 1 << group
-                groups[group] |= 1 << (word & 63)
-            bits[word] |= 1 << (rank & 63)
+                top |= 1 << word
+            bits[word] |= 1 << (rank & 255)
         while top:  # the leftmost position of the lowest rank
-            group = (top & -top).bit_length() - 1
-            own = groups[group]
-            word = group << 6 | (own & -own).bit_length() - 1
+            word = (top & -top).bit_length() - 1
             own = bits[word]
-            rank = word << 6 | (own & -own).bit_length() - 1
+            rank = word << 8 | (own & -own).bit_length() - 1
             bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
-                del buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = buckets.pop(rank)[0]
                 bits[word] = own = own & (own - 1)
                 if not own:
-                    groups[group] = own = groups[group] & ~(1 << (word & 63))
-                    if not own:
-                        top &= top - 1
+                    top &= top - 1
             if waiting[i] == rank:
                 break  # otherwise stale: the pair was merged or has changed
         else:
@@ -81,8 +76,13 @@ def merged(piece: bytes, ranks: dict[bytes, int], bits: list[int], groups: list[
         end = after[middle]
         waiting[middle] = None
         after[i], before[end] = end, i
+        waiting[i] = find(piece[i : after[end]]) if end < n else None
         left = before[i]
-        changed = (left, i) if left >= 0 else (i,)
+        if left >= 0:
+            waiting[left] = find(piece[left:end])
+            changed = (left, i)
+        else:
+            changed = (i,)
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : after[i]]])
@@ -118,12 +118,12 @@ class Codec(dict):
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pieces = ranks, regex.compile(pattern).findall
         self.latin = _latin(pattern) or self.pieces
-        words = (max(ranks.values(), default=0) >> 6) + 1
-        self.bits, self.groups = [0] * words, [0] * ((words >> 6) + 1)
+        self.pairs = [ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
+        self.bits = [0] * ((max(ranks.values(), default=0) >> 8) + 1)
         self.token = {rank: token for token, rank in ranks.items()}
 
     def __missing__(self, piece: str) -> bytes:
-        packed = np.array(merged(piece.encode(), self.ranks, self.bits, self.groups), np.int32).tobytes()
+        packed = np.array(merged(piece.encode(), self.ranks, self.pairs, self.bits), np.int32).tobytes()
         if len(piece) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED:
                 self.clear()
