@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import settle
+from .runtime import gathered, settle
 
 #: Keys with at least a row in so many are broadcast, so these are so many at most.
 HOT = 1_000
@@ -33,8 +33,8 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root) for each node that has an edge; root is the least node of its component.
+def components(edges: DataFrame, a: str = "a", b: str = "b", n: int | None = None) -> DataFrame:
+    """(node, root) for each node that has an edge; root is the least node of its component.  n is how many edges there are, if known.
 
     Alternates large-star and small-star rounds until the edges stop changing,
     which takes a logarithmic number of rounds.  Null ends and loops are ignored,
@@ -43,9 +43,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = settle(
         edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
         .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("hi") > F.col("lo")))
-        .distinct()
+        .distinct(),
+        n,
     )
     before = _state(edges)
+    edges = gathered(edges, before[0])
     while before[0]:
         both = edges.select(F.col("hi").alias("node"), F.col("lo").alias("other")).unionByName(
             edges.select(F.col("lo").alias("node"), F.col("hi").alias("other"))
@@ -56,9 +58,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .select(F.col("other").alias("node"), F.least("least", "node").alias("other"))
             .distinct()
         )
-        large = settle(large)
+        large = settle(large, before[0])
         small = least_by_key(large, "node", "other", "least", before[0]).select(F.explode(F.array("node", "other")).alias("hi"), F.col("least").alias("lo"))
-        edges = settle(small.where("hi > lo").distinct())
+        edges = settle(small.where("hi > lo").distinct(), 2 * before[0])
         now = _state(edges)
         if now == before:
             break

@@ -31,13 +31,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import HOT, components, join_by_key, least_by_key
-from .runtime import settle
+from .runtime import gathered, settle
 from .shingles import hashes_of, majority
 
 #: Documents that tell which shingles are frequent, and how many of these are known by name. Results do not depend on them.
 SAMPLE, FREQUENT, SEED = 4_096, 65_536, 42
 #: Stars are drawn while buckets hold more open pairs than so many for each of their rows, and this often at most.
 PAIRS, STARS = 4, 6
+#: Pairs of texts that one task compares, where there are few.
+COMPARED = 4_096
 #: One in so many shingles tells which texts have enough of their own. Texts up to so many are found by a broadcast of their numbers, more by a shuffle.
 PART, BROADCAST = 3, 1 << 21
 _SLACK = 1e-9
@@ -192,7 +194,8 @@ def _verified(pairs: DataFrame, own: DataFrame, shingle: int, similarity: float)
 
     pairs = settle(pairs)
     n = max(1, pairs.count())
-    asked = settle(pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n")))
+    pairs = gathered(pairs, n)
+    asked = settle(pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n")), 2 * n)
     hot = asked.where(F.col("n") > max(1, n // HOT)).select("id", F.ceil(F.col("n") * HOT / n).cast("int").alias("parts"))  # 2 * HOT ids at most
     many = [F.broadcast(hot.withColumnsRenamed({"id": side, "parts": f"parts_{side}"})) for side in ("a", "b")]
     both = pairs.join(many[0], "a", "left").join(many[1], "b", "left").na.fill(1, ["parts_a", "parts_b"])
@@ -204,15 +207,16 @@ def _verified(pairs: DataFrame, own: DataFrame, shingle: int, similarity: float)
     members = placed.join(texts.withColumnRenamed("id", "other"), "other").select("hub", "part", "other", "text")
     hubs = placed.select("hub", "part").distinct().join(texts.withColumnRenamed("id", "hub"), "hub").select("hub", "part", F.lit(None).cast("long").alias("other"), "text")
     dealt = hubs.unionByName(members).repartition("hub", "part").sortWithinPartitions("hub", "part", F.asc_nulls_first("other"))
-    return settle(dealt.mapInArrow(compared, "a long, b long"))
+    return settle(gathered(dealt, n, COMPARED).mapInArrow(compared, "a long, b long"))
 
 
 def _open(buckets: DataFrame, links: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one group, with their groups by the links."""
-    own = components(links).withColumnRenamed("node", "id")
-    named = settle(buckets.drop("root").join(own, "id", "left").withColumn("root", F.coalesce("root", "id")))
+    n = buckets.count()
+    own = components(links, n=links.count()).withColumnRenamed("node", "id")
+    named = settle(buckets.drop("root").join(own, "id", "left").withColumn("root", F.coalesce("root", "id")), n)
     ends = named.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("_n"))
-    return settle(join_by_key(named, ends.where("least < most").select("key", "_n"), "key", "_n", named.count()))
+    return settle(join_by_key(named, ends.where("least < most").select("key", "_n"), "key", "_n", n), n)
 
 
 def _pairs(a: str, b: str, similarity: float):
@@ -237,8 +241,8 @@ def rooted(
     found = _counted(_of(own, some), shingle, similarity, frequent, rank, 1)
     alive = settle(_alive(found, similarity))
     keys = settle(_keys(found, alive))
-    several = keys.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
-    buckets = settle(join_by_key(keys, several, "key", "_n", keys.count()).withColumn("root", F.col("id")))
+    several, n = keys.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1"), keys.count()
+    buckets = settle(join_by_key(keys, several, "key", "_n", n).withColumn("root", F.col("id")), n)
 
     def verified(pairs: DataFrame) -> DataFrame:
         return _verified(pairs, own, shingle, similarity)
@@ -247,7 +251,9 @@ def rooted(
     if near is not None:
         prints = buckets.select("id").distinct().join(alive.select("id", "fingerprint"), "id")
         first = verified(_ordered(near(prints).where("a <> b")))
-    return own.select("doc_id", "id"), settle(components(_links(buckets, verified, similarity, first=first)))
+    links = _links(buckets, verified, similarity, first=first)
+    n = links.count()
+    return own.select("doc_id", "id"), settle(components(links, n=n), 2 * n)
 
 
 def groups(docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

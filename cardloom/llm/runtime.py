@@ -7,6 +7,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a small frame that one task takes.
+ROWS = 200_000
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -29,10 +31,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute a frame once and keep it in the shared checkpoint folder."""
+def settle(df: DataFrame, n: int | None = None, rows: int = ROWS) -> DataFrame:
+    """Compute a frame once and keep it in the shared checkpoint folder.
+
+    With n, about how many rows it has, it is computed and kept in no more parts than hold
+    ``rows`` each, so that a small frame isn't as many files and tasks as a large one has.
+    """
     prepare(df.sparkSession)
-    return df.checkpoint()
+    return gathered(df, n, rows).checkpoint()
+
+
+def gathered(df: DataFrame, n: int | None, rows: int = ROWS) -> DataFrame:
+    """The frame in no more parts than n rows fill."""
+    return df if n is None else df.coalesce(max(1, -(-n // rows)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -281,7 +281,8 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
 def near_pairs(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b) pairs of ids that join all rows of (id, fingerprint) whose fingerprints are near; ids are distinct."""
     prints = settle(prints)
-    own = settle(least_by_key(prints, "fingerprint", "id", "least", prints.count()))
+    n = prints.count()
+    own = settle(least_by_key(prints, "fingerprint", "id", "least", n), n)
     first = own.where("id = least").select("fingerprint", "id")
     linked = settle(links(first, "fingerprint", max_bits))
     for side in ("a", "b"):
