@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import gathered, settle
+from .runtime import ROWS, gathered, settle
 
 #: Keys with at least a row in so many are broadcast, so these are so many at most.
 HOT = 1_000
@@ -15,8 +15,11 @@ def join_by_key(rows: DataFrame, found: DataFrame, key: str, n: str, total: int)
     """Inner join of rows with found, which holds each key once and in ``n`` how many of the rows have it.
 
     Rows of keys that hold a ``HOT``-th of the ``total`` rows or more meet them by broadcast, where they
-    are: there are ``HOT`` such keys at most.  All others are shuffled, and none of them fills a task.
+    are: there are ``HOT`` such keys at most.  All others are shuffled, and none of them fills a task.  Of a
+    small table all keys are broadcast.
     """
+    if total <= ROWS:  # so found has no more rows either
+        return rows.join(F.broadcast(found.drop(n)), key)
     most = max(1, total // HOT)
     hot, rest = F.broadcast(found.where(F.col(n) > most).drop(n)), found.where(F.col(n) <= most).drop(n)
     return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(rest, key))

@@ -210,11 +210,14 @@ def _verified(pairs: DataFrame, own: DataFrame, shingle: int, similarity: float)
     return settle(gathered(dealt, n, COMPARED).mapInArrow(compared, "a long, b long"))
 
 
-def _open(buckets: DataFrame, links: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one group, with their groups by the links."""
+def _open(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one root, when the (id, root) rows are taken over.
+
+    Members with the same root are joined by links; those of different ones may be.
+    """
     n = buckets.count()
-    own = components(links, n=links.count()).withColumnRenamed("node", "id")
-    named = settle(buckets.drop("root").join(own, "id", "left").withColumn("root", F.coalesce("root", "id")), n)
+    taken = buckets.withColumnRenamed("root", "before").join(roots, "id", "left").withColumn("root", F.coalesce("root", "before"))
+    named = settle(taken.select("key", "id", "size", "at", "root"), n)
     ends = named.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("_n"))
     return settle(join_by_key(named, ends.where("least < most").select("key", "_n"), "key", "_n", n), n)
 
@@ -302,16 +305,19 @@ def _links(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], simil
     """(a, b) links that join all sets of a bucket that are alike, directly or through others; first are links already known."""
     links = first
     if first is not None:
-        buckets = _open(buckets, first)
+        buckets = _open(buckets, components(first, n=first.count()).withColumnRenamed("node", "id"))
     for star in range(STARS):
         if not _many(buckets, allowed):
             break
+        n = buckets.count()
         member = F.struct(F.xxhash64("id", F.lit(star)).alias("_order"), "id", "size", "at", "root")
-        drawn = least_by_key(buckets, "key", member, "hub", buckets.count()).select(F.struct("id", "size", "at", "root").alias("own"), "hub")
-        one = drawn.where(_pairs("own", "hub", similarity)).groupBy("own.id").agg(F.min(F.struct("hub._order", "hub.id")).alias("hub"))
-        found = verified(_ordered(one, "id", "hub.id"))
+        drawn = least_by_key(buckets, "key", member, "hub", n).select(F.struct("id", "size", "at", "root").alias("own"), "hub")
+        one = drawn.where(_pairs("own", "hub", similarity)).groupBy("own.id").agg(F.min(F.struct("hub._order", "hub.id", "hub.root")).alias("hub"))
+        one = settle(one.select("id", F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"), "hub.root"), n)
+        found = verified(_ordered(one))
         links = found if links is None else links.unionByName(found)
-        buckets = _open(buckets, links)
+        # whoever is linked to its hub takes over the hub's root
+        buckets = _open(buckets, one.join(_ordered(found), ["a", "b"]).select("id", "root"))
     both = buckets.alias("x").join(buckets.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & _pairs("x", "y", similarity))
     found = verified(_ordered(both, "x.id", "y.id"))
     return found if links is None else links.unionByName(found)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from cardloom.llm import simhash
@@ -153,9 +154,12 @@ def test_null_and_repeated_ids(spark):
     assert found[None, signed[0]] == found[5, signed[0]] == found[5, signed[2]] == 5 and found[None, signed[4]] is None
 
 
-def test_hot_keys_are_joined_where_they_are(spark):
+@pytest.mark.parametrize("small", [0, 1 << 20])
+def test_hot_keys_are_joined_where_they_are(spark, monkeypatch, small):
     from cardloom.llm import graph
 
+    monkeypatch.setattr(graph, "ROWS", small)
+
     rows = spark.createDataFrame([(i if i % 3 else 0, i) for i in range(9000)] + [(None, 1)], "k long, v long")
     got = graph.least_by_key(rows, "k", "v", "least", 9001)
     assert got.count() == 9000 and got.where("least <> if(k = 0, 0, k)").count() == 0
