@@ -78,3 +78,12 @@ def test_keys_tags_and_errors(spark):
     assert one(spark, text.json_answer("v"), v="```json\n{\"a\": 1}\n```") == '{"a": 1}'
     assert one(spark, text.model_tag("v"), v="a-b.1") == "a_b_1"
     assert [one(spark, text.model_short("v"), v=x) for x in ("x-flash", "x-pro", "a-b")] == ["dsv4flash", "dsv4p", "ab"]
+
+
+def test_utc_now(spark):
+    import re
+    from datetime import datetime, timezone
+
+    now = spark.range(1).select(text.utc_now().alias("t")).first().t
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", now)
+    assert abs((datetime.now(timezone.utc) - datetime.strptime(now, "%Y-%m-%dT%H:%M:%SZ").replace(tzinfo=timezone.utc)).total_seconds()) < 120
