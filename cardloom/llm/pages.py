@@ -68,11 +68,14 @@ _LISTS = frozenset("ul ol dl menu select table".split())
 _BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion banner cookie cookies consent gdpr notice notices alert popup modal "
     "overlay newsletter subscribe signup sidebar menu nav navbar navigation breadcrumb breadcrumbs masthead topbar footer share sharing social related recommended widget widgets "
-    "toolbar pagination pager skip siteheader pageheader".split()
+    "toolbar pagination pager skip copyright siteheader pageheader".split()
 )
 _READERS = frozenset("comment comments commentlist replies reply disqus respond".split())
 #: Last words of names that leave their meaning to the word before.
-_GENERIC = frozenset("list items item posts post box wrap wrapper container area section block bar inner content text form links link button buttons icons panel top bottom left right main".split())
+_GENERIC = frozenset(
+    "list items item posts post articles stories box wrap wrapper container holder area section block bar inner content text form links link button buttons icons media panel slot unit zone "
+    "row column group thread info message trail primary secondary top bottom left right main".split()
+)
 #: First words of names that say what a page has or lacks, not what an element is.
 _LAYOUT = frozenset("with without has no".split())
 _WORD, _SIZE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])"), re.compile(r"\d+x\d+")

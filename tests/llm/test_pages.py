@@ -112,6 +112,7 @@ def test_meaning_of_names():
     cases = {
         "share-price": "price", "comment-list": "comment", "site-footer": "footer", "cookieNotice": "notice", "with-sidebar": "", "side-bar": "sidebar", "related_posts": "related",
         "ad": "ad", "ad-300x250": "ad", "social-science": "science", "42": "", "SiteHeader": "siteheader",
+        "disqus_thread": "disqus", "social-media-icons": "social", "related-articles": "related", "mainArticle": "article", "banner-story": "story",
     }
     assert {x: pages.meaning(x) for x in cases} == cases
 
