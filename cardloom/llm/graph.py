@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import ROWS, gathered, settle
+from .runtime import SMALL, gathered, settle, tidy
 
 #: Keys with at least a row in so many are broadcast, so these are so many at most.
 HOT = 1_000
@@ -18,7 +18,7 @@ def join_by_key(rows: DataFrame, found: DataFrame, key: str, n: str, total: int)
     are: there are ``HOT`` such keys at most.  All others are shuffled, and none of them fills a task.  Of a
     small table all keys are broadcast.
     """
-    if total <= ROWS:  # so found has no more rows either
+    if total <= SMALL:  # so found has no more rows either
         return rows.join(F.broadcast(found.drop(n)), key)
     most = max(1, total // HOT)
     hot, rest = F.broadcast(found.where(F.col(n) > most).drop(n)), found.where(F.col(n) <= most).drop(n)
@@ -65,6 +65,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", n: int | None = Non
         small = least_by_key(large, "node", "other", "least", before[0]).select(F.explode(F.array("node", "other")).alias("hi"), F.col("least").alias("lo"))
         edges = settle(small.where("hi > lo").distinct(), 2 * before[0])
         now = _state(edges)
+        tidy(edges.sparkSession)
         if now == before:
             break
         before = now

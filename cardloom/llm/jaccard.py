@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import HOT, components, join_by_key, least_by_key
-from .runtime import gathered, settle
+from .runtime import gathered, settle, tidy
 from .shingles import hashes_of, majority
 
 #: Documents that tell which shingles are frequent, and how many of these are known by name. Results do not depend on them.
@@ -246,6 +246,7 @@ def rooted(
     keys = settle(_keys(found, alive))
     several, n = keys.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1"), keys.count()
     buckets = settle(join_by_key(keys, several, "key", "_n", n).withColumn("root", F.col("id")), n)
+    tidy(buckets.sparkSession)
 
     def verified(pairs: DataFrame) -> DataFrame:
         return _verified(pairs, own, shingle, similarity)
@@ -318,6 +319,7 @@ def _links(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], simil
         links = found if links is None else links.unionByName(found)
         # whoever is linked to its hub takes over the hub's root
         buckets = _open(buckets, one.join(_ordered(found), ["a", "b"]).select("id", "root"))
+        tidy(buckets.sparkSession)
     both = buckets.alias("x").join(buckets.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & _pairs("x", "y", similarity))
     found = verified(_ordered(both, "x.id", "y.id"))
     return found if links is None else links.unionByName(found)

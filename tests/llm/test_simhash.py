@@ -158,7 +158,7 @@ def test_null_and_repeated_ids(spark):
 def test_hot_keys_are_joined_where_they_are(spark, monkeypatch, small):
     from cardloom.llm import graph
 
-    monkeypatch.setattr(graph, "ROWS", small)
+    monkeypatch.setattr(graph, "SMALL", small)
 
     rows = spark.createDataFrame([(i if i % 3 else 0, i) for i in range(9000)] + [(None, 1)], "k long, v long")
     got = graph.least_by_key(rows, "k", "v", "least", 9001)
