@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, cws, packing, pages, pu, quality, secrets, simhash, toxicity
+from . import ann, bpe, chat, cws, lines, packing, pages, pu, quality, secrets, simhash, toxicity, variants, whitening
 from .runtime import settle, table
 
 
@@ -178,6 +178,54 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, quality)
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.counted(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+#: Line by line and document by document, from the definition.
+_OP11 = f"""
+WITH own AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+each AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS place FROM own),
+keyed AS (SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM each),
+common AS (SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= {lines.LEAST_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= {lines.LEAST_DOCS}),
+marked AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.last AS gone FROM keyed k LEFT JOIN common c ON k.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+#: Words by checksum, near ones by what is left without one letter, roots step by step.
+_OP13 = f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+    WHERE length(run) >= {variants.LEAST_CHARS} GROUP BY ALL),
+codes AS (SELECT *, list_transform(regexp_extract_all(hex(encode(concat(doc_id, ':', run))), '..'), lambda b: CAST(('0x' || b) AS BIGINT)) AS bytes FROM runs),
+hashed AS (SELECT run, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes), lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) AS h FROM codes, crc),
+cut AS (SELECT CASE WHEN h % {variants.EVERY} = 0 THEN concat(substring(run, 1, h % length(run)), substring(run, h % length(run) + 2)) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= {variants.LEAST_CHARS} GROUP BY word HAVING sum(n) >= {variants.LEAST_COUNT}),
+less AS (SELECT word, n, i, concat(substring(word, 1, i - 1), substring(word, i + 1)) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, a.n, b.word, b.n FROM words a JOIN less b ON a.word = b.rest
+    UNION SELECT b.word, b.n, a.word, a.n FROM words a JOIN less b ON a.word = b.rest
+),
+best AS (SELECT word, count(*) AS n_near, arg_min({{'o': other, 'n': other_n}}, {{'n': -other_n, 'o': other}}) AS o FROM pairs GROUP BY word),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN o.n >= {variants.TIMES} * w.n THEN o.o END AS form, CASE WHEN o.n >= {variants.TIMES} * w.n THEN o.n END AS form_n FROM words w LEFT JOIN best b ON w.word = b.word),
+steps AS (SELECT word, word AS root, 0 AS step FROM formed UNION ALL SELECT s.word, f.form, step + 1 FROM steps s JOIN formed f ON s.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM formed f JOIN (SELECT word, arg_max(root, step) AS root FROM steps GROUP BY word) r ON f.word = r.word
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat_formatting": op2_chat_formatting,
@@ -189,6 +237,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_hash_prefix_forest": op9_hash_prefix_forest,
     "op10_quality": op10_quality,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_whitening": op12_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
-ORACLES: dict[str, str] = {"op2_chat_formatting": _OP2, "op6_secret_scan": _op6_sql()}
+ORACLES: dict[str, str] = {"op2_chat_formatting": _OP2, "op6_secret_scan": _op6_sql(), "op11_line_dedup": _OP11, "op13_spelling_variants": _OP13}

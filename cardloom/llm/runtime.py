@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of a small frame that one task takes, and rows up to which a frame may be broadcast.
 ROWS, SMALL = 200_000, 50_000
@@ -56,3 +57,8 @@ def tidy(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def identity(text: Column) -> Column:
+    """Two hashes of different seed, as one struct, that stand for a text."""
+    return F.struct(F.xxhash64(text).alias("x"), F.xxhash64(F.lit(1), text).alias("y"))
