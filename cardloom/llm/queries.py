@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import ann, bpe, chat, cws, lines, packing, pages, pu, quality, secrets, simhash, toxicity, variants, whitening
@@ -24,11 +24,16 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Later turns are not followed by others that events could stand for.
+LAST_TURN = 1 << 59
+
+
 def conversation_log(rows: DataFrame) -> DataFrame:
     """A log of events whose final messages are the rows (conv_id, turn, role, text), one in four each way.
 
     A message comes whole; in two deltas; as a draft with a delta, then edited; or as a first try with a delta and an answer to it in
-    the next slot, all taken back by a regeneration.
+    the next slot, all taken back by a regeneration.  Where several rows share a turn, or the turn is null or too large for a number
+    of events, messages come whole: several in one slot stand by role and text.
     """
     text, role, none = F.coalesce("text", F.lit("")), F.col("role"), F.lit(None).cast("string")
     half = F.floor(F.char_length(text) / 2).cast("int")
@@ -42,10 +47,13 @@ def conversation_log(rows: DataFrame) -> DataFrame:
         [event(0, "message", role, F.concat(F.lit("draft "), text)), event(1, "delta", none, F.lit(", more")), event(2, "edit", none, text)],
         [event(0, "message", role, F.lit("first try")), event(1, "delta", none, F.lit(", more")), event(2, "message", F.lit("user"), F.lit("no"), 1), event(3, "regenerate", role, text)],
     ]
-    way = F.pmod(F.coalesce("conv_id", F.lit(0)) + F.coalesce("turn", F.lit(0)), F.lit(len(ways)))
-    chosen = reduce(lambda other, i: F.when(way == i, F.array(*ways[i])).otherwise(other), range(1, len(ways)), F.array(*ways[0]))
-    events = rows.select("conv_id", "turn", F.explode(chosen).alias("e"))
-    return events.select("conv_id", (F.col("turn") * 8 + F.col("e.step")).alias("seq"), "e.kind", (F.col("turn") + F.col("e.ahead")).alias("turn"), "e.role", "e.text")
+    seq = F.try_multiply(F.col("turn").cast("long"), F.lit(8).cast("long"))
+    alone = (F.count("*").over(Window.partitionBy("conv_id", "turn")) == 1) & seq.isNotNull() & (F.col("turn") < LAST_TURN)
+    parts = [F.pmod(F.coalesce(c, F.lit(0)), F.lit(len(ways))) for c in ("conv_id", "turn")]
+    way = F.when(alone, F.pmod(parts[0] + parts[1], F.lit(len(ways)))).otherwise(0)
+    chosen = reduce(lambda other, i: F.when(F.col("way") == i, F.array(*ways[i])).otherwise(other), range(1, len(ways)), F.array(*ways[0]))
+    events = rows.select("conv_id", "turn", "role", "text", seq.alias("seq"), way.alias("way")).select("conv_id", "turn", "seq", F.explode(chosen).alias("e"))
+    return events.select("conv_id", (F.col("seq") + F.col("e.step")).alias("seq"), "e.kind", (F.col("turn") + F.col("e.ahead")).alias("turn"), "e.role", "e.text")
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,16 +66,16 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(conversation_log(rows)))
 
 
-#: Every turn in order, read as the operator's output must read.
+#: Every turn in order, several rows of one turn by role and text, read as the operator's output must read.
 _OP2 = r"""
 WITH rows AS (
-    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
     UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 )
 SELECT conv_id, count(*) AS n_turns,
-    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
     CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-    sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
     CAST(sum(length('<|im_start|><|im_sep|><|im_end|>') + length(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'))
         + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))) AS BIGINT) AS formatted_chars
 FROM rows GROUP BY conv_id

@@ -17,7 +17,7 @@ from cardloom.llm import quality, queries, toxicity
 
 def test_registry():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] and "pipeline" in __spark_entry__.queries()
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] and "pipeline" in __spark_entry__.queries()
     assert set(queries.ORACLES) <= set(queries.QUERIES)
 
 
