@@ -21,8 +21,9 @@ element is left out for it as long as nothing on the page scores better.  Menus,
 asides, forms and such roles have a low one, so have elements whose class or id names a notice, advert, sidebar
 or reader comments.  A name is read by its last word that says something ("cookie-bar" is about
 cookies, "share-price" about a price), and names that hold most of the page's text are names of layout
-and say nothing.  What readers wrote keeps its prior however long it is
-where an article or main element holds text beside it.  Text that no browser shows has no blocks.
+and say nothing.  What readers wrote goes, however long it is,
+where an article or main element or one without such a name holds text beside it.  Headings and lists that are all links
+are read by their place among what is kept.  Text that no browser shows has no blocks.
 """
 
 from __future__ import annotations
@@ -64,6 +65,9 @@ _CLOSES = {
 }
 #: Their text belongs to that of the elements beside them.
 _TOGETHER = frozenset("h1 h2 h3 h4 h5 h6 p".split())
+_HEADINGS = _TOGETHER - {"p"}
+#: Elements that stand in another one as its parts.
+_WITHIN = _TOGETHER | frozenset("ul ol li dl dt dd hgroup".split())
 _LISTS = frozenset("ul ol dl menu select table".split())
 _BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion banner cookie cookies consent gdpr notice notices alert popup modal "
@@ -263,11 +267,14 @@ def _name_priors(page: _Page) -> None:
     parents, priors = page.parents, page.priors
     readers = {n for n in page.named if meaning(n) in _READERS}
     of_readers = {e for n in readers for e in page.named[n]}
-    article, inside = [False] * len(parents), [False] * len(parents)  # of an article, of what readers wrote
+    of_others = {e for n in page.named if n not in readers for e in page.named[n]}
+    article, inside, called = ([False] * len(parents) for _ in range(3))  # of an article, of what readers wrote, of another name
     for e in range(1, len(article)):
         article[e] = article[parents[e]] or page.tags[e] in ("article", "main")
         inside[e] = inside[parents[e]] or e in of_readers
-    apart = any(article[e] and not inside[e] and priors[e] == 1 for _, e, _, _ in page.blocks)
+        called[e] = called[parents[e]] or e in of_others
+    beside = [e for _, e, text, linked in page.blocks if not inside[e] and priors[e] == 1 and linked < len(text)]
+    apart = any(article[e] or not called[e] for e in beside)
     single = {n for n in page.named if n in readers or len(_WORD.findall(n)) == 1}
     lowered = [1.0] * len(parents)
     for names, share in ((single, PLAIN_NAME), (page.named.keys() - single, PART_NAME)):
@@ -282,7 +289,7 @@ def _name_priors(page: _Page) -> None:
         for name in names:
             if name in readers and apart or sum(held[e] for e in page.named[name]) < share * held[0]:
                 for e in page.named[name]:
-                    own[e] *= BY_READERS if name in readers else BY_NAME
+                    own[e] *= 0 if name in readers and apart else BY_READERS if name in readers else BY_NAME
         for e in range(1, len(own)):
             own[e] *= own[parents[e]]
             lowered[e] *= own[e]
@@ -358,7 +365,37 @@ def main_blocks(html: str | None) -> list[str]:
         smooth[1] += 1
     score = {p: total / n * (1 - totals[p][3] / totals[p][1]) ** 2 for p, (total, n) in sums.items()}
     top = max((score[path] * prior[number] for path, number, _, _ in own), default=0.0)
-    return [text for path, number, text, _ in own if top >= FLOOR and score[path] * prior[number] >= LEAST_SHARE * top]
+    kept = [top >= FLOOR and score[path] * prior[number] >= LEAST_SHARE * top for path, number, _, _ in own]
+    return [block[2] for block, stays in zip(own, _with_linked(page, own, kept, best, whole > 0)) if stays]
+
+
+def _with_linked(page: _Page, own: list[tuple], kept: list[bool], best: float, whole: bool) -> list[bool]:
+    """kept, and the linked headings and lists of links that belong to what is kept.
+
+    The path of such blocks says nothing, as its text is all of links; their place does: they stand in the very element that
+    holds content, a heading before some of it, a list after some of it, and before some more unless the root is an article or main element.
+    """
+
+    def home(e: int) -> int:
+        while e and page.tags[e] in _WITHIN:
+            e = page.parents[e]
+        return e
+
+    first: dict[int, int] = {}
+    last: dict[int, int] = {}
+    homes = [home(number) for _, number, _, _ in own]
+    for i, stays in enumerate(kept):
+        if stays:
+            first.setdefault(homes[i], i)
+            last[homes[i]] = i
+    out = list(kept)
+    for i, (_, number, text, linked) in enumerate(own):
+        if not kept[i] and 2 * linked > len(text) and page.priors[number] == best and homes[i] in first:
+            if page.tags[number] in _HEADINGS:
+                out[i] = i < last[homes[i]]
+            else:
+                out[i] = first[homes[i]] < i and (whole or i < last[homes[i]])
+    return out
 
 
 def main_text(html: Column | str) -> Column:

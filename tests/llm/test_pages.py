@@ -180,3 +180,22 @@ def test_ratios_alone_find_the_article():
         bare = re.sub("<(/?)(?:nav|header|footer|aside|form)", r"<\1div", re.sub(' (?:class|id|role)="[^"]*"', "", row["html"]))
         same += pages.main_blocks(bare) == pages.main_blocks(row["html"])
     assert same >= 0.8 * len(rows)
+
+
+def test_comments_never_take_the_place_of_a_short_article():
+    """However long they are, and without an article or main element."""
+    comments = "".join(f"<p>Reader {i} says that this is a rather long comment, with marks; and more, of course.</p>" for i in range(60))
+    assert pages.main_blocks(f"<body><div class=post><p>Short post.</p></div><div id=comments>{comments}</div></body>") == ["Short post."]
+    assert pages.main_blocks(f"<body><div class=comments>{comments}</div><p>Short post.</p></body>") == ["Short post."]
+    assert len(pages.main_blocks(f"<body><div id=comments>{comments}</div></body>")) == 60  # there is nothing else
+    assert len(pages.main_blocks(f"<body class=comments><h1>Title</h1>{comments}</body>")) == 61  # a name of layout
+
+
+def test_linked_headings_and_lists_of_an_article():
+    head, text = "<h2><a href=x>Linked heading</a></h2>", "<p>Text of the article, with some length to it.</p>"
+    links = "<ul><li><a href=y>Source one</a></li><li><a href=z>Source two</a></li></ul>"
+    own, sources = "Text of the article, with some length to it.", ["Source one", "Source two"]
+    assert pages.main_blocks(f"<body><article>{head}{text}{text}{links}</article></body>") == ["Linked heading", own, own, *sources]
+    menu = "<div><ul><li><a href=a>Home</a></li><li><a href=b>News</a></li></ul></div>"
+    assert pages.main_blocks(f"<body>{menu}<div>{head}{text}{links}{text}</div>{links}</body>") == ["Linked heading", own, *sources, own]
+    assert pages.main_blocks(f"<body><nav>{links}</nav><article>{text}{text}<nav>{links}</nav><div class=related>{links}</div></article></body>") == [own, own]
