@@ -3,8 +3,8 @@
 A provider is any picklable callable: it gets a list of {card_key, line_texts,
 rule_extracted_hint} dicts and returns (answers, tokens used); answers are a list of dicts, or the service's own
 text: JSON, fenced or not, of such a list or of an object that holds it as ``cards``.  Python
-runs only here, as a stream of Arrow batches; calls run as many at a time as there
-are partitions.
+runs only here, as a stream of Arrow batches.  A task keeps a window of calls in flight, so a core waits for
+several answers at a time; rows come in the order in which calls end, and no more are read than the window takes.
 """
 
 from __future__ import annotations
@@ -13,17 +13,21 @@ import importlib
 import json
 import re
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait as first_of
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..sources.session import importable
 from .phones import standardised
 
 Provider = Callable[[list[dict]], tuple[list[dict] | str, int]]
 BATCH, RETRIES, WAIT = 6, 2, 2.0
+#: Calls that a task has in flight.
+IN_FLIGHT = 6
 _ANSWER = "card_key string, name string, title string, company string, address string, mobiles array<string>, is_key_person string, kp_role string"
 _CALLED = pa.schema(
     [("card_key", pa.string()), ("name", pa.string()), ("title", pa.string()), ("company", pa.string()), ("address", pa.string()), ("mobiles", pa.list_(pa.string())),
@@ -81,30 +85,51 @@ def _called(provider: Provider, batch: list[dict], retries: int, wait: float) ->
     return [_row(b["card_key"], {}, 0) | {"error": f"{type(error).__name__}: {error}", "fatal": _is_fatal(error)} for b in batch]
 
 
-def call(cards: DataFrame, provider: Provider, batch: int = BATCH, retries: int = RETRIES, wait: float = WAIT, at_once: int | None = None) -> DataFrame:
+def _in_flight(work: Iterable[list[dict]], ask: Callable[[list[dict]], list[dict]], most: int) -> Iterator[list[dict]]:
+    """What ask gives for each piece of work, in the order in which calls end; work is read only while fewer than most are in flight."""
+    with ThreadPoolExecutor(most) as pool:
+        waiting = set()
+        for piece in work:
+            waiting.add(pool.submit(ask, piece))
+            if len(waiting) >= most:
+                done, waiting = first_of(waiting, return_when=FIRST_COMPLETED)
+                yield from (x.result() for x in done)
+        while waiting:
+            done, waiting = first_of(waiting, return_when=FIRST_COMPLETED)
+            yield from (x.result() for x in done)
+
+
+def call(
+    cards: DataFrame, provider: Provider, batch: int = BATCH, retries: int = RETRIES, wait: float = WAIT, at_once: int | None = None, in_flight: int = IN_FLIGHT
+) -> DataFrame:
     """Answers for cards with card_key, line_texts and extracted: an answer struct, tokens, error, fatal.
 
-    After a final error (access, quota) a task makes no more calls; its remaining
-    cards get that error.  Other tasks meet the error by themselves, as nothing is shared between them:
-    so a final error costs a call for each task that runs, and the run goes on to its end.  Repeated cards are asked once each.  ``at_once`` bounds the
-    calls that run at a time.
+    ``in_flight`` calls run at a time in each task (so the provider has to be safe for threads, or in_flight 1), and ``at_once`` bounds the
+    tasks.  After a final error (access, quota) a task starts no more calls; its remaining
+    cards get that error.  Tasks of one frame share nothing; runs in batches that share
+    a stop are those of streaming.enriching.  Repeated cards are asked once each.
     """
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dead: str | None = None
-        for rows in batches:
-            asked = [{"card_key": r["card_key"], "line_texts": r["line_texts"] or [], "rule_extracted_hint": r["extracted"]} for r in rows.to_pylist()]
-            out: list[dict] = []
-            for at in range(0, len(asked), batch):
-                some = asked[at : at + batch]
-                if dead is not None:
-                    out += [_row(b["card_key"], {}, 0) | {"error": dead, "fatal": True} for b in some]
-                    continue
-                out += _called(provider, some, retries, wait)
-                dead = out[-1]["error"] if out[-1]["fatal"] else None
+        dead: list[str] = []
+
+        def pieces() -> Iterator[list[dict]]:
+            for rows in batches:
+                asked = [{"card_key": r["card_key"], "line_texts": r["line_texts"] or [], "rule_extracted_hint": r["extracted"]} for r in rows.to_pylist()]
+                yield from (asked[at : at + batch] for at in range(0, len(asked), batch))
+
+        def ask(some: list[dict]) -> list[dict]:
+            if dead:
+                return [_row(b["card_key"], {}, 0) | {"error": dead[0], "fatal": True} for b in some]
+            out = _called(provider, some, retries, wait)
+            if out[-1]["fatal"]:
+                dead.append(out[-1]["error"])
+            return out
+
+        for out in _in_flight(pieces(), ask, in_flight):
             yield pa.RecordBatch.from_pylist(out, _CALLED)
 
-    work = cards.select("card_key", "line_texts", "extracted")
+    work = importable(cards).select("card_key", "line_texts", "extracted")
     work = work.repartition(at_once) if at_once else work
     called = work.mapInArrow(stream, f"{_ANSWER}, tokens bigint, error string, fatal boolean")
     names = [x.split()[0] for x in _ANSWER.split(", ")]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,15 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas
 from ..operators.layout import cards
 from ..operators.state import keep_last
-
-
-def work_folder(spark: SparkSession) -> str:
-    """A new folder that all executors see, below ``spark.checkpoint.dir``; a local session without that setting gets one of its own."""
-    sc = spark.sparkContext
-    shared = sc.getConf().get("spark.checkpoint.dir")
-    if shared is None and not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{(shared or tempfile.mkdtemp()).rstrip('/')}/stream-{uuid.uuid4()}"
+from ..sources.session import work_folder as work_folder
 
 
 def page_stream(spark: SparkSession, folder: str, schema: str = schemas.PAGE, files_at_once: int = 1000) -> DataFrame:
