@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import fixed, text
 from ..operators import compare, enrich, layout, merge, phones, state
 from ..sources import sinks
-from ..streaming import resume
+from ..sources.session import work_folder
+from ..streaming import resume, status
+from ..streaming.levels import Levels
 from . import corpus
 from .corpus import table
 
@@ -378,6 +380,42 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.upserted(rows.where("event_id % 2 = 0"), new, ["user_id"], "event_id")
 
 
+@_query(
+    "SELECT user_id, arg_max(event_type, k) AS event_type, arg_max(event_id, k) AS event_id FROM (SELECT user_id, event_type, event_id, (event_id % 7) * 1000000000000 + event_id AS k FROM events) GROUP BY user_id"
+)
+def upserts_in_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven batches of upserts, merged by twos: the last row of each key by batch and order."""
+    rows = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
+    levels = Levels(work_folder(spark, "levels"), ("user_id",), "event_id", fanout=2, buckets=4)
+    for number in range(7):
+        levels.put(rows.where(F.col("event_id") % 7 == number), number)
+    return levels.read(spark, 7)
+
+
+def _answer_some(batch: list[dict]) -> tuple[list[dict], int]:
+    """A service in the place of a real one: no answer to some cards, an error for others."""
+    found = []
+    for card in batch:
+        number = int(card["line_texts"][0])
+        if number % 101 == 0:
+            raise ValueError(f"no answer to {number}")
+        if number % 10 != 3:
+            found.append({"card_key": card["card_key"], "name": card["line_texts"][1].upper(), "mobiles": card["line_texts"][2], "is_key_person": number % 2 == 0})
+    return found, len(found)
+
+
+@_query(
+    f"SELECT ord, CASE WHEN ord % 101 = 0 OR ord % 10 = 3 THEN NULL ELSE upper(name) END AS name, CASE WHEN ord % 101 = 0 OR ord % 10 = 3 OR phones = '' THEN '' ELSE phones END AS mobiles, "
+    f"CASE WHEN ord % 101 = 0 OR ord % 10 = 3 OR ord % 2 = 1 THEN 'false' ELSE 'true' END AS is_key_person, CASE WHEN ord % 101 = 0 OR ord % 10 = 3 THEN 0 ELSE 1 END::BIGINT AS tokens, "
+    f"CASE WHEN ord % 101 = 0 THEN concat('ValueError: no answer to ', ord) END AS error FROM ({_CARDS})"
+)
+def provider_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A call for each card, several in flight in each task, with retries."""
+    own = corpus.cards(spark, sf_dir).select("ord", F.col("ord").cast("string").alias("card_key"), F.array(F.col("ord").cast("string"), "name", "phones").alias("line_texts"), F.lit(None).alias("extracted"))
+    called = enrich.call(own, _answer_some, batch=1, retries=1, wait=0.0)
+    return called.select(F.col("card_key").cast("long").alias("ord"), "answer.name", text.joined("answer.mobiles").alias("mobiles"), "answer.is_key_person", "tokens", "error")
+
+
 @_query(f"WITH b AS ({_B}) SELECT c.ord, coalesce(name_std, '') AS name_std, coalesce(array_to_string(list_sort(found), ';'), '') AS mobiles, coalesce(is_key_person, false) AS is_key_person FROM ({_CARDS}) c LEFT JOIN b USING (ord)")
 def llm_left_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cards with their answers; those without one get empty fields."""
@@ -458,22 +496,43 @@ def card_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 _GOOD = "(event_id % 97 <> 0 OR event_type <> 'view')"
 
 
-@_query(
+_STATUS = (
     "SELECT event_type AS run, CASE WHEN n_ok >= 1900 THEN 'completed' WHEN n_bad > 0 THEN 'interrupted' ELSE 'running' END AS status, n_ok, n_bad AS n_failed, tokens, last_error FROM ("
     f"SELECT event_type, count(*) FILTER (WHERE {_GOOD}) AS n_ok, count(*) FILTER (WHERE NOT {_GOOD}) AS n_bad, cast(sum(event_id % 5) as bigint) AS tokens, "
     f"arg_max(concat('error ', cast(event_id as varchar)), event_id) FILTER (WHERE NOT {_GOOD}) AS last_error FROM events GROUP BY 1)"
 )
-def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units of a run are events in the order of their ids; entries of an older fingerprint do not count."""
-    events = table(spark, sf_dir, "events")
+
+
+def _log_of(events: DataFrame) -> DataFrame:
+    """Units of a run are events in the order of their ids."""
     good = F.expr(_GOOD)
-    log = events.select(
+    return events.select(
         F.col("event_type").alias("run"), F.lit("f").alias("input_fingerprint"), F.col("event_id").cast("string").alias("unit"), good.alias("ok"), F.lit(False).alias("fatal"),
-        F.when(~good, F.concat(F.lit("error "), F.col("event_id").cast("string"))).alias("error"), (F.col("event_id") % 5).alias("tokens"), F.timestamp_seconds("event_id").alias("at"),
+        F.when(~good, F.concat(F.lit("error "), F.col("event_id").cast("string"))).alias("error"), (F.col("event_id") % 5).alias("tokens"), F.timestamp_seconds(F.col("event_id") + 1).alias("at"),
     )
+
+
+def _inputs_of(events: DataFrame) -> DataFrame:
+    return events.select(F.col("event_type").alias("run")).distinct().withColumns({"input_fingerprint": F.lit("f"), "total_units": F.lit(1900)})
+
+
+@_query(_STATUS)
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of an older fingerprint do not count."""
+    events = table(spark, sf_dir, "events")
+    log = _log_of(events)
     older = log.withColumns({"input_fingerprint": F.lit("old"), "ok": F.lit(True), "error": F.lit("none of this")})
-    inputs = events.select(F.col("event_type").alias("run")).distinct().withColumns({"input_fingerprint": F.lit("f"), "total_units": F.lit(1900)})
-    return state.status(inputs, log.unionByName(older)).select("run", "status", "n_ok", "n_failed", "tokens", "last_error")
+    return state.status(_inputs_of(events), log.unionByName(older)).select("run", "status", "n_ok", "n_failed", "tokens", "last_error")
+
+
+@_query(_STATUS)
+def live_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stream of the log's entries, folded into the state of each run."""
+    events = table(spark, sf_dir, "events")
+    log = _log_of(spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]"))  # a pattern, since the table may be a single file
+    folder, inputs = work_folder(spark, "live"), _inputs_of(events)
+    status.kept(status.live(log, inputs, quiet="30000 days"), f"{folder}/rows", f"{folder}/state").awaitTermination()
+    return status.current(spark, f"{folder}/rows", inputs).select("run", "status", "n_ok", "n_failed", "tokens", "last_error")
 
 
 @_query(f"SELECT event_id FROM events WHERE NOT {_GOOD} OR event_id % 10 = 3")
@@ -498,7 +557,7 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")  # a pattern, since the table may be a single file
     rows = events.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("at"))
-    folder = resume.work_folder(spark)
+    folder = work_folder(spark, "stream")
     resume.append(resume.first_seen(rows, ["user_id", "event_type"], "at", "10000 days"), f"{folder}/out", f"{folder}/state").awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("user_id", "event_type")
 

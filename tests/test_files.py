@@ -10,7 +10,7 @@ from cardloom.operators.layout import cards
 from cardloom.operators import state
 from cardloom.operators.merge import not_blank
 from cardloom.sources import files, sinks
-from cardloom.streaming import resume
+from cardloom.streaming import levels, resume
 
 PAGES = [
     {"file": "a.pdf", "page": 1, "ok": True, "line_texts": ["old"], "raw": {"data": {"line_rects": []}}},
@@ -176,6 +176,88 @@ def test_batches_upsert(spark, folder):
     assert sorted((r.page, r.o) for r in resume.latest(spark, str(folder / "small"), ["file", "page"], "o").collect()) == [(1, 2), (2, 9)]
 
 
+def test_runs_are_the_digits_of_the_number_of_batches():
+    assert levels.runs_of(23, 4) == [(2, 0), (1, 16), (0, 20), (0, 21), (0, 22)] and levels.runs_of(0, 4) == [] and levels.runs_of(1, 2) == [(0, 0)]
+    for n in range(1, 300):
+        own = [i for level, first in levels.runs_of(n, 3) for i in range(first, first + 3**level)]
+        assert own == list(range(n)) and len(levels.runs_of(n, 3)) <= 2 * 6
+
+
+def explained(df):
+    import contextlib
+    import io
+
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        df.explain()
+    return out.getvalue()
+
+
+def test_live_status(spark, folder):
+    """Entries of several batches with a restart between them, and a run that falls silent."""
+    from datetime import UTC, datetime, timedelta
+
+    from cardloom.streaming import status
+
+    began = datetime(2024, 1, 1, tzinfo=UTC)
+
+    def entry(run, unit, ok, minute, error=None, fatal=False, tokens=2):
+        return run, "f", unit, ok, fatal, error, tokens, began + timedelta(minutes=minute)
+
+    inputs = spark.createDataFrame([("a", "f", 2), ("b", "f", 2), ("c", "f", 1), ("d", "f", 9), ("e", "f", 9)], "run string, input_fingerprint string, total_units int")
+    (folder / "log").mkdir()
+    stream = spark.readStream.schema(schemas.RUN_LOG).parquet(str(folder / "log"))
+    batches = [
+        [entry("a", "1", True, 0), entry("b", "1", False, 0, "slow"), entry("b", "2", False, 1, "late"), entry("d", "1", True, 1), ("a", "old", "9", True, False, None, 1, began)],
+        [entry("a", "2", True, 2), entry("b", "2", True, 2), entry("c", "1", False, 2, "denied", True), entry("a", "1", True, -5, tokens=50)],
+        [entry("b", "1", True, 40)],
+        [entry("d", "2", True, 90), entry("b", "1", True, 91)],
+    ]
+    said = []
+    for rows in batches:
+        spark.createDataFrame(rows, schemas.RUN_LOG).write.mode("append").parquet(str(folder / "log"))
+        status.kept(status.live(stream, inputs), str(folder / "live"), str(folder / "check3")).awaitTermination()
+        found = status.current(spark, str(folder / "live"), inputs)
+        expected = {r.run: r for r in state.status(inputs, spark.read.schema(schemas.RUN_LOG).parquet(str(folder / "log"))).collect()}
+        got = {r.run: r for r in found.collect()}
+        columns = ["n_ok", "n_failed", "tokens", "updated_at", "last_error"]
+        assert all([r[c] for c in columns] == [expected[k][c] for c in columns] for k, r in got.items())
+        said.append({k: r.status for k, r in got.items()})
+        assert all(s == expected[k].status for k, s in said[-1].items() if k != "d")
+    assert [x["d"] for x in said] == ["running", "running", "interrupted", "running"]
+    assert [x["b"] for x in said] == ["interrupted", "interrupted", "completed", "completed"] and said[-1]["c"] == "fatal" and said[-1]["e"] == "pending"
+
+
+def test_upserts_in_levels(spark, folder):
+    """After every batch, also one that comes twice, the last row of each key; few runs are read, and only some buckets for some keys."""
+    import random
+
+    rng, at = random.Random(3), levels.Levels(str(folder / "levels"), ("k", "j"), "o", fanout=2, buckets=4)
+    expected, schema = {}, "k int, j string, o int, v string, first int"
+    for n in range(9):
+        rows = [(rng.randrange(12), rng.choice("ab"), rng.randrange(5), f"{n}-{i}", 7) for i in range(10)]
+        best = {}
+        for r in [*rows, (None, "a", 1, "dropped", 7)]:
+            if r[0] is not None and r[2] > best.get(r[:2], (0, 0, -1))[2]:
+                best[r[:2]] = r
+        unique = [r for r in rows if r is best[r[:2]]]  # of equal order any row would do
+        expected |= {r[:2]: r for r in unique}
+        batch = spark.createDataFrame([*unique, (None, "a", 1, "dropped", 7)], schema)
+        for _ in range(2 if n == 5 else 1):
+            at.put(batch, n)
+        if n in (0, 5, 8):
+            assert sorted(tuple(r) for r in at.read(spark, n + 1).select("k", "j", "o", "v", "first").collect()) == sorted(expected.values())
+    found = at.read(spark, 9)
+    places = {p.split("/level=")[1].split("/_bucket")[0] for p in found.inputFiles()}
+    assert places == {"3/first=0", "0/first=8"}
+    some = spark.createDataFrame([(k, "a") for k in (1, 2)], "k int, j string")
+    assert sorted(tuple(r) for r in at.look_up(some, 9).collect()) == sorted(v for k, v in expected.items() if k in ((1, "a"), (2, "a")))
+    assert "PartitionFilters: [_bucket" in explained(at.look_up(some, 9))
+    at.forget(spark, 9)
+    assert at.read(spark, 9).count() == len(expected) and spark.read.parquet(f"{folder}/levels/level=0/first=3").isEmpty()
+    at.put(spark.createDataFrame([(99, "z", 1, "new", 7)], schema), 9)
+    assert at.read(spark, 10).count() == len(expected) + 1
+
+
 def test_queries_equal_their_sql(spark):
     from cardloom.plans.queries import ORACLES, QUERIES
 
