@@ -13,9 +13,9 @@ in ``PART`` of their shingles, and only the others deal all of them.
 Two sets whose first key in common is at the places i and j have at most the lesser of n - i
 and m - j shingles in common, which rules out most of those that share only frequent ones.
 The others are compared whole, by their texts.  Equal texts are one throughout.  Of the texts with keys,
-candidates that another method finds (``near``) are compared first, which joins most copies.  Where buckets
-are so large that all their pairs would still be too many, each set is compared with the first of one of
-its buckets next; then all pairs of a bucket are compared that are not yet in one group.
+candidates that another method finds (``near``) are compared first, which joins most copies.  In a bucket, members in order of size
+meet only those that size and place allow, so what that rules out costs nothing.  Where the pairs that are allowed and not yet in one group are
+still too many, each set is compared with the first of one of its buckets next; then all such pairs are compared.
 
 Keys, hubs and texts that a large part of the rows have are met where these rows are, or in many parts.
 """
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import HOT, components, join_by_key, least_by_key
-from .runtime import gathered, settle, tidy
+from .runtime import gathered, settle
 from .shingles import hashes_of, majority
 
 #: Documents that tell which shingles are frequent, and how many of these are known by name. Results do not depend on them.
@@ -71,14 +71,28 @@ def _alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
     return common >= similarity * (len(x) + len(y) - common) - _SLACK
 
 
-def identity(text: Column) -> Column:
+def _numbered(text: Column, *seed: Column) -> Column:
     """A text's number: equal texts have equal ones, and so have all wordless ones, null among them."""
-    return F.xxhash64(F.when(text.rlike(r"[^\x20\x09-\x0D]"), text).otherwise(""))
+    return F.xxhash64(*seed, F.when(text.rlike(r"[^\x20\x09-\x0D]"), text).otherwise(""))
 
 
-def _frequent(own: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes that more than one text of a sample has, sorted, and their ranks from rare to frequent."""
-    n = own.count()
+def identified(docs: DataFrame, text: str, name: str) -> tuple[DataFrame, int]:
+    """docs with a column of the text's number, different for different texts, and how many different texts there are.
+
+    Texts that share a number of 64 bits, though a second one tells them apart, take a number made of both.
+    """
+    own, second = F.col(f"`{text}`").cast("string"), _free(docs, f"{name}_second")
+    rows = docs.withColumns({name: _numbered(own), second: _numbered(own, F.lit(1))})
+    numbers = settle(rows.groupBy(name).agg(F.min(second).alias("lo"), F.max(second).alias("hi")).groupBy((F.col("lo") < F.col("hi")).alias("clash")).agg(F.count("*").alias("n")))
+    n = {r["clash"]: r["n"] for r in numbers.collect()}  # two rows at most
+    if n.get(True):
+        clash = settle(rows.groupBy(name).agg(F.min(second).alias("lo"), F.max(second).alias("hi")).where("lo < hi").select(name, F.lit(True).alias("clash")))
+        rows = rows.join(clash, name, "left").withColumn(name, F.when(F.col("clash"), F.xxhash64(name, second)).otherwise(F.col(name)))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], name), sum(n.values())
+
+
+def _frequent(own: DataFrame, shingle: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes that more than one text of a sample has, sorted, and their ranks from rare to frequent; own has n different texts."""
     some = own.sample(SAMPLE / n, SEED) if n > SAMPLE else own
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,24 +243,19 @@ def _pairs(a: str, b: str, similarity: float):
     return (F.col(f"{a}.root") != F.col(f"{b}.root")) & fits
 
 
-def rooted(
-    docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float, near: Callable[[DataFrame], DataFrame] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, id) of every row, and (node, root) of every id that has a copy.
+def rooted(own: DataFrame, n_texts: int, shingle: int, similarity: float, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(node, root) of every id that has a copy, from (id, text) rows with so many different texts.
 
     ``near`` takes (id, fingerprint), the fingerprint being the majority of the bits of all shingles, and
     gives (a, b) pairs of ids to be compared first.
     """
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), identity(F.col(text).cast("string")).alias("id"))
-    frequent, rank = _frequent(own, shingle)
-
+    frequent, rank = _frequent(own, shingle, n_texts)
     some = settle(_alive(_counted(own, shingle, similarity, frequent, rank, PART), similarity).select("id"))
     found = _counted(_of(own, some), shingle, similarity, frequent, rank, 1)
     alive = settle(_alive(found, similarity))
     keys = settle(_keys(found, alive))
     several, n = keys.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1"), keys.count()
     buckets = settle(join_by_key(keys, several, "key", "_n", n).withColumn("root", F.col("id")), n)
-    tidy(buckets.sparkSession)
 
     def verified(pairs: DataFrame) -> DataFrame:
         return _verified(pairs, own, shingle, similarity)
@@ -257,7 +266,12 @@ def rooted(
         first = verified(_ordered(near(prints).where("a <> b")))
     links = _links(buckets, verified, similarity, first=first)
     n = links.count()
-    return own.select("doc_id", "id"), settle(components(links, n=n), 2 * n)
+    return settle(components(links, n=n), 2 * n)
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
+    """(doc_id, text, id) rows and the number of different texts."""
+    return identified(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")), "text", "id")
 
 
 def groups(docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -266,7 +280,8 @@ def groups(docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: fl
     Null and wordless texts are copies of each other.  A null doc_id is no component_id
     unless nothing else is there.
     """
-    rows, roots = rooted(docs, doc_id, text, shingle, similarity, near)
+    own, n_texts = _rows(docs, doc_id, text)
+    rows, roots = own.select("doc_id", "id"), rooted(own.select("id", "text"), n_texts, shingle, similarity, near)
     own = rows.groupBy("id").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("_n"))
     named = settle(own.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")))
     n_texts, n = named.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
@@ -279,14 +294,16 @@ def one_of_each(docs: DataFrame, doc_id: str, text: str, shingle: int, similarit
 
     Ids and numbers are chosen first; then the texts are dealt once, to meet what was chosen.
     """
-    rows, roots = rooted(docs, doc_id, text, shingle, similarity, near)
+    keys = [_free(docs, "kept_id"), _free(docs, "kept_doc"), _free(docs, "kept_n")]
+    named, n_texts = identified(docs, text, keys[0])
+    own = named.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(keys[0]).alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    rows, roots = own.select("doc_id", "id"), rooted(own.select("id", "text"), n_texts, shingle, similarity, near)
     order = (F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("id"), F.col("_n"))
     counted = rows.groupBy("id", "doc_id").agg(F.count("*").alias("_n"))
     least = counted.groupBy("id").agg(F.min(F.struct(*order)).alias("least"))
     kept = least.join(roots.withColumnRenamed("node", "id"), "id", "left").groupBy(F.coalesce("root", "id")).agg(F.min("least").alias("least"))
-    keys = [_free(docs, "kept_id"), _free(docs, "kept_doc"), _free(docs, "kept_n")]
     kept = kept.select(F.col("least.id").alias(keys[0]), _number(F.col("least.doc_id")).alias(keys[1]), F.col("least._n").alias(keys[2]))
-    marked = docs.withColumns({keys[0]: identity(F.col(text).cast("string")), keys[1]: _number(F.col(doc_id))}).join(settle(kept), keys[:2])
+    marked = named.withColumn(keys[1], _number(F.col(f"`{doc_id}`"))).join(settle(kept), keys[:2])
     once, more = marked.where(F.col(keys[2]) == 1), marked.where(F.col(keys[2]) > 1).dropDuplicates(keys[:2])
     return once.unionByName(more).select(*[F.col(f"`{c}`") for c in docs.columns])
 
@@ -308,7 +325,7 @@ def _links(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], simil
     if first is not None:
         buckets = _open(buckets, components(first, n=first.count()).withColumnRenamed("node", "id"))
     for star in range(STARS):
-        if not _many(buckets, allowed):
+        if not _many(buckets, allowed, similarity):
             break
         n = buckets.count()
         member = F.struct(F.xxhash64("id", F.lit(star)).alias("_order"), "id", "size", "at", "root")
@@ -319,17 +336,85 @@ def _links(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], simil
         links = found if links is None else links.unionByName(found)
         # whoever is linked to its hub takes over the hub's root
         buckets = _open(buckets, one.join(_ordered(found), ["a", "b"]).select("id", "root"))
-        tidy(buckets.sparkSession)
-    both = buckets.alias("x").join(buckets.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & _pairs("x", "y", similarity))
-    found = verified(_ordered(both, "x.id", "y.id"))
+    found = verified(_ordered(_dealt(buckets, similarity).mapInArrow(_fitting(similarity, False), "a long, b long")))
     return found if links is None else links.unionByName(found)
 
 
-def _many(buckets: DataFrame, allowed: int) -> bool:
-    """Whether buckets hold more pairs of different groups than so many for each row."""
-    counts = buckets.groupBy("key", "root").agg(F.count("*").cast("double").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.expr("n * n")).alias("same"))
-    n, pairs = counts.agg(F.sum("n"), F.sum(F.expr("(n * n - same) / 2"))).first()
-    return n is not None and pairs > allowed * n
+def _many(buckets: DataFrame, allowed: int, similarity: float) -> bool:
+    """Whether buckets hold more fitting pairs of different groups than so many for each row."""
+    counted = _dealt(buckets, similarity).mapInArrow(_fitting(similarity, True), "a long, b long")
+    n, pairs = counted.agg(F.coalesce(F.sum("a"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return pairs > allowed * n
+
+
+def _dealt(buckets: DataFrame, similarity: float) -> DataFrame:
+    """Members by key and band of their size, sorted by size; a member is in its own band and, for smaller ones to find it, in the one below.
+
+    Sets that are alike differ in size by the factor of the similarity at most, which is the width of a band.
+    """
+    band = F.floor(F.log(F.col("size")) / -math.log(similarity)).cast("int")
+    both = buckets.withColumn("own", band).select("key", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("band"), "size", "id", "at", "root", "own")
+    return both.repartition("key", "band").sortWithinPartitions("key", "band", "size", "id")
+
+
+def _fitting(similarity: float, counted: bool):
+    """Reads what _dealt() gives; returns (a, b) pairs that _pairs() allows, or (members, pairs) counts with the pairs as few as can be told without listing them."""
+    least = similarity / (1 + similarity)
+
+    def windows(size: np.ndarray, left: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """How many of the members behind each one, in order of size, it may be alike."""
+        most = np.minimum(size / similarity, left / least - size) + _SLACK
+        return np.where(own, np.maximum(np.searchsorted(size, most, "right") - np.arange(len(size)) - 1, 0), 0)
+
+    def number(size, left, root, own) -> int:
+        total = int(windows(size, left, own).sum())
+        if total > len(size):
+            kinds, number, sizes = np.unique(root, return_inverse=True, return_counts=True)
+            order = np.argsort(number, kind="stable")
+            at = 0
+            for n in sizes.tolist():  # pairs of one group do not count
+                some, at = order[at : at + n], at + n
+                if n > 1:
+                    total -= int(windows(size[some], left[some], own[some]).sum())
+        return total
+
+    def pairs(size, ids, left, root, own) -> Iterator[pa.RecordBatch]:
+        many = windows(size, left, own)
+        kinds, number, sizes = np.unique(root, return_inverse=True, return_counts=True)
+        other = number != np.argmax(sizes)  # members of the largest group are compared with these only
+        places = np.nonzero(other)[0]
+        before = np.concatenate([[0], np.cumsum(other)])  # how many of these are before a place
+        at = np.arange(len(size))
+        for i in np.nonzero(many)[0].tolist():
+            j = at[i + 1 : i + 1 + many[i]] if other[i] else places[before[i + 1] : before[i + 1 + many[i]]]
+            j = j[(root[j] != root[i]) & (left[j] >= least * (size[i] + size[j]) - _SLACK)]
+            if len(j):
+                yield pa.record_batch([pa.array(np.full(len(j), ids[i])), pa.array(ids[j])], ["a", "b"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+
+        def ended(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            _, band, size, ids, place, root, own = columns
+            if len(size) < 2 or (root == root[0]).all():
+                return
+            if counted:
+                yield pa.record_batch([pa.array([len(size)]), pa.array([number(size, size - place, root, own == band)])], ["a", "b"])
+            else:
+                yield from pairs(size, ids, size - place, root, own == band)
+
+        for batch in batches:
+            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+            now = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+            change = np.nonzero((now[0][1:] != now[0][:-1]) | (now[1][1:] != now[1][:-1]))[0] + 1
+            starts = [0, *change.tolist()]
+            for i, j in zip(starts, starts[1:]):
+                yield from ended([x[i:j] for x in now])
+            held = [x[starts[-1] :] for x in now]
+        if held is not None:
+            yield from ended(held)
+
+    return read
 
 
 def _ordered(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

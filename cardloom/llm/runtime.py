@@ -47,14 +47,6 @@ def gathered(df: DataFrame, n: int | None, rows: int = ROWS) -> DataFrame:
     return df if n is None else df.coalesce(max(1, -(-n // rows)))
 
 
-def tidy(spark: SparkSession) -> None:
-    """Let the driver drop frames that nothing refers to any more, as a loop leaves many.
-
-    Spark removes broadcasts and shuffle files when the driver's collector has met the frames they belong to.
-    """
-    spark.sparkContext._jvm.System.gc()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
