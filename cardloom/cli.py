@@ -1,4 +1,4 @@
-"""python -m cardloom.cli: extract pages, cut them into cards, expand phones, merge, enrich, export, compare, show status."""
+"""python -m cardloom.cli: run all stages, or extract pages, cut them into cards, expand phones, merge, enrich, export, compare, show status."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
-from .functions import text
+from .functions import fixed, text
 from .operators import compare, enrich, layout, merge, phones, state
 from .sources import files, sinks
 
@@ -73,7 +73,67 @@ def status(spark: SparkSession, args: argparse.Namespace) -> None:
     state.status(inputs, log.select(*[F.col(c.split()[0]) for c in schemas.RUN_LOG.split(", ")])).orderBy("run").show(1000, False)
 
 
-COMMANDS = {"cut": cut, "extract": extract, "enrich": enriched, "export": exported, "expand": expand, "merge": merged, "compare": compared, "status": status}
+def _stages(args: argparse.Namespace) -> dict[str, tuple]:
+    """Stages of a run in turn: the command, its input and its place below the output."""
+    out = args.output
+    found = {
+        "extract": (extract, [f"{args.input[0]}/*.jsonl"], "pages"),
+        "cut": (cut, [f"{args.input[0]}/*.jsonl"], "cards"),
+        "expand": (expand, [f"{out}/cards/ocr_card_contacts.csv"], "a"),
+    }
+    if args.provider:
+        found |= {"enrich": (enriched_cards, [f"{out}/cards/ocr_card_results.jsonl"], "answers"), "export": (exported, [f"{out}/a", f"{out}/answers"], "b"), "compare": (compared_chains, [f"{out}/a", f"{out}/b/{fixed.PHONE_SHEET}"], "report")}
+    return found
+
+
+def enriched_cards(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Cards with text (JSON lines) through --provider, as enriched() does."""
+    own = files.json_lines(spark, args.input, schemas.CARD).where("has_text").drop("ord")
+    labels = {"source_label": F.lit(args.label), "source_dataset": F.lit(fixed.DATASET), "rule_extracted": F.col("extracted")}
+    work = own.withColumns(labels).withColumn("card_key", text.card_key("source_label", "file", "page", "card_no"))
+    done = files.parquet_if_there(spark, args.output, "card_key string, error string")
+    enrich.standardise(work, done, enrich.provider_at(args.provider), args.model).drop("extracted").write.mode("append").parquet(args.output)
+
+
+def compared_chains(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Both chains' phone rows as a run writes them; their order is that of cards and numbers."""
+    order = F.struct("file", F.col("page").cast("int"), F.col("card_no").cast("int"), "phone_normalized")
+    a, b = (spark.read.parquet(p) for p in args.input)
+    sides = [(a if "source_label" in a.columns else a.withColumn("source_label", F.lit(args.label))).withColumn("ord", order), b.withColumn("ord", order)]
+    for name, rows in compare.compared(*sides).sheets().items():
+        rows.write.mode("overwrite").parquet(f"{args.output}/{name}")
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    """All stages of a folder of result pages in turn, those of chain B with a --provider.
+
+    The log in the output remembers the stages that ended well for the folder's files as they are; these are skipped. A stage that fails
+    is logged with its error and ends the run, and the next run begins with it; changed files start anew.
+    """
+    mark = files.inputs(spark, args.input[0], ["jsonl"]).agg(F.concat_ws(":", F.count("*").cast("string"), F.coalesce(F.sum(F.xxhash64("input_fingerprint").cast("decimal(38,0)")), F.lit(0)).cast("string"))).first()[0]
+    place = f"{args.output}/run_log"
+    stages = _stages(args)
+    began = spark.range(1).select(text.utc_now()).first()[0]
+    for name, (command, source, target) in stages.items():
+        log = files.parquet_if_there(spark, place, schemas.RUN_LOG)
+        unit = spark.createDataFrame([(args.input[0], mark, name)], "run string, input_fingerprint string, unit string")
+        if state.pending_units(unit, log).isEmpty():
+            continue
+        error = None
+        try:
+            command(spark, argparse.Namespace(**vars(args) | {"input": source, "output": f"{args.output}/{target}", "workbook": None}))
+        except Exception as e:
+            error = f"{type(e).__name__}: {e}"[:2000]
+            raise
+        finally:
+            result = unit.withColumns({"ok": F.lit(error is None), "error": F.lit(error).cast("string")})
+            state.logged(result).write.mode("append").parquet(place)
+    total = spark.createDataFrame([(args.input[0], mark, len(stages))], "run string, input_fingerprint string, total_units long")
+    found = state.status(total, spark.read.parquet(place)).first()
+    sinks.write_json_atomically({"run": args.input[0], "input_fingerprint": mark, "status": found["status"], "stages": list(stages), "started_at": began}, f"{args.output}/run.json")
+
+
+COMMANDS = {"run": run, "cut": cut, "extract": extract, "enrich": enriched, "export": exported, "expand": expand, "merge": merged, "compare": compared, "status": status}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -83,6 +143,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output", default="out")
     parser.add_argument("--workbook", help="also write the report as one workbook")
     parser.add_argument("--provider", help="import path of the callable that asks the service, as in package.module:function")
+    parser.add_argument("--label", default="", help="label of the partition that the input is")
     parser.add_argument("--model", default="", help="name of the model that rows are marked with")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"cardloom {args.command}").config("spark.sql.legacy.javaCharsets", "true").getOrCreate()

@@ -39,9 +39,13 @@ def _lines(lines: Column | str) -> Column:
     return F.coalesce(_column(lines), F.array().cast("array<string>"))
 
 
+#: Unicode white space and the separators that count as it in text.
+_SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(text: Column | str) -> Column:
     """Text without Unicode white space at its ends."""
-    return F.regexp_replace(_column(text), r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.btrim(_column(text), F.lit(_SPACES))
 
 
 def _sorted_matches(lines: Column, pattern: str, group: int = 0) -> Column:
@@ -118,21 +122,15 @@ def guessed_name(lines: Column | str, profile: Profile = CARD) -> Column:
     return F.get(F.filter(F.transform(_lines(lines), strip), may_be), F.lit(0))
 
 
-def extracted(lines: Column | str, profile: Profile = CARD) -> Column:
-    """Struct of all fields of a card or page."""
+def extracted(lines: Column | str, profile: Profile = CARD, fields: tuple[str, ...] | None = None) -> Column:
+    """Struct of all fields of a card or page, or of those wanted; each costs passes of its own over the lines."""
     own = _lines(lines)
-    return F.struct(
-        guessed_name(own, profile).alias("name"),
-        first_line_with(own, profile.companies, profile).alias("company"),
-        first_line_with(own, profile.titles, profile).alias("title"),
-        phone_candidates(own).alias("phones"),
-        emails(own).alias("emails"),
-        websites(own).alias("websites"),
-        wechat_ids(own).alias("wechat_ids"),
-        qq_ids(own).alias("qq_ids"),
-        first_line_with(own, profile.addresses, profile).alias("address"),
-        F.array_join(own, "\n").alias("full_text"),
-    )
+    every = {
+        "name": lambda: guessed_name(own, profile), "company": lambda: first_line_with(own, profile.companies, profile), "title": lambda: first_line_with(own, profile.titles, profile),
+        "phones": lambda: phone_candidates(own), "emails": lambda: emails(own), "websites": lambda: websites(own), "wechat_ids": lambda: wechat_ids(own), "qq_ids": lambda: qq_ids(own),
+        "address": lambda: first_line_with(own, profile.addresses, profile), "full_text": lambda: F.array_join(own, "\n"),
+    }
+    return F.struct(*[every[c]().alias(c) for c in fields or every])
 
 
 def token_mobiles(token: Column | str) -> Column:
@@ -215,11 +213,6 @@ def joined(values: Column | str) -> Column:
     return F.array_join(F.coalesce(_column(values), F.array().cast("array<string>")), ";")
 
 
-def json_answer(content: Column | str) -> Column:
-    """Text of a JSON answer without a code fence around it."""
-    return F.regexp_replace(F.regexp_replace(strip(_column(content)), r"\A```(?:json)?(?U)\s*", ""), r"(?U)\s*```\z", "")
-
-
 def truthy(value: Column | str) -> Column:
     """Boolean of JSON text: false for null, false, 0, empty text, list or object; any other text is true."""
     own = _column(value)

@@ -169,6 +169,9 @@ def conclusion(metrics: DataFrame, calls: int | None = None, tokens: int | None
          F.lit("A lists only cards with a phone, B all cards")),
         ("key persons", F.lit("none"), F.format_string("%d cards", "llm_kp_cards"), F.lit("take B to choose by rank")),
         ("cost", F.lit("recognition and rules"), F.lit(cost), F.lit("A is the base, B adds to it")),
+        ("overall", F.lit("-"), F.lit("-"),
+         F.format_string("numbers of A are the base (%d), B adds %d more, standardised fields and %d cards of key persons: deliver A with B's key persons, or both merged after a check of samples",
+                         "rule_unique_phones", "phones_only_in_llm", "llm_kp_cards")),
     ]
     rows = [F.struct(F.lit(i).alias("ord"), F.lit(t).alias("topic"), a.alias("chain_a"), b.alias("chain_b"), c.alias("advice")) for i, (t, a, b, c) in enumerate(text)]
     return metrics.select(F.inline(F.array(*rows)))
@@ -186,7 +189,7 @@ def export_sheets(a: DataFrame, b: DataFrame, standard: DataFrame) -> dict[str,
 
 
 def rule_and_llm(a: DataFrame, b: DataFrame, standard: DataFrame) -> DataFrame:
-    """The 14 figures of an export as one row; the share is rounded half to even, 0 without cards."""
+    """The 14 figures of an export as one row; the share is in whole tenths, half to even, 0 without cards."""
     key_person = F.coalesce(F.col("is_key_person").cast("boolean"), F.lit(False))
     rows_a = a.agg(F.count("*").alias("rule_pipeline_rows"))
     rows_b = b.agg(F.count("*").alias("llm_total_rows"), F.count_if(key_person).alias("llm_kp_rows"), F.count_if(~key_person).alias("llm_non_kp_rows"))
@@ -196,9 +199,13 @@ def rule_and_llm(a: DataFrame, b: DataFrame, standard: DataFrame) -> DataFrame:
         F.count_if(F.col("in_a") & ~F.col("in_b")).alias("phones_only_in_rule"),
         F.count_if(F.col("in_b") & ~F.col("in_a")).alias("phones_only_in_llm"),
     )
+    # in whole numbers, so that a tie is one in every engine
+    n_key, n = F.count_if(key_person), F.greatest(F.count("*"), F.lit(1))
+    tenths, rest = ((n_key * 1000 - (n_key * 1000) % n) / n).cast("long"), 2 * ((n_key * 1000) % n)
+    up = ((rest > n) | ((rest == n) & (tenths % 2 == 1))).cast("long")
     cards = standard.agg(
         F.count("*").alias("llm_cards_processed"), F.count_if(key_person).alias("llm_kp_cards"), F.count_if(~key_person).alias("llm_non_kp_cards"),
-        F.coalesce(F.bround(F.count_if(key_person) / F.nullif(F.count("*"), F.lit(0)) * 100, 1), F.lit(0.0)).alias("llm_kp_rate_pct"),
+        ((tenths + up) / 10).alias("llm_kp_rate_pct"),
         F.count_if(F.size("mobiles") > 0).alias("llm_cards_with_mobile"),
     )
     return rows_a.crossJoin(rows_b).crossJoin(phones).crossJoin(cards)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 from ..operators import compare, enrich, layout, merge, phones, state
-from ..sources import sinks
+from ..sources import files, sinks
 from ..sources.session import work_folder
 from ..streaming import resume, status
 from ..streaming.levels import Levels
@@ -350,15 +350,30 @@ def phone_diffs_beyond_the_report(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @_query(
     f"WITH {_BOTH} c AS ({_B}) SELECT (SELECT count(*) FROM ra) AS rule_pipeline_rows, (SELECT count(*) FROM rb) AS llm_total_rows, {_PHONE_METRICS}, "
+    "(1000 * count(*) FILTER (WHERE is_key_person) // count(*) + CASE WHEN 2 * (1000 * count(*) FILTER (WHERE is_key_person) % count(*)) > count(*) THEN 1 ELSE 0 END) / 10 AS llm_kp_rate_pct, "
     "count(*) AS llm_cards_processed, count(*) FILTER (WHERE is_key_person) AS llm_kp_cards, count(*) FILTER (WHERE NOT is_key_person) AS llm_non_kp_cards, "
     "count(*) FILTER (WHERE len(found) > 0) AS llm_cards_with_mobile FROM c"
 )
 def rule_vs_llm_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without the rounded share, whose last digit engines round unlike."""
+    """The figures of an export."""
     a, b = _sides(spark, sf_dir)
-    return compare.rule_and_llm(a, b, _standard(spark, sf_dir)).drop("llm_kp_rate_pct")
+    return compare.rule_and_llm(a, b, _standard(spark, sf_dir))
 
 
+@_query(
+    f"WITH {_BOTH} {_JOINED}, m AS (SELECT {_PHONE_METRICS}, count(*) FILTER (WHERE is_key_person) AS kp, count(*) FILTER (WHERE name <> '') AS na, count(*) FILTER (WHERE name_std <> '') AS nb FROM j) "
+    "SELECT unnest([0, 1, 2, 3, 4, 5])::INTEGER AS ord, unnest(['unique phones', 'phones in both', 'names', 'key persons', 'cost', 'overall']) AS topic, "
+    "unnest([rule_unique_phones::VARCHAR, phones_in_both::VARCHAR, concat(na, ' cards, first line that fits'), 'none', 'recognition and rules', '-']) AS chain_a, "
+    "unnest([llm_unique_phones::VARCHAR, phones_in_both::VARCHAR, concat(nb, ' cards, standardised'), concat(kp, ' cards'), '12 calls, 345 tokens', '-']) AS chain_b, "
+    "unnest([concat(CASE WHEN rule_unique_phones > llm_unique_phones THEN 'A' WHEN rule_unique_phones < llm_unique_phones THEN 'B' ELSE 'neither' END, ' has more; ', phones_only_in_llm, ' only in B and ', "
+    "phones_only_in_rule, ' only in A: merge by purpose'), concat('check samples of the ', phones_only_in_rule, ' and ', phones_only_in_llm, ' that one side lacks'), 'A lists only cards with a phone, B all cards', "
+    "'take B to choose by rank', 'A is the base, B adds to it', concat('numbers of A are the base (', rule_unique_phones, '), B adds ', phones_only_in_llm, ' more, standardised fields and ', kp, "
+    "' cards of key persons: deliver A with B''s key persons, or both merged after a check of samples')]) AS advice FROM m"
+)
+def report_conclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conclusion in words, with the figures of the comparison."""
+    return compare.conclusion(compare.overview(*_sides(spark, sf_dir)), calls=12, tokens=345)
+
 @_query(f"WITH {_BOTH} one AS (SELECT 1) SELECT card_key FROM a ANTI JOIN b USING (card_key)")
 def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = (compare.by_card(x) for x in _sides(spark, sf_dir))
@@ -438,12 +453,12 @@ def six_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RECTS = "transform(lines, (l, i) -> named_struct('x', cast(i % 2 * 300 + length(l) % 7 as double), 'y', cast(i div 2 * 40 + length(l) % 5 as double), 'width', cast(length(l) % 11 as double), 'height', 10D))"
 
 
-def _document_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _document_cards(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
     """Documents as pages of twelve lines, laid out in two columns."""
     rows = table(spark, sf_dir, "documents").select("doc_id", F.filter(_lines(), lambda x: x != "").alias("all"))
     numbered = rows.select("doc_id", "all", F.explode(F.slice(F.sequence(F.lit(1), F.size("all") + 1), 1, F.ceil(F.size("all") / 12).cast("int"))).alias("page"))
     pages = numbered.select("doc_id", "page", F.slice("all", F.col("page") * 12 - 11, 12).alias("lines"))
-    return layout.cards(pages.select("doc_id", "page", F.col("lines").alias("line_texts"), F.expr(_RECTS).alias("line_rects")))
+    return layout.cards(pages.select("doc_id", "page", F.col("lines").alias("line_texts"), F.expr(_RECTS).alias("line_rects")), fields=fields or ("full_text",))
 
 
 # Agglomeration step by step: a cluster is a stretch of the sorted centres, told by where it starts.
@@ -482,7 +497,7 @@ SELECT doc_id, cast(page as integer) AS page, cast(card_no as integer) AS card_n
 @_query(_CLUSTERED)
 def cluster_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The central operator: lines to cards, with two of their fields."""
-    return _document_cards(spark, sf_dir).select("doc_id", "page", "card_no", "grid_pos", "has_text", text.joined("line_texts").alias("lines"), "extracted.name", "extracted.company")
+    return _document_cards(spark, sf_dir, "name", "company").select("doc_id", "page", "card_no", "grid_pos", "has_text", text.joined("line_texts").alias("lines"), "extracted.name", "extracted.company")
 
 
 @_query(
@@ -493,6 +508,22 @@ def card_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.card_counters(_document_cards(spark, sf_dir)).select("pages", "cards", "lines")
 
 
+_PHONES_FOUND = f"list_sort(list_distinct(list_transform(flatten(list_transform({_LINES}, lambda l: regexp_extract_all(l, '{_PHONE}'))), lambda x: regexp_replace(x, '[^0-9+]', '', 'g'))))"
+
+
+@_query(
+    f"SELECT doc_id, list_filter({_STRIPPED}, lambda l: length(l) BETWEEN 2 AND 30 AND NOT {_hit(fixed.COMPANIES + fixed.TITLES + fixed.ADDRESSES)} AND NOT regexp_matches(l, '{fixed.EMAIL}') "
+    f"AND NOT regexp_matches(l, '{_SITE}') AND NOT regexp_matches(l, '[0-9]'))[1] AS name, {', '.join(f'list_filter({_LINES}, lambda l: {_hit(w)})[1] AS {c}' for c, w in (('company', fixed.COMPANIES), ('title', fixed.TITLES), ('address', fixed.ADDRESSES)))}, "
+    f"array_to_string({_PHONES_FOUND}, ';') AS phones, {_found(fixed.EMAIL, 'text')} AS emails, {_found(_SITE, 'text')} AS websites, "
+    f"{_found('(?:微信|wechat|WeChat|WX|vx)[:： ]*([A-Za-z0-9_-]{5,})', 'text', 1)} AS wechat_ids, {_found('(?:QQ|qq)[:： ]*([1-9][0-9]{4,11})', 'text', 1)} AS qq_ids, sha256(text) AS full_text FROM documents WHERE text IS NOT NULL"
+)
+def all_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ten fields of documents read as cards."""
+    own = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", text.extracted(_lines()).alias("x"))
+    lists = [text.joined(f"x.{c}").alias(c) for c in ("phones", "emails", "websites", "wechat_ids", "qq_ids")]
+    return own.select("doc_id", "x.name", "x.company", "x.title", "x.address", *lists, F.sha2("x.full_text", 256).alias("full_text"))
+
+
 _GOOD = "(event_id % 97 <> 0 OR event_type <> 'view')"
 
 
@@ -535,6 +566,65 @@ def live_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.current(spark, f"{folder}/rows", inputs).select("run", "status", "n_ok", "n_failed", "tokens", "last_error")
 
 
+@_query(
+    "SELECT count(*) FILTER (WHERE event_id % 89 <> 5) AS n_ok, count(*) FILTER (WHERE event_id % 89 = 5) AS n_failed, sum(event_id) FILTER (WHERE event_id % 89 <> 5)::BIGINT AS ids, "
+    "'interrupted' AS status, max(concat('{\"event_id\":', event_id, ', cut')) FILTER (WHERE event_id % 89 = 5) AS last_text FROM events"
+)
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines, some of them cut: good ones are read, the others kept apart, and the run's status counts both."""
+    events, folder = table(spark, sf_dir, "events"), work_folder(spark, "lines")
+    broken = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(", cut"))
+    events.select(F.when(F.col("event_id") % 89 == 5, broken).otherwise(F.to_json(F.struct("event_id", "event_type")))).write.text(folder)
+    good, bad = files.json_lines_apart(spark, folder, "event_id long, event_type string")
+    log = files.lines_log(good, bad, "events", "f")
+    inputs = good.agg(F.lit("events").alias("run"), F.lit("f").alias("input_fingerprint"), (F.count("*") + 1).alias("total_units"))
+    counts = state.status(inputs, log).select("n_ok", "n_failed", "status")
+    return counts.crossJoin(good.agg(F.sum("event_id").alias("ids"))).crossJoin(bad.agg(F.max("text").alias("last_text")))  # single rows
+
+
+def _written_pages(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of results of pages as JSON lines, in the order of events."""
+    folder = work_folder(spark, "pages")
+    rows = table(spark, sf_dir, "events").select(
+        F.lit("f.pdf").alias("file"), F.when(F.col("event_id") % 7 != 3, F.col("user_id").cast("int")).alias("page"), (F.col("event_id") % 5 != 1).alias("ok"),
+        F.array(F.col("event_type"), F.col("event_id").cast("string")).alias("line_texts"), "event_id",
+    ).coalesce(1).sortWithinPartitions("event_id")
+    rows.drop("event_id").write.json(folder)
+    return folder
+
+
+_READ = ["file", "cast(page as bigint) AS page", "cast(line_texts[1] as bigint) AS event_id", "line_texts[0] AS event_type"]
+
+
+@_query("SELECT 'f.pdf' AS file, user_id AS page, ok, event_id, event_type FROM (SELECT *, event_id % 5 <> 1 AS ok, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events WHERE event_id % 7 <> 3) WHERE n = 1")
+def keyed_pages_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last result of each page counts, lines without a page go."""
+    return files.pages(spark, _written_pages(spark, sf_dir)).selectExpr("ok", *_READ)
+
+
+@_query("SELECT 'f.pdf' AS file, CASE WHEN event_id % 7 <> 3 THEN user_id END AS page, event_id, event_type FROM events WHERE event_id % 5 <> 1")
+def good_pages_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every good result."""
+    return files.good_pages(spark, _written_pages(spark, sf_dir)).selectExpr(*_READ)
+
+
+@_query(
+    f"SELECT c_custkey FROM (SELECT c_custkey, regexp_replace({_NAMES}, '[.]pdf$', '') AS stem FROM customer) WHERE upper(coalesce(nullif(regexp_extract(stem, '([A-Da-d])[ ]*区', 1), ''), "
+    "nullif(regexp_extract(stem, '([A-Za-z])', 1), ''), 'X')) NOT IN ('B', 'X') AND NOT (regexp_extract(stem, '([23])期', 1) = '3' AND regexp_extract(stem, '([A-Da-d])[ ]*区', 1) = 'd')"
+)
+def parts_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts by file name, without two zones and one part."""
+    runs = table(spark, sf_dir, "customer").select("c_custkey", text.part_tag(F.expr(_NAMES)).alias("tag"))
+    return state.without_parts(runs, ["B", "X", "P3PartD"]).select("c_custkey")
+
+
+@_query("SELECT concat('/runs/', event_type, '_', event_id) AS path, ts AS modified FROM events WHERE event_type = 'purchase' AND event_id % 2 = 0 ORDER BY ts DESC, event_id DESC LIMIT 1")
+def newest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest entry whose name matches."""
+    entries = table(spark, sf_dir, "events").select(F.concat(F.lit("/runs/"), F.col("event_type"), F.lit("_"), F.col("event_id").cast("string")).alias("path"), F.col("ts").alias("modified"))
+    return state.latest_run(entries, "^purchase_[0-9]*[02468]$")
+
+
 @_query(f"SELECT event_id FROM events WHERE NOT {_GOOD} OR event_id % 10 = 3")
 def changed_inputs_start_anew(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event is a unit of an input of its own size and time; a tenth of the inputs have changed since they were logged."""

@@ -22,7 +22,7 @@ from .. import schemas
 from ..functions import fixed
 from ..functions.text import card_key, fingerprint
 from ..operators.merge import partition_dim
-from ..operators.state import keep_last
+from ..operators.state import keep_last, logged
 
 
 def json_lines(spark: SparkSession, paths: str | list[str], schema: str = schemas.PAGE, mode: str = "FAILFAST") -> DataFrame:
@@ -34,6 +34,24 @@ def json_lines(spark: SparkSession, paths: str | list[str], schema: str = schema
     return rows.withColumn("ord", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
 
 
+def json_lines_apart(spark: SparkSession, paths: str | list[str], schema: str = schemas.PAGE) -> tuple[DataFrame, DataFrame]:
+    """Rows of JSON lines with ``ord``, and (path, ord, text) of the lines that are no JSON of the schema; blank lines are skipped."""
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("id"))
+    lines = spark.read.text(paths).select("value", place.alias("ord")).where(F.trim("value") != "")
+    parsed = F.from_json("value", f"{schema}, _malformed string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
+    rows = lines.select("value", "ord", parsed.alias("row"))
+    good = rows.where("row IS NOT NULL AND row._malformed IS NULL").select("row.*", "ord").drop("_malformed")
+    return good, rows.where("row IS NULL OR row._malformed IS NOT NULL").select(F.col("ord.file_path").alias("path"), "ord", F.col("value").alias("text"))
+
+
+def lines_log(good: DataFrame, bad: DataFrame, run: str, input_fingerprint: str) -> DataFrame:
+    """What json_lines_apart() gives as rows of a run log, a unit for each line."""
+    error = F.concat(F.lit("malformed line: "), F.left("text", F.lit(200)))
+    both = good.select("ord", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error")).unionByName(bad.select("ord", F.lit(False).alias("ok"), error.alias("error")))
+    unit = F.concat_ws(":", "ord.file_path", F.col("ord.file_block_start").cast("string"), F.col("ord.id").cast("string"), F.col("ok").cast("string"))
+    return logged(both.select(F.lit(run).alias("run"), F.lit(input_fingerprint).alias("input_fingerprint"), unit.alias("unit"), "ok", "error"))
+
+
 def _is_there(spark: SparkSession, path: str) -> bool:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)

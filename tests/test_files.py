@@ -136,6 +136,50 @@ def test_commands(spark, folder):
     assert "Acme" in "".join(p.read_text(encoding="utf-8") for p in (folder / "pages" / "ocr_contacts.csv").glob("*.csv"))
 
 
+def test_run_of_all_stages(spark, folder):
+    """Stages in turn with the log of what is done: nothing is asked twice, a failed stage comes again, changed inputs start anew."""
+    import argparse
+
+    from cardloom import cli
+
+    (folder / "asking.py").write_text(
+        "import os\ndef ask(batch):\n    if os.path.exists(%r):\n        raise ValueError('down')\n"
+        "    return [{'card_key': c['card_key'], 'name': 'Li Lei', 'mobiles': ['13900000001']} for c in batch], 1\n" % str(folder / "down")
+    )
+    spark.sparkContext.addPyFile(str(folder / "asking.py"))
+    page = json.loads(json.dumps(PAGES[1])) | {"page": 7, "ok": True, "line_texts": ["Li Lei", "Tel: +86 139 0000 0001"]}
+    (folder / "in" / "more.jsonl").write_text(json.dumps(page) + "\n")
+    given = argparse.Namespace(input=[str(folder / "in")], output=str(folder / "out"), workbook=None, provider="asking:missing", model="m-1", label="P")
+    with pytest.raises(AttributeError):
+        cli.run(spark, given)
+    log = spark.read.parquet(str(folder / "out" / "run_log"))
+    assert [(r.unit, r.ok) for r in log.orderBy("at").collect()] == [("extract", True), ("cut", True), ("expand", True), ("enrich", False)]
+    given.provider = "asking:ask"
+    cli.run(spark, given)
+    log = spark.read.parquet(str(folder / "out" / "run_log"))
+    assert [(r.unit, r.ok) for r in log.orderBy("at").collect()][4:] == [("enrich", True), ("export", True), ("compare", True)]
+    said = json.loads((folder / "out" / "run.json").read_text())
+    assert said["status"] == "completed" and said["started_at"].endswith("Z")
+    cli.run(spark, given)
+    assert spark.read.parquet(str(folder / "out" / "run_log")).count() == 7
+    metrics = {r.metric: r.value for r in spark.read.parquet(str(folder / "out" / "report" / "overview")).collect()}
+    assert len(metrics) == 20 and metrics["llm_unique_phones"] == 1 and metrics["phones_in_both"] == 1
+    (folder / "in" / "last.jsonl").write_text(json.dumps(page | {"page": 8}) + "\n")
+    cli.run(spark, given)
+    assert spark.read.parquet(str(folder / "out" / "run_log")).count() == 13
+
+
+def test_lines_that_are_malformed_are_kept_apart(spark, folder):
+    (folder / "lines.jsonl").write_text('{"a": 1}\n\n{"a": \n{"a": "x"}\nnull\n{"a": 2, "b": 3}\n')
+    good, bad = files.json_lines_apart(spark, str(folder / "lines.jsonl"), "a int")
+    assert sorted(r.a for r in good.collect()) == [1, 2] and sorted(r.text for r in bad.collect()) == ["null", '{"a": ', '{"a": "x"}']
+    assert bad.first().path.endswith("lines.jsonl")
+    log = files.lines_log(good, bad, "r", "f")
+    inputs = spark.createDataFrame([("r", "f", 5)], "run string, input_fingerprint string, total_units long")
+    found = state.status(inputs, log).first()
+    assert (found.status, found.n_ok, found.n_failed) == ("interrupted", 2, 3) and found.last_error.startswith("malformed line: ")
+
+
 def test_workbook(spark, folder):
     rows = spark.createDataFrame([("a & <b>", True, None), ("", None, ["x", "y"])], "name string, ok boolean, phones array<string>")
     path = str(folder / "book.xlsx")

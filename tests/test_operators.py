@@ -29,7 +29,7 @@ def test_comparison(spark):
     assert compare.card_diffs(a, b, most=1).count() == 1
     assert sorted(r.phone for r in compare.phone_diffs(a, b).collect()) == ["3", "4", "8", "9"]
     sheets = compare.compared(a, b, calls=2, tokens=10).sheets()
-    assert sheets["overview"].count() == 20 and sheets["conclusion"].count() == 5
+    assert sheets["overview"].count() == 20 and sheets["conclusion"].count() == 6
 
 
 def test_comparison_of_nothing(spark):

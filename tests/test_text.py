@@ -75,7 +75,6 @@ def test_keys_tags_and_errors(spark):
     assert one(spark, text.is_fatal("s", "m", "e"), s=200, m="", e="Quota exceeded")
     assert not one(spark, text.is_fatal("s", "m", "e"), s=None, m="timeout", e="quota")
     assert one(spark, text.truthy("v"), v="maybe") and not one(spark, text.truthy("v"), v=None) and not one(spark, text.truthy("v"), v="false")
-    assert one(spark, text.json_answer("v"), v="```json\n{\"a\": 1}\n```") == '{"a": 1}'
     assert one(spark, text.model_tag("v"), v="a-b.1") == "a_b_1"
     assert [one(spark, text.model_short("v"), v=x) for x in ("x-flash", "x-pro", "a-b")] == ["dsv4flash", "dsv4p", "ab"]
 
