@@ -83,17 +83,21 @@ def _classified(sides: DataFrame) -> DataFrame:
     return sides.withColumns({"phones_a": pa, "phones_b": pb, "kind": kind})
 
 
-def overview(a: DataFrame, b: DataFrame, order: str = "ord") -> DataFrame:
-    """The 20 metrics as one row; each side is read twice, once by card and once by number."""
-    rows_a, rows_b, key_rows = (F.coalesce(F.sum(c), F.lit(0)) for c in ("a.n_rows", "b.n_rows", "b.n_key_rows"))
-    phones = phone_sides(a, b).agg(
+def phone_metrics(sides: DataFrame) -> DataFrame:
+    """The five metrics of numbers as one row, from what phone_sides() gives."""
+    return sides.agg(
         F.count_if("in_a").alias("rule_unique_phones"),
         F.count_if("in_b").alias("llm_unique_phones"),
         F.count_if(F.col("in_a") & F.col("in_b")).alias("phones_in_both"),
         F.count_if(F.col("in_a") & ~F.col("in_b")).alias("phones_only_in_rule"),
         F.count_if(F.col("in_b") & ~F.col("in_a")).alias("phones_only_in_llm"),
     )
-    cards = _classified(card_sides(a, b, order)).agg(
+
+
+def card_metrics(sides: DataFrame) -> DataFrame:
+    """The fifteen metrics of cards as one row, from what card_sides() gives."""
+    rows_a, rows_b, key_rows = (F.coalesce(F.sum(c), F.lit(0)) for c in ("a.n_rows", "b.n_rows", "b.n_key_rows"))
+    return _classified(sides).agg(
         rows_a.alias("rule_phone_rows"),
         rows_b.alias("llm_phone_rows"),
         key_rows.alias("llm_kp_rows"),
@@ -110,8 +114,12 @@ def overview(a: DataFrame, b: DataFrame, order: str = "ord") -> DataFrame:
         F.count_if(F.col("a.company") != "").alias("cards_with_company_rule"),
         F.count_if(F.col("b.company_std") != "").alias("cards_with_company_std_llm"),
     )
+
+
+def overview(a: DataFrame, b: DataFrame, order: str = "ord") -> DataFrame:
+    """The 20 metrics as one row; each side is read twice, once by card and once by number."""
     # two rows of one line each
-    return phones.crossJoin(cards).select(*METRICS)
+    return phone_metrics(phone_sides(a, b)).crossJoin(card_metrics(card_sides(a, b, order))).select(*METRICS)
 
 
 METRICS = [
@@ -193,12 +201,7 @@ def rule_and_llm(a: DataFrame, b: DataFrame, standard: DataFrame) -> DataFrame:
     key_person = F.coalesce(F.col("is_key_person").cast("boolean"), F.lit(False))
     rows_a = a.agg(F.count("*").alias("rule_pipeline_rows"))
     rows_b = b.agg(F.count("*").alias("llm_total_rows"), F.count_if(key_person).alias("llm_kp_rows"), F.count_if(~key_person).alias("llm_non_kp_rows"))
-    phones = phone_sides(a, b).agg(
-        F.count_if("in_a").alias("rule_unique_phones"), F.count_if("in_b").alias("llm_unique_phones"),
-        F.count_if(F.col("in_a") & F.col("in_b")).alias("phones_in_both"),
-        F.count_if(F.col("in_a") & ~F.col("in_b")).alias("phones_only_in_rule"),
-        F.count_if(F.col("in_b") & ~F.col("in_a")).alias("phones_only_in_llm"),
-    )
+    phones = phone_metrics(phone_sides(a, b))
     # in whole numbers, so that a tie is one in every engine
     n_key, n = F.count_if(key_person), F.greatest(F.count("*"), F.lit(1))
     tenths, rest = ((n_key * 1000 - (n_key * 1000) % n) / n).cast("long"), 2 * ((n_key * 1000) % n)

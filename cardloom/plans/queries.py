@@ -12,6 +12,7 @@ from ..operators import compare, enrich, layout, merge, phones, state
 from ..sources import files, sinks
 from ..sources.session import work_folder
 from ..streaming import resume, status
+from ..streaming.comparing import Comparing
 from ..streaming.levels import Levels
 from . import corpus
 from .corpus import table
@@ -289,7 +290,7 @@ _PHONE_METRICS = (
 )
 
 
-@_query(
+_OVERVIEW = (
     f"WITH {_BOTH} {_JOINED} SELECT (SELECT count(*) FROM ra) AS rule_phone_rows, (SELECT count(*) FROM rb) AS llm_phone_rows, {_PHONE_METRICS}, "
     "count(*) FILTER (WHERE len(x) > 0) AS rule_cards_with_phone, count(*) FILTER (WHERE in_b) AS llm_cards_in_export, count(*) FILTER (WHERE is_key_person) AS llm_kp_cards, "
     "count(*) FILTER (WHERE len(x) > 0 AND x = y) AS cards_phone_set_equal, count(*) FILTER (WHERE len(x) > 0 AND len(y) > 0 AND x <> y) AS cards_phone_set_diff, "
@@ -297,10 +298,24 @@ _PHONE_METRICS = (
     "count(*) FILTER (WHERE name <> '') AS cards_with_name_rule, count(*) FILTER (WHERE name_std <> '') AS cards_with_name_std_llm, "
     "count(*) FILTER (WHERE company <> '') AS cards_with_company_rule, count(*) FILTER (WHERE company_std <> '') AS cards_with_company_std_llm FROM j"
 )
+
+
+@_query(_OVERVIEW)
 def compare_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.overview(*_sides(spark, sf_dir))
 
 
+@_query(_OVERVIEW)
+def compare_in_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after three increments, over which the rows of a card and of a number are spread."""
+    comparing = Comparing(work_folder(spark, "comparing"), fanout=2, buckets=4)
+    part = F.pmod(F.xxhash64("file", "page", "card_no", "phone_normalized"), F.lit(3))
+    a, b = (x.withColumn("part", part) for x in _sides(spark, sf_dir))
+    for number in range(3):
+        comparing.take(*(x.where(F.col("part") == number).drop("part") for x in (a, b)), number)
+    return comparing.metrics(spark, 3)
+
+
 @_query(
     f"WITH {_BOTH} {_JOINED} SELECT card_key, source_label, array_to_string(x, ';') AS phones_a, array_to_string(y, ';') AS phones_b, "
     f"CASE WHEN len(x) > 0 AND len(y) > 0 THEN '{fixed.NOTE_DIFFERENT}' WHEN len(x) > 0 THEN '{fixed.NOTE_A}' ELSE '{fixed.NOTE_B}' END AS note "

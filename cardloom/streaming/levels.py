@@ -46,7 +46,8 @@ class Levels:
     fanout: int = FANOUT
     buckets: int = BUCKETS
 
-    def _run(self, level: int, first: int) -> str:
+    def run(self, level: int, first: int) -> str:
+        """The place of a run."""
         return f"{self.path}/level={level}/first={first}"
 
     def _bucket(self) -> Column:
@@ -57,12 +58,12 @@ class Levels:
 
     def _write(self, rows: DataFrame, level: int, first: int) -> None:
         dealt = rows.withColumn("_bucket", self._bucket()).repartition(self.buckets, "_bucket")
-        dealt.write.partitionBy("_bucket").mode("overwrite").parquet(self._run(level, first))
+        dealt.write.partitionBy("_bucket").mode("overwrite").parquet(self.run(level, first))
 
     def _read(self, spark: SparkSession, runs: list[tuple[int, int]]) -> DataFrame | None:
         read = None
         for run in runs:
-            rows = spark.read.parquet(self._run(*run))
+            rows = spark.read.parquet(self.run(*run))
             read = rows if read is None else read.unionByName(rows, allowMissingColumns=True)
         return read
 
@@ -96,7 +97,7 @@ class Levels:
             for below in range(level):
                 step = self.fanout**below
                 for at in range(first, first + self.fanout**level, step):
-                    path = self._run(below, at)
+                    path = self.run(below, at)
                     rows = spark.read.parquet(path)
                     if not rows.isEmpty():
                         spark.createDataFrame([], rows.drop("_bucket").schema).write.mode("overwrite").parquet(path)

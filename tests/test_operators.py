@@ -203,3 +203,22 @@ def test_final_error_stops_all_later_batches(spark, tmp_path):
     assert calls.value == 14 + 20 + 7 and enriching.unanswered(table, place).count() == 0
     done = enriching.last_answers(spark, place)
     assert done.count() == 40 and {r.name_std for r in done.collect()} == {"Li"} and state.status(inputs, enriching.run_log(spark, place, "r", "f")).first().status == "completed"
+
+
+def test_comparison_in_increments(spark, tmp_path):
+    """Random rows, spread over increments, one of which comes twice and one of which has no rows of A: after each as if compared at once."""
+    import random
+
+    from cardloom.streaming.comparing import Comparing
+
+    rng = random.Random(6)
+    a = [("P", "f", 1, rng.randrange(12), i, rng.choice(["", " ", None, "Li", "Wu"]), rng.choice(["", "Acme"]), rng.choice(["", "1", "2", "3", "4"])) for i in range(60)]
+    b = [("P", "f", 1, rng.randrange(14), i, rng.choice(["", "Li"]), rng.choice(["", "A"]), rng.choice([True, False, None]), rng.choice(["", "1", "2", "5"])) for i in range(60)]
+    comparing = Comparing(str(tmp_path / "c"), fanout=2, buckets=3)
+    for n, (i, j) in enumerate([(15, 20), (15, 40), (45, 41), (60, 60)]):
+        start = [(0, 0), (15, 20), (15, 40), (45, 41)][n]
+        for _ in range(2 if n == 2 else 1):
+            comparing.take(spark.createDataFrame(a[start[0] : i], ROWS), spark.createDataFrame(b[start[1] : j], B_ROWS), n)
+        whole = spark.createDataFrame(a[:i], ROWS), spark.createDataFrame(b[:j], B_ROWS)
+        assert comparing.metrics(spark, n + 1).first().asDict() == compare.overview(*whole).first().asDict(), n
+    assert comparing.card_sides(spark, 4).count() == compare.card_sides(*whole).count()
