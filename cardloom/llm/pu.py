@@ -62,7 +62,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out:
     """((doc_id, text, positive) rows to learn from, prior): nothing of the held-out fold is used.
 
     The prior is the share of label 1 among all labelled documents of the other folds.
-    Null labels and ids are left out; of a repeated id the greatest label counts.
+    Null labels and ids are left out; of a repeated id the greatest label counts,
+    and the least of its texts (null only if there is no other).
     """
     seen = fold(F.col(doc_id), parts) != held_out
     labelled = labels.where(seen & F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("doc_id")).agg((F.max(label) == 1).alias("positive"))
@@ -73,7 +74,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out:
     texts = docs.where(seen).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     wanted = chosen.groupBy("doc_id").agg(F.collect_list("positive").alias("sets"))
     # POSITIVES + UNLABELLED ids at most are broadcast
-    found = texts.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"])
+    found = texts.join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("sets").alias("sets"))
     return settle(found.select("doc_id", "text", F.explode("sets").alias("positive"))), float(prior or 0.0)
 
 
