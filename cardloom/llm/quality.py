@@ -20,7 +20,8 @@ from . import pu
 PARTS, HELD_OUT, LEAST_SCORE = 4, 2, 0.7
 #: Characters of a word that are looked at as one piece, and marks of its shape that count as one; longer ones are several.
 PIECE, MARKS = 60, 6
-_REMEMBERED = 400_000
+#: Shapes that a worker remembers, a few megabytes.
+_REMEMBERED = 1 << 16
 _LETTERS, _DIGITS, _TWICE = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"(.)\1+")
 
 
