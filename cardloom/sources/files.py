@@ -194,8 +194,12 @@ _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
-def _sheet_rows(content: bytes, sheet: str) -> Iterator[dict[str, str]]:
-    """Rows of a sheet as {header: text}, read as a stream."""
+#: Bytes of a workbook for which a task of its own reads rows, and rows in a row that one task reads.
+PART_BYTES, STRIPE = 1 << 21, 1024
+
+
+def _sheet_rows(content: bytes, sheet: str, part: int = 0, parts: int = 1) -> Iterator[tuple[int, dict[str, str]]]:
+    """(number, {header: text}) of the rows of a sheet that belong to a part, read as a stream; other rows are passed over."""
     book = zipfile.ZipFile(io.BytesIO(content))
     names = {x.get("name"): x.get(_REL) for x in ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{_MAIN}sheet")}
     links = {x.get("Id"): x.get("Target") for x in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
@@ -204,10 +208,16 @@ def _sheet_rows(content: bytes, sheet: str) -> Iterator[dict[str, str]]:
     if "xl/sharedStrings.xml" in book.namelist():
         shared = ["".join(t.text or "" for t in s.iter(f"{_MAIN}t")) for s in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))]
     header: list[str] | None = None
+    number = -1
     with book.open(target if target.startswith("xl/") else f"xl/{target}") as f:
         for _, row in ElementTree.iterparse(f):
             if row.tag != f"{_MAIN}row":
                 continue
+            if header is not None:
+                number += 1
+                if number // STRIPE % parts != part:
+                    row.clear()
+                    continue
             cells: dict[int, str] = {}
             for cell in row.iter(f"{_MAIN}c"):
                 at = 0
@@ -220,20 +230,20 @@ def _sheet_rows(content: bytes, sheet: str) -> Iterator[dict[str, str]]:
             if header is None:
                 header = [cells.get(i, "") for i in range(1, max(cells, default=0) + 1)]
             else:
-                yield {h: cells.get(i, "") for i, h in enumerate(header, 1)}
+                yield number, {h: cells.get(i, "") for i, h in enumerate(header, 1)}
 
 
 def sheet_rows(spark: SparkSession, paths: str | list[str], columns: list[str], sheet: str = fixed.PHONE_SHEET) -> DataFrame:
     """Rows of a workbook's sheet as text: path, ord (row number) and the columns asked for, empty where the sheet lacks them.
 
-    Blank rows are kept; merge.not_blank() drops them.
+    Blank rows are kept; merge.not_blank() drops them.  A large workbook goes to several tasks, each of which reads its stripes of rows.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for path, content, part, parts in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 held: list[list] = []
-                for i, row in enumerate(_sheet_rows(content, sheet)):
+                for i, row in _sheet_rows(content, sheet, part, parts):
                     held.append([path, i, *(row.get(c, "") for c in columns)])
                     if len(held) == 4096:
                         yield _rows(held)
@@ -246,4 +256,7 @@ def sheet_rows(spark: SparkSession, paths: str | list[str], columns: list[str],
         return pa.record_batch([pa.array(x, k) for x, k in zip(zip(*held), kinds)], ["path", "ord", *columns])
 
     ddl = ", ".join(["path string", "ord bigint", *(f"`{c}` string" for c in columns)])
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(read, ddl)
+    parts = F.greatest(F.ceil(F.col("length") / PART_BYTES), F.lit(1)).cast("int")
+    books = spark.read.format("binaryFile").load(paths).select("path", "content", parts.alias("parts"))
+    dealt = books.select("path", "content", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
+    return dealt.repartition("path", "part").mapInArrow(read, ddl)

@@ -190,6 +190,18 @@ def test_workbook(spark, folder):
     assert not_blank(blank).count() == 1
 
 
+def test_large_workbook_is_read_by_several_tasks(spark, folder, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(files, "PART_BYTES", 20_000)
+    rows = spark.range(9000).selectExpr("cast(id as string) AS a", "concat('row ', id) AS b")
+    sinks.write_workbook({"phone_processed": rows.orderBy(F.col("a").cast("long"))}, str(folder / "large.xlsx"))
+    found = files.sheet_rows(spark, str(folder / "large.xlsx"), ["a", "b"])
+    got = found.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r.ord, r.a, r.b) for r in got) == [(i, str(i), f"row {i}") for i in range(9000)]
+    assert len({r.task for r in got}) > 1
+
+
 def test_listing_and_atomic_json(spark, folder):
     for name in ("b.PDF", "a.jpg", "c.txt"):
         (folder / "in" / name).write_bytes(b"x")
