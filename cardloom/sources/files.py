@@ -259,4 +259,5 @@ def sheet_rows(spark: SparkSession, paths: str | list[str], columns: list[str],
     parts = F.greatest(F.ceil(F.col("length") / PART_BYTES), F.lit(1)).cast("int")
     books = spark.read.format("binaryFile").load(paths).select("path", "content", parts.alias("parts"))
     dealt = books.select("path", "content", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
-    return dealt.repartition("path", "part").mapInArrow(read, ddl)
+    # with their number given, small partitions are not put together again
+    return dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "part").mapInArrow(read, ddl)
