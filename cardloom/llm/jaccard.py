@@ -205,6 +205,7 @@ def _verified(pairs: DataFrame, own: DataFrame, shingle: int, similarity: float)
                     hubs.append(hub)
                     others.append(other)
             yield pa.record_batch([pa.array(hubs, pa.int64()), pa.array(others, pa.int64())], ["a", "b"])
+            pa.default_memory_pool().release_unused()
 
     pairs = settle(pairs)
     n = max(1, pairs.count())

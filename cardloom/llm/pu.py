@@ -149,7 +149,9 @@ def score(model: Model, text: Column, features: Callable[[str | None], set[str]]
 
     @arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(features(x.as_py())) for x in texts], pa.float64())
+        found = pa.array([model.score(features(x.as_py())) for x in texts], pa.float64())
+        pa.default_memory_pool().release_unused()  # workers live on beside the next stages
+        return found
 
     return scored.asNondeterministic()(text)  # so that it runs once where a filter and the output both read it
 
