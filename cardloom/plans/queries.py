@@ -308,11 +308,13 @@ def compare_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(_OVERVIEW)
 def compare_in_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same after three increments, over which the rows of a card and of a number are spread."""
-    comparing = Comparing(work_folder(spark, "comparing"), fanout=2, buckets=4)
+    folder = work_folder(spark, "comparing")
     part = F.pmod(F.xxhash64("file", "page", "card_no", "phone_normalized"), F.lit(3))
-    a, b = (x.withColumn("part", part) for x in _sides(spark, sf_dir))
+    for name, rows in zip("ab", _sides(spark, sf_dir)):
+        rows.withColumn("part", part).write.partitionBy("part").parquet(f"{folder}/{name}")
+    comparing = Comparing(f"{folder}/state", fanout=2, buckets=4)
     for number in range(3):
-        comparing.take(*(x.where(F.col("part") == number).drop("part") for x in (a, b)), number)
+        comparing.take(*(spark.read.parquet(f"{folder}/{name}").where(F.col("part") == number).drop("part") for name in "ab"), number)
     return comparing.metrics(spark, 3)
 
 
