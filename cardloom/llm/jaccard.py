@@ -37,7 +37,7 @@ from .shingles import hashes_of, majority
 #: Documents that tell which shingles are frequent, and how many of these are known by name. Results do not depend on them.
 SAMPLE, FREQUENT, SEED = 4_096, 65_536, 42
 #: Stars are drawn while buckets hold more open pairs than so many for each of their rows, and this often at most.
-PAIRS, STARS = 1, 8
+PAIRS, STARS = 4, 6
 #: Pairs of texts that one task compares, where there are few.
 COMPARED = 4_096
 #: One in so many shingles tells which texts have enough of their own. Texts up to so many are found by a broadcast of their numbers, more by a shuffle.
