@@ -12,10 +12,12 @@ in ``PART`` of their shingles, and only the others deal all of them.
 
 Two sets whose first key in common is at the places i and j have at most the lesser of n - i
 and m - j shingles in common, which rules out most of those that share only frequent ones.
+What is left is asked for the parities of its shingles in 512 cells: a cell with different ones has a shingle that
+only one of the sets has, so sets with more such cells than the similarity leaves unshared are not alike.
 The others are compared whole, by their texts.  Equal texts are one throughout.  Of the texts with keys,
 candidates that another method finds (``near``) are compared first, which joins most copies.  In a bucket, members in order of size
-meet only those that size and place allow, so what that rules out costs nothing.  Where the pairs that are allowed and not yet in one group are
-still too many, each set is compared with the first of one of its buckets next; then all such pairs are compared.
+meet only those that size and place allow, so what that rules out costs nothing.  Where the pairs that are allowed, by parities too, and not yet
+in one group are still too many, each set is compared with the first of one of its buckets next; then all such pairs are compared.
 
 Keys, hubs and texts that a large part of the rows have are met where these rows are, or in many parts.
 """
@@ -37,7 +39,10 @@ from .shingles import hashes_of, majority
 #: Documents that tell which shingles are frequent, and how many of these are known by name. Results do not depend on them.
 SAMPLE, FREQUENT, SEED = 4_096, 65_536, 42
 #: Stars are drawn while buckets hold more open pairs than so many for each of their rows, and this often at most.
-PAIRS, STARS = 4, 6
+#: The pairs are told from so many members of a bucket; results do not depend on it.
+PAIRS, STARS, ASKED = 1, 6, 256
+#: Words of 64 cells that hold the parities of a set.
+WORDS = [f"w{i}" for i in range(8)]
 #: Pairs of texts that one task compares, where there are few.
 COMPARED = 4_096
 #: One in so many shingles tells which texts have enough of their own. Texts up to so many are found by a broadcast of their numbers, more by a shuffle.
@@ -66,6 +71,13 @@ def split_keys(hashes: np.ndarray, similarity: float, frequent: np.ndarray, rank
     return rare, late[: max(0, n_keys(len(hashes), similarity) - len(rare))]
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Whether the number of hashes in each cell is odd, a bit a cell; where two sets differ, one has a hash that the other lacks."""
+    cells = 64 * len(WORDS)
+    odd = np.bincount((hashes % np.uint64(cells)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
     common = len(np.intersect1d(x, y, assume_unique=True))
     return common >= similarity * (len(x) + len(y) - common) - _SLACK
@@ -108,7 +120,9 @@ def _frequent(own: DataFrame, shingle: int, n: int) -> tuple[np.ndarray, np.ndar
 
 
 #: A shared key (key, id, df), or what is to be known of a text (id, fingerprint, n, dealt, late).
-_ROWS = "key long, id long, df long, fingerprint long, n long, dealt long, late array<long>"
+_ROWS = f"key long, id long, df long, fingerprint long, n long, dealt long, late array<long>, bits struct<{','.join(f'{w}:long' for w in WORDS)}>"
+_BITS = pa.struct([(w, pa.int64()) for w in WORDS])
+_ABOUT = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), _BITS)
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +135,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = np.repeat(sizes, sizes)
         keep = each > 1
         found = [pa.array(x, pa.int64()) for x in (keys[keep], ids[keep], each[keep])]
-        return _row_batch([*found, *(pa.nulls(len(found[0]), kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())))])
+        return _row_batch([*found, *(pa.nulls(len(found[0]), kind) for kind in _ABOUT)])
 
     for batch in batches:
         about = batch.column(3).is_valid()
@@ -137,7 +151,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _row_batch(columns: list[pa.Array]) -> pa.RecordBatch:
-    return pa.record_batch(columns, ["key", "id", "df", "fingerprint", "n", "dealt", "late"])
+    return pa.record_batch(columns, ["key", "id", "df", "fingerprint", "n", "dealt", "late", "bits"])
 
 
 def _counted(own: DataFrame, shingle: int, similarity: float, frequent: np.ndarray, rank: np.ndarray, part: int) -> DataFrame:
@@ -155,8 +169,8 @@ def _counted(own: DataFrame, shingle: int, similarity: float, frequent: np.ndarr
                 rare, late = split_keys(hashes, similarity, frequent, rank)
                 rare = rare[rare % np.uint64(part) == 0] if part > 1 else rare
                 n = len(rare) + 1
-                about = (np.uint64(majority(every)).view(np.int64), len(hashes), len(rare), late.view(np.int64))
-                more = [pa.array([v] + [None] * len(rare), kind) for v, kind in zip(about, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())))]
+                about = (np.uint64(majority(every)).view(np.int64), len(hashes), len(rare), late.view(np.int64), dict(zip(WORDS, parities(hashes).tolist())))
+                more = [pa.array([v] + [None] * len(rare), kind) for v, kind in zip(about, _ABOUT)]
                 keys = np.concatenate([np.array([own_id], np.int64), rare.view(np.int64)])
                 yield _row_batch([pa.array(keys), pa.array(np.full(n, own_id, np.int64)), pa.nulls(n, pa.int64()), *more])
 
@@ -165,8 +179,8 @@ def _counted(own: DataFrame, shingle: int, similarity: float, frequent: np.ndarr
 
 
 def _alive(found: DataFrame, similarity: float) -> DataFrame:
-    """(id, fingerprint, n, dealt, late, own, wanted) of the texts with fewer shingles of their own than keys, by what was dealt."""
-    about = found.where("fingerprint IS NOT NULL").groupBy("id").agg(*[F.first(c).alias(c) for c in ("fingerprint", "n", "dealt", "late")])
+    """(id, fingerprint, n, dealt, late, bits, own, wanted) of the texts with fewer shingles of their own than keys, by what was dealt."""
+    about = found.where("fingerprint IS NOT NULL").groupBy("id").agg(*[F.first(c).alias(c) for c in ("fingerprint", "n", "dealt", "late", "bits")])
     shared = found.where("df IS NOT NULL").groupBy("id").agg(F.count("*").alias("n_shared"))
     keys = F.when(F.col("n") > 0, F.col("n") - F.greatest(F.lit(1), F.ceil(similarity * F.col("n") - _SLACK)) + 1).otherwise(0)
     sized = about.join(shared, "id", "left").withColumn("own", F.col("dealt") - F.coalesce("n_shared", F.lit(0)))
@@ -174,12 +188,12 @@ def _alive(found: DataFrame, similarity: float) -> DataFrame:
 
 
 def _keys(found: DataFrame, alive: DataFrame) -> DataFrame:
-    """(key, id, size, at) of the texts that may have a copy; at is the key's place among the text's shingles."""
+    """(key, id, size, at, bits) of the texts that may have a copy; at is the key's place among the text's shingles, bits are its parities."""
     place = F.row_number().over(Window.partitionBy("id").orderBy("df", "key"))
     shared = found.where("df IS NOT NULL").select("key", "id", "df").join(alive.select("id", "n", "own", "wanted"), "id")
     early = shared.withColumn("place", place).where("place <= wanted").select("key", "id", F.col("n").alias("size"), (F.col("own") + F.col("place") - 1).alias("at"))
-    late = alive.select("id", F.col("n").alias("size"), "dealt", F.posexplode("late").alias("i", "key"))
-    return early.unionByName(late.select("key", "id", "size", (F.col("dealt") + F.col("i")).alias("at")))
+    late = alive.select("id", F.col("n").alias("size"), "dealt", "bits", F.posexplode("late").alias("i", "key"))
+    return early.join(alive.select("id", "bits"), "id").unionByName(late.select("key", "id", "size", (F.col("dealt") + F.col("i")).alias("at"), "bits"))
 
 
 def _of(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -232,16 +246,18 @@ def _open(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """
     n = buckets.count()
     taken = buckets.withColumnRenamed("root", "before").join(roots, "id", "left").withColumn("root", F.coalesce("root", "before"))
-    named = settle(taken.select("key", "id", "size", "at", "root"), n)
+    named = settle(taken.select("key", "id", "size", "at", "bits", "root"), n)
     ends = named.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("_n"))
     return settle(join_by_key(named, ends.where("least < most").select("key", "_n"), "key", "_n", n), n)
 
 
 def _pairs(a: str, b: str, similarity: float):
-    """Whether two members are of different groups, and sizes and places of the key allow the similarity if it is their first one."""
+    """Whether two members are of different groups, and parities, sizes and places of the key allow the similarity if it is their first one."""
+    apart = sum((F.bit_count(F.col(f"{a}.bits.{w}").bitwiseXOR(F.col(f"{b}.bits.{w}"))) for w in WORDS), F.lit(0))
+    unshared = (1 - similarity) / (1 + similarity) * (F.col(f"{a}.size") + F.col(f"{b}.size")) + _SLACK
     left = F.least(F.col(f"{a}.size") - F.col(f"{a}.at"), F.col(f"{b}.size") - F.col(f"{b}.at"))
     fits = left >= similarity / (1 + similarity) * (F.col(f"{a}.size") + F.col(f"{b}.size")) - _SLACK
-    return (F.col(f"{a}.root") != F.col(f"{b}.root")) & fits
+    return (F.col(f"{a}.root") != F.col(f"{b}.root")) & fits & (apart <= unshared)
 
 
 def rooted(own: DataFrame, n_texts: int, shingle: int, similarity: float, near: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -329,8 +345,8 @@ def _links(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], simil
         if not _many(buckets, allowed, similarity):
             break
         n = buckets.count()
-        member = F.struct(F.xxhash64("id", F.lit(star)).alias("_order"), "id", "size", "at", "root")
-        drawn = least_by_key(buckets, "key", member, "hub", n).select(F.struct("id", "size", "at", "root").alias("own"), "hub")
+        member = F.struct(F.xxhash64("id", F.lit(star)).alias("_order"), "id", "size", "at", "root", "bits")
+        drawn = least_by_key(buckets, "key", member, "hub", n).select(F.struct("id", "size", "at", "root", "bits").alias("own"), "hub")
         one = drawn.where(_pairs("own", "hub", similarity)).groupBy("own.id").agg(F.min(F.struct("hub._order", "hub.id", "hub.root")).alias("hub"))
         one = settle(one.select("id", F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"), "hub.root"), n)
         found = verified(_ordered(one))
@@ -354,58 +370,53 @@ def _dealt(buckets: DataFrame, similarity: float) -> DataFrame:
     Sets that are alike differ in size by the factor of the similarity at most, which is the width of a band.
     """
     band = F.floor(F.log(F.col("size")) / -math.log(similarity)).cast("int")
-    both = buckets.withColumn("own", band).select("key", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("band"), "size", "id", "at", "root", "own")
+    both = buckets.withColumn("own", band).select("key", F.explode(F.array(F.col("own"), F.col("own") - 1)).alias("band"), "size", "id", "at", "root", "own", "bits")
     return both.repartition("key", "band").sortWithinPartitions("key", "band", "size", "id")
 
 
 def _fitting(similarity: float, counted: bool):
-    """Reads what _dealt() gives; returns (a, b) pairs that _pairs() allows, or (members, pairs) counts with the pairs as few as can be told without listing them."""
-    least = similarity / (1 + similarity)
+    """Reads what _dealt() gives; returns (a, b) pairs that _pairs() allows, or (members, pairs) counts, the pairs told from ASKED members of each bucket."""
+    least, unshared = similarity / (1 + similarity), (1 - similarity) / (1 + similarity)
 
     def windows(size: np.ndarray, left: np.ndarray, own: np.ndarray) -> np.ndarray:
         """How many of the members behind each one, in order of size, it may be alike."""
         most = np.minimum(size / similarity, left / least - size) + _SLACK
         return np.where(own, np.maximum(np.searchsorted(size, most, "right") - np.arange(len(size)) - 1, 0), 0)
 
-    def number(size, left, root, own) -> int:
-        total = int(windows(size, left, own).sum())
-        if total > len(size):
-            kinds, number, sizes = np.unique(root, return_inverse=True, return_counts=True)
-            order = np.argsort(number, kind="stable")
-            at = 0
-            for n in sizes.tolist():  # pairs of one group do not count
-                some, at = order[at : at + n], at + n
-                if n > 1:
-                    total -= int(windows(size[some], left[some], own[some]).sum())
-        return total
-
-    def pairs(size, ids, left, root, own) -> Iterator[pa.RecordBatch]:
+    def partners(size, left, root, own, bits, step: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Every step-th member that has any, and its partners behind it."""
         many = windows(size, left, own)
         kinds, number, sizes = np.unique(root, return_inverse=True, return_counts=True)
         other = number != np.argmax(sizes)  # members of the largest group are compared with these only
         places = np.nonzero(other)[0]
         before = np.concatenate([[0], np.cumsum(other)])  # how many of these are before a place
         at = np.arange(len(size))
-        for i in np.nonzero(many)[0].tolist():
+        for i in np.nonzero(many)[0][::step].tolist():
             j = at[i + 1 : i + 1 + many[i]] if other[i] else places[before[i + 1] : before[i + 1 + many[i]]]
-            j = j[(root[j] != root[i]) & (left[j] >= least * (size[i] + size[j]) - _SLACK)]
+            both = size[i] + size[j]
+            j = j[(root[j] != root[i]) & (left[j] >= least * both - _SLACK)]
+            j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64) <= unshared * (size[i] + size[j]) + _SLACK]
             if len(j):
-                yield pa.record_batch([pa.array(np.full(len(j), ids[i])), pa.array(ids[j])], ["a", "b"])
+                yield i, j
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
 
         def ended(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            _, band, size, ids, place, root, own = columns
+            _, band, size, ids, place, root, own, bits = columns
             if len(size) < 2 or (root == root[0]).all():
                 return
+            step = max(1, len(size) // ASKED) if counted else 1
+            found = partners(size, size - place, root, own == band, bits, step)
             if counted:
-                yield pa.record_batch([pa.array([len(size)]), pa.array([number(size, size - place, root, own == band)])], ["a", "b"])
+                yield pa.record_batch([pa.array([len(size)]), pa.array([step * sum(len(j) for _, j in found)])], ["a", "b"])
             else:
-                yield from pairs(size, ids, size - place, root, own == band)
+                for i, j in found:
+                    yield pa.record_batch([pa.array(np.full(len(j), ids[i])), pa.array(ids[j])], ["a", "b"])
 
         for batch in batches:
             now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+            now.append(np.stack([w.to_numpy(zero_copy_only=False) for w in batch.column(7).flatten()], axis=1).view(np.uint64))
             now = now if held is None else [np.concatenate(x) for x in zip(held, now)]
             change = np.nonzero((now[0][1:] != now[0][:-1]) | (now[1][1:] != now[1][:-1]))[0] + 1
             starts = [0, *change.tolist()]

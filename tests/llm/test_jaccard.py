@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cardloom.llm import jaccard, simhash
@@ -58,19 +59,17 @@ def test_keys_meet_at_the_border():
 
 
 def test_shared_keys_of_sorted_rows():
-    import pyarrow as pa
-
     rng = np.random.default_rng(4)
     rows = sorted((int(k), int(i)) for k, i in rng.integers(0, 40, (300, 2)))
     expected = sorted({(k, i, len({j for o, j in rows if o == k})) for k, i in rows if len({j for o, j in rows if o == k}) > 1})
-    whole = [(k, i, None, None, None, None, None) for k, i in rows]
-    whole[100:100] = [(rows[100][0], 7, None, 55, 9, 9, [1, 2])]  # about a text
-    kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())]
+    whole = [(k, i, None, None, None, None, None, None) for k, i in rows]
+    whole[100:100] = [(rows[100][0], 7, None, 55, 9, 9, [1, 2], dict.fromkeys(jaccard.WORDS, -3))]  # about a text
+    kinds = [pa.int64()] * 6 + [pa.list_(pa.int64()), pa.struct([(w, pa.int64()) for w in jaccard.WORDS])]
     for step in (1, 7, 301):
         parts = [jaccard._row_batch([pa.array(x, k) for x, k in zip(zip(*whole[at : at + step]), kinds)]) for at in range(0, 301, step)]
         got = [r for b in jaccard._shared(iter(parts)) for r in b.to_pylist()]
         assert sorted((r["key"], r["id"], r["df"]) for r in got if r["df"] is not None) == expected
-        assert [(r["key"], r["id"], r["fingerprint"], r["late"]) for r in got if r["df"] is None] == [(None, 7, 55, [1, 2])]
+        assert [(r["key"], r["id"], r["fingerprint"], r["late"], set(r["bits"].values())) for r in got if r["df"] is None] == [(None, 7, 55, [1, 2], {-3})]
     assert sum(b.num_rows for b in jaccard._shared(iter([]))) == 0
 
 
@@ -132,3 +131,23 @@ def test_frequent_shingles_beyond_the_sample(spark, monkeypatch):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_copies_dropped(docs).count() == 0
+
+
+def test_parities_rule_out_no_pair_that_is_alike():
+    rng = np.random.default_rng(5)
+    least, ruled_out = 0.8 / 1.8, 0
+    for n in (1, 9, 40, 150, 600, 5_000):
+        base = rng.integers(0, 2**64, 2 * n, np.uint64)
+        for shared in sorted({n, int(0.95 * n), round(n * 16 / 18), int(0.86 * n), n // 2}):
+            x, y = np.unique(base[:n]), np.unique(base[n - shared : 2 * n - shared])
+            rows = [(7, band, len(z), i, 0, i, band) for i, z in enumerate((x, y), 1) for band in (3,)]
+            words = [jaccard.parities(z) for z in (x, y)]
+            bits = pa.StructArray.from_arrays([pa.array([w[k] for w in words], pa.int64()) for k in range(len(jaccard.WORDS))], jaccard.WORDS)
+            batch = pa.record_batch([*(pa.array([r[k] for r in rows], pa.int64()) for k in range(7)), bits], ["key", "band", "size", "id", "at", "root", "own", "bits"])
+            found = [tuple(b.to_pydict().values()) for b in jaccard._fitting(0.8, False)(iter([batch]))]
+            counted = [b.to_pydict() for b in jaccard._fitting(0.8, True)(iter([batch]))]
+            assert counted == [{"a": [2], "b": [len(found)]}]
+            if len(np.intersect1d(x, y)) >= least * (len(x) + len(y)) - 1e-9:
+                assert found == [([1], [2])]
+            ruled_out += not found
+    assert ruled_out >= 6
