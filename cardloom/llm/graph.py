@@ -16,14 +16,14 @@ HOT = 1_000
 LOCAL = 250_000
 
 
-def join_by_key(rows: DataFrame, found: DataFrame, key: str, n: str, total: int) -> DataFrame:
+def join_by_key(rows: DataFrame, found: DataFrame, key: str, n: str, total: int, small: int = SMALL) -> DataFrame:
     """Inner join of rows with found, which holds each key once and in ``n`` how many of the rows have it.
 
     Rows of keys that hold a ``HOT``-th of the ``total`` rows or more meet them by broadcast, where they
     are: there are ``HOT`` such keys at most.  All others are shuffled, and none of them fills a task.  Of a
-    small table all keys are broadcast.
+    small table, of no more rows than ``small``, all keys are broadcast.
     """
-    if total <= SMALL:  # so found has no more rows either
+    if total <= small:  # so found has no more rows either
         return rows.join(F.broadcast(found.drop(n)), key)
     most = max(1, total // HOT)
     hot, rest = F.broadcast(found.where(F.col(n) > most).drop(n)), found.where(F.col(n) <= most).drop(n)
