@@ -14,7 +14,8 @@ import json
 import re
 import time
 from collections.abc import Callable, Iterable, Iterator
-from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait as first_of
+from concurrent.futures import ThreadPoolExecutor
+from queue import SimpleQueue
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +29,8 @@ Provider = Callable[[list[dict]], tuple[list[dict] | str, int]]
 BATCH, RETRIES, WAIT = 6, 2, 2.0
 #: Calls that a task has in flight.
 IN_FLIGHT = 6
+#: Answers that a task gathers before it passes them on, and for how many seconds at most while answers come.
+SENT, HELD = 1_000, 1.0
 _ANSWER = "card_key string, name string, title string, company string, address string, mobiles array<string>, is_key_person string, kp_role string"
 _CALLED = pa.schema(
     [("card_key", pa.string()), ("name", pa.string()), ("title", pa.string()), ("company", pa.string()), ("address", pa.string()), ("mobiles", pa.list_(pa.string())),
@@ -87,16 +90,29 @@ def _called(provider: Provider, batch: list[dict], retries: int, wait: float) ->
 
 def _in_flight(work: Iterable[list[dict]], ask: Callable[[list[dict]], list[dict]], most: int) -> Iterator[list[dict]]:
     """What ask gives for each piece of work, in the order in which calls end; work is read only while fewer than most are in flight."""
+    ended: SimpleQueue = SimpleQueue()
     with ThreadPoolExecutor(most) as pool:
-        waiting = set()
+        n = 0
         for piece in work:
-            waiting.add(pool.submit(ask, piece))
-            if len(waiting) >= most:
-                done, waiting = first_of(waiting, return_when=FIRST_COMPLETED)
-                yield from (x.result() for x in done)
-        while waiting:
-            done, waiting = first_of(waiting, return_when=FIRST_COMPLETED)
-            yield from (x.result() for x in done)
+            pool.submit(ask, piece).add_done_callback(ended.put)
+            n += 1
+            if n >= most:
+                yield ended.get().result()
+                n -= 1
+        for _ in range(n):
+            yield ended.get().result()
+
+
+def _gathered(found: Iterable[list[dict]]) -> Iterator[pa.RecordBatch]:
+    """Rows of several calls as one batch, since a batch costs much more than a row."""
+    held, since = [], time.monotonic()
+    for rows in found:
+        held += rows
+        if len(held) >= SENT or time.monotonic() - since > HELD:
+            yield pa.RecordBatch.from_pylist(held, _CALLED)
+            held, since = [], time.monotonic()
+    if held:
+        yield pa.RecordBatch.from_pylist(held, _CALLED)
 
 
 def call(
@@ -104,8 +120,8 @@ def call(
 ) -> DataFrame:
     """Answers for cards with card_key, line_texts and extracted: an answer struct, tokens, error, fatal.
 
-    ``in_flight`` calls run at a time in each task (so the provider has to be safe for threads, or in_flight 1), and ``at_once`` bounds the
-    tasks.  After a final error (access, quota) a task starts no more calls; its remaining
+    ``in_flight`` calls run at a time in each task (so the provider has to be safe for threads, or in_flight 1), and ``at_once`` deals the
+    cards evenly to so many tasks; without it a task has a partition of the cards, which for a small file is all of them.  After a final error (access, quota) a task starts no more calls; its remaining
     cards get that error.  Tasks of one frame share nothing; runs in batches that share
     a stop are those of streaming.enriching.  Repeated cards are asked once each.
     """
@@ -126,8 +142,7 @@ def call(
                 dead.append(out[-1]["error"])
             return out
 
-        for out in _in_flight(pieces(), ask, in_flight):
-            yield pa.RecordBatch.from_pylist(out, _CALLED)
+        yield from _gathered(_in_flight(pieces(), ask, in_flight))
 
     work = importable(cards).select("card_key", "line_texts", "extracted")
     work = work.repartition(at_once) if at_once else work
@@ -155,8 +170,9 @@ def standardise(cards: DataFrame, done: DataFrame, provider: Provider, model: st
     """Standardised rows with tokens, error and fatal for the cards that are not among those done.
 
     Append the result to ``done``'s table at once: reading it twice would call the
-    service twice.  Rows with an error are not done and come again.
+    service twice.  Rows with an error are not done and come again.  As many tasks call as the session has cores, unless ``at_once`` is given.
     """
+    options = {"at_once": cards.sparkSession.sparkContext.defaultParallelism} | options
     good = done.where("error IS NULL") if "error" in done.columns else done
     left = cards.join(good.select("card_key").distinct(), "card_key", "left_anti").dropDuplicates(["card_key"])
     return with_answers(left, call(left, provider, **options), model)

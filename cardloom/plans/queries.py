@@ -444,7 +444,7 @@ def _answer_some(batch: list[dict]) -> tuple[list[dict], int]:
 def provider_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A call for each card, several in flight in each task, with retries."""
     own = corpus.cards(spark, sf_dir).select("ord", F.col("ord").cast("string").alias("card_key"), F.array(F.col("ord").cast("string"), "name", "phones").alias("line_texts"), F.lit(None).alias("extracted"))
-    called = enrich.call(own, _answer_some, batch=1, retries=1, wait=0.0)
+    called = enrich.call(own, _answer_some, batch=1, retries=1, wait=0.0, at_once=spark.sparkContext.defaultParallelism)
     return called.select(F.col("card_key").cast("long").alias("ord"), "answer.name", text.joined("answer.mobiles").alias("mobiles"), "answer.is_key_person", "tokens", "error")
 
 

@@ -135,6 +135,16 @@ def test_calls_in_flight(spark):
     assert took[1] > 64 * 0.15 and took[8] < 0.3 * took[1]
 
 
+def test_answers_come_in_large_batches(spark):
+    """Answers of many calls are one batch, and the query's calls are dealt to several tasks though its table is one small file."""
+    made = list(enrich._gathered([enrich._row(str(i), {}, 0)] for i in range(2 * enrich.SENT + 1)))
+    assert len(made) <= 4 and [x for b in made for x in b.column(0).to_pylist()] == [str(i) for i in range(2 * enrich.SENT + 1)]
+    assert list(enrich._gathered([])) == []
+    from cardloom.plans import queries
+
+    assert queries.provider_calls(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() > 1
+
+
 def test_window_of_calls_is_bounded():
     """Work is read only while the window has room, and calls that end early come first."""
     import threading
