@@ -600,12 +600,12 @@ def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written_pages(spark: SparkSession, sf_dir: str) -> str:
-    """A folder of results of pages as JSON lines, in the order of events."""
+    """A folder of results of pages as JSON lines, in the order of events: each file holds a range of them, and names of files follow the ranges."""
     folder = work_folder(spark, "pages")
     rows = table(spark, sf_dir, "events").select(
         F.lit("f.pdf").alias("file"), F.when(F.col("event_id") % 7 != 3, F.col("user_id").cast("int")).alias("page"), (F.col("event_id") % 5 != 1).alias("ok"),
         F.array(F.col("event_type"), F.col("event_id").cast("string")).alias("line_texts"), "event_id",
-    ).coalesce(1).sortWithinPartitions("event_id")
+    ).repartitionByRange("event_id").sortWithinPartitions("event_id")
     rows.drop("event_id").write.json(folder)
     return folder
 

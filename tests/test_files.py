@@ -248,6 +248,22 @@ def explained(df):
     return out.getvalue()
 
 
+def test_pages_are_written_in_parts(spark, folder):
+    """Results of pages are sorted by many tasks, a range of events each, and the order of files is that of events."""
+    from cardloom.plans import queries
+
+    (folder / "sf").mkdir()
+    spark.range(2000).selectExpr("id AS event_id", "id % 50 AS user_id", "'view' AS event_type").repartition(3).write.parquet(str(folder / "sf" / "events.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = queries._written_pages(spark, str(folder / "sf"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = files.json_lines(spark, path).selectExpr("ord", "ord.file_path AS file_path", "cast(line_texts[1] AS bigint) AS event_id")
+    assert rows.select("file_path").distinct().count() > 1
+    assert [r.event_id for r in rows.orderBy("ord").collect()] == list(range(2000))
+
+
 def test_live_status(spark, folder):
     """Entries of several batches with a restart between them, and a run that falls silent."""
     from datetime import UTC, datetime, timedelta
