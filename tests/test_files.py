@@ -299,6 +299,26 @@ def test_live_status(spark, folder):
     assert [x["b"] for x in said] == ["interrupted", "interrupted", "completed", "completed"] and said[-1]["c"] == "fatal" and said[-1]["e"] == "pending"
 
 
+def test_live_status_in_pieces(spark, folder):
+    """The units of one run are folded by many keys, blocks that come again are merged, and the sums are those of the whole log."""
+    from cardloom.streaming import status
+
+    inputs = spark.createDataFrame([("a", "f", 3000)], "run string, input_fingerprint string, total_units int")
+    (folder / "log").mkdir()
+    stream = spark.readStream.schema(schemas.RUN_LOG).parquet(str(folder / "log"))
+    for n in range(2):
+        rows = spark.range(n * 1000, n * 1000 + 2000).selectExpr(
+            "'a' AS run", "'f' AS input_fingerprint", "cast(id AS string) AS unit", f"id % 7 <> {n} AS ok", "false AS fatal",
+            f"CASE WHEN id % 7 = {n} THEN concat('error ', id) END AS error", "id % 5 AS tokens", f"timestamp_seconds(10000 * {n} + id + 1) AS at",
+        )
+        rows.write.mode("append").parquet(str(folder / "log"))
+        status.kept(status.live(stream, inputs, quiet="1000 days"), str(folder / "live"), str(folder / "check")).awaitTermination()
+        columns = ["run", "status", "n_ok", "n_failed", "tokens", "updated_at", "last_error"]
+        whole = state.status(inputs, spark.read.schema(schemas.RUN_LOG).parquet(str(folder / "log"))).select(*columns).collect()
+        assert status.current(spark, str(folder / "live"), inputs).select(*columns).collect() == whole
+    assert spark.read.parquet(str(folder / "live")).select("run", "piece").distinct().count() > 8
+
+
 def test_upserts_in_levels(spark, folder):
     """After every batch, also one that comes twice, the last row of each key; few runs are read, and only some buckets for some keys."""
     import random
