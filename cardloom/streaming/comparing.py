@@ -89,7 +89,9 @@ class Comparing:
             (cards, new, "card_key", _merged, lambda x: compare.card_metrics(_sides(x))),
             (phones, numbers, "phone", lambda x: x.groupBy("phone").agg(F.bool_or("in_a").alias("in_a"), F.bool_or("in_b").alias("in_b")), compare.phone_metrics),
         ):
-            old = levels.look_up(own.select(key), number).drop("number") if number else None
+            # what is read several times is computed once
+            own = self._written(own, f"new-{key}", number)
+            old = self._written(levels.look_up(own.select(key), number).drop("number"), f"old-{key}", number) if number else None
             now = join(own if old is None else own.unionByName(old))
             levels.put(now.withColumn("number", F.lit(number)), number)
             # what was put is read back, so that it is computed once
@@ -100,6 +102,11 @@ class Comparing:
             total = total.unionByName(less).unionByName(before).agg(*[F.sum(c).alias(c) for c in compare.METRICS])
         total.write.mode("overwrite").parquet(f"{self.path}/metrics/number={number}")
 
+    def _written(self, rows: DataFrame, name: str, number: int) -> DataFrame:
+        path = f"{self.path}/{name}/number={number}"
+        rows.write.mode("overwrite").parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
     def metrics(self, spark: SparkSession, n: int) -> DataFrame:
         """The 20 metrics after n increments, as compare.overview() gives them for all rows at once."""
         return spark.read.parquet(f"{self.path}/metrics/number={n - 1}")

@@ -57,7 +57,8 @@ class Levels:
         return keep_last(rows.withColumn("_ord", F.struct("_batch", F.col(f"`{self.order}`"))), list(self.keys), "_ord").drop("_ord")
 
     def _write(self, rows: DataFrame, level: int, first: int) -> None:
-        dealt = rows.withColumn("_bucket", self._bucket()).repartition(self.buckets, "_bucket")
+        # by key too, so that more tasks than there are buckets write a large run
+        dealt = rows.withColumn("_bucket", self._bucket()).repartition("_bucket", *[F.col(f"`{k}`") for k in self.keys])
         dealt.write.partitionBy("_bucket").mode("overwrite").parquet(self.run(level, first))
 
     def _read(self, spark: SparkSession, runs: list[tuple[int, int]]) -> DataFrame | None:
