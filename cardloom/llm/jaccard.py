@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import HOT, components, join_by_key, least_by_key
-from .runtime import gathered, settle
+from .runtime import gathered, held, settle
 from .shingles import hashes_of, majority
 
 #: Documents that tell which shingles are frequent, and how many of these are known by name. Results do not depend on them.
@@ -158,6 +158,7 @@ def _counted(own: DataFrame, shingle: int, similarity: float, frequent: np.ndarr
     """Rows of _ROWS: of the shingles that are not frequent, one in part, those that several texts have, and a row about each text."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("jaccard")
         seen: set[int] = set()  # of this task: copies are looked at once in each
         for batch in batches:
             for own_id, x in zip(batch.column(0).to_pylist(), batch.column(1)):

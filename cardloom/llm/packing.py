@@ -31,13 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .runtime import held
+
 LENGTH, END = 4096, 2
 #: What a cut costs, in tokens of padding: after a sentence, after a word, inside a word.
 SENTENCE, WORD, INSIDE = 4.0, 32.0, 64.0
 #: Without a better candidate, a word's end becomes one after so many tokens, any token after twice as many.
 GAP = 128
 #: Sequences that one run of the dynamic program looks at; words that a Python worker remembers, and the longest of them.
-STRETCH, REMEMBERED, REMEMBERED_CHARS = 64, 1_400_000, 40
+STRETCH, REMEMBERED, REMEMBERED_CHARS = 64, 500_000, 40
 #: What ends a sentence when it is a token of its own at the end of a word.
 SENTENCE_ENDS = (".", "!", "?", "...", '."', '!"', '?"', ".'", ".)", "!!", "…", "。", "！", "？")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -120,13 +122,11 @@ class Words:
         return ids, ends, ends[self.stops[ids[ends - 1]]]
 
 
-_words: dict[str, Words] = {}
-
-
 def words(path: str) -> Words:
-    if path not in _words:
-        _words[path] = Words(path)
-    return _words[path]
+    own = held("packing")
+    if path not in own:
+        own[path] = Words(path)
+    return own[path]
 
 
 def candidates(n: int, word_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .runtime import settle
+from .runtime import held, settle
 
 POSITIVES, UNLABELLED, FEATURES = 4_000, 12_000, 4_096
 #: Documents of the sample that a feature must occur in, and how clear (root of the likelihood ratio statistic) its difference between the sets must be.
@@ -83,6 +83,7 @@ def fit(rows: DataFrame, prior: float, features: Callable[[str | None], set[str]
 
     @arrow_udf("array<string>")
     def named(texts: pa.Array) -> pa.Array:
+        held("pu")
         return pa.array([sorted(features(x.as_py())) for x in texts], pa.list_(pa.string()))
 
     rows = settle(rows.select("doc_id", "positive", named("text").alias("names")))
@@ -149,6 +150,7 @@ def score(model: Model, text: Column, features: Callable[[str | None], set[str]]
 
     @arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
+        held("pu")
         found = pa.array([model.score(features(x.as_py())) for x in texts], pa.float64())
         pa.default_memory_pool().release_unused()  # workers live on beside the next stages
         return found

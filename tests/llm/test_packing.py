@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from cardloom.llm import packing
+from cardloom.llm import packing, pu, simhash, toxicity
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -80,3 +81,34 @@ def test_null_and_repeated_ids(spark):
     docs = spark.createDataFrame([(None, "a b"), (4, "c"), (4, "c"), (4, None)], "doc_id long, text string").coalesce(1)
     rows = packing.pack(docs, PATH).collect()
     assert [(r.doc_id, r.start, r.length, r.doc_tokens) for r in rows] == [(None, 0, 3, 3), (4, 0, 2, 2), (4, 0, 2, 2), (4, 0, 1, 1)] and len({r.sequence_id for r in rows}) == 1
+
+
+def test_workers_let_go_of_the_tokenizer_in_other_stages(spark):
+    """A Python worker that packed lives on beside the next stages."""
+
+    def told(batches):
+        import gc
+
+        for _ in batches:
+            pass
+        yield pa.record_batch([pa.array([sum(type(x).__name__ == "Words" for x in gc.get_objects())])], ["n"])
+
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(60)) + f" end{i % 8} {i // 8}") for i in range(64)], "doc_id long, text string").repartition(8)
+    packing.pack(docs, PATH).collect()
+    before = [r.n for r in docs.mapInArrow(told, "n long").collect()]
+    simhash.near_copies_dropped(docs).collect()
+    toxic = docs.select("doc_id", pu.score(pu.Model(), docs["text"], toxicity.words).alias("score"))
+    for _ in range(3):  # so that each worker takes part
+        toxic.collect()
+    after = [r.n for r in docs.mapInArrow(told, "n long").collect()]
+    assert sum(before) and not sum(after)
+
+
+def test_few_words_are_remembered():
+    """New words without end: a worker's memory stays bounded, ids the same."""
+    own = packing.Words(PATH)
+    for i in range(70):
+        own.encode(" ".join(f"w{i}x{j}" for j in range(10_000)))
+    assert len(own.known) < 600_000
+    text = "The w1x1 naïve w69x9999 end."
+    assert own.encode(text)[0].tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
